@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import mixing, url_filters
+from . import mixing, toxicity, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op10_mixing": mixing.op10_mixing,
 }
 
