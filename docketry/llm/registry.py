@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import mixing, toxicity, url_filters
+from . import mixing, quality, toxicity, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
+    "op3_quality_classifier": quality.op3_quality_classifier,
     "op5_toxicity": toxicity.op5_toxicity,
     "op10_mixing": mixing.op10_mixing,
 }
