@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import mixing, quality, toxicity, url_filters
+from . import mixing, neardup, quality, toxicity, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
     "op3_quality_classifier": quality.op3_quality_classifier,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_minhash_dedup": neardup.op6_minhash_dedup,
     "op10_mixing": mixing.op10_mixing,
 }
 
 ORACLES = {
     "op1_url_filters": url_filters.OP1_SQL,
+    "op6_minhash_dedup": neardup.OP6_SQL,
     "op10_mixing": mixing.OP10_SQL,
 }
