@@ -307,5 +307,5 @@ l AS (
 u AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
 r(x, y) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.x, u.y FROM r JOIN u ON r.y = u.x)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.y) AS component_id, s.doc_id = min(r.y) AS kept
-FROM s JOIN r ON r.x = s.doc_id GROUP BY ALL
+FROM s JOIN r ON r.x = s.doc_id GROUP BY s.doc_id, s.s
 """
