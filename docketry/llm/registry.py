@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import mixing, neardup, quality, toxicity, url_filters
+from . import ann, mixing, neardup, quality, toxicity, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
     "op3_quality_classifier": quality.op3_quality_classifier,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_minhash_dedup": neardup.op6_minhash_dedup,
+    "op9_ann": ann.op9_ann,
     "op10_mixing": mixing.op10_mixing,
 }
 
