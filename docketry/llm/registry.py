@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import ann, mixing, neardup, quality, toxicity, url_filters
+from . import ann, mixing, neardup, quality, toxicity, url_filters, warc
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
     "op3_quality_classifier": quality.op3_quality_classifier,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_minhash_dedup": neardup.op6_minhash_dedup,
+    "op8_warc_fixity": warc.op8_warc_fixity,
     "op9_ann": ann.op9_ann,
     "op10_mixing": mixing.op10_mixing,
 }
@@ -16,5 +17,6 @@ QUERIES = {
 ORACLES = {
     "op1_url_filters": url_filters.OP1_SQL,
     "op6_minhash_dedup": neardup.OP6_SQL,
+    "op8_warc_fixity": warc.OP8_SQL,
     "op10_mixing": mixing.OP10_SQL,
 }
