@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import ann, mixing, neardup, quality, toxicity, url_filters, warc
+from . import ann, licenses, mixing, neardup, quality, toxicity, url_filters, warc
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
     "op3_quality_classifier": quality.op3_quality_classifier,
+    "op4_license_scan": licenses.op4_license_scan,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_minhash_dedup": neardup.op6_minhash_dedup,
     "op8_warc_fixity": warc.op8_warc_fixity,
