@@ -93,11 +93,17 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """Words of a batch: starts, ends (byte positions), hashes, and the n + 1 word offsets of the rows."""
+    """Words of a batch: starts, ends (byte positions), hashes, and the n + 1 word offsets of the rows.
 
-    def __init__(self, column: pa.Array, space: np.ndarray = _SPACE):
+    A-Z are lower-cased; with latin, the letters À-Þ as well, which keeps lengths and places."""
+
+    def __init__(self, column: pa.Array, space: np.ndarray = _SPACE, latin: bool = False):
         raw, self.row_bytes = text_bytes(column)
         self.raw = _LOWERED[raw]
+        if latin and len(raw) > 1:
+            at = np.flatnonzero(raw[:-1] == 0xC3) + 1
+            at = at[(raw[at] >= 0x80) & (raw[at] <= 0x9E) & (raw[at] != 0x97)]
+            self.raw[at] += 0x20
         solid = ~space[self.raw]
         first, last = solid.copy(), solid.copy()
         if len(solid):

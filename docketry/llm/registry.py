@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import ann, licenses, mixing, neardup, quality, toxicity, url_filters, warc
+from . import ann, decontaminate, licenses, mixing, neardup, quality, toxicity, url_filters, warc
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
+    "op2_decontamination": decontaminate.op2_decontamination,
     "op3_quality_classifier": quality.op3_quality_classifier,
     "op4_license_scan": licenses.op4_license_scan,
     "op5_toxicity": toxicity.op5_toxicity,

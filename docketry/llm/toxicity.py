@@ -50,7 +50,7 @@ class Sentences(NamedTuple):
 def sentences(column: pa.Array) -> Sentences:
     """Sentences that have words.  A stop directly between letters or digits (3.5) ends a sentence as well: the
     scorer needs a partition of the text, no grammar."""
-    words = Words(column, _BREAK)
+    words = Words(column, _BREAK, latin=True)
     n = len(words.starts)
     if not n:
         none = np.zeros(0, np.int64)
