@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, decontaminate, licenses, mixing, neardup, quality, toxicity, url_filters, warc
+from . import ann, decontaminate, licenses, mixing, neardup, quality, tokens, toxicity, url_filters, warc
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_license_scan": licenses.op4_license_scan,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_minhash_dedup": neardup.op6_minhash_dedup,
+    "op7_token_counts": tokens.op7_token_counts,
     "op8_warc_fixity": warc.op8_warc_fixity,
     "op9_ann": ann.op9_ann,
     "op10_mixing": mixing.op10_mixing,
@@ -19,6 +20,7 @@ QUERIES = {
 ORACLES = {
     "op1_url_filters": url_filters.OP1_SQL,
     "op6_minhash_dedup": neardup.OP6_SQL,
+    "op7_token_counts": tokens.op7_token_counts,
     "op8_warc_fixity": warc.OP8_SQL,
     "op10_mixing": mixing.OP10_SQL,
 }
