@@ -1,4 +1,510 @@
-"""Registered queries of the engine and the SQL that they equal."""
+"""Registered queries: each binds operators to the driver's tables, with the SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from .functions import dates as D
+from .functions import text as X
+from .functions.rules import Rule, Weight, first_match, marker_score, term_score
+from .operators import classify as C
+from .operators import dash, runlog, select
+from .operators import extract as E
+from .sources import tables as S
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def keep(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+#: DuckDB forms of TXT1 and TXT6.
+_WS = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+_CLEAN = lambda c: f"trim(regexp_replace({c}, '{_WS}', ' ', 'g'))"
+_FOLD = lambda c: _CLEAN(f"translate(replace(replace(lower({c}), 'º', 'o'), '°', 'o'), '{X.ACCENTED}', '{X.PLAIN}')")
+_CENTS = lambda c: f"CAST({c} AS DECIMAL(18, 2))"
+
+
+def cents(c: str):
+    return F.col(c).cast("decimal(18,2)")
+
+
+# --- text -------------------------------------------------------------------------------------------------------
+@query(f"SELECT lang, count(*) AS docs, count(DISTINCT folded) AS texts, sum(length(folded))::BIGINT AS chars FROM (SELECT lang, {_FOLD('text')} AS folded FROM documents) GROUP BY lang")
+def fold_text(spark, d):
+    df = t(spark, d, "documents").select("lang", X.fold(F.col("text")).alias("folded"))
+    return df.groupBy("lang").agg(F.count("*").alias("docs"), F.count_distinct("folded").alias("texts"), F.sum(F.length("folded")).alias("chars"))
+
+
+@query(f"SELECT sha1({_CLEAN('text')}) AS sha1, count(*) AS copies, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1")
+def fingerprint_dups(spark, d):
+    df = t(spark, d, "documents").select("doc_id", X.fingerprint(F.col("text"))["sha1"].alias("sha1"))
+    return df.groupBy("sha1").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id")).where("copies > 1")
+
+
+@query(f"SELECT doc_id, CASE WHEN length(x) > 360 THEN rtrim(substr(x, 1, 357)) || '...' ELSE x END AS excerpt FROM (SELECT doc_id, {_CLEAN('text')} AS x FROM documents)")
+def excerpt(spark, d):
+    return t(spark, d, "documents").select("doc_id", X.excerpt(F.col("text")).alias("excerpt"))
+
+
+@query(r"SELECT page_id, substr(trim(regexp_replace(url, '[^\p{L}\p{N}_.-]+', '_', 'g'), '_'), 1, 80) AS name FROM pages")
+def safe_names(spark, d):
+    return t(spark, d, "pages").select("page_id", X.safe_name(F.col("url")).alias("name"))
+
+
+@query(r"SELECT page_id, coalesce(nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), ''), nullif(regexp_extract(url, '[?&]ref=([^&#]*)', 1), ''), substr(sha1(url || '|' || page_id), 1, 10)) AS document_key FROM pages")
+def document_keys(spark, d):
+    return t(spark, d, "pages").select("page_id", X.document_key(F.col("url"), [F.col("url"), F.col("page_id").cast("string")], ("page", "ref")).alias("document_key"))
+
+
+_REPAIR = "documents with the text written as UTF-8 and read as Latin-1"
+
+
+@query("SELECT doc_id, true AS restored, length(text) AS chars FROM documents WHERE lang IN ('fr', 'de', 'es')")
+def repair_roundtrip(spark, d):
+    """TXT2: texts read as Latin-1 by mistake come back."""
+    df = t(spark, d, "documents").where(F.col("lang").isin("fr", "de", "es"))
+    broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+    return df.withColumn("broken", broken).select("doc_id", (X.repair_text(F.col("broken")) == F.col("text")).alias("restored"), F.length("text").alias("chars"))
+
+
+@query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, CASE WHEN event_id % 3 = 0 THEN 0 ELSE event_id::INTEGER END AS lenient, event_id % 2 = 0 AS even,
+    round(CAST(value AS DECIMAL(18, 2))::DOUBLE, 2) AS amount FROM events""")
+def lenient_casts(spark, d):
+    """TXT21, PRJ1: bad numbers are 0, words are booleans, decimal commas are read."""
+    df = t(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"), F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("x"), "event_id")).otherwise(F.col("event_id").cast("string")).alias("lenient"), F.when(F.col("event_id") % 2 == 0, "Sim").otherwise("nao").alias("even"), F.replace(cents("value").cast("string"), F.lit("."), F.lit(",")).alias("amount"))
+    return dash.typed(df, bools=["even"], ints=["k", "lenient"], floats=["amount"])
+
+
+# --- classification ---------------------------------------------------------------------------------------------
+DOC_RULES = [Rule(("licensed under", "released under"), "licence", "licence_line"), Rule(("@",), "contact", "address"), Rule(("|",), "table", "bars")]
+
+
+@query(f"""SELECT doc_id, CASE WHEN contains(f, 'licensed under') OR contains(f, 'released under') THEN 'licence' WHEN contains(f, '@') THEN 'contact' WHEN contains(f, '|') THEN 'table' ELSE 'prose' END AS doc_class,
+    CASE WHEN contains(f, 'licensed under') OR contains(f, 'released under') THEN 'licence_line' WHEN contains(f, '@') THEN 'address' WHEN contains(f, '|') THEN 'bars' ELSE 'none' END AS reason
+    FROM (SELECT doc_id, {_FOLD('text')} AS f FROM documents)""")
+def classify_docs(spark, d):
+    df = t(spark, d, "documents").select("doc_id", X.fold(F.col("text")).alias("f"))
+    return df.select("doc_id", first_match(F.col("f"), DOC_RULES, "prose", "none").alias("r")).select("doc_id", F.col("r.label").alias("doc_class"), F.col("r.reason").alias("reason"))
+
+
+@query(f"""SELECT doc_id, (CASE WHEN contains(f, 'licensed') THEN 60 ELSE 0 END + CASE WHEN contains(f, 'license') THEN 20 ELSE 0 END - CASE WHEN contains(f, '|') THEN 80 ELSE 0 END - CASE WHEN contains(f, '!!') THEN 80 ELSE 0 END
+    + least(length(f) // 5000, 10))::INTEGER AS score FROM (SELECT doc_id, {_FOLD('text')} AS f FROM documents)""")
+def marker_scores(spark, d):
+    """CLS10: additive weights and a bounded length term."""
+    df = t(spark, d, "documents").select("doc_id", X.fold(F.col("text")).alias("f"))
+    score = marker_score(F.col("f"), [Weight(("licensed",), 60), Weight(("license",), 20), Weight(("|", "!!"), -80, each=True)]) + F.least(F.floor(F.length("f") / 5000), F.lit(10))
+    return df.select("doc_id", score.cast("int").alias("score"))
+
+
+@query("""SELECT p_partkey, (CASE WHEN contains(lower(p_name), 'ring') THEN 5 + 40 ELSE 0 END + CASE WHEN contains(lower(p_name), 'widget') THEN 6 + 39 ELSE 0 END + CASE WHEN contains(lower(p_name), 'small') THEN 5 + 38 ELSE 0 END
+    - CASE WHEN contains(lower(p_name), 'red') THEN 30 ELSE 0 END)::INTEGER AS score FROM part""")
+def term_scores(spark, d):
+    """CLS9."""
+    return t(spark, d, "part").select("p_partkey", term_score(F.col("p_name"), ["ring", "widget", "small"], [Weight(("red",), -30)]).alias("score"))
+
+
+@query("""WITH d AS (SELECT d.*, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)),
+    c AS (SELECT *, (length(trim(text)) > 0)::INT + (quality IS NOT NULL)::INT + (coalesce(toxic, 1) = 0)::INT AS fields FROM d)
+    SELECT source, doc_id, n_chars, fields, CASE WHEN coalesce(quality, 0) = 1 THEN 'published' ELSE 'retained' END AS status FROM c
+    QUALIFY row_number() OVER (PARTITION BY source ORDER BY coalesce(quality, 0) DESC, fields DESC, n_chars DESC, doc_id) = 1""")
+def canonical_per_source(spark, d):
+    """SEL4, CLS12: the best document of each source: labelled good first, then complete, then long."""
+    df = t(spark, d, "documents").join(t(spark, d, "labels"), "doc_id", "left")
+    fields = (F.length(F.trim("text")) > 0).cast("int") + F.col("quality").isNotNull().cast("int") + (F.coalesce("toxic", F.lit(1)) == 0).cast("int")
+    df = df.select("source", "doc_id", "n_chars", fields.alias("fields"), F.coalesce("quality", F.lit(0)).alias("good"))
+    best = select.best_per_key(df, ["source"], [F.col("good").desc(), F.col("fields").desc(), F.col("n_chars").desc(), F.col("doc_id").asc()])
+    return best.select("source", "doc_id", "n_chars", "fields", F.when(F.col("good") == 1, "published").otherwise("retained").alias("status"))
+
+
+@query("""WITH o AS (SELECT *, o_orderstatus <> 'P' AS ok, row_number() OVER (PARTITION BY o_custkey ORDER BY (o_orderstatus <> 'P') DESC, o_totalprice DESC, o_orderkey) AS rn FROM orders)
+    SELECT o_orderkey, CASE WHEN ok AND rn = 1 THEN 'publicado_canonico' WHEN ok THEN 'descartado_por_desempate' ELSE 'descartado_nao_canonico' END AS normalization_status,
+      CASE WHEN ok AND rn = 1 THEN 'published_gold' ELSE 'retained_silver' END AS publication_status, CASE WHEN ok AND rn = 1 THEN '' WHEN ok THEN 'act_final_nao_canonico' ELSE o_orderstatus END AS discard_reason FROM o""")
+def canonical_selection(spark, d):
+    """SEL4: winners, losers of the tie-break, and the rest, of each customer's orders."""
+    df = t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.col("o_orderstatus").alias("doc_class"), F.lit(None).cast("string").alias("discard_reason"))
+    out = select.choose_canonical(df, ["o_custkey"], F.col("doc_class") != "P", [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()])
+    return out.select("o_orderkey", "normalization_status", "publication_status", "discard_reason")
+
+
+@query("SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY (o_orderstatus = 'F') DESC, o_totalprice DESC, o_orderkey) = 1")
+def best_row_tiebreak(spark, d):
+    """SEL1-SEL3."""
+    best = select.best_per_key(t(spark, d, "orders"), ["o_custkey"], [(F.col("o_orderstatus") == "F").desc(), F.col("o_totalprice").desc(), F.col("o_orderkey").asc()])
+    return best.select("o_custkey", "o_orderkey", "o_totalprice")
+
+
+def _candidates(spark, d):
+    o = t(spark, d, "orders")
+    return o.select(F.col("o_custkey").alias("processo"), F.lit("act").alias("type"), F.when(F.col("o_orderkey") % 7 == 0, "tree").otherwise("filter").alias("source"), F.substring("o_orderpriority", 1, 1).cast("int").alias("alias_ord"), F.col("o_orderkey").alias("position"), F.col("o_orderkey").cast("string").alias("label"), F.col("o_totalprice").alias("score"), (F.col("o_totalprice") > 400000).alias("is_canonical"), (F.col("o_orderstatus") == "P").alias("skip"))
+
+
+@query("""WITH c AS (SELECT o_custkey AS processo, o_orderkey AS id, o_orderkey % 7 = 0 AS tree, substr(o_orderpriority, 1, 1)::INT AS a, o_totalprice AS score, o_totalprice > 400000 AS canon, o_orderstatus = 'P' AS skip FROM orders),
+    k AS (SELECT *, row_number() OVER (PARTITION BY processo, tree, a ORDER BY id) AS k FROM c),
+    l AS (SELECT *, tree OR k <= 2 AS listed FROM k),
+    s AS (SELECT *, row_number() OVER (PARTITION BY processo ORDER BY listed DESC, tree, CASE WHEN NOT tree THEN a END, CASE WHEN NOT tree THEN id END, CASE WHEN tree THEN score END DESC NULLS LAST, id::VARCHAR) AS seq FROM l),
+    w AS (SELECT *, min(CASE WHEN listed AND NOT skip AND canon THEN seq END) OVER (PARTITION BY processo) AS win, max((listed AND NOT skip AND NOT tree)::INT) OVER (PARTITION BY processo) AS opened FROM s)
+    SELECT id AS position, seq::INT AS seq, CASE WHEN NOT listed THEN 'beyond_top' WHEN seq > win THEN 'not_opened' WHEN skip THEN 'skipped' WHEN seq = win THEN 'chosen' ELSE 'rejected' END AS state,
+      CASE WHEN win IS NOT NULL THEN 'found' WHEN opened = 1 THEN 'no_canonical_candidate_after_filter_and_tree' ELSE 'not_found_after_filter_and_tree' END AS outcome FROM w""")
+def candidate_funnel(spark, d):
+    """SEL5: orders as candidates of their customer."""
+    return select.funnel(_candidates(spark, d), 2).select("position", "seq", "state", "outcome")
+
+
+@query("SELECT a AS alias_ord, count(*) AS evaluated, count_if(skip) AS skipped, round(100.0 * count_if(skip) / count(*), 2)::DOUBLE AS skipped_pct FROM (SELECT substr(o_orderpriority, 1, 1)::INT AS a, o_orderstatus = 'P' AS skip FROM orders) GROUP BY a")
+def screening_stats(spark, d):
+    """AGG13, CLS8."""
+    return dash.screening(_candidates(spark, d), F.col("skip"), "alias_ord")
+
+
+@query("SELECT lower(p_name) AS norm, max(p_retailprice) AS score FROM part GROUP BY 1")
+def best_per_text(spark, d):
+    """SEL6."""
+    return select.best_per_text(t(spark, d, "part").select(F.col("p_name").alias("label"), F.col("p_retailprice").alias("score"))).select("norm", "score")
+
+
+@query("""WITH p AS (SELECT l_orderkey AS page, min_by(l_partkey, l_linenumber * 1000000000000 + l_partkey * 100000 + l_suppkey) AS first, count(*) AS n FROM lineitem GROUP BY 1)
+    SELECT page, n, row_number() OVER (PARTITION BY first, n ORDER BY page) > 1 AS repeats FROM p""")
+def repeated_pages(spark, d):
+    """SEL8: orders as pages; one repeats if an earlier one begins with the same part and is as long."""
+    df = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_partkey").alias("processo"), (F.col("l_linenumber").cast("long") * 1000000000000 + F.col("l_partkey") * 100000 + F.col("l_suppkey")).alias("row_idx"))
+    return select.repeated_pages(df).select("page", "n", "repeats")
+
+
+@query(f"SELECT DISTINCT event_type AS text, user_id::VARCHAR AS href FROM events")
+def distinct_links(spark, d):
+    """SEL9."""
+    return select.distinct_links(t(spark, d, "events").select(F.col("event_type").alias("text"), F.col("user_id").cast("string").alias("href")))
+
+
+@query("""WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS position, count(*) OVER (PARTITION BY l_orderkey) AS total FROM lineitem)
+    SELECT l_orderkey, 'ok|' || max(total) || '|' || string_agg(l_partkey::VARCHAR, ',' ORDER BY position) FILTER (WHERE position <= 3) AS signature FROM l GROUP BY l_orderkey""")
+def result_signatures(spark, d):
+    """SEL10, PRJ10: the first three parts of each order, with its size."""
+    df = t(spark, d, "lineitem").select("l_orderkey", F.row_number().over(W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")).alias("position"), F.col("l_partkey").cast("string").alias("protocolo"), F.count("*").over(W.partitionBy("l_orderkey")).alias("total"), F.lit("ok").alias("state"))
+    return select.result_signature(df, "l_orderkey")
+
+
+# --- joins and mart ---------------------------------------------------------------------------------------------
+@query("""WITH b AS (SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY (o_orderstatus = 'F') DESC, o_totalprice DESC, o_orderkey) = 1),
+    n AS (SELECT o_custkey, count(*) AS attempts FROM orders GROUP BY 1),
+    j AS (SELECT c.c_custkey, n_name, coalesce(attempts, 0) AS attempts, b.o_orderkey AS best, b.o_orderstatus = 'F' AS gold, o_totalprice FROM customer c LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN b ON b.o_custkey = c_custkey LEFT JOIN n ON n.o_custkey = c_custkey)
+    SELECT c_custkey, n_name, attempts, best, CASE WHEN best IS NULL THEN 'missing' WHEN gold THEN 'gold' ELSE 'preview' END AS best_source,
+      CASE WHEN gold AND o_totalprice > 300000 THEN 'high' WHEN gold THEN 'medium' ELSE 'low' END AS quality_status,
+      array_to_string(list_filter([CASE WHEN best IS NULL THEN 'best=missing' END, CASE WHEN attempts > 10 THEN 'attempts=many' END, CASE WHEN coalesce(gold, false) THEN NULL ELSE 'gold=no' END], lambda x: x IS NOT NULL), '; ') AS quality_notes FROM j""")
+def overview_join(spark, d):
+    """JOI1, PRJ4, PRJ5, CLS18: a row a customer: best order, attempts, nation, quality, notes."""
+    o = t(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice")
+    best = select.best_per_key(o, ["o_custkey"], [(F.col("o_orderstatus") == "F").desc(), F.col("o_totalprice").desc(), F.col("o_orderkey").asc()])
+    tried = o.groupBy("o_custkey").agg(F.count("*").alias("attempts"))
+    df = t(spark, d, "customer").select("c_custkey", "c_nationkey").join(t(spark, d, "nation").select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    df = df.join(best, F.col("c_custkey") == best["o_custkey"], "left").drop("o_custkey").join(tried, F.col("c_custkey") == tried["o_custkey"], "left").drop("o_custkey")
+    gold = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    attempts = F.coalesce("attempts", F.lit(0))
+    source = F.when(F.col("o_orderkey").isNull(), "missing").when(gold, "gold").otherwise("preview")
+    status = C.overall_quality(F.when(gold, "gold_complete").otherwise("silver_only"), F.coalesce(F.col("o_totalprice") <= 300000, F.lit(False)), gold)
+    notes = dash.notes((F.col("o_orderkey").isNull(), "best=missing"), (attempts > 10, "attempts=many"), (~gold, "gold=no"))
+    return df.select("c_custkey", "n_name", attempts.alias("attempts"), F.col("o_orderkey").alias("best"), source.alias("best_source"), status.alias("quality_status"), notes.alias("quality_notes"))
+
+
+@query("SELECT d.doc_id, coalesce(CASE WHEN l.quality = 1 THEN 'good' END, d.source) AS source, coalesce(CASE WHEN l.toxic = 1 THEN 'toxic' END, d.lang) AS lang FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY 1) l USING (doc_id)")
+def audit_sync(spark, d):
+    """JOI3: only non-empty audit values overwrite."""
+    audit = t(spark, d, "labels").select("doc_id", F.when(F.col("quality") == 1, "good").otherwise("").alias("source"), F.when(F.col("toxic") == 1, "toxic").otherwise(" ").alias("lang"), F.col("quality").cast("long").alias("row_idx"))
+    return select.sync_from_audit(t(spark, d, "documents").select("doc_id", "source", "lang"), audit, ["source", "lang"], "doc_id")
+
+
+@query(r"""WITH r AS (SELECT url, page_id, regexp_extract(url, '[^/\\]+$') AS n FROM pages WHERE page_id % 2 = 0),
+    e AS (SELECT url, min(page_id) AS id FROM r GROUP BY 1), m AS (SELECT n, min_by(page_id, (url, page_id)) AS id FROM r GROUP BY 1)
+    SELECT p.page_id, coalesce(e.id, m.id) AS found FROM pages p LEFT JOIN e ON e.url = p.url LEFT JOIN m ON m.n = regexp_extract(p.url, '[^/\\]+$')""")
+def basename_join(spark, d):
+    """SRC8, JOI4: even pages are looked up by address, else by last segment."""
+    p = t(spark, d, "pages").select("page_id", "url")
+    right = p.where("page_id % 2 = 0").select("url", F.col("page_id").alias("found"), F.col("page_id").alias("row_idx"))
+    return select.by_path_or_name(p, right, "url", ["found"]).select("page_id", "found")
+
+
+TARGETS = ["red", "small", "widget", "ring", "bolt", "large"]
+
+
+@query("""SELECT p_partkey, target, target_ord FROM (SELECT p_partkey, t.target, t.target_ord FROM part JOIN (VALUES ('red', 0), ('small', 1), ('widget', 2), ('ring', 3), ('bolt', 4), ('large', 5)) t(target, target_ord) ON contains(lower(p_name), t.target))
+    QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY target_ord) = 1""")
+def theta_match(spark, d):
+    """JOI5, CLS14: the first target that a name holds."""
+    return select.match_targets(t(spark, d, "part"), TARGETS, "p_name").select("p_partkey", "target", "target_ord")
+
+
+@query("""WITH m AS (SELECT min(t.o) AS o FROM part JOIN (VALUES ('red', 0), ('small', 1), ('widget', 2), ('ring', 3), ('bolt', 4), ('large', 5)) t(target, o) ON contains(lower(p_name), t.target) GROUP BY p_partkey)
+    SELECT t.target, count(m.o) AS matched FROM (VALUES ('red', 0), ('small', 1), ('widget', 2), ('ring', 3), ('bolt', 4), ('large', 5)) t(target, o) LEFT JOIN m USING (o) GROUP BY 1""")
+def target_counts(spark, d):
+    """AGG14."""
+    return select.target_counts(t(spark, d, "part"), TARGETS, "p_name")
+
+
+@query("""SELECT c_custkey AS processo, count(o_orderkey) FILTER (WHERE o_orderstatus = 'F') AS metas, count(o_orderkey) FILTER (WHERE o_orderstatus = 'O') AS acoes FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1""")
+def process_metrics(spark, d):
+    """JOI6, AGG10."""
+    o = t(spark, d, "orders").select(F.col("o_custkey").alias("processo"), "o_orderstatus")
+    return select.with_counts(t(spark, d, "customer").select(F.col("c_custkey").alias("processo")), {"metas": o.where("o_orderstatus = 'F'"), "acoes": o.where("o_orderstatus = 'O'")})
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY')")
+def selected_rows(spark, d):
+    """JOI9, FLT2."""
+    chosen = t(spark, d, "customer").where("c_mktsegment = 'MACHINERY'").select(F.col("c_custkey").alias("o_custkey"))
+    return select.only_selected(t(spark, d, "orders").select("o_orderkey", "o_custkey"), chosen, "o_custkey")
+
+
+@query("SELECT doc_id, 'attempt' AS record_kind, text_chars, reason, error FROM (SELECT doc_id, n_chars AS text_chars, NULL::VARCHAR AS reason, NULL::VARCHAR AS error FROM documents) UNION ALL SELECT doc_id, 'not_found', NULL, 'not_found', NULL FROM labels WHERE quality = 0 UNION ALL SELECT doc_id, 'failure', NULL, 'filter_error', 'toxic' FROM labels WHERE toxic = 1")
+def tracking_union(spark, d):
+    """PRJ8, CLS13: three kinds of record with shared columns."""
+    labels = t(spark, d, "labels")
+    status = lambda reason, error: C.outcome_status(F.lit(reason), F.lit(error), F.lit(""))
+    return dash.tracking(t(spark, d, "documents").select("doc_id", F.col("n_chars").alias("text_chars")), labels.where("quality = 0").select("doc_id", status("none", "").alias("reason")), labels.where("toxic = 1").select("doc_id", status("none", "toxic").alias("reason"), F.lit("toxic").alias("error")))
+
+
+# --- aggregates, filters, sorts ---------------------------------------------------------------------------------
+@query("SELECT user_id, string_agg(label || '(' || n || ')', ' | ' ORDER BY label) AS summary FROM (SELECT user_id, event_type || ':' || (event_id % 3) AS label, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY 1")
+def rejection_summary(spark, d):
+    """AGG2."""
+    return dash.rejection_summary(t(spark, d, "events"), "user_id", F.concat_ws(":", "event_type", (F.col("event_id") % 3).cast("string")))
+
+
+@query("SELECT user_id, event_type || ':' || (event_id % 3) AS label, count(*) AS n FROM events GROUP BY 1, 2")
+def rejection_unpack(spark, d):
+    """EXP3 on AGG2's result."""
+    return dash.explode_rejections(rejection_summary(spark, d), "user_id")
+
+
+@query("SELECT l_orderkey, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1)::INT AS item, 'part ' || l_partkey AS description, 'supplier ' || l_suppkey AS owner, strftime(l_shipdate, '%Y-%m') AS period FROM lineitem")
+def pack_explode(spark, d):
+    """EXP1, EXP2: an order's lines are packed as actions with owner and period, and taken apart again."""
+    df = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.concat_ws(" | ", F.concat(F.lit("part "), "l_partkey"), F.concat(F.lit("supplier "), "l_suppkey"), F.date_format("l_shipdate", "yyyy-MM")).alias("line"))
+    packed = df.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "line"))), lambda x: x["line"]), " || ").alias("acoes"))
+    return dash.explode_actions(packed).select("l_orderkey", "item", "description", "owner", "period")
+
+
+@query("SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n FROM orders GROUP BY 1")
+def month_timeline(spark, d):
+    """DAT19, AGG12."""
+    return dash.timeline(t(spark, d, "orders"), "o_orderdate")
+
+
+@query("SELECT count(DISTINCT user_id) FILTER (WHERE event_type = 'purchase') AS found, count(DISTINCT user_id) FILTER (WHERE event_type = 'error') AS failed, count(DISTINCT user_id) FILTER (WHERE value > 50) AS large FROM events")
+def status_distinct(spark, d):
+    """AGG8: one row; its work is one aggregation to a row a user."""
+    return dash.distinct_where(t(spark, d, "events"), "user_id", {"found": F.col("event_type") == "purchase", "failed": F.col("event_type") == "error", "large": F.col("value") > 50})
+
+
+@query(f"SELECT lang, sum({_CENTS('n_chars')})::DOUBLE AS total_value, count(DISTINCT source) AS regions FROM documents GROUP BY lang")
+def value_by_language(spark, d):
+    """AGG9 by group."""
+    df = t(spark, d, "documents")
+    return df.groupBy("lang").agg(F.sum(cents("n_chars")).cast("double").alias("total_value"), F.count_distinct("source").alias("regions"))
+
+
+@query("SELECT 'good' AS family, count_if(quality = 1) AS covered FROM labels UNION ALL SELECT 'toxic', count_if(toxic = 1) FROM labels UNION ALL SELECT 'clean', count_if(toxic = 0) FROM labels")
+def coverage_unpivot(spark, d):
+    """AGG7."""
+    return dash.coverage(t(spark, d, "labels").select((F.col("quality") == 1).alias("good"), (F.col("toxic") == 1).alias("toxic"), (F.col("toxic") == 0).alias("clean")), ["good", "toxic", "clean"])
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) AND source IN ('src1', 'src2', 'src3')")
+def presence_filter(spark, d):
+    """FLT1: documents with a label, of some sources."""
+    df = t(spark, d, "documents").select("doc_id", "source").join(t(spark, d, "labels").select("doc_id", F.lit(True).alias("l")), "doc_id", "left")
+    df = df.select("doc_id", F.col("source").alias("parceiro"), F.coalesce("l", F.lit(False)).alias("has_label"))
+    return dash.overview_filter(df, partners=["src1", "src2", "src3"], has_label="Com").select("doc_id", F.col("parceiro").alias("source"))
+
+
+@query("SELECT o_custkey, count(*) AS attempts FROM orders GROUP BY 1 HAVING count(*) > 1 OR max((o_orderstatus = 'P')::INT) = 1 OR min(o_orderstatus) <> 'F'")
+def problem_rows(spark, d):
+    """FLT4."""
+    df = t(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("attempts"), F.max(F.col("o_orderstatus") == "P").alias("has_mismatch"), F.when(F.min("o_orderstatus") == "F", "published_gold").otherwise("retained_silver").alias("publication_status"))
+    return dash.problems(df).select("o_custkey", "attempts")
+
+
+@query("SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
+def topk_groups(spark, d):
+    """SRT1, AGG11."""
+    return dash.top_groups(t(spark, d, "orders"), "o_custkey")
+
+
+@query("SELECT event_type, count(*) AS count FROM events GROUP BY 1")
+def group_sizes(spark, d):
+    """AGG6."""
+    return dash.group_sizes(t(spark, d, "events"), "event_type")
+
+
+@query("SELECT DISTINCT source FROM documents WHERE trim(source) <> ''")
+def choices(spark, d):
+    """FLT3."""
+    return dash.choices(t(spark, d, "documents"), "source")
+
+
+@query("SELECT user_id, count(*) AS total, count_if(event_type = 'view') AS view, count_if(event_type = 'error') AS error FROM events GROUP BY 1")
+def level_counts(spark, d):
+    """AGG4 by user."""
+    df = t(spark, d, "events")
+    return df.groupBy("user_id").agg(F.count("*").alias("total"), *[F.count_if(F.lower("event_type") == x).alias(x) for x in ("view", "error")])
+
+
+@query("SELECT event_id, event_type FROM events ORDER BY event_id DESC LIMIT 200")
+def latest_rows(spark, d):
+    """SRT2: a report of the last 200 lines."""
+    return dash.latest(t(spark, d, "events").select("event_id", "event_type"), 200, "event_id")
+
+
+@query(f"SELECT event_type AS name, sum({_CENTS('value')})::DOUBLE AS total_seconds, count(*) AS calls FROM events GROUP BY 1")
+def span_totals(spark, d):
+    """AGG1."""
+    out = dash.span_totals(t(spark, d, "events").select(F.col("event_type").alias("name"), cents("value").alias("seconds")))
+    return out.withColumn("total_seconds", F.col("total_seconds").cast("double"))
+
+
+@query(f"""WITH s AS (SELECT user_id, sum({_CENTS('value')}) AS s FROM events WHERE event_type = 'view' GROUP BY 1)
+    SELECT c_custkey, coalesce(s.s, 0)::DOUBLE AS seconds FROM customer LEFT JOIN s ON s.user_id = c_custkey""")
+def runtime_selected(spark, d):
+    """JOI8, AGG5: seconds of each case's span."""
+    spans = t(spark, d, "events").where("event_type = 'view'").groupBy(F.concat(F.lit("processo:"), "user_id").alias("name")).agg(F.sum(cents("value")).cast("double").alias("total_seconds"))
+    cases = t(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("processo"))
+    return select.span_seconds(cases, spans).select(F.col("processo").cast("long").alias("c_custkey"), F.coalesce("total_seconds", F.lit(0.0)).alias("seconds"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem) WHERE rn <= 2")
+def limit_per_group(spark, d):
+    """LIM1."""
+    return dash.first_per_group(t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), "l_orderkey", [F.col("l_linenumber").asc(), F.col("l_partkey").asc(), F.col("l_suppkey").asc()], 2)
+
+
+# --- dates ------------------------------------------------------------------------------------------------------
+_MONTH_NAMES = list(D.MONTHS)
+
+
+@query("SELECT o_orderkey, o_orderdate::DATE AS slashed, o_orderdate::DATE AS dotted, o_orderdate::DATE AS worded, date_trunc('month', o_orderdate)::DATE AS month_start, last_day(o_orderdate::DATE) AS month_end FROM orders")
+def date_roundtrip(spark, d):
+    """DAT1, DAT2, DAT4: order dates written in each form and read again."""
+    o = t(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("x"))
+    name = F.element_at(F.array(*[F.lit(m) for m in _MONTH_NAMES]), F.month("x"))
+    return o.select("o_orderkey", D.parse_date(F.date_format("x", "d/M/yyyy")).alias("slashed"), D.parse_date(F.date_format("x", "dd.MM.yyyy")).alias("dotted"), D.parse_date(F.concat_ws(" de ", F.dayofmonth("x"), name, F.year("x"))).alias("worded"), D.parse_plan_date(F.concat(F.substring(name, 1, 3), F.lit("/"), F.year("x"))).alias("month_start"), D.parse_plan_date(F.date_format("x", "MM/yyyy"), True).alias("month_end"))
+
+
+@query("SELECT o_orderkey, o_orderdate::DATE AS restored FROM orders")
+def ocr_dates(spark, d):
+    """DAT3: digits replaced by look-alikes are read as digits."""
+    o = t(spark, d, "orders").select("o_orderkey", F.translate(F.date_format("o_orderdate", "dd/MM/yyyy"), "0125", "olzs").alias("x"))
+    return o.select("o_orderkey", D.parse_plan_date(F.col("x")).alias("restored"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, (l_shipdate::DATE + to_months(12 * (1 + l_linenumber % 3)))::DATE AS exclusive_end, (l_shipdate::DATE + to_months(12 * (1 + l_linenumber % 3)) - INTERVAL 1 DAY)::DATE AS inclusive_end, (l_shipdate::DATE + to_months(l_linenumber))::DATE AS months_end FROM lineitem")
+def validity_period(spark, d):
+    """DAT5, DAT6."""
+    li = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.to_date("l_shipdate").alias("x"), (1 + F.col("l_linenumber") % 3).alias("years"))
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", D.add_duration(F.col("x"), F.col("years"), F.lit("anos"), False).alias("exclusive_end"), D.add_duration(F.col("x"), F.col("years"), F.lit("anos")).alias("inclusive_end"), D.add_duration(F.col("x"), F.col("l_linenumber"), F.lit("meses"), False).alias("months_end"))
+
+
+@query("""SELECT o_orderkey, o_orderdate::DATE AS start, (o_orderdate::DATE + to_months(24) - INTERVAL 1 DAY)::DATE AS end_date, CASE WHEN o_orderkey % 2 = 0 THEN 'clausula_vigencia_data_inicial_explicita' ELSE 'clausula_vigencia_ultima_assinatura' END AS source FROM orders""")
+def validity_ladder(spark, d):
+    """DAT7, DAT12: clauses written from orders, with a stated start or a signature."""
+    o = t(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("x"))
+    date = F.date_format("x", "dd/MM/yyyy")
+    clause = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("O prazo sera de 24 (vinte e quatro) meses, a contar de "), date)).otherwise("O prazo sera de 2 anos a partir da ultima assinatura.")
+    text = F.concat(F.lit("Documento assinado eletronicamente por Fulano em 01/01/1990. Documento assinado eletronicamente por Beltrana em "), date)
+    v = D.validity(clause, text)
+    return o.select("o_orderkey", v["start"].alias("start"), v["end"].alias("end_date"), v["source"].alias("source"))
+
+
+# --- extraction -------------------------------------------------------------------------------------------------
+@query("""SELECT o_orderkey, k AS field_key, l AS label, v AS value FROM (SELECT o_orderkey, unnest([{'k': 'inicio', 'l': 'Data de inicio', 'v': strftime(o_orderdate, '%d/%m/%Y')}, {'k': 'prazo', 'l': 'Prazo', 'v': '12 meses'}], recursive := true) FROM orders)""")
+def raw_fields(spark, d):
+    """EXT21: `label: value` lines written from orders."""
+    o = t(spark, d, "orders").select("o_orderkey", F.concat(F.lit("Data de inicio: "), F.date_format("o_orderdate", "dd/MM/yyyy"), F.lit("\nPrazo: 12 meses\nCliente: "), F.col("o_custkey").cast("string"), F.lit("\nsem campo")).alias("text"))
+    return E.raw_fields(o, "o_orderkey", "text", None).select("o_orderkey", "field_key", "label", "value")
+
+
+@query("SELECT c_custkey, c_name AS parceiro, n_name AS numero_act, 'saldo ' || round(c_acctbal)::BIGINT || ' do segmento ' || c_mktsegment AS objeto FROM customer JOIN nation ON n_nationkey = c_nationkey")
+def annotation_parse(spark, d):
+    """EXT19: annotation blocks written from customers, the object over two lines."""
+    c = t(spark, d, "customer").join(t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    block = F.concat(F.lit("PARCEIRO: "), "c_name", F.lit("\nNÚMERO DO ACT: "), "n_name", F.lit("<br>OBJETO: saldo "), F.round("c_acctbal").cast("long").cast("string"), F.lit("\n do segmento "), "c_mktsegment", F.lit("\nVIGÊNCIA: 12 meses\nPARCEIRO: outro"))
+    return c.select("c_custkey", E.annotation(block).alias("a")).select("c_custkey", "a.parceiro", "a.numero_act", "a.objeto")
+
+
+@query("SELECT o_orderkey, '12/' || o_custkey AS number, 'cabecalho_act_tecnica' AS source FROM orders")
+def agreement_numbers(spark, d):
+    """EXT6."""
+    o = t(spark, d, "orders").select("o_orderkey", F.concat(F.lit("Acordo de Cooperação Técnica nº 12/"), "o_custkey", F.lit(".")).alias("title"))
+    return o.select("o_orderkey", E.agreement_number(F.col("title"), F.lit("")).alias("a")).select("o_orderkey", F.col("a.value").alias("number"), "a.source")
+
+
+@query(r"SELECT page_id, trim(regexp_replace(replace(replace(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) AS title, len(regexp_extract_all(html, '<a[ >]'))::INT AS links FROM pages")
+def html_snapshot(spark, d):
+    """SRC12: titles and links by the parser."""
+    return S.html_snapshots(t(spark, d, "pages"), "html", ["page_id"]).select("page_id", "title", "links")
+
+
+@query()
+def html_text(spark, d):
+    """SRC12, TXT14: visible text and its fingerprint; SQL has no HTML parser."""
+    df = S.html_snapshots(t(spark, d, "pages"), "html", ["page_id"])
+    return df.select("page_id", X.fingerprint(F.col("text")).alias("f"), F.size("tables").alias("tables")).select("page_id", "f.sha1", "f.length", "f.placeholder", "tables")
+
+
+# --- run log ----------------------------------------------------------------------------------------------------
+def _visits(spark, d):
+    e = t(spark, d, "events").select(F.col("user_id").alias("run"), F.col("event_id").alias("line_no"), "ts", "event_type")
+    e = runlog.visits(e, "run", "ts", "line_no", F.col("event_type") == "signup", F.col("run").cast("string"), F.when(F.col("event_type") == "purchase", F.col("run").cast("string")))
+    stage = F.when(F.col("event_type").isin("click", "view", "error"), F.col("event_type"))
+    return runlog.stage_seconds(e, "run", "ts", "line_no", stage, "opening")
+
+
+_VISITS = """WITH o AS (SELECT user_id AS run, event_id AS line_no, ts, event_type, lead(ts) OVER w AS next_ts, sum((event_type = 'signup')::INT) OVER w AS visit FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    c AS (SELECT *, min(CASE WHEN event_type = 'purchase' THEN line_no END) OVER (PARTITION BY run, visit) AS close_id FROM o WHERE visit > 0),
+    v AS (SELECT *, coalesce(last_value(CASE WHEN event_type IN ('click', 'view', 'error') THEN event_type END IGNORE NULLS) OVER (PARTITION BY run, visit ORDER BY ts, line_no ROWS UNBOUNDED PRECEDING), 'opening') AS stage,
+      CASE WHEN line_no = close_id OR next_ts IS NULL THEN 0 ELSE (epoch_us(next_ts) - epoch_us(ts)) / 1e6 END AS seconds FROM c WHERE close_id IS NULL OR (ts, line_no) <= (SELECT (x.ts, x.line_no) FROM o x WHERE x.line_no = close_id))"""
+
+
+@query(_VISITS + " SELECT run, visit::BIGINT AS visit, count(*) AS lines, max(CASE WHEN line_no = close_id THEN 1 ELSE 0 END) = 1 AS closed FROM v GROUP BY 1, 2")
+def visit_sessions(spark, d):
+    """LOG1: a sign-up opens a visit, a purchase closes it."""
+    return _visits(spark, d).groupBy("run", "visit").agg(F.count("*").alias("lines"), F.max("is_close").alias("closed"))
+
+
+@query(_VISITS + " SELECT run, visit::BIGINT AS visit, stage, round(sum(seconds), 3) AS seconds FROM v GROUP BY 1, 2, 3")
+def stage_seconds(spark, d):
+    """LOG2."""
+    return _visits(spark, d).groupBy("run", "visit", "stage").agg(F.round(F.sum("seconds"), 3).alias("seconds"))
+
+
+@query(_VISITS + """, m AS (SELECT run, visit, ts, line_no, CASE WHEN event_type IN ('click', 'view') THEN event_type WHEN event_type = 'error' THEN '' END AS doc FROM v),
+    s AS (SELECT *, lag(doc) OVER (PARTITION BY run, visit ORDER BY ts, line_no) AS before FROM m WHERE doc IS NOT NULL)
+    SELECT run, visit::BIGINT AS visit, doc, count(*) AS attempts FROM s WHERE doc <> '' AND doc IS DISTINCT FROM before GROUP BY 1, 2, 3""")
+def attempt_counts(spark, d):
+    """LOG3: clicks and views are attempts, errors reset."""
+    kind = F.when(F.col("event_type").isin("click", "view"), F.col("event_type")).when(F.col("event_type") == "error", "")
+    return runlog.attempts(_visits(spark, d), "run", "ts", "line_no", F.array(kind)).groupBy("run", "visit", "doc").agg(F.count("*").alias("attempts"))
+
+
+@query(_VISITS + """, g AS (SELECT run, visit, stage, round(sum(seconds), 3) AS s FROM v GROUP BY ALL)
+    SELECT run, visit::BIGINT AS visit, arg_max(stage, (s, -list_position(['opening', 'click', 'view', 'error'], stage))) AS dominant_stage, max(s) AS dominant_seconds FROM g GROUP BY 1, 2""")
+def visit_summary(spark, d):
+    """LOG5: the dominant stage, the first of equals."""
+    g = stage_seconds(spark, d)
+    place = F.array_position(F.array(*[F.lit(x) for x in ("opening", "click", "view", "error")]), F.col("stage"))
+    return g.groupBy("run", "visit").agg(F.max(F.struct("seconds", (-place).alias("i"), "stage")).alias("m")).select("run", "visit", F.col("m.stage").alias("dominant_stage"), F.col("m.seconds").alias("dominant_seconds"))
