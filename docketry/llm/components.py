@@ -56,16 +56,14 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).withColumnRenamed("a", "k")
-        large = both.where("b > a").join(least, F.col("a") == F.col("k")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = stored(large)
-        down = large.where("a <> b")
-        least = down.groupBy(F.col("a").alias("k")).agg(F.min("b").alias("m"))
-        small = down.join(least, F.col("a") == F.col("k"))
+        large = stored(both.where("b > a").join(least, F.col("a") == F.col("k")).select(F.col("b").alias("a"), F.col("m").alias("b")))
+        least = large.groupBy(F.col("a").alias("k")).agg(F.min("b").alias("m"))
+        small = large.join(least, F.col("a") == F.col("k"))
         small = small.select("a", F.col("m").alias("b")).union(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
         new = stored(small)
-        tops = new.select(F.col("b").alias("t")).distinct()
-        # done when no node is both below and above: all edges lead to roots, and every node has one
-        again = new.join(tops, F.col("a") == F.col("t"), "left_semi").limit(1).count() or new.groupBy("a").count().where("count > 1").limit(1).count()
+        # done when all edges lead to roots: no node is below two others, or below one and above another
+        places = new.select(F.col("a").alias("n"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(new.select("b", F.lit(0), F.lit(1)).distinct())
+        again = places.groupBy("n").agg((F.sum("below") + F.max("above")).alias("k"), F.sum("below").alias("below")).where("k > 1 AND below > 0").limit(1).count()
         edges = new
         if not again:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).union(edges.select("b", "b").distinct())

@@ -86,41 +86,55 @@ def _deeper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), batch.column(1), *[pa.array(x) for x in deep]], ["c", "g", "d1", "d2"])
 
 
-def _pairs(sig: np.ndarray, label: np.ndarray, side: np.ndarray, failed: list, least: float, turn: int, c: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of one region that may be links and would join components: a spanning forest by estimated similarity,
-    and as many more of the likeliest pairs as the turn allows (all of them in small groups)."""
-    n = len(c)
-    left = np.flatnonzero(side != 1) if (side == 2).any() else np.arange(n)
-    found = []
-    for k in range(0, len(left), 64):
-        rows = left[k : k + 64]
-        near = (sig[rows, None, :] == sig[None, :, :]).mean(2) if n <= 64 else np.stack([(sig[i] == sig).mean(1) for i in rows])
-        ok = (near >= least) & (label[rows, None] != label[None, :])
-        if not (side == 2).any():
-            ok &= rows[:, None] < np.arange(n)[None, :]
-        i, j = np.nonzero(ok)
-        found.append(np.column_stack([near[i, j], rows[i], j]))
+def _likely(sig: np.ndarray, label: np.ndarray, side: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Pairs of one region whose labels differ and whose estimated similarity is `least` or more, likeliest first.
+    In a region with sides, one of the two is of side 2."""
+    n, sided = len(sig), bool((side == 2).any())
+    left, found = np.flatnonzero(side == 2) if sided else np.arange(n), []
+    for i in left:
+        near = (sig[i] == sig).mean(1)
+        ok = (near >= least) & (label != label[i])
+        if not sided:
+            ok[: i + 1] = False
+        j = np.flatnonzero(ok)
+        found.append(np.column_stack([near[j], np.full(len(j), i), j]))
     found = np.concatenate(found) if found else np.zeros((0, 3))
-    if not len(found):
-        return []
     found = found[np.argsort(-found[:, 0], kind="stable")]
-    tried = {(int(c[i]), x) for i, f in enumerate(failed) if f is not None for x in f}
-    _, at = np.unique(label, return_inverse=True)
-    sets, out, more = Sets(int(at.max()) + 1), [], []
-    budget = 10**9 if n <= FEW else n * 4 ** (turn - 1)
-    for i, j in found[:, 1:].astype(int).tolist():
-        if (int(c[i]), int(c[j])) in tried:
-            continue
-        if sets.join(int(at[i]), int(at[j])):
-            out.append((i, j))
-        elif len(more) < budget and (n <= FEW or turn > 1):
-            more.append((i, j))
-    return out + more[: max(0, budget - len(out))]
-
-
-def _candidates(least: float, turn: int):
+    return list(zip(found[:, 1].astype(int).tolist(), found[:, 2].astype(int).tolist(), strict=True))
+
+
+def _proposed(rows: pa.Table, least: float, percent: int) -> Iterator[tuple[int, int]]:
+    """All likely pairs of a group of FEW, a spanning forest of the likeliest in a larger region."""
+    label = rows.column("label").to_numpy()
+    pairs = _likely(_matrix(rows.column("sig")), label, rows.column("side").to_numpy(), least)
+    sets = Sets(len(label))
+    for i, j in pairs:
+        if sets.join(i, j) or len(label) <= FEW:
+            yield i, j
+
+
+def _resolved(rows: pa.Table, least: float, percent: int) -> Iterator[tuple[int, int]]:
+    """Links that join components, confirmed on the spot: every likely pair of the region is confirmed, refused, or
+    has been joined by others."""
+    _, label = np.unique(rows.column("label").to_numpy(), return_inverse=True)
+    items = [np.frombuffer(x, np.uint64) for x in rows.column("items").to_pylist()]
+    sets = Sets(int(label.max()) + 1)
+    for i, j in _likely(_matrix(rows.column("sig")), label, rows.column("side").to_numpy(), least):
+        if sets.root(int(label[i])) != sets.root(int(label[j])) and _linked(items[i], items[j], percent):
+            sets.join(int(label[i]), int(label[j]))
+            yield i, j
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
+def _regions(work, least: float, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by region; one that goes on in the next batch waits for it (DENSE bounds it)."""
+        """Rows come sorted by region; one that goes on in the next batch waits for it (its size is bounded)."""
         kept: pa.Table | None = None
         for batch in batches:
             rows = pa.Table.from_batches([batch])
@@ -128,22 +142,22 @@ def _candidates(least: float, turn: int):
             unit = rows.column("unit").to_numpy()
             end = int(np.searchsorted(unit, unit[-1])) if len(unit) else 0
             kept = rows.slice(end)
-            yield regions(rows.slice(0, end))
+            yield several(rows.slice(0, end))
         if kept is not None:
-            yield regions(kept)
+            yield several(kept)
 
-    def regions(rows: pa.Table) -> pa.RecordBatch:
-        rows = rows.combine_chunks()
+    def several(rows: pa.Table) -> pa.RecordBatch:
         a, b = [], []
         if rows.num_rows:
-            unit, c, label, side = (rows.column(k).to_numpy() for k in ("unit", "c", "label", "side"))
-            sig, failed = _matrix(rows.column("sig").combine_chunks() if isinstance(rows.column("sig"), pa.ChunkedArray) else rows.column("sig")), rows.column("failed").to_pylist()
+            rows = rows.combine_chunks()
+            unit, c = rows.column("unit").to_numpy(), rows.column("c").to_numpy()
             cuts = np.concatenate([[0], np.flatnonzero(unit[1:] != unit[:-1]) + 1, [len(unit)]])
-            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-                for i, j in _pairs(sig[x:y], label[x:y], side[x:y], failed[x:y], least, turn, c[x:y]):
-                    p, q = int(c[x + i]), int(c[x + j])
-                    a.append(min(p, q))
-                    b.append(max(p, q))
+            for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if y - x > 1:
+                    for i, j in work(rows.slice(x, y - x), least, percent):
+                        p, q = int(c[x + i]), int(c[x + j])
+                        a.append(min(p, q))
+                        b.append(max(p, q))
         return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return run
@@ -161,11 +175,7 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * both >= percent * (len(x) + len(y) - both))
+            linked = [_linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
     return run
@@ -184,10 +194,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     copies cost one aggregation.  Texts without words have no shingles and no links; rows with a null id stay alone
     (component null, kept); repeated rows repeat in the result, and equal ids with different texts are separate texts.
 
-    Turns: regions propose pairs (a spanning forest of estimated similarity), full sets confirm or refuse them,
-    components contract; the next turn looks only at pairs across components that were not refused, with a budget
-    that grows fourfold, until none is left.  A region of more than DENSE classes is cut at deeper prefixes at first;
-    later each of its texts outside the region's largest component meets all the others, block by block."""
+    First turn: regions propose pairs (all of small groups, else a spanning forest by estimated similarity), full sets
+    confirm or refuse them, components join.  A region of more than DENSE classes is cut at deeper prefixes.  Second
+    turn: in groups that still lie in several components, every likely pair across them is confirmed or refused on
+    full sets; of a dense group, the texts outside its largest component meet all the others, block by block."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     feats = stored(docs.mapInArrow(_features, "doc_id long, n_shingles long, c long, sig binary"))
     classes = stored(feats.where("c IS NOT NULL AND doc_id IS NOT NULL").groupBy("c").agg(F.min("doc_id").alias("first_id"), F.first("sig").alias("sig")))
@@ -203,45 +213,41 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 def _labels(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     least = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / HASHES) ** 0.5
-    spark = docs.sparkSession
     trees = classes.select("c", "sig").mapInArrow(_forest, "c long, g long, tree int")
     groups = trees.groupBy("g").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.sum(F.xxhash64("c") % 2**40).alias("mark")).where("n > 1")
     groups = stored(groups.groupBy("n", "low", "mark").agg(F.min("g").alias("g")).select(F.col("g").alias("own"), "n"))  # equal groups of several trees count once
-    members = stored(trees.join(groups, F.col("g") == F.col("own")).select("c", "g", "tree", "n"))
+    few = groups.count() <= BROADCAST_IDS
+    members = stored(trees.join(F.broadcast(groups) if few else groups, F.col("g") == F.col("own")).select("c", "g", "tree", "n"))
     sigs = classes.select(F.col("c").alias("k"), "sig")
     members_sig = members.join(sigs, F.col("c") == F.col("k"))
-    dense = members.where(F.col("n") > DENSE)
-    blocks = _dense_regions(members_sig.where(F.col("n") > DENSE)) if groups.where(F.col("n") > DENSE).limit(1).count() else None
+    dense = groups.where(F.col("n") > DENSE).limit(1).count() > 0
 
     ids = members.select("c").distinct().join(classes.select(F.col("c").alias("k"), "first_id"), F.col("c") == F.col("k")).select(F.col("first_id").alias("doc_id")).distinct()
-    sets = _with_keys(docs, stored(ids), "left_semi").select("text").mapInArrow(_shingle_sets, "c long, items binary")
-    sets = stored(sets.groupBy("c").agg(F.first("items").alias("items")))
-
-    none = spark.createDataFrame([], "a long, b long")
-    links, refused = none, none
-    labels = spark.createDataFrame([], "node long, label long")
-    turn = 1
-    while True:
-        if turn == 1:
-            units = members_sig.where(F.col("n") <= DENSE).select(F.col("g").alias("unit"), "c", F.col("c").alias("label"), F.lit(0).alias("side"), "sig")
-            if blocks is not None:
-                units = units.union(blocks.select("unit", "c", F.col("c").alias("label"), F.lit(0), "sig"))
-            units = units.withColumn("failed", F.lit(None).cast("array<long>"))
-        else:
-            units = _open_units(members, dense if blocks is not None else None, labels)
-            if units is None:
-                return labels
-            bad = refused.union(refused.select("b", "a")).groupBy(F.col("a").alias("bad_of")).agg(F.collect_list("b").alias("failed"))
-            units = units.join(sigs, F.col("c") == F.col("k")).join(bad, F.col("c") == F.col("bad_of"), "left").select("unit", "c", "label", "side", "sig", "failed")
-        pairs = units.repartition("unit").sortWithinPartitions("unit").mapInArrow(_candidates(least, turn), "a long, b long").distinct()
-        pairs = stored(pairs)
-        if not pairs.limit(1).count():
-            return labels
-        one, two = sets.select(F.col("c").alias("c1"), F.col("items").alias("x")), sets.select(F.col("c").alias("c2"), F.col("items").alias("y"))
-        verdicts = stored(pairs.join(one, F.col("a") == F.col("c1")).join(two, F.col("b") == F.col("c2")).select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long, linked boolean"))
-        links, refused = links.union(verdicts.where("linked").select("a", "b")), refused.union(verdicts.where("NOT linked").select("a", "b"))
-        labels = stored(components(links))
-        turn += 1
+    sets = stored(_with_keys(docs, stored(ids), "left_semi").select("text").mapInArrow(_shingle_sets, "c long, items binary"))
+    if sets.groupBy("c").count().where("count > 1").limit(1).count():  # ids or texts repeat
+        sets = stored(sets.groupBy("c").agg(F.first("items").alias("items")))
+
+    units = members_sig.where(F.col("n") <= DENSE).select(F.col("g").alias("unit"), "c", F.col("c").alias("label"), F.lit(0).alias("side"), "sig")
+    if dense:
+        blocks = _dense_regions(members_sig.where(F.col("n") > DENSE))
+        units = units.union(blocks.select("unit", "c", F.col("c").alias("label"), F.lit(0), "sig"))
+    pairs = _by_region(units).mapInArrow(_regions(_proposed, least, percent), "a long, b long").distinct()
+    one, two = sets.select(F.col("c").alias("c1"), F.col("items").alias("x")), sets.select(F.col("c").alias("c2"), F.col("items").alias("y"))
+    links = pairs.join(one, F.col("a") == F.col("c1")).join(two, F.col("b") == F.col("c2")).select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long, linked boolean")
+    links = stored(links.where("linked").select("a", "b"))
+    labels = stored(components(links))
+    units = _open_units(members, dense, labels)
+    if units is None:
+        return labels
+    units = units.join(sigs, F.col("c") == F.col("k")).join(sets.withColumnRenamed("c", "of"), F.col("c") == F.col("of")).select("unit", "c", "label", "side", "sig", "items")
+    more = stored(_by_region(units).mapInArrow(_regions(_resolved, least, percent), "a long, b long"))
+    if not more.limit(1).count():
+        return labels
+    return stored(components(links.union(more)))
+
+
+def _by_region(units: DataFrame) -> DataFrame:
+    return units.repartition("unit").sortWithinPartitions("unit")
 
 
 def _block(parts: Column) -> Column:
@@ -258,7 +264,7 @@ def _dense_regions(rows: DataFrame) -> DataFrame:
     return cut.select(unit.alias("unit"), F.col("c").alias("own"), F.col("g").alias("own_g")).join(rows.select("c", "g", "sig"), (F.col("own") == F.col("c")) & (F.col("own_g") == F.col("g"))).select("unit", "c", "sig")
 
 
-def _open_units(members: DataFrame, dense: DataFrame | None, labels: DataFrame) -> DataFrame | None:
+def _open_units(members: DataFrame, dense: bool, labels: DataFrame) -> DataFrame | None:
     """(unit, c, label, side) of the groups whose texts still lie in several components; None if there are none.
 
     In a dense group, side 2 holds the texts outside its largest component, side 1 all; every block of the one meets
@@ -270,7 +276,7 @@ def _open_units(members: DataFrame, dense: DataFrame | None, labels: DataFrame)
     if not rows.limit(1).count():
         return None
     units = rows.where(F.col("n") <= DENSE).select(F.col("g").alias("unit"), "c", "label", F.lit(0).alias("side"))
-    if dense is None:
+    if not dense:
         return units
     rows = rows.where(F.col("n") > DENSE)
     sizes = rows.groupBy("g", "label").count()
