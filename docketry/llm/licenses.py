@@ -71,7 +71,7 @@ class Scanner:
         self.plain = zstandard.ZstdCompressor(level=3, **options)
         self.given = []
         for _, text in templates:
-            d = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            d = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=3)
             self.given.append(zstandard.ZstdCompressor(dict_data=d, **options))
 
@@ -106,7 +106,7 @@ class Scanner:
         out = []
         for a, b in self.blocks(text):
             block = text[a:b]
-            data = block.encode("utf-8", "replace")
+            data = block.lower().encode("utf-8", "replace")  # wording in any case
             plain = len(self.plain.compress(data))
             sizes = [len(c.compress(data)) for c in self.given]
             ranked = sorted(range(len(sizes)), key=lambda i: (sizes[i], i))[:CONTENDERS]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import Words, held_out, labelled_sample, table, text_bytes
 
 #: Documented bound of the labelled rows that vote; dimensions; neighbours; the power of a similarity in a vote.
-VOTERS, DIMENSIONS, NEIGHBOURS, POWER, THRESHOLD = 6000, 48, 15, 8, 0.3
+VOTERS, DIMENSIONS, NEIGHBOURS, POWER, THRESHOLD = 4000, 48, 15, 8, 0.3
 
 #: The character classes whose triples are the terms.  Bytes above 127 count as lower case.
 CLASSES = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t\r", "\n", ".", ",;:", "!?", "|", "#$%&*+=^~", "\"'()[]{}<>", "-/\\_@`"]
@@ -70,14 +70,14 @@ def vectors(model_idf: np.ndarray, axes: np.ndarray, terms: np.ndarray) -> np.nd
 
 
 def fit(terms: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS) -> Model:
-    """Idf and the leading right singular vectors of the voters' term matrix, by its Gram matrix."""
+    """Idf and the leading right singular vectors of the voters' term matrix, by its Gram matrix.  Weights terms in place."""
     if not len(labels):
         return Model(np.ones(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), 1.0)
     idf = (np.log((1 + len(terms)) / (1 + (terms > 0).sum(0))) + 0.05).astype(np.float32)
-    x = terms * idf
-    _, axes = np.linalg.eigh((x.T @ x).astype(np.float64))
+    terms *= idf
+    _, axes = np.linalg.eigh(terms.T @ terms)
     axes = np.ascontiguousarray(axes[:, ::-1][:, :dimensions], np.float32)
-    return Model(idf, axes, vectors(idf, axes, terms), labels.astype(np.float64), float(labels.mean()))
+    return Model(idf, axes, vectors(np.float32(1), axes, terms), labels.astype(np.float64), float(labels.mean()))
 
 
 def vote(model: Model, terms: np.ndarray, neighbours: int = NEIGHBOURS, power: int = POWER) -> np.ndarray:
@@ -103,8 +103,10 @@ def train(docs: DataFrame, labels: DataFrame, voters: int = VOTERS) -> Model:
     sample = F.broadcast(labelled_sample(labels, "quality", voters))
     got = docs.select("doc_id", "text").join(sample, "doc_id").select("text", "doc_id", "label").mapInArrow(_terms, "doc_id long, label int, terms binary").toPandas()
     got = got.sort_values(["doc_id", "terms"])
-    terms = np.stack([np.frombuffer(x, np.float16) for x in got["terms"]]).astype(np.float32) if len(got) else np.zeros((0, TERMS), np.float32)
-    return fit(terms, got["label"].to_numpy(float))
+    y, terms = got["label"].to_numpy(float), np.zeros((len(got), TERMS), np.float32)
+    for i, x in enumerate(got.pop("terms")):
+        terms[i] = np.frombuffer(x, np.float16)
+    return fit(terms, y)
 
 
 def score(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:

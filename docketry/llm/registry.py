@@ -20,7 +20,6 @@ QUERIES = {
 ORACLES = {
     "op1_url_filters": url_filters.OP1_SQL,
     "op6_minhash_dedup": neardup.OP6_SQL,
-    "op7_token_counts": tokens.op7_token_counts,
     "op8_warc_fixity": warc.OP8_SQL,
     "op10_mixing": mixing.OP10_SQL,
 }

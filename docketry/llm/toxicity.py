@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _SPACE, Words, held_out, labelled_sample, table
+from .common import _SPACE, Words, held_out, labelled_sample, stored, table
 
 #: Documented bound of the labelled rows that train the scorer.  Words are 40-bit hashes.
 TRAIN_ROWS, BUCKETS, THRESHOLD = 8000, 1 << 40, 0.5
@@ -63,49 +63,66 @@ def sentences(column: pa.Array) -> Sentences:
     return Sentences(words, (words.hashes % np.uint64(BUCKETS)).astype(np.int64), np.cumsum(new) - 1, rows[begin], words.starts[begin], words.ends[np.append(begin[1:], n) - 1])
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, label) of each document's distinct words, and (-1, label) of the document itself."""
     for batch in batches:
         s = sentences(batch.column(0))
-        at = np.searchsorted(s.row, np.arange(batch.num_rows + 1))
-        for i in range(batch.num_rows):
-            a, b = s.words.rows[i], s.words.rows[i + 1]
-            pairs = np.unique((s.of_word[a:b] - (s.of_word[a] if b > a else 0)) * BUCKETS + s.buckets[a:b])
-            yield pa.record_batch([batch.column(1)[i : i + 1], pa.array([int(at[i + 1] - at[i])], pa.int32()), pa.array([pairs.tobytes()], pa.binary())], ["label", "n", "pairs"])
+        label = batch.column(1).to_numpy()
+        row = np.repeat(np.arange(batch.num_rows), np.diff(s.words.rows))
+        pairs = np.unique(np.stack([row, s.buckets]), axis=1) if len(row) else np.zeros((2, 0), np.int64)
+        yield pa.record_batch([pa.array(np.concatenate([pairs[1], np.full(len(label), -1)])), pa.array(np.concatenate([label[pairs[0]], label]).astype(np.int32))], ["word", "label"])
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Fits at most `rows` labelled documents outside the held-out fold.  Without any, every score is 0."""
-    sample = F.broadcast(labelled_sample(labels, "toxic", rows))
-    got = docs.select("doc_id", "text").join(sample, "doc_id").select("text", "label").mapInArrow(_features, "label int, n int, pairs binary").toPandas()
-    return fit(got["label"].to_numpy(float), got["n"].to_numpy(np.int64), [np.frombuffer(x, np.int64) for x in got["pairs"]])
+def _bags(ids: np.ndarray):
+    """The label, the number of sentences, and the distinct sentence * len(ids) + place of the words that have a place."""
 
-
-def fit(y: np.ndarray, n: np.ndarray, pairs: list[np.ndarray], steps: int = 150, rate: float = 0.1, decay: float = 1e-6, least: int = 4, z_least: float = 4.5) -> Model:
-    """Full-batch Adam on the noisy-or likelihood.  y: labels; n: sentences of each document; pairs: its distinct
-    sentence * BUCKETS + word.
-
-    Only words in `least` documents or more, found in toxic ones more often than chance explains (z_least standard
-    deviations), get a weight: the others could only be learnt by heart."""
-    if not len(y):
-        return Model(-40.0, np.zeros(0, np.int64), np.zeros(0))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s = sentences(batch.column(0))
+            at = np.searchsorted(s.row, np.arange(batch.num_rows + 1))
+            place = np.minimum(np.searchsorted(ids, s.buckets), len(ids) - 1)
+            hit = np.flatnonzero(ids[place] == s.buckets)
+            cuts = np.searchsorted(hit, s.words.rows)
+            bags = [np.unique((s.of_word[hit[a:b]] - at[i]) * len(ids) + place[hit[a:b]]).tobytes() for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
+            yield pa.record_batch([batch.column(1), batch.column(2), pa.array(np.diff(at).astype(np.int32)), pa.array(bags, pa.binary())], ["doc_id", "label", "n", "bag"])
+
+    return run
+
+
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, least: int = 4, z_least: float = 4.5) -> Model:
+    """Fits at most `rows` labelled documents outside the held-out fold.  Without any, every score is 0.
+
+    Spark counts the words of the sample by label.  Only words in `least` documents or more, found in toxic ones more
+    often than chance explains (z_least standard deviations), get a weight: the others could only be learnt by heart.
+    The driver gets these words and where they stand."""
+    none = Model(-40.0, np.zeros(0, np.int64), np.zeros(0))
+    sample = docs.select("doc_id", "text").join(F.broadcast(labelled_sample(labels, "toxic", rows)), "doc_id").select("text", "doc_id", "label")
+    seen = stored(sample.select("text", "label").mapInArrow(_words, "word long, label int").groupBy("word").agg(F.count("*").alias("n"), F.sum("label").alias("toxic")).where(F.col("n") >= F.when(F.col("word") < 0, 0).otherwise(least)))
+    whole = seen.where("word < 0").first()
+    if whole is None or not whole["toxic"]:
+        return none
+    usual = whole["toxic"] / whole["n"]
+    chosen = seen.where((F.col("word") >= 0) & (F.col("toxic") - F.col("n") * usual >= z_least * F.sqrt(F.col("n") * usual * (1 - usual)))).select("word")
+    ids = np.sort(chosen.toPandas()["word"].to_numpy(np.int64))
+    if not len(ids):
+        return none
+    got = sample.mapInArrow(_bags(ids), "doc_id long, label int, n int, bag binary").toPandas().sort_values(["doc_id", "bag"])
+    return fit(ids, got["label"].to_numpy(float), got["n"].to_numpy(np.int64), [np.frombuffer(x, np.int64) for x in got["bag"]])
+
+
+def fit(ids: np.ndarray, y: np.ndarray, n: np.ndarray, bags: list[np.ndarray], steps: int = 150, rate: float = 0.1, decay: float = 1e-6) -> Model:
+    """Full-batch Adam on the noisy-or likelihood.  y: labels; n: sentences of each document; bags: its distinct
+    sentence * len(ids) + place of a word in ids."""
     base = np.concatenate([[0], np.cumsum(n)])
-    sent = np.concatenate([p // BUCKETS + b for p, b in zip(pairs, base, strict=False)])
-    ids, word = np.unique(np.concatenate([p % BUCKETS for p in pairs]), return_inverse=True)
-    doc = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
-    once = np.unique(doc * len(ids) + word)
-    seen, toxic = (np.bincount(once % len(ids), x, minlength=len(ids)) for x in (None, y[once // len(ids)]))
-    usual = y.mean()
-    fit_for = (seen >= least) & (toxic - seen * usual >= z_least * np.sqrt(seen * usual * (1 - usual)))
-    keep = fit_for[word]
-    sent, word = sent[keep], (np.cumsum(fit_for) - 1)[word[keep]]
-    ids = ids[fit_for]
+    sent = np.concatenate([b // len(ids) + k for b, k in zip(bags, base, strict=False)])
+    word = np.concatenate([b % len(ids) for b in bags])
     owner = np.repeat(np.arange(len(n)), n)
     theta, m, v = np.zeros(len(ids) + 1), np.zeros(len(ids) + 1), np.zeros(len(ids) + 1)
     theta[-1] = -6.0
     for t in range(1, steps + 1):
         z = np.bincount(sent, theta[:-1][word], minlength=base[-1]) + theta[-1]
         total = np.maximum(np.bincount(owner, np.logaddexp(0, z), minlength=len(n)), 1e-9)
-        slope = ((1 - y) - y / np.expm1(total)) / len(n)
+        slope = ((1 - y) - y / np.expm1(np.minimum(total, 700))) / len(n)
         dz = slope[owner] / (1 + np.exp(-z))
         grad = np.append(np.bincount(word, dz[sent], minlength=len(ids)) + decay * theta[:-1], dz.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
@@ -128,11 +145,10 @@ def score(docs: DataFrame, model: Model, columns: list[str], threshold: float =
 
     Null, empty and wordless texts score 0 with no sentence.  Every row is scored on its own, so repeated rows
     and ties agree; input columns score and offending are replaced."""
-    docs = docs.select("text", *[F.col(c) for c in columns if c != "text"])
+    columns = [c for c in columns if c not in ("score", "offending")]
+    docs = docs.select(F.col("text").alias("_text"), *columns)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # a weight a word of at most TRAIN_ROWS documents
-    places = [i for i, c in enumerate(docs.columns) if c in columns]
-    names = [docs.columns[i] for i in places]
-    schema = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names) + ", score double, offending array<struct<start:int,end:int,score:double>>"
+    schema = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in columns) + ", score double, offending array<struct<start:int,end:int,score:double>>"
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +170,7 @@ def score(docs: DataFrame, model: Model, columns: list[str], threshold: float =
                         for j in (hit if len(hit) else [int(own.argmax())]) + at[i]:
                             zero = chars[s.words.row_bytes[i]]
                             found[i].append({"start": int(chars[s.first[j]] - zero), "end": int(chars[s.last[j]] - zero), "score": float(1 - np.exp(-logs[j]))})
-                yield pa.record_batch([*[batch.column(i) for i in places], pa.array(out, pa.float64()), pa.array(found, kind)], [*names, "score", "offending"])
+                yield pa.record_batch([*batch.columns[1:], pa.array(out, pa.float64()), pa.array(found, kind)], [*columns, "score", "offending"])
 
     return docs.mapInArrow(run, schema)
 
