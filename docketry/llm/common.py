@@ -95,9 +95,10 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Words of a batch: starts, ends (byte positions), hashes, and the n + 1 word offsets of the rows.
 
-    A-Z are lower-cased; with latin, the letters À-Þ as well, which keeps lengths and places."""
+    A-Z are lower-cased; with latin, the letters À-Þ as well, which keeps lengths and places.  With prefixes, heads has
+    a column for each: the hash of so many first bytes, 0 for words that are no longer."""
 
-    def __init__(self, column: pa.Array, space: np.ndarray = _SPACE, latin: bool = False):
+    def __init__(self, column: pa.Array, space: np.ndarray = _SPACE, latin: bool = False, prefixes: tuple[int, ...] = ()):
         raw, self.row_bytes = text_bytes(column)
         self.raw = _LOWERED[raw]
         if latin and len(raw) > 1:
@@ -115,9 +116,12 @@ class Words:
             last[cuts - 1] = solid[cuts - 1]
         self.starts, self.ends = np.flatnonzero(first), np.flatnonzero(last) + 1
         self.rows = np.searchsorted(self.starts, self.row_bytes)
-        self.hashes = np.concatenate([np.zeros(0, np.uint64), *self._hash()])
+        self.prefixes = prefixes
+        found = list(self._hash())
+        self.hashes = np.concatenate([np.zeros(0, np.uint64), *(h for h, _ in found)])
+        self.heads = np.concatenate([np.zeros((0, len(prefixes)), np.uint64), *(x for _, x in found)])
 
-    def _hash(self) -> Iterator[np.ndarray]:
+    def _hash(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Position-free polynomial hashes, some half a megabyte of text at a time."""
         i, n = 0, len(self.starts)
         while i < n:
@@ -128,7 +132,11 @@ class Words:
             total = np.zeros(len(piece) + 1, np.uint64)
             np.cumsum(piece * up[: len(piece)], out=total[1:])
             s, e = self.starts[i:j] - at, self.ends[i:j] - at
-            yield mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+            heads = np.zeros((j - i, len(self.prefixes)), np.uint64)
+            for k, n_first in enumerate(self.prefixes):
+                longer = np.flatnonzero(e - s > n_first)
+                heads[longer, k] = mix((total[s[longer] + n_first] - total[s[longer]]) * down[s[longer]] + np.uint64(1000 + n_first))
+            yield mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64)), heads
             i = j
 
 

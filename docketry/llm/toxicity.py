@@ -15,6 +15,8 @@ from .common import _SPACE, Words, held_out, labelled_sample, stored, table
 
 #: Documented bound of the labelled rows that train the scorer.  Words are 40-bit hashes.
 TRAIN_ROWS, BUCKETS, THRESHOLD = 8000, 1 << 40, 0.5
+#: A word's features are itself and its first bytes, so that forms of a word share what they have in common.
+PREFIXES = (4, 5, 6, 7, 8)
 #: ASCII punctuation separates words, so that `word###` is `word`; these four end sentences.
 _BREAK = _SPACE.copy()
 _BREAK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
@@ -37,11 +39,13 @@ class Model(NamedTuple):
 
 
 class Sentences(NamedTuple):
-    """Words by bucket, the sentence of each word, the row of each sentence, first and last byte of each."""
+    """Features (words and prefixes) by hash and the sentence of each; feature offsets of the rows; the row of each
+    sentence, first and last byte of each."""
 
     words: Words
     buckets: np.ndarray
     of_word: np.ndarray
+    at: np.ndarray
     row: np.ndarray
     first: np.ndarray
     last: np.ndarray
@@ -50,17 +54,19 @@ class Sentences(NamedTuple):
 def sentences(column: pa.Array) -> Sentences:
     """Sentences that have words.  A stop directly between letters or digits (3.5) ends a sentence as well: the
     scorer needs a partition of the text, no grammar."""
-    words = Words(column, _BREAK, latin=True)
+    words = Words(column, _BREAK, True, PREFIXES)
     n = len(words.starts)
     if not n:
         none = np.zeros(0, np.int64)
-        return Sentences(words, none, none, none, none, none)
+        return Sentences(words, none, none, words.rows * 0, none, none, none)
     stops = np.cumsum(_STOP[words.raw])[words.starts]
     rows = np.repeat(np.arange(len(words.rows) - 1), np.diff(words.rows))
     new = np.ones(n, bool)
     new[1:] = (stops[1:] != stops[:-1]) | (rows[1:] != rows[:-1])
     begin = np.flatnonzero(new)
-    return Sentences(words, (words.hashes % np.uint64(BUCKETS)).astype(np.int64), np.cumsum(new) - 1, rows[begin], words.starts[begin], words.ends[np.append(begin[1:], n) - 1])
+    width = 1 + len(PREFIXES)
+    features = (np.column_stack([words.hashes, words.heads]) % np.uint64(BUCKETS)).astype(np.int64).ravel()
+    return Sentences(words, features, np.repeat(np.cumsum(new) - 1, width), words.rows * width, rows[begin], words.starts[begin], words.ends[np.append(begin[1:], n) - 1])
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,8 +74,10 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         s = sentences(batch.column(0))
         label = batch.column(1).to_numpy()
-        row = np.repeat(np.arange(batch.num_rows), np.diff(s.words.rows))
-        pairs = np.unique(np.stack([row, s.buckets]), axis=1) if len(row) else np.zeros((2, 0), np.int64)
+        row = np.repeat(np.arange(batch.num_rows), np.diff(s.at))
+        order = np.lexsort((s.buckets, row))
+        pairs = np.stack([row, s.buckets])[:, order]
+        pairs = pairs[:, np.append(True, (pairs[:, 1:] != pairs[:, :-1]).any(0))[: len(row)] & (pairs[1] > 0)]
         yield pa.record_batch([pa.array(np.concatenate([pairs[1], np.full(len(label), -1)])), pa.array(np.concatenate([label[pairs[0]], label]).astype(np.int32))], ["word", "label"])
 
 
@@ -82,7 +90,7 @@ def _bags(ids: np.ndarray):
             at = np.searchsorted(s.row, np.arange(batch.num_rows + 1))
             place = np.minimum(np.searchsorted(ids, s.buckets), len(ids) - 1)
             hit = np.flatnonzero(ids[place] == s.buckets)
-            cuts = np.searchsorted(hit, s.words.rows)
+            cuts = np.searchsorted(hit, s.at)
             bags = [np.unique((s.of_word[hit[a:b]] - at[i]) * len(ids) + place[hit[a:b]]).tobytes() for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
             yield pa.record_batch([batch.column(1), batch.column(2), pa.array(np.diff(at).astype(np.int32)), pa.array(bags, pa.binary())], ["doc_id", "label", "n", "bag"])
 
@@ -131,7 +139,7 @@ def fit(ids: np.ndarray, y: np.ndarray, n: np.ndarray, bags: list[np.ndarray], s
 
 
 def sentence_scores(model: Model, s: Sentences) -> np.ndarray:
-    """The log of 1 / (1 - p) of each sentence; each distinct word counts once, as in training."""
+    """The log of 1 / (1 - p) of each sentence; each distinct feature counts once, as in training."""
     weights = model.of(s.buckets)
     hit = np.flatnonzero(weights)
     _, first = np.unique(s.of_word[hit] * BUCKETS + s.buckets[hit], return_index=True)
