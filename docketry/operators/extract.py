@@ -98,11 +98,12 @@ def named_value(c: Column, labels: list[str], stops: tuple[str, ...] = ("matr[i
     return F.coalesce(*out)
 
 
-def agreement_record(df: DataFrame, text: str = "_body", title: str = "title") -> DataFrame:
-    """EXT10: adds the extracted fields of an agreement; only final agreements are read, others get nulls."""
+def agreement_record(df: DataFrame, text: str = "_body", title: str = "title", whole: str = "text") -> DataFrame:
+    """EXT10: adds the extracted fields of an agreement; only final agreements are read, others get nulls.  Signatures
+    stand in the footer, so they are read from the whole text."""
     final = F.when(F.col("doc_class") == "act_final", F.col(text))
     clause = F.coalesce(section(final, VALIDITY_HEADS), focus_window(final, [r"\bPRAZO\s+DE\s+VIG[ÊE]NCIA\b", r"\bPRAZO\s+E\s+VIG[ÊE]NCIA\b", r"\bVIG[ÊE]NCIA\b"]))
-    df = df.withColumns({"_validity": D.validity(clause, final), "_number": agreement_number(F.when(F.col("doc_class") == "act_final", F.col(title)), final), "_party": counterparty(final), "_subject": subject(final)})
+    df = df.withColumns({"_validity": D.validity(clause, F.when(F.col("doc_class") == "act_final", F.col(whole))), "_number": agreement_number(F.when(F.col("doc_class") == "act_final", F.col(title)), final), "_party": counterparty(final), "_subject": subject(final)})
     return df.withColumns({
         "numero_acordo": F.col("_number.value"), "numero_fonte": F.col("_number.source"), "data_inicio_vigencia": F.col("_validity.start"), "data_fim_vigencia": F.col("_validity.end"),
         "vigencia_fonte": F.col("_validity.source"), "vigencia_aviso": F.col("_validity.warning"), "orgao_convenente": F.col("_party.value"), "objeto": F.col("_subject.value"),

@@ -37,14 +37,21 @@ def read_csv(spark: SparkSession, path: str, columns: list[str], collapse: bool
 
 def read_snapshots(spark: SparkSession, path: str, schema: str = SNAPSHOT, corrupt: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
     """SRC3: one JSON object a file, with json_path, and the files that hold none."""
-    df = spark.read.schema(f"{schema}, {corrupt} string").options(multiLine=True, columnNameOfCorruptRecord=corrupt).json(path).withColumn("json_path", F.col("_metadata.file_path"))
-    return df.where(F.col(corrupt).isNull()).drop(corrupt), df.where(F.col(corrupt).isNotNull()).select("json_path", corrupt)
+    df = spark.read.text(path, wholetext=True).withColumn("json_path", F.col("_metadata.file_path"))
+    df = df.select("json_path", _parsed(F.col("value"), schema, corrupt).alias("r")).select("json_path", F.coalesce(f"r.{corrupt}", F.when(F.col("r").isNull(), F.lit(""))).alias(corrupt), "r")
+    good = df.where(F.col(corrupt).isNull()).select("r.*", "json_path").drop(corrupt)
+    return good, df.where(F.col(corrupt).isNotNull()).select("json_path", corrupt)
+
+
+def _parsed(c: Column, schema: str, corrupt: str) -> Column:
+    """A JSON text as a struct; texts that are no object leave themselves in the corrupt column, blank ones are null."""
+    return F.when(F.trim(c) != "", F.from_json(c, f"{schema}, {corrupt} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}))
 
 
 def read_ndjson(spark: SparkSession, path: str, schema: str, corrupt: str = "_corrupt_record") -> DataFrame:
     """SRC4: one object a line; blank, malformed and other lines are skipped."""
-    df = spark.read.schema(f"{schema}, {corrupt} string").option("columnNameOfCorruptRecord", corrupt).json(path)
-    return df.where(F.col(corrupt).isNull()).drop(corrupt)
+    df = spark.read.text(path).select(_parsed(F.col("value"), schema, corrupt).alias("r"))
+    return df.where(F.col("r").isNotNull() & F.col(f"r.{corrupt}").isNull()).select("r.*").drop(corrupt)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
