@@ -102,7 +102,7 @@ class Scanner:
         return at
 
     def scan(self, text: str) -> list[Finding]:
-        """Of each block, the confirmed template with the fewest differing words, then the largest gain."""
+        """Of each block, the confirmed template with the most shared less differing words, then the largest gain."""
         out = []
         for a, b in self.blocks(text):
             block = text[a:b]
@@ -117,7 +117,8 @@ class Scanner:
                     continue
                 found = self._differences(words, self.words[i])
                 if found and len(found[0]) <= self.tolerance * len(self.words[i]):
-                    key = (len(found[0]), -len(self.words[i]), -gain, i)
+                    shared = len(self.words[i]) - sum(d[0] == "-" for d in found[0])
+                    key = (len(found[0]) - shared, -gain, i)
                     if best is None or key < best[0]:
                         best = key, Finding(self.templates[i][0], i, a + found[1], a + found[2], plain, sizes[i], gain, found[0])
             if best:
