@@ -92,6 +92,17 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0] if len(offsets) else np.zeros(1, np.int64)
 
 
+def pieces(batch: pa.RecordBatch, column: int = 0, most: int = 1 << 20, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with `rows` rows and `most` bytes of text at most (one row may be longer), so that what is
+    computed from a slice stays small beside long texts."""
+    at, i = text_bytes(batch.column(column))[1], 0
+    while i < batch.num_rows:
+        j = int(np.searchsorted(at, at[i] + most, side="right")) - 1
+        j = min(max(j, i + 1), i + rows, batch.num_rows)
+        yield batch.slice(i, j - i)
+        i = j
+
+
 class Words:
     """Words of a batch: starts, ends (byte positions), hashes, and the n + 1 word offsets of the rows.
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, shingles, stored, table
+from .common import Words, pieces, shingles, stored, table
 from .neardup import _with_keys
 from .toxicity import _BREAK, _STOP
 
@@ -145,8 +145,7 @@ def _scan(sent, threshold: float, overlap: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = sent.value
         for whole in batches:
-            for k in range(0, whole.num_rows, 256):
-                batch = whole.slice(k, 256)
+            for batch in pieces(whole, 1):
                 words = Words(batch.column(1), _BREAK, latin=True)
                 rows = [(r, int(index.items[i]), s, q, a, w, f) for r, i, s, q, a, w, f in verify(index, words, retrieve(index, words, threshold)) if w >= overlap]
                 c = list(zip(*rows, strict=True)) or [[]] * 7

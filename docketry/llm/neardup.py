@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, mix, shingles, stored, table
+from .common import Words, mix, pieces, shingles, stored, table
 from .components import Sets, components
 
 #: Trees (orders), columns of a tree's shortest prefix, and hashes.  A pair of similarity 0.8 shares the shortest
@@ -44,8 +44,7 @@ def _class_of(s: np.ndarray) -> int:
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for k in range(0, whole.num_rows, 256):
-            batch = whole.slice(k, 256)
+        for batch in pieces(whole, 1):
             w, n, key, sig = Words(batch.column(1)), [], [], []
             for i in range(batch.num_rows):
                 s = shingles(w.hashes[w.rows[i] : w.rows[i + 1]])
@@ -165,8 +164,8 @@ def _regions(work, least: float, percent: int):
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for k in range(0, whole.num_rows, 256):
-            w = Words(whole.slice(k, 256).column(0))
+        for batch in pieces(whole):
+            w = Words(batch.column(0))
             sets = [shingles(w.hashes[w.rows[i] : w.rows[i + 1]]) for i in range(len(w.rows) - 1)]
             sets = [s for s in sets if len(s)]
             yield pa.record_batch([pa.array([_class_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["c", "items"])

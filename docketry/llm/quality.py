@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, held_out, labelled_sample, table, text_bytes
+from .common import Words, held_out, labelled_sample, pieces, table, text_bytes
 
 #: Documented bound of the labelled rows that vote; dimensions; neighbours; the power of a similarity in a vote.
 VOTERS, DIMENSIONS, NEIGHBOURS, POWER, THRESHOLD = 4000, 48, 15, 8, 0.3
@@ -93,8 +93,7 @@ def vote(model: Model, terms: np.ndarray, neighbours: int = NEIGHBOURS, power: i
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for k in range(0, batch.num_rows, 64):
-            part = batch.slice(k, 64)
+        for part in pieces(batch, rows=64):
             yield pa.record_batch([part.column(1), part.column(2), pa.array([x.astype(np.float16).tobytes() for x in counts(part.column(0))], pa.binary())], ["doc_id", "label", "terms"])
 
 
@@ -121,8 +120,7 @@ def score(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for k in range(0, whole.num_rows, 256):
-                batch = whole.slice(k, 256)
+            for batch in pieces(whole):
                 yield pa.record_batch([*batch.columns[1:], pa.array(vote(sent.value, counts(batch.column(0))), pa.float64())], [*columns, "score"])
 
     return docs.mapInArrow(run, schema)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _SPACE, Words, held_out, labelled_sample, stored, table
+from .common import _SPACE, Words, held_out, labelled_sample, pieces, stored, table
 
 #: Documented bound of the labelled rows that train the scorer.  Words are 40-bit hashes.
 TRAIN_ROWS, BUCKETS, THRESHOLD = 8000, 1 << 40, 0.5
@@ -71,7 +71,7 @@ def sentences(column: pa.Array) -> Sentences:
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, label) of each document's distinct words, and (-1, label) of the document itself."""
-    for batch in batches:
+    for batch in (part for whole in batches for part in pieces(whole)):
         s = sentences(batch.column(0))
         label = batch.column(1).to_numpy()
         row = np.repeat(np.arange(batch.num_rows), np.diff(s.at))
@@ -85,7 +85,7 @@ def _bags(ids: np.ndarray):
     """The label, the number of sentences, and the distinct sentence * len(ids) + place of the words that have a place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in pieces(whole)):
             s = sentences(batch.column(0))
             at = np.searchsorted(s.row, np.arange(batch.num_rows + 1))
             place = np.minimum(np.searchsorted(ids, s.buckets), len(ids) - 1)
@@ -162,8 +162,7 @@ def score(docs: DataFrame, model: Model, columns: list[str], threshold: float =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for whole in batches:
-            for k in range(0, whole.num_rows, 512):
-                batch = whole.slice(k, 512)
+            for batch in pieces(whole):
                 s = sentences(batch.column(0))
                 logs = sentence_scores(model, s)
                 total = np.bincount(s.row, logs, minlength=batch.num_rows)
