@@ -508,3 +508,40 @@ def visit_summary(spark, d):
     g = stage_seconds(spark, d)
     place = F.array_position(F.array(*[F.lit(x) for x in ("opening", "click", "view", "error")]), F.col("stage"))
     return g.groupBy("run", "visit").agg(F.max(F.struct("seconds", (-place).alias("i"), "stage")).alias("m")).select("run", "visit", F.col("m.stage").alias("dominant_stage"), F.col("m.seconds").alias("dominant_seconds"))
+
+
+# --- publication ------------------------------------------------------------------------------------------------
+@query("""WITH o AS (SELECT *, o_orderstatus <> 'P' AS ok, row_number() OVER (PARTITION BY o_custkey ORDER BY (o_orderstatus <> 'P') DESC, o_orderkey) AS rn FROM orders)
+    SELECT o_orderkey, CASE WHEN ok THEN 'act_final' ELSE 'extrato' END AS doc_class, CASE WHEN ok AND rn = 1 THEN 'publicado_canonico' WHEN ok THEN 'descartado_por_desempate' ELSE 'descartado_nao_canonico' END AS normalization_status,
+      CASE WHEN ok THEN lpad(o_orderkey::VARCHAR, 8, '0') || '/2021' END AS numero_acordo, CASE WHEN ok THEN o_orderdate::DATE END AS start_date, CASE WHEN ok THEN (o_orderdate::DATE + to_months(60) - INTERVAL 1 DAY)::DATE END AS end_date,
+      CASE WHEN ok THEN 'Fundacao ' || lpad(o_custkey::VARCHAR, 8, '0') END AS party FROM o""")
+def agreement_publication(spark, d):
+    """CLS1-CLS4, CLS10, EXT1-EXT8, EXT10, DAT12, SEL4: orders written as captured agreements, one published a customer."""
+    from .plans import publish
+
+    o = t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.date_format("o_orderdate", "dd/MM/yyyy").alias("day"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0").alias("number"), F.lpad(F.col("o_custkey").cast("string"), 8, "0").alias("who"))
+    case = F.format_string("%05d.000001/2021-01", F.col("o_custkey"))
+    text = F.concat(
+        F.lit("ACORDO DE COOPERAÇÃO TÉCNICA Nº "), "number", F.lit("/2021 que entre si celebram o Ministério da Defesa e a Fundacao "), "who", F.lit(", para os fins que especifica.\nProcesso "), case,
+        F.lit("\nCLÁUSULA PRIMEIRA - DO OBJETO\nMonitoramento ambiental.\nCLÁUSULA NONA - DO PRAZO E VIGÊNCIA\nO prazo será de 5 (cinco) anos a partir da última assinatura.\nCLÁUSULA DÉCIMA\nDocumento assinado eletronicamente por A em 01/01/1990. Documento assinado eletronicamente por B em "), "day",
+    )
+    bronze = o.select("o_orderkey", case.alias("processo"), F.lit("act").alias("requested_type"), F.when(F.col("o_orderstatus") == "P", "Extrato").otherwise("Acordo").alias("title"), text.alias("text"), F.lit("").alias("chosen"), F.concat(F.lit("/bronze/"), "number").alias("json_path"), F.col("o_orderkey").alias("row_idx"))
+    out = publish.agreements(bronze)
+    return out.select("o_orderkey", "doc_class", "normalization_status", "numero_acordo", F.col("data_inicio_vigencia").alias("start_date"), F.col("data_fim_vigencia").alias("end_date"), F.col("orgao_convenente").alias("party"))
+
+
+@query("""SELECT o_orderkey, 'Instituto ' || c_name AS parceiro, 'vigiar ' || n_name AS objeto, o_orderdate::DATE AS start_date, (o_orderdate::DATE + to_months(24))::DATE AS end_date, 'Meta 1 | ' || o_orderpriority AS metas,
+    CASE WHEN o_orderstatus = 'P' THEN 'retained_silver' ELSE 'published_gold' END AS publication_status, 5 AS captured FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey""")
+def plan_publication(spark, d):
+    """CLS5, CLS12, EXT11-EXT18, DAT8, DAT13, JOI2: orders written as work plans of their customers' previews."""
+    from .plans import publish
+
+    c = t(spark, d, "customer").join(t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_name", "n_name")
+    previews = c.select(F.col("c_custkey").alias("row_idx"), F.col("c_custkey").cast("string").alias("processo"), F.concat(F.lit("Instituto "), "c_name").alias("parceiro"), F.lit("").alias("vigencia"), F.lit("").alias("numero_act"), F.lit("").alias("objeto"))
+    o = t(spark, d, "orders").join(c, F.col("c_custkey") == F.col("o_custkey"))
+    day = F.date_format("o_orderdate", "dd/MM/yyyy")
+    text = F.concat(F.lit("PLANO DE TRABALHO\nObjeto: vigiar "), "n_name", F.lit("\nO prazo de 24 (vinte e quatro) meses, a partir da data de sua assinatura.\nAssinado eletronicamente por A, em "), day, F.lit("."))
+    table = F.array(F.struct(F.array(F.array(F.lit("Meta"), F.lit("Acao")), F.array(F.lit("Meta 1"), F.col("o_orderpriority"))).alias("rows")))
+    bronze = o.select("o_orderkey", F.col("o_orderkey").alias("row_idx"), F.col("o_custkey").cast("string").alias("processo"), text.alias("text"), table.alias("tables"), F.when(F.col("o_orderstatus") == "P", "minuta").otherwise("").alias("chosen"), F.lit(None).cast("struct<status:string,inicio_data:string,inicio_raw:string,termino_data:string,termino_raw:string>").alias("prazos"), F.lit("/p").alias("json_path"))
+    out = publish.work_plans(bronze, previews)
+    return out.select("o_orderkey", "parceiro", "objeto", F.col("vigencia_inicio").alias("start_date"), F.col("vigencia_fim").alias("end_date"), "metas", "publication_status", F.col("captured_focus_fields").alias("captured"))

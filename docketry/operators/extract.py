@@ -43,12 +43,19 @@ def clause_value(c: Column) -> Column:
     return clean_spaces(F.regexp_replace(c, r"^[\s\-:.;]+", ""))
 
 
+#: Number patterns by the wording before them.
+NUMBERS = [("cabecalho_act_tecnica", r"acordo de cooperacao tecnica\s+(?:n[o.]|no|n)?\s*[:o]?\s*([a-z0-9./-]*\d[a-z0-9./-]*)"), ("cabecalho_act_generico", r"acordo de cooperacao\s+(?!tecnica\b)(?:n[o.]|no|n)?\s*[:o]?\s*([a-z0-9./-]*\d[a-z0-9./-]*)")]
+
+
 def agreement_number(title: Column, text: Column) -> Column:
     """EXT6: struct (value, source) from the title, else the header; null if there is none."""
-    rules = [("cabecalho_act_tecnica", r"acordo de cooperacao tecnica\s+(?:n[o.]|no|n)?\s*[:o]?\s*([a-z0-9./-]*\d[a-z0-9./-]*)"), ("cabecalho_act_generico", r"acordo de cooperacao\s+(?!tecnica\b)(?:n[o.]|no|n)?\s*[:o]?\s*([a-z0-9./-]*\d[a-z0-9./-]*)")]
+    return folded_number(fold(F.coalesce(title, F.lit(""))), fold(F.substring(F.coalesce(text, F.lit("")), 1, HEADER)))
+
+
+def folded_number(*sources: Column) -> Column:
     out = []
-    for source in (fold(F.coalesce(title, F.lit(""))), fold(F.substring(F.coalesce(text, F.lit("")), 1, HEADER))):
-        for name, p in rules:
+    for source in sources:
+        for name, p in NUMBERS:
             value = filled(F.regexp_replace(F.regexp_extract(source, p, 1), r"[.,;:]+$", ""))
             out.append(F.when(value.isNotNull(), F.struct(value.alias("value"), F.lit(name).alias("source"))))
     return F.coalesce(*out)
@@ -64,15 +71,23 @@ def is_internal(c: Column, internal: tuple[str, ...] = (*INTERNAL, "uniao")) ->
 def counterparty(text: Column) -> Column:
     """EXT7: struct (value, source): the first party that isn't an internal institution, from the preamble's wording,
     then its paragraphs, then the folded text."""
-    head = preamble(text)
+    return party_ladder(party_parts(preamble(text), fold(text)))
+
+
+def party_parts(head: Column, folded: Column) -> dict[str, Column]:
     party = r"([^,;\n]{4,160})"
-    found = F.flatten(F.array(*[F.regexp_extract_all(head, F.lit(p), F.lit(1)) for p in (rf"(?isu)celebram[^\n]{{0,80}}?\be\s+(?:o|a)\s+{party}", rf"(?isu)\be\s*,?\s*de outro lado,?\s*(?:o|a)?\s*{party}", rf"(?isu)por interm[eé]dio d[oa][^,;\n]+,?\s+e\s+(?:o|a)\s+{party}")]))
-    first = F.get(F.filter(F.transform(found, party_name), lambda x: (x != "") & ~is_internal(x)), F.lit(0))
-    paragraphs = F.transform(F.filter(F.split(head, r"\n\s*\n"), lambda p: p.rlike(r"(?iu)CNPJ|inscrit[oa]|com sede|representad[oa]")), lambda p: party_name(F.regexp_extract(p, r"(?su)^\s*(?:[0-9IVX]+\s*[-.)]\s*)?(?:[OA]\s+)?([^,;\n]{4,160})", 1)))
-    second = F.get(F.filter(paragraphs, lambda x: (x != "") & ~is_internal(x)), F.lit(0))
-    third = F.get(F.filter(F.transform(F.regexp_extract_all(fold(text), F.lit(r"(?:participe 2|segundo participe|convenente)\s*:?\s*([^,;.\n]{4,120})"), F.lit(1)), party_name), lambda x: (x != "") & ~is_internal(x)), F.lit(0))
-    answer = lambda v, s: F.when(v.isNotNull(), F.struct(v.alias("value"), F.lit(s).alias("source")))
-    return F.coalesce(answer(first, "preambulo"), answer(second, "preambulo_paragrafo"), answer(third, "texto_normalizado"))
+    patterns = (rf"(?isu)celebram[^\n]{{0,80}}?\be\s+(?:o|a)\s+{party}", rf"(?isu)\be\s*,?\s*de outro lado,?\s*(?:o|a)?\s*{party}", rf"(?isu)por interm[eé]dio d[oa][^,;\n]+,?\s+e\s+(?:o|a)\s+{party}")
+    other = lambda names: F.get(F.filter(F.transform(names, party_name), lambda x: (x != "") & ~is_internal(x)), F.lit(0))
+    paragraphs = F.filter(F.split(head, r"\n\s*\n"), lambda p: p.rlike(r"(?iu)CNPJ|inscrit[oa]|com sede|representad[oa]"))
+    return {
+        "preambulo": other(F.flatten(F.array(*[F.regexp_extract_all(head, F.lit(p), F.lit(1)) for p in patterns]))),
+        "preambulo_paragrafo": other(F.transform(paragraphs, lambda p: F.regexp_extract(p, r"(?su)^\s*(?:[0-9IVX]+\s*[-.)]\s*)?(?:[OA]\s+)?([^,;\n]{4,160})", 1))),
+        "texto_normalizado": other(F.regexp_extract_all(folded, F.lit(r"(?:participe 2|segundo participe|convenente)\s*:?\s*([^,;.\n]{4,120})"), F.lit(1))),
+    }
+
+
+def party_ladder(parts: dict[str, Column]) -> Column:
+    return F.coalesce(*[F.when(v.isNotNull(), F.struct(v.alias("value"), F.lit(s).alias("source"))) for s, v in parts.items()])
 
 
 def party_name(c: Column) -> Column:
@@ -101,14 +116,19 @@ def named_value(c: Column, labels: list[str], stops: tuple[str, ...] = ("matr[i
 def agreement_record(df: DataFrame, text: str = "_body", title: str = "title", whole: str = "text") -> DataFrame:
     """EXT10: adds the extracted fields of an agreement; only final agreements are read, others get nulls.  Signatures
     stand in the footer, so they are read from the whole text."""
-    final = F.when(F.col("doc_class") == "act_final", F.col(text))
+    only = lambda c: F.when(F.col("doc_class") == "act_final", F.col(c))
+    df = df.withColumns({"_final": only(text), "_signed": only(whole)})
+    final = F.col("_final")
     clause = F.coalesce(section(final, VALIDITY_HEADS), focus_window(final, [r"\bPRAZO\s+DE\s+VIG[ÊE]NCIA\b", r"\bPRAZO\s+E\s+VIG[ÊE]NCIA\b", r"\bVIG[ÊE]NCIA\b"]))
-    df = df.withColumns({"_validity": D.validity(clause, F.when(F.col("doc_class") == "act_final", F.col(whole))), "_number": agreement_number(F.when(F.col("doc_class") == "act_final", F.col(title)), final), "_party": counterparty(final), "_subject": subject(final)})
+    df = df.withColumns({"_clause": clause, "_head": preamble(final), "_ftitle": fold(F.coalesce(only(title), F.lit(""))), "_fhead": fold(F.substring(F.coalesce(final, F.lit("")), 1, HEADER)), "_ftext": fold(final)})
+    df = D.staged(df, D.validity_parts(F.col("_clause"), F.col("_signed")), "_validity", D.validity_ladder)
+    df = D.staged(df, party_parts(F.col("_head"), F.col("_ftext")), "_party", party_ladder)
+    df = df.withColumns({"_number": folded_number(F.col("_ftitle"), F.col("_fhead")), "_subject": subject(final)})
     return df.withColumns({
         "numero_acordo": F.col("_number.value"), "numero_fonte": F.col("_number.source"), "data_inicio_vigencia": F.col("_validity.start"), "data_fim_vigencia": F.col("_validity.end"),
         "vigencia_fonte": F.col("_validity.source"), "vigencia_aviso": F.col("_validity.warning"), "orgao_convenente": F.col("_party.value"), "objeto": F.col("_subject.value"),
         "gestor": named_value(final, ["gestor(?:a)?", "gestor titular"]), "gestor_substituto": named_value(final, ["gestor substituto", "substitut[oa]"]), "unidade": named_value(final, ["unidade respons[aá]vel", "unidade"]), "text_chars": F.length(F.col(text)),
-    }).drop("_validity", "_number", "_party", "_subject")
+    }).drop("_validity", "_number", "_party", "_subject", "_final", "_signed", "_clause", "_head", "_ftitle", "_fhead", "_ftext")
 
 
 def plan_object(text: Column, preview: Column) -> Column:
@@ -160,7 +180,7 @@ def goals_text(tables: Column, text: Column, actions: bool = False) -> Column:
 
 def plan_record(df: DataFrame) -> DataFrame:
     """EXT18: adds a work plan's fields to (text, tables, prazos, preview columns)."""
-    df = df.withColumn("_period", D.plan_period(F.col("text"), F.col("prazos.inicio_raw"), F.col("prazos.termino_raw")))
+    df = D.staged(df, D.plan_period_parts(F.col("text"), F.col("prazos.inicio_raw"), F.col("prazos.termino_raw")), "_period", D.plan_period_ladder)
     return df.withColumns({
         "parceiro": plan_partner(F.col("text"), F.col("preview_parceiro")), "objeto": plan_object(F.col("text"), F.col("preview_objeto")), "vigencia_inicio": F.col("_period.start"), "vigencia_fim": F.col("_period.end"), "period_source": F.col("_period.source"),
         "metas": goals_text(F.col("tables"), F.col("text")), "acoes": goals_text(F.col("tables"), F.col("text"), True), "atribuicoes": duties(F.col("text")),
