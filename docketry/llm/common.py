@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -21,9 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; that setting is made here only where it is unset (tests)."""
+    """A new folder below spark.checkpoint.dir; that setting is made here only where it is unset in local mode (tests)."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         top = "file://" + tempfile.mkdtemp(prefix="docketry-")
         spark.conf.set("spark.checkpoint.dir", top)
     return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
