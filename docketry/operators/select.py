@@ -173,3 +173,11 @@ def span_seconds(processes: DataFrame, spans: DataFrame) -> DataFrame:
 def only_selected(df: DataFrame, selection: DataFrame | None, key: str = "processo") -> DataFrame:
     """JOI9, FLT2: rows of the selected keys.  None is no filter; an empty selection leaves no row."""
     return df if selection is None else df.join(selection.select(key).distinct(), key, "left_semi")
+
+
+def manifest_details(manifest: DataFrame, payloads: DataFrame, path: str = "json_path") -> DataFrame:
+    """EXP4: published memoranda or terms with what their snapshot or payload holds, empty where it is absent."""
+    values = ["objeto", "valor_global", "situacao", "uf", "snapshot_text"]
+    have = [v for v in values if v in payloads.columns]
+    out = by_path_or_name(manifest, payloads, path, have)
+    return out.select("processo", "documento", "snapshot_mode", path, *[F.coalesce(F.col(v).cast("string"), F.lit("")).alias(v) if v in have else F.lit("").alias(v) for v in values])

@@ -103,6 +103,33 @@ def test_small_selections(spark):
     assert dash.latest(spark.range(5).withColumnRenamed("id", "line_no"), 0).count() == 0
 
 
+def test_manifest_details(spark):
+    rows = spark.createDataFrame([("p", "d", "api", "/x/a.json"), ("q", "e", "html", "/x/none.json")], "processo string, documento string, snapshot_mode string, json_path string")
+    payload = spark.createDataFrame([("/y/a.json", "obj", 0)], "json_path string, objeto string, row_idx long")
+    got = {r["processo"]: (r["objeto"], r["uf"]) for r in select.manifest_details(rows, payload).collect()}
+    assert got == {"p": ("obj", ""), "q": ("", "")}
+
+
+def test_small_classifiers(spark):
+    df = spark.range(1).select(
+        C.classify_plan(F.lit("Plano de trabalho"), F.lit("MINUTA"))["canonical"].alias("a"), C.reject_reason(F.lit("texto"), F.lit("pt")).alias("b"), C.same_description(F.lit(" Ação "), "acao").alias("c"), C.skipped(F.lit("E-mail enviado")).alias("d"),
+        C.valid_description(F.lit("123/4"), F.lit("1234")).alias("e"), C.first_description(F.array(F.lit("Aberto"), F.lit("Bloco de teste")), F.lit("9")).alias("f"), C.is_metadata_label(F.lit("VIGÊNCIA DO ACT")).alias("g"), C.family_of(F.lit("Termo de Execução Descentralizada")).alias("h"),
+        C.outcome_status(F.lit("x"), F.lit("erro"), F.lit("")).alias("i"), C.has_mismatch(F.lit("a; processo_divergente")).alias("j"), C.completeness(*[F.lit(x) for x in ("p", "o", "", "", "m", "")])["status"].alias("k"),
+    ).first()
+    assert tuple(df) == (False, "pt_sem_expressao", True, True, False, "Bloco de teste", True, "TED", "filter_error", True, "parcial")
+    blocks = spark.createDataFrame([("Bloco de Acordos 1",), ("outro",)], "descricao string")
+    profiles = spark.createDataFrame([(1, "ted", "termos", True), (2, "act", "ACORDOS", True), (0, "off", "bloco", False)], "ordinal int, key string, pattern string, enabled boolean")
+    assert [r["profile"] for r in C.profile_of(blocks, profiles).collect()] == ["act", None]
+    good, bad = C.split_rejected(spark.createDataFrame([("", "act"), ("abc", "act")], "text string, requested_type string"))
+    assert good.count() == 1 and bad.first()["reject_reason"] == "snapshot_vazio"
+
+
+def test_small_extractors(spark):
+    text = "Gestor titular: Ana Souza, matrícula 1\nUnidade responsável: Divisão X\n"
+    df = spark.range(1).select(extract.named_value(F.lit(text), ["gestor titular"]).alias("a"), extract.fragments(F.lit("Meta 1: x\nMeta 2: y\nMeta 1: x"), [r"Meta \d: [^\n]+"]).alias("b"), extract.instrument_number(F.lit(" "), F.lit("7")).alias("c"), extract.duties(F.lit("ATRIBUIÇÕES\nfazer\nObservações")).alias("d"), extract.preview_record(F.array(F.lit("3"), F.lit("PARCEIRO: Z\nOBJETO: o")), F.lit("p"))["parceiro"].alias("e")).first()
+    assert df["a"] == "Ana Souza" and df["b"] == ["Meta 1: x", "Meta 2: y"] and df["c"] == "7" and "fazer" in df["d"] and df["e"] == "Z"
+
+
 def test_tables_of_goals(spark):
     df = spark.createDataFrame([("1. | Primeira || 2 | Segunda || solta || ", "1 | Voar | Equipe | jan/2021 | fev/2021 || Mapear | a | b || c | 2020 || d")], "metas string, acoes string")
     assert [(r["reference"], r["description"]) for r in dash.explode_goals(df).orderBy("item").collect()] == [("1.", "Primeira"), ("2", "Segunda"), ("", "solta")]
