@@ -28,6 +28,11 @@ PLACEHOLDERS = ["clique aqui para visualizar o conteudo deste documento", "cliqu
 LEAD, HEADER, OPENING, PROCESS, SECTION = 350, 1800, 4200, 12000, 2200
 
 
+def let(c: Column, body) -> Column:
+    """body(c) with c computed once: the built-in form of a local variable."""
+    return F.get(F.transform(F.array(c), lambda x: body(x)), F.lit(0))
+
+
 def clean_spaces(c: Column) -> Column:
     """TXT1: runs of white space become one blank, ends are trimmed; null stays null."""
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
@@ -111,16 +116,12 @@ def fold_upper(c: Column) -> Column:
 
 def trim_noise(c: Column, markers: list[str] = TAIL_MARKERS, first_only: bool = True) -> Column:
     """TXT8: cut at the first marker in list order (first_only), or at every marker in turn."""
-    place = lambda m: F.locate(m, F.lower(c))
+    place = lambda m, low: F.nullif(F.locate(m, low), F.lit(0))
+    cut = lambda x, at: F.substr(x, F.lit(1), F.coalesce(at - 1, F.length(x)))
     if first_only:
-        out = F.when(place(markers[0]) > 0, F.substr(c, F.lit(1), place(markers[0]) - 1))
-        for m in markers[1:]:
-            out = out.when(place(m) > 0, F.substr(c, F.lit(1), place(m) - 1))
-        return F.trim(out.otherwise(c))
-    for m in markers:
-        at = F.locate(m, F.lower(c))
-        c = F.when(at > 0, F.substr(c, F.lit(1), at - 1)).otherwise(c)
-    return F.trim(c)
+        return F.trim(let(c, lambda x: cut(x, let(F.lower(x), lambda low: F.coalesce(*[place(m, low) for m in markers])))))
+    # cutting at every marker in turn is cutting at the earliest
+    return F.trim(let(c, lambda x: cut(x, let(F.lower(x), lambda low: F.array_min(F.array(*[place(m, low) for m in markers]))))))
 
 
 def has_content(c: Column, least: int = 8, forbidden: list[str] = ()) -> Column:
