@@ -21,8 +21,9 @@ K1, B, PASSAGE, RANGES = 1.2, 0.75, 64, 64
 #: A passage retrieves an item from this share of the score that the item gets from itself; share of the item's
 #: 5-word shingles that confirm a leak.
 RETRIEVE, OVERLAP = 0.5, 0.8
-#: Items of one index, which is broadcast (some 4 KB an item); more items make more indexes, each run over all texts.
-INDEX_ITEMS = 4096
+#: Items and characters of one index, which is broadcast (some 16 bytes a character and 256 a term); more make more
+#: indexes, each run over all texts.
+INDEX_ITEMS, INDEX_CHARS = 4096, 4_000_000
 
 
 class Index(NamedTuple):
@@ -165,7 +166,8 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = RETRIEVE, overla
     items without words and null item ids match nothing; repeated rows repeat; items with equal texts each match."""
     spark = docs.sparkSession
     docs, items = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL")
-    shards, out = max(1, -(-items.count() // INDEX_ITEMS)), None
+    size = items.agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).first()
+    shards, out = max(1, -(-size["n"] // INDEX_ITEMS), -(-(size["chars"] or 0) // INDEX_CHARS)), None
     for k in range(shards):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k).orderBy("item_id", "text").collect()
         index = build([r["item_id"] for r in rows], [r["text"] for r in rows])
