@@ -4,6 +4,7 @@ dictionary, size reductions rank the templates, and the winners are confirmed by
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from typing import NamedTuple
@@ -45,11 +46,14 @@ TEMPLATES = [
 #: A block needs one of these, in any case.
 TRIGGER = r"licen[sc]e|copyright|spdx-|all rights reserved|permission is hereby|redistribution and use|creative commons|subject to the terms"
 #: Least share of a block's compressed size that a template takes away; templates that go on to the wording test;
-#: largest share of a template's words that may differ; words kept on each side of a trigger in a long line.
+#: largest share of a template's words that may differ; words kept on each side of a trigger (more if a template is longer).
 LEAST_GAIN, CONTENDERS, TOLERANCE, AROUND = 0.2, 5, 0.1, 40
 
 _trigger = re.compile(TRIGGER, re.IGNORECASE)
 _word = re.compile(r"[^\W_]+(?:[.\-'][^\W_]+)*")
+_rest = re.compile(r"[^\W_]*")
+#: A line end, with the marks of a comment's next line.
+_wrap = re.compile(r"\s*\n[\s#*/;%!>|]*")
 
 
 class Finding(NamedTuple):
@@ -67,6 +71,8 @@ class Scanner:
     def __init__(self, templates: list[tuple[str, str]], tolerance: float = TOLERANCE):
         self.templates, self.tolerance = templates, tolerance
         self.words = [[w.lower() for w in _word.findall(t)] for _, t in templates]
+        self.bags = [Counter(w) for w in self.words]
+        self.reach = max([AROUND, *(int(len(re.findall(r"[^\W_]+", t)) * (1 + tolerance)) + 1 for _, t in templates)])
         options = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
         self.plain = zstandard.ZstdCompressor(level=3, **options)
         self.given = []
@@ -75,78 +81,96 @@ class Scanner:
             d.precompute_compress(level=3)
             self.given.append(zstandard.ZstdCompressor(dict_data=d, **options))
 
-    def blocks(self, text: str) -> Iterator[tuple[int, int]]:
-        """Lines with a trigger; in lines longer than the words around it, only these, overlaps merged."""
-        at = 0
-        while m := _trigger.search(text, at):
-            a, b = text.rfind("\n", 0, m.start()) + 1, text.find("\n", m.end())
-            b = len(text) if b < 0 else b
-            if b - a > 16 * AROUND:
-                a, b = self._around(text, m.start(), a, -1), self._around(text, m.end(), b, 1)
-                while n := _trigger.search(text, m.end(), b):
-                    m = n
-                    end = text.find("\n", m.end())
-                    b = max(b, self._around(text, m.end(), len(text) if end < 0 else end, 1))
-            yield a, b
-            at = max(b, m.end())
-
-    @staticmethod
-    def _around(text: str, at: int, edge: int, step: int) -> int:
-        """AROUND words before or after a place, within its line."""
-        n, space = 0, True
-        while at != edge and n <= AROUND:
-            blank = text[at - 1 if step < 0 else at].isspace()
-            n += blank and not space
-            space = blank
+    def _around(self, text: str, at: int, edge: int, step: int) -> int:
+        """`reach` words before or after a place, over line ends, up to a line without words."""
+        n, inside, filled = 0, True, True
+        while at != edge:
+            c = text[at - 1 if step < 0 else at]
+            if c.isalnum():
+                n += not inside
+                if n > self.reach:
+                    break
+                inside = filled = True
+            else:
+                inside = False
+                if c == "\n":
+                    if not filled:
+                        break
+                    filled = False
             at += step
         return at
 
     def scan(self, text: str) -> list[Finding]:
-        """Of each block, the confirmed template with the most shared less differing words, then the largest gain."""
-        out = []
-        for a, b in self.blocks(text):
-            block = text[a:b]
-            data = block.lower().encode("utf-8", "replace")  # wording in any case
-            plain = len(self.plain.compress(data))
-            sizes = [len(c.compress(data)) for c in self.given]
-            ranked = sorted(range(len(sizes)), key=lambda i: (sizes[i], i))[:CONTENDERS]
-            words, best = [(m[0].lower(), m.start(), m.end()) for m in _word.finditer(block)], None
-            for i in ranked:
-                gain = (plain - sizes[i]) / plain
-                if gain < LEAST_GAIN * min(1, len(self.templates[i][1]) / len(block)):
-                    continue
-                found = self._differences(words, self.words[i])
-                if found and len(found[0]) <= self.tolerance * len(self.words[i]):
-                    shared = len(self.words[i]) - sum(d[0] == "-" for d in found[0])
-                    key = (len(found[0]) - shared, -gain, i)
-                    if best is None or key < best[0]:
-                        best = key, Finding(self.templates[i][0], i, a + found[1], a + found[2], plain, sizes[i], gain, found[0])
-            if best:
-                out.append(best[1])
+        """Every trigger's surroundings, then what a confirmed notice leaves of them, until no template is confirmed."""
+        out, floor, at = [], 0, 0
+        while m := _trigger.search(text, at):
+            a, b = self._around(text, m.start(), floor, -1), self._around(text, m.end(), len(text), 1)
+            best = self._best(text, a, b)
+            if best is None:  # the line alone, where the words around it hide a notice
+                line, end = max(text.rfind("\n", a, m.start()) + 1, a), text.find("\n", m.end(), b)
+                if line > a or end >= 0:
+                    best = self._best(text, line, b if end < 0 else end)
+            if best is None:
+                at = _rest.match(text, m.end()).end()
+                continue
+            out += [*self._all(text, a, best.start), best]
+            floor, at = best.end, max(m.start(), best.end)
         return out
 
+    def _all(self, text: str, a: int, b: int) -> list[Finding]:
+        best = self._best(text, a, b) if _trigger.search(text, a, b) else None
+        return [*self._all(text, a, best.start), best, *self._all(text, best.end, b)] if best else []
+
+    def _best(self, text: str, a: int, b: int) -> Finding | None:
+        """Of a block, the confirmed template with the most shared less differing words, then the largest gain."""
+        block = text[a:b]
+        words, best = [(m[0].lower(), m.start(), m.end()) for m in _word.finditer(block)], None
+        bag = Counter(w[0] for w in words)
+        possible = {i for i, t in enumerate(self.bags) if (t - bag).total() <= self.tolerance * t.total()}  # no other can be confirmed
+        if not possible:
+            return None
+        data = _wrap.sub(" ", block).lower().encode("utf-8", "replace")  # wording in any case, however it is wrapped
+        plain = len(self.plain.compress(data))
+        sizes = [len(c.compress(data)) for c in self.given]
+        for i in [i for i in sorted(range(len(sizes)), key=lambda i: (sizes[i], i)) if i in possible][:CONTENDERS]:
+            gain = (plain - sizes[i]) / plain
+            if gain < LEAST_GAIN * min(1, len(self.templates[i][1]) / len(block)):
+                continue
+            found = self._differences(words, self.words[i])
+            if found and len(found[0]) <= self.tolerance * len(self.words[i]):
+                shared = len(self.words[i]) - sum(d[0] == "-" for d in found[0])
+                key = (len(found[0]) - shared, -gain, i)
+                if best is None or key < best[0]:
+                    best = key, Finding(self.templates[i][0], i, a + found[1], a + found[2], plain, sizes[i], gain, found[0])
+        return best[1] if best else None
+
     @staticmethod
     def _differences(words: list, template: list[str]) -> tuple[list[str], int, int] | None:
-        """Words missing (-) and added (+) between the first and the last common word; where these stand."""
-        match = SequenceMatcher(None, [w[0] for w in words], template, autojunk=False)
-        ops = match.get_opcodes()
-        same = [k for k, o in enumerate(ops) if o[0] == "equal"]
-        if not same:
+        """Words missing (-) and added (+) in the run of common words with the fewest; where its first and last stand."""
+        same = SequenceMatcher(None, [w[0] for w in words], template, autojunk=False).get_matching_blocks()[:-1]
+        best = None
+        for k in range(len(same)):
+            cost, end = len(template), same[k].a
+            for n in range(k, len(same)):
+                cost += same[n].a - end - same[n].size
+                end = same[n].a + same[n].size
+                if best is None or cost < best[0]:
+                    best = cost, k, n
+        if best is None:
             return None
-        out = []
-        for k, (kind, i, j, p, q) in enumerate(ops):
-            if kind != "equal":
-                out += [f"-{w}" for w in template[p:q]]
-                if same[0] < k < same[-1]:
-                    out += [f"+{w[0]}" for w in words[i:j]]
-        return out, words[ops[same[0]][1]][1], words[ops[same[-1]][2] - 1][2]
+        run, out = same[best[1] : best[2] + 1], []
+        for x, y in zip([None, *run], [*run, None], strict=True):
+            out += [f"-{w}" for w in template[x.b + x.size if x else 0 : y.b if y else len(template)]]
+            if x and y:
+                out += [f"+{w[0]}" for w in words[x.a + x.size : y.a]]
+        return out, words[run[0].a][1], words[run[-1].a + run[-1].size - 1][2]
 
 
 def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
-    """(doc_id, license, template, start, end, plain_size, given_size, gain, differences), one row a confirmed block.
+    """(doc_id, license, template, start, end, plain_size, given_size, gain, differences), one row a confirmed notice.
 
     start and end are characters of the text; differences are the words that a notice lacks (-) or adds (+).
-    Whole texts are searched for triggers; null and empty texts have no blocks; repeated documents repeat their rows;
+    Notices may run over line ends, up to a blank line, and several may stand in one line.  Whole texts are searched for triggers; null and empty texts have no blocks; repeated documents repeat their rows;
     equal gains go to the template listed first."""
     schema = "doc_id long, license string, template int, start int, end int, plain_size int, given_size int, gain double, differences array<string>"
 

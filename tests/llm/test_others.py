@@ -24,6 +24,23 @@ def test_licenses(spark, documents):
     assert L.scan_licenses(documents(rows).limit(0)).count() == 0
 
 
+def test_wrapped_and_neighbouring_notices():
+    scan = L.Scanner(L.TEMPLATES).scan
+    for i, (name, notice) in enumerate(L.TEMPLATES):
+        words = notice.split()
+        for wrap in ("\n", "\n# ", "\r\n * "):
+            text = f"permission of the author{wrap}" + "".join(w + (wrap if k % 4 == 2 else " ") for k, w in enumerate(words)) + f"{wrap}more of the work"
+            found = scan(text)
+            assert (name, []) in [(f.license, f.differences) for f in found], (i, text)
+            assert any(text[f.start : f.end].split()[0].strip('"') == words[0].strip('"') for f in found)
+    both = "Released under the MIT License. Licensed under CC BY-NC 4.0."
+    assert [f.license for f in scan(both)] == ["MIT", "CC-BY-NC-4.0"]
+    assert [f.license for f in scan("y " * 900 + both + " z" * 20 + " Licensed under CC BY 4.0. All rights reserved." + " x" * 900)] == ["MIT", "CC-BY-NC-4.0", "CC-BY-4.0", "Proprietary"]
+    assert scan("Released under\n\nthe MIT License.") == [] and scan("license" * 3000) == []
+    changed = "the license needs a permission of its own\n" + L.TEMPLATES[5][1].replace("Permission is", "Leave is").replace("charge, to", "charge,\nto")
+    assert [(f.license, f.differences) for f in scan(changed)] == [("MIT", ["-permission"])]
+
+
 def test_licenses_against_exact_search(spark, data):
     """Notices that stand word for word in a document are found, and nothing else is."""
     import re
