@@ -47,12 +47,13 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: flo
     document of its target.
 
     The cut is found without sorting a source: its documents fall into about sqrt(n) ranges of the rank value,
-    range totals (pre-aggregated) place the cut in one range, and only that range (about sqrt(n) documents) is
-    ordered.  Null texts and texts without words have size 0 and take none; a null source is a source of its own;
+    range totals (pre-aggregated) place the cut in one range, and only that range is ordered (about sqrt(n)
+    documents; equal ids and sizes are one row with a count).  A cut between equal rows takes just as many of them as
+    fit.  Null ids share one u and stand in order of size.  Null texts and texts without words have size 0 and take none; a null source is a source of its own;
     repeated rows count each (equal ones are interchangeable).  Input columns of the added names are replaced."""
     own = ["size", "source_size", "target", "copies", "taken"]
     docs = docs.drop(*own)
-    sized = docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
+    sized = docs.withColumn("size", _size())
     slim = stored(sized.select("doc_id", "source", "size"))
     targets = stored(source_targets(slim, weights, budget, most))
     parts = targets.select("source", "source_size", "target", (F.col("target") / F.when(F.col("source_size") > 0, F.col("source_size"))).alias("ratio"), F.ceil(F.sqrt("source_docs")).alias("ranges"))
@@ -67,20 +68,54 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: flo
     cut = stored(cut)
 
     inside = ranked.alias("a").join(cut.alias("c"), F.col("a.source").eqNullSafe(F.col("c.source")) & (F.col("a.range") == F.col("c.cut_range"))).select("a.source", "doc_id", "size", "q", "room")
+    inside = inside.groupBy("source", "doc_id", "size", "q", "room").agg(F.count("*").alias("equal"))
     step = W.partitionBy("source").orderBy("q", F.col("doc_id").asc_nulls_last(), "size").rowsBetween(W.unboundedPreceding, 0)
-    inside = inside.withColumn("upto", F.sum("size").over(step)).where("upto - size / 2 <= room")
-    last = inside.groupBy("source").agg(F.max(F.struct("q", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "size")).alias("last"))
-    rule = parts.alias("p").join(cut.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")), "left").join(last.alias("l"), F.col("p.source").eqNullSafe(F.col("l.source")), "left").select("p.*", "cut_range", "last")
+    inside = inside.withColumn("before", F.sum(F.col("size") * F.col("equal")).over(step) - F.col("size") * F.col("equal"))
+    # of n equal rows, those whose own running sum less half their size is within the room
+    inside = inside.withColumn("_k", F.floor((F.col("room") - F.col("before")) / F.col("size") + 0.5).cast("long"))
+    fits = lambda k: F.col("before") + k * F.col("size") - F.col("size") / 2 <= F.col("room")
+    k = F.when(fits(F.col("_k") + 1), F.col("_k") + 1).when(fits(F.col("_k")), F.col("_k")).otherwise(F.col("_k") - 1)
+    inside = inside.withColumn("take", F.least(k, F.col("equal"))).where("take > 0")
+    last = inside.groupBy("source").agg(F.max(F.struct("q", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "size", "take", "equal")).alias("l")).select("source", F.struct("l.q", "l.id", "l.size").alias("last"), "l.take", "l.equal")
+    rule = parts.alias("p").join(cut.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")), "left").join(last.alias("l"), F.col("p.source").eqNullSafe(F.col("l.source")), "left").select("p.*", "cut_range", "last", "take", "equal")
     rule = stored(rule)
 
     out = _with_targets(sized, rule)
     mine = F.struct(_rank(seed).alias("q"), F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), F.col("size").alias("size"))
     extra = (F.col("p") > 0) & (F.col("size") > 0) & (F.col("cut_range").isNull() | (_range(seed) < F.col("cut_range")) | ((_range(seed) == F.col("cut_range")) & F.coalesce(mine <= F.col("last"), F.lit(False))))
+    out = out.withColumn("_extra", extra)
+    if rule.where("take < equal").limit(1).count():  # the cut lies between equal rows
+        tied = _tied(docs, rule.where("take < equal"))
+        rest = ~F.coalesce((F.col("take") < F.col("equal")) & (F.coalesce("doc_id", F.lit(2**63 - 1)) == F.col("last.id")) & (F.col("size") == F.col("last.size")), F.lit(False))
+        out = out.where(rest).select(*docs.columns, "size", "source_size", "target", "whole", "_extra").union(tied.select(*docs.columns, "size", "source_size", "target", "whole", "_extra"))
+    extra = F.col("_extra")
     out = out.withColumn("copies", F.when(F.col("size") > 0, F.col("whole") + F.when(extra, 1).otherwise(0)).otherwise(0).cast("long"))
     out = out.withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
     return out.select(*docs.columns, *own)
 
 
+def _size() -> Column:
+    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def _tied(docs: DataFrame, rule: DataFrame) -> DataFrame:
+    """The rows equal to the last one of their source's cut, `take` of which get the extra copy (_extra).
+
+    Each gets a number within the part of the input that it is read with; totals of the parts (pre-aggregated) place
+    the cut in one part, and only that part's rows are ordered."""
+    rows = _with_targets(docs, rule.select("source", "source_size", "target", "whole", "take", F.col("last.id").alias("_id"), F.col("last.size").alias("_size")), F.coalesce("doc_id", F.lit(2**63 - 1)) == F.col("_id"))
+    rows = rows.withColumn("size", _size()).where(F.col("size") - F.col("_size") == 0)  # no join key, so that few texts are counted
+    rows = stored(rows.withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    totals = rows.groupBy("source", "take", part.alias("part")).agg(F.count("*").alias("n"))
+    totals = totals.withColumn("upto", F.sum("n").over(W.partitionBy("source").orderBy("part")))
+    cut = totals.where("upto >= take AND upto - n < take").select(F.col("source").alias("_source"), F.col("part").alias("_part"), (F.col("take") - F.col("upto") + F.col("n")).alias("_left"))
+    inside = rows.select("source", "_at").join(cut, F.col("source").eqNullSafe(F.col("_source")) & (part == F.col("_part")))
+    inside = inside.withColumn("_k", F.row_number().over(W.partitionBy("source").orderBy("_at")))
+    final = stored(inside.where("_k = _left").select("source", F.col("_at").alias("_last")))
+    return _with_targets(rows, final).withColumn("_extra", F.col("_at") <= F.col("_last"))
+
+
 def _rank(seed: int) -> Column:
     u, p = uniform(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), seed), F.col("p")
     return (u / (1 - u)) / (p / (1 - p))
@@ -91,10 +126,11 @@ def _range(seed: int) -> Column:
     return F.floor(q / (1 + q) * F.col("ranges")).cast("long")
 
 
-def _with_targets(docs: DataFrame, parts: DataFrame) -> DataFrame:
+def _with_targets(docs: DataFrame, parts: DataFrame, also: Column | None = None) -> DataFrame:
     """Joins one row a source to the documents; a hot source's rows split, since the other side has one row."""
     parts = parts.select(F.col("source").alias("_source"), *[c for c in parts.columns if c != "source"])
-    return docs.join(parts, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    same = F.col("source").eqNullSafe(F.col("_source"))
+    return docs.join(parts, same if also is None else same & also).drop("_source")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

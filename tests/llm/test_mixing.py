@@ -29,6 +29,31 @@ def test_fixed_size(spark, data):
     assert (out.taken <= 2 * out["size"]).all()
 
 
+def test_cut_between_equal_rows(spark):
+    """Rows that repeat, null ids of one size and a null source: every source ends within one document of its target."""
+    rows = [(i, "w " * (1 + i % 5), "a") for i in range(40)] + [(7, "x y z", "b")] * 90 + [(None, "x y", "c")] * 70 + [(i, "w", "c") for i in range(40)] + [(3, "v w", None)] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    for seed in (7, 8, 9):
+        out = M.mix_sources(docs, seed=seed).toPandas()
+        assert len(out) == len(rows)
+        for _, g in out.groupby("source", dropna=False):
+            assert abs(g.taken.sum() - g.target.iloc[0]) <= g["size"].max()
+            assert g.taken.sum() == (g.copies * g["size"]).sum() and g.copies.max() - g.copies.min() <= 1
+
+
+def test_equal_rows_follow_the_sql(spark, tmp_path):
+    import duckdb
+
+    rows = [(i, "w " * (1 + i % 5), "a") for i in range(40)] + [(7, "x y z", "b")] * 90 + [(None, "x y", "c")] * 70 + [(i, "w", "c") for i in range(40)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6).write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    want = con.execute(f"SELECT doc_id, size, taken FROM ({M.OP10_SQL})").fetchall()
+    got = [tuple(r) for r in M.op10_mixing(spark, str(tmp_path)).select("doc_id", "size", "taken").collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
 def test_inclusion_rates(spark):
     """Over seeds, documents of a source are taken about equally often."""
     docs = spark.createDataFrame([(i, "w " * (1 + i % 5), "a" if i < 60 else "b") for i in range(120)], "doc_id long, text string, source string")
