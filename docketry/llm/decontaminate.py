@@ -11,16 +11,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, pieces, shingles, stored, table
+from .common import _SHINGLE, Words, mix, pieces, shingles, stored, table
 from .neardup import _with_keys
 from .toxicity import _BREAK, _STOP
 
 #: BM25's constants; least words of a passage (longer if an item is: passages overlap by half, so three quarters of
 #: an item lie in one at least); ranges of items with a bound of their own.
 K1, B, PASSAGE, RANGES = 1.2, 0.75, 64, 64
-#: A passage retrieves an item from this share of the score that the item gets from itself; share of the item's
-#: 5-word shingles that confirm a leak.
-RETRIEVE, OVERLAP = 0.5, 0.8
+#: A passage retrieves an item from this share of the score that the item gets from itself; share of the 5-word shingles
+#: of the whole item, or of a question of ASKED words or more, that confirm a leak.  An answer alone confirms none: it is
+#: one sentence, often of a word or two.
+RETRIEVE, OVERLAP, ASKED = 0.5, 0.8, 5
 #: Items and characters of one index, which is broadcast (some 16 bytes a character and 256 a term); more make more
 #: indexes, each run over all texts.
 INDEX_ITEMS, INDEX_CHARS = 4096, 4_000_000
@@ -37,6 +38,10 @@ class Index(NamedTuple):
     size: int  # items of a range
     bounds: np.ndarray  # terms x ranges: the largest impact in each
     passage: int
+    parts: np.ndarray  # words of its question and of its answer
+    asked: np.ndarray  # sorted shingles of all questions of ASKED words or more
+    asked_start: np.ndarray  # their items: asked_start[s]:asked_start[s + 1]
+    asked_item: np.ndarray
     question: list[np.ndarray]  # shingles
     answer: list[np.ndarray]
     whole: list[np.ndarray]
@@ -69,7 +74,13 @@ def build(ids: list[int], texts: list[str | None]) -> Index:
     peak = bounds.max(1) if len(terms) else np.zeros(0)
     start = lambda of: np.searchsorted(of, np.arange(len(terms) + 1))
     parts = [(w.hashes[w.rows[i] : w.rows[i + 1]], split_answer(w, i)) for i in range(len(ids))]
-    return Index(np.array(ids, np.int64), lengths, terms, peak, start(term), item, impact, size, bounds, int(max([PASSAGE, *lengths])), [shingles(h[:k]) for h, k in parts], [shingles(h[k:]) for h, k in parts], [shingles(h) for h, _ in parts])
+    first = np.array([k for _, k in parts], np.int64)
+    question = [shingles(h[:k]) for h, k in parts]
+    of = np.repeat(np.arange(len(ids)), [len(q) if k >= ASKED else 0 for q, k in zip(question, first, strict=True)])
+    every = np.concatenate([np.zeros(0, np.uint64), *(q for q, k in zip(question, first, strict=True) if k >= ASKED)])
+    order = np.argsort(every, kind="stable")
+    asked, n = np.unique(every, return_counts=True)
+    return Index(np.array(ids, np.int64), lengths, terms, peak, start(term), item, impact, size, bounds, int(max([PASSAGE, *lengths])), np.stack([first, lengths - first], 1), asked, np.concatenate([[0], np.cumsum(n)]), of[order], question, [shingles(h[k:]) for h, k in parts], [shingles(h) for h, _ in parts])
 
 
 def _slices(start: np.ndarray, terms: np.ndarray) -> np.ndarray:
@@ -124,22 +135,68 @@ def retrieve(index: Index, words: Words, threshold: float = RETRIEVE) -> list[tu
     return out
 
 
-def verify(index: Index, words: Words, hits: list[tuple[int, int, int, float]]) -> Iterator[tuple[int, int, float, float, float, float, int]]:
-    """One (row, item, score, question, answer, whole overlap, first word) a row and item: the best passage's score,
-    and the shares of shingles found within the passage and an item's length around it."""
+def retrieve_questions(index: Index, words: Words, overlap: float) -> list[tuple[int, int, int, float]]:
+    """(row, first word, item, score) of the passages that hold shingles of a question, in rows with `overlap` of them.
+
+    A question without its answer can be a small part of its item's score, and questions of common words would be
+    retrieved by most passages at a lower threshold; their shingles are looked up as they are."""
+    h = words.hashes
+    if not len(index.asked) or len(h) < 5:
+        return []
+    s = _all_shingles(h)
+    at = np.minimum(np.searchsorted(index.asked, s), len(index.asked) - 1)
+    place = np.flatnonzero(index.asked[at] == s)
+    row = np.searchsorted(words.rows, place, side="right") - 1
+    ok = place + 5 <= words.rows[row + 1]
+    place, row = place[ok], row[ok]
+    pair = np.unique(row * len(index.asked) + at[place])
+    r, which = pair // len(index.asked), pair % len(index.asked)
+    n = index.asked_start[which + 1] - index.asked_start[which]
+    pair, found = np.unique(np.repeat(r, n) * len(index.items) + index.asked_item[_slices(index.asked_start, which)], return_counts=True)
+    step, out = index.passage // 2, []
+    for p, k in zip(pair.tolist(), found.tolist(), strict=True):
+        r, i = divmod(p, len(index.items))
+        if k < overlap * len(index.question[i]):
+            continue
+        a, b = words.rows[r], words.rows[r + 1]
+        inside = place[np.searchsorted(place, a) : np.searchsorted(place, b)]
+        inside = inside[np.isin(s[inside], index.question[i])] - a
+        last = max(0, -(-int(b - a - index.passage) // step)) * step
+        mine = np.flatnonzero(index.item == i)
+        term = index.terms[np.searchsorted(index.start, mine, side="right") - 1]
+        for first in np.unique(np.minimum(inside // step * step, last)).tolist():
+            out.append((r, first, i, float(index.impact[mine][np.isin(term, h[a + first : min(a + first + index.passage, b)])].sum())))
+    return out
+
+
+def _all_shingles(h: np.ndarray, n: int = 5) -> np.ndarray:
+    """The hash that shingles() gives to each run of n words, in order."""
+    m = max(0, len(h) - n + 1)
+    total = np.full(m, n if n < 5 else 0, np.uint64)
+    for k in range(n):
+        total += h[k : k + m] * _SHINGLE[k]
+    return mix(total)
+
+
+def verify(index: Index, words: Words, hits: list[tuple[int, int, int, float]]) -> Iterator[tuple[int, int, float, float, float, float, int, float]]:
+    """One (row, item, score, question, answer, whole overlap, first word, verdict) a row and item: the best passage's
+    score, the shares of shingles found within the passage and an item's length around it, and the larger one of those
+    that confirm a leak."""
     best: dict[tuple[int, int], tuple] = {}
     for r, first, i, score in hits:
         n = int(index.lengths[i])
         h = words.hashes[words.rows[r] : words.rows[r + 1]]
-        here = shingles(h[max(0, first - n) : first + index.passage + n])
-        if len(index.whole[i]) == 1 and n < 5:  # an item of fewer words is one shingle: it has to stand there as a run
-            here = np.array([s for k in range(max(0, first - n), min(len(h), first + index.passage + n)) for s in shingles(h[k : k + n])], np.uint64)
-        share = [np.isin(s, here).mean() if len(s) else 0.0 for s in (index.whole[i], index.question[i], index.answer[i])]
-        new = (share[0], score, share[1], share[2], -first)
+        h = h[max(0, first - n) : first + index.passage + n]
+        here = shingles(h)
+        share = []
+        for s, k in zip((index.whole[i], index.question[i], index.answer[i]), (n, *index.parts[i]), strict=True):
+            # a part of under 5 words is one shingle: it has to stand there as a run
+            share.append(float(np.isin(s, _all_shingles(h, int(k)) if k < 5 else here).mean()) if k else 0.0)
+        new = (max(share[0], share[1] if index.parts[i][0] >= ASKED else 0.0), share[0], score, share[1], share[2], -first)
         if (r, i) not in best or new > best[r, i]:
             best[r, i] = new
-    for (r, i), (whole, score, question, answer, first) in best.items():
-        yield r, i, score, float(question), float(answer), float(whole), -first
+    for (r, i), (verdict, whole, score, question, answer, first) in best.items():
+        yield r, i, score, question, answer, whole, -first, verdict
 
 
 def _scan(sent, threshold: float, overlap: float):
@@ -148,7 +205,7 @@ def _scan(sent, threshold: float, overlap: float):
         for whole in batches:
             for batch in pieces(whole, 1):
                 words = Words(batch.column(1), _BREAK, latin=True)
-                rows = [(r, int(index.items[i]), s, q, a, w, f) for r, i, s, q, a, w, f in verify(index, words, retrieve(index, words, threshold)) if w >= overlap]
+                rows = [(r, int(index.items[i]), s, q, a, w, f) for r, i, s, q, a, w, f, v in verify(index, words, retrieve(index, words, threshold) + retrieve_questions(index, words, overlap)) if v >= overlap]
                 c = list(zip(*rows, strict=True)) or [[]] * 7
                 kinds = [pa.int64(), *[pa.float64()] * 4, pa.int64()]
                 yield pa.record_batch([batch.column(0).take(pa.array(c[0], pa.int64())), *[pa.array(x, t) for x, t in zip(c[1:], kinds, strict=True)]], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "overlap", "first_word"])
@@ -161,8 +218,9 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = RETRIEVE, overla
     holds, one row a document row and item.
 
     Words are runs without white space or ASCII punctuation, A-Z and À-Þ lower-cased.  Every passage of PASSAGE words, one
-    each STEP words, is a query over all items.  A leak needs `overlap` of the item's 5-word shingles around the
-    passage; the shares of its question and of its answer (the last sentence) are reported.  Null and empty texts,
+    each STEP words, is a query over all items; shingles of questions are looked up besides.  A leak needs `overlap` of the 5-word shingles of the item, or of its
+    question (of ASKED words at least) without its answer (the last sentence), around the passage; all three shares are
+    reported.  Parts of under 5 words count as found where they stand as a run.  Null and empty texts,
     items without words and null item ids match nothing; repeated rows repeat; items with equal texts each match."""
     spark = docs.sparkSession
     docs, items = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL")

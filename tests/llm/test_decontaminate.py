@@ -53,6 +53,19 @@ def test_leaks(spark, documents):
     assert D.leaks(documents(rows).limit(0), bench).count() == 0 and D.leaks(documents(rows), bench.limit(0)).count() == 0
 
 
+def test_questions_without_answers(spark, documents):
+    """A whole question is a leak without its answer, however long that is; an answer alone is none."""
+    rng = random.Random(5)
+    pool, answers = [f"w{i}" for i in range(300)], [f"a{i}" for i in range(300)]
+    text = lambda words, k: " ".join(rng.sample(words, k))
+    items = [(i, text(pool, 12), text(answers, k)) for i, k in enumerate([1, 2, 4, 8, 30, 40])] + [(10, "w1 w2 w3", text(answers, 12))]
+    bench = spark.createDataFrame([(i, f"{q}. {a}.") for i, q, a in items], "item_id long, text string")
+    rows = [(100 + i, f"b c {q}, d e") for i, q, _ in items] + [(200 + i, f"b c {a}, d e") for i, _, a in items] + [(300 + i, f"b c {q}. {a}. d e") for i, q, a in items]
+    got = {(r["doc_id"], r["item_id"]): (r["question_overlap"], r["answer_overlap"]) for r in D.leaks(documents(rows), bench).collect()}
+    assert {k for k in got if k[0] < 200} == {(100 + i, i) for i in range(6)} and not {k for k in got if 200 <= k[0] < 300}
+    assert {k: v for k, v in got.items() if k[0] >= 300} == {(300 + i, i): (1.0, 1.0) for i, _, _ in items}
+
+
 def test_shards(spark, documents, monkeypatch):
     rng = random.Random(3)
     items, _ = make(rng, 20)
