@@ -54,6 +54,15 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(sig, pa.binary())], ["doc_id", "n_shingles", "c", "sig"])
 
 
+def _with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, text, ...) with the class of their shingle set in a last column c."""
+    for whole in batches:
+        for batch in pieces(whole, 1):
+            w = Words(batch.column(1))
+            sets = [shingles(w.hashes[w.rows[i] : w.rows[i + 1]]) for i in range(batch.num_rows)]
+            yield pa.record_batch([*batch.columns, pa.array([_class_of(s) if len(s) else None for s in sets], pa.int64())], [*batch.schema.names, "c"])
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES) if len(column) else np.zeros((0, HASHES), np.uint32)
 
@@ -197,6 +206,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     confirm or refuse them, components join.  A region of more than DENSE classes is cut at deeper prefixes.  Second
     turn: in groups that still lie in several components, every likely pair across them is confirmed or refused on
     full sets; of a dense group, the texts outside its largest component meet all the others, block by block."""
+    return _found(docs, percent).drop("c")
+
+
+def _found(docs: DataFrame, percent: int) -> DataFrame:
+    """near_duplicates with the class of each row's shingle set (c)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     feats = stored(docs.mapInArrow(_features, "doc_id long, n_shingles long, c long, sig binary"))
     classes = stored(feats.where("c IS NOT NULL AND doc_id IS NOT NULL").groupBy("c").agg(F.min("doc_id").alias("first_id"), F.first("sig").alias("sig")))
@@ -207,7 +221,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     of_class = joined.join(least, F.col("label") == F.col("l")).select(F.col("c").alias("k"), "component_id")
     out = feats.join(of_class, (F.col("c") == F.col("k")) & F.col("doc_id").isNotNull(), "left")
     component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "c")
 
 
 def _labels(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -291,10 +305,22 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (similarity 0.8 or more) stays: the smallest doc_id."""
-    found = near_duplicates(docs.select("doc_id", "text"), 80)
-    gone = stored(found.where("NOT kept").select("doc_id").distinct())
-    return _with_keys(docs.select("doc_id", "text", "lang", "source", "n_chars"), gone, "left_anti")
+    """One document of each group of near-duplicates (similarity 0.8 or more) stays: the smallest doc_id.
+
+    Rows go by id and text: where an id has several texts, only those that are duplicates go.  Rows repeated with one
+    id all stay if that id is the smallest of its group."""
+    found = stored(_found(docs.select("doc_id", "text"), 80).select("doc_id", "c", "kept"))
+    gone = found.where("NOT kept").select("doc_id", "c").distinct()
+    ids = stored(gone.select("doc_id").distinct())
+    docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    out = _with_keys(docs, ids, "left_anti")
+    mixed = stored(_with_keys(found.where("kept").select("doc_id"), ids, "left_semi").distinct())
+    if not mixed.limit(1).count():
+        return out
+    # ids of which some texts go and others stay
+    rows = _with_keys(docs, mixed, "left_semi").mapInArrow(_with_class, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema) + ", c long")
+    gone = stored(_with_keys(gone, mixed, "left_semi"))
+    return out.union(rows.join(gone, ["doc_id", "c"], "left_anti").select(*docs.columns))
 
 
 OP6_SQL = r"""

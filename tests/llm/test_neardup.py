@@ -79,6 +79,13 @@ def test_edges(spark, documents):
     assert sorted(str(r["doc_id"]) for r in kept) == ["3", "9", "9", "None", "None"] and kept[0].asDict().keys() == {"doc_id", "text", "lang", "source", "n_chars"}
 
 
+def test_stage_keeps_a_unique_text_of_a_shared_id(spark, documents):
+    """An id with a duplicate and a unique text loses the duplicate only; so does an id with an empty text."""
+    rows = [(3, "same words here and there"), (9, "same words here and there"), (9, "quite another text of its own"), (8, "same words here and there"), (7, "same words here and there"), (7, None)]
+    kept = N.pipeline_stage(spark, documents(rows), "").collect()
+    assert sorted((r["doc_id"], str(r["text"])) for r in kept) == [(3, "same words here and there"), (7, "None"), (9, "quite another text of its own")]
+
+
 def test_components(spark):
     rng = random.Random(6)
     edges = [(i, i + 1) for i in range(0, 200)] + [(1000 + rng.randrange(50), 1000 + rng.randrange(50)) for _ in range(60)] + [(5000, k) for k in range(5001, 5200)] + [(9, 9)]
