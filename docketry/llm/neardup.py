@@ -1,6 +1,6 @@
-"""Near-duplicates by MinHash with an LSH forest: several sorted orders of one signature, candidates among the
-neighbours with the longest common prefix, deeper prefixes where a region is dense; links are confirmed on full
-shingle sets, and components are joined as Spark jobs."""
+"""Near-duplicates by MinHash with an LSH forest: in each of several orders the signatures are sorted, and a text's
+candidates are the neighbours with which it shares the longest prefix; the depth that these share adapts to how dense
+the region is.  Links are confirmed on full shingle sets, and components are joined as Spark jobs."""
 
 from __future__ import annotations
 
@@ -9,189 +9,279 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Words, mix, pieces, shingles, stored, table
-from .components import Sets, components
+from .components import components
 
-#: Trees (orders), columns of a tree's shortest prefix, and hashes.  A pair of similarity 0.8 shares the shortest
-#: prefix of some tree with chance 1 - (1 - 0.8**4)**20 > 0.99997, one of 0.85 with 1 - 4e-7.
+#: Trees (orders), columns of the shortest prefix that candidates share, and hashes.  A pair of similarity 0.8 shares
+#: the shortest prefix of some tree with chance 1 - (1 - 0.8**4)**20 > 0.99997, one of 0.85 with 1 - 4e-7.
 TREES, PREFIX = 20, 4
 HASHES = TREES * PREFIX
-#: A region of up to DENSE texts is compared at once; groups of up to FEW in full in the first turn.
-DENSE, FEW = 1024, 8
-#: Ids up to this number are broadcast to the text scan (8 bytes each).
+#: Further orders for texts of regions with more than DENSE texts, where candidates share more than the shortest prefix.
+MORE_TREES = 20
+#: Neighbours before a text in an order that are its candidates; regions of up to FEW texts are proposed in full at once.
+DENSE, FEW = 64, 8
+#: Rows of a part of an order, and the most of it.
+PART, LARGEST_PART = 4096, 200_000
+#: Ids up to this number are broadcast (8 bytes each).
 BROADCAST_IDS = 1_000_000
+#: Bits of the map of rows whose shingle sets are needed (8 MB): it is the same size for any number of rows.
+MAP_BITS = 1 << 26
 
 _rng = np.random.default_rng(11)
 _MULTIPLY = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 2**63, HASHES, dtype=np.uint64)
 
 
+def _order(tree: int) -> np.ndarray:
+    """Columns in a tree's order: the first trees begin with PREFIX columns of their own, the rest is shuffled."""
+    rng = np.random.default_rng(100 + tree)
+    own = np.arange(tree * PREFIX, (tree + 1) * PREFIX) if tree < TREES else np.zeros(0, np.int64)
+    return np.concatenate([own, rng.permutation(np.setdiff1d(np.arange(HASHES), own))]).astype(np.int64)
+
+
+_ORDERS = [_order(t) for t in range(TREES + MORE_TREES)]
+
+
 def signature(hashes: np.ndarray) -> np.ndarray:
-    """The least of each of HASHES multiply-shift hashes, a few thousand shingles at a time."""
+    """16 mixed bits of the least of each of HASHES multiply-shift hashes, a few thousand shingles at a time."""
     least = np.full(HASHES, 2**32 - 1, np.uint64)
     for k in range(0, len(hashes), 1024):
         h = hashes[k : k + 1024, None] * _MULTIPLY + _ADD
         np.minimum(least, (h >> np.uint64(32)).min(0), out=least)
-    return least.astype(np.uint32)
+    return (mix(least) >> np.uint64(48)).astype(np.uint16)
 
 
-def _class_of(s: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
+def _class_of(s: np.ndarray) -> bytes:
+    """128 bits of a shingle set."""
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (text, ...) without their text, with n_shingles, class and signature."""
     for whole in batches:
-        for batch in pieces(whole, 1):
-            w, n, key, sig = Words(batch.column(1)), [], [], []
+        for batch in pieces(whole):
+            w, n, key, sig = Words(batch.column(0)), [], [], []
             for i in range(batch.num_rows):
                 s = shingles(w.hashes[w.rows[i] : w.rows[i + 1]])
                 n.append(len(s))
                 key.append(_class_of(s) if len(s) else None)
                 sig.append(signature(s).tobytes() if len(s) else None)
-            yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(sig, pa.binary())], ["doc_id", "n_shingles", "c", "sig"])
+            yield pa.record_batch([*batch.columns[1:], pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sig, pa.binary())], [*batch.schema.names[1:], "n_shingles", "digest", "sig"])
 
 
-def _with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (id, text, ...) with the class of their shingle set in a last column c."""
-    for whole in batches:
-        for batch in pieces(whole, 1):
-            w = Words(batch.column(1))
-            sets = [shingles(w.hashes[w.rows[i] : w.rows[i + 1]]) for i in range(batch.num_rows)]
-            yield pa.record_batch([*batch.columns, pa.array([_class_of(s) if len(s) else None for s in sets], pa.int64())], [*batch.schema.names, "c"])
+def _matrix(column: pa.Array, kind=np.uint16) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, HASHES) if len(column) else np.zeros((0, HASHES), kind)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES) if len(column) else np.zeros((0, HASHES), np.uint32)
+def _prefixes(trees: range):
+    """The shortest prefix of each tree, hashed with the tree's number: the region g of each class (c, sig)."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sig, out = _matrix(batch.column(1)), []
+            for t in trees:
+                key = np.full(len(sig), t + 1, np.uint64)
+                for k in _ORDERS[t][:PREFIX]:
+                    key = mix(key + sig[:, k].astype(np.uint64))
+                out.append(key.view(np.int64))
+            yield pa.record_batch([pa.concat_arrays([batch.column(0)] * len(trees)).cast(pa.int64()), pa.array(np.concatenate(out)), pa.array(np.repeat(np.array(trees, np.int32), len(sig)))], ["c", "g", "tree"])
 
-def _prefix_keys(sig: np.ndarray, tree: int, depth: int) -> np.ndarray:
-    """A hash of the first `depth` columns of a tree's order, which begins at columns of its own."""
-    columns = [(tree * PREFIX + k) % HASHES for k in range(depth)]
-    key = np.full(len(sig), tree + 1, np.uint64)
-    for k in columns:
-        key = mix(key + sig[:, k].astype(np.uint64))
-    return key.view(np.int64)
+    return run
 
 
-def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (sig, tree, ...) with the signature as a string in the tree's order, a byte a column."""
     for batch in batches:
-        sig = _matrix(batch.column(1))
-        yield pa.record_batch([pa.concat_arrays([batch.column(0)] * TREES).cast(pa.int64()), pa.array(np.concatenate([_prefix_keys(sig, t, PREFIX) for t in range(TREES)])), pa.array(np.repeat(np.arange(TREES, dtype=np.int32), len(sig)))], ["c", "g", "tree"])
+        sig, tree = _matrix(batch.column(0)).astype(np.uint8), batch.column(1).to_numpy()
+        for t in np.unique(tree):
+            own = np.flatnonzero(tree == t)
+            sig[own] = sig[own][:, _ORDERS[t]]
+        keys = pa.array([x.tobytes() for x in sig], pa.binary())
+        yield pa.record_batch([keys, *batch.columns[2:]], ["key", *batch.schema.names[2:]])
+
+
+def _pairs_in_order(rows: pa.Table, start: int, until: int, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, estimate) of the rows from `start` on against the row d places before each, d = 1, 2, ..., width: as rows are
+    sorted, these are the rows that share the longest prefixes with it.  Both are of one region, the earlier one is
+    before `until`."""
+    g, key = rows.column("g").to_numpy(), _matrix(rows.column("key"), np.uint8)
+    for d in range(1, min(width, len(g) - 1) + 1):
+        i = np.arange(max(start, d), min(len(g), until + d))
+        i = i[g[i] == g[i - d]]
+        if not len(i) and d > len(g) - until:
+            return
+        yield i, (key[i] == key[i - d]).mean(1) if len(i) else np.zeros(0)
+
+
+def _proposed(rows: pa.Table, start: int, until: int, width: int, least: float) -> list[tuple[int, int]]:
+    """All likely pairs of regions of FEW texts; in larger ones each row's likeliest pair, the longest prefix of equals."""
+    few, out = rows.column("n").to_numpy() <= FEW, []
+    best, at = np.full(rows.num_rows, least), np.full(rows.num_rows, -1)
+    for d, (i, near) in enumerate(_pairs_in_order(rows, start, until, width), 1):
+        full = few[i] & (near >= least)
+        out += [(x, x - d) for x in i[full].tolist()]
+        better = ~few[i] & ((near > best[i]) | ((at[i] < 0) & (near >= least)))
+        best[i[better]], at[i[better]] = near[better], i[better] - d
+    return out + [(x, int(at[x])) for x in np.flatnonzero(at >= 0).tolist()]
+
+
+class _Labels:
+    """Disjoint sets of labels, as they come."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(y, y)
+            x = y
+        return x
+
+
+def _resolved(labels: _Labels, percent: int):
+    def work(rows: pa.Table, start: int, until: int, width: int, least: float) -> list[tuple[int, int]]:
+        """Links across components: every likely pair is confirmed, refused, or has been joined by others."""
+        label, items, out = rows.column("label").to_pylist(), rows.column("items"), []
+        seen: list[list[int]] = [[] for _ in label]
+        known = np.array(label)
+        for d, (i, near) in enumerate(_pairs_in_order(rows, start, until, width), 1):
+            for x in i[(near >= least) & (known[i] != known[i - d])].tolist():
+                seen[x].append(x - d)
+        sets: dict[int, np.ndarray] = {}
+        of = lambda k: sets[k] if k in sets else sets.setdefault(k, np.frombuffer(items[k].as_py(), np.uint64))
+        for x, others in enumerate(seen):
+            sets.pop(x - width - 1, None)
+            others = [j for j in others if labels.root(label[j]) != labels.root(label[x])]
+            if others:
+                for j in _linked(of(x), [of(j) for j in others], percent):
+                    a, b = labels.root(label[x]), labels.root(label[others[j]])
+                    if a != b:
+                        labels.up[max(a, b)] = min(a, b)
+                        out.append((x, others[j]))
+        return out
 
+    return work
 
-def _deeper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Longer prefixes of the rows of dense regions."""
-    for batch in batches:
-        sig, tree = _matrix(batch.column(3)), batch.column(2).to_numpy()
-        deep = [np.zeros(len(sig), np.int64) for _ in range(2)]
-        for t in np.unique(tree):
-            own = tree == t
-            for k, depth in enumerate((2 * PREFIX, 5 * PREFIX)):
-                deep[k][own] = _prefix_keys(sig[own], int(t), depth)
-        yield pa.record_batch([batch.column(0), batch.column(1), *[pa.array(x) for x in deep]], ["c", "g", "d1", "d2"])
-
-
-def _likely(sig: np.ndarray, label: np.ndarray, side: np.ndarray, least: float) -> list[tuple[int, int]]:
-    """Pairs of one region whose labels differ and whose estimated similarity is `least` or more, likeliest first.
-    In a region with sides, one of the two is of side 2."""
-    n, sided = len(sig), bool((side == 2).any())
-    left, found = np.flatnonzero(side == 2) if sided else np.arange(n), []
-    for i in left:
-        near = (sig[i] == sig).mean(1)
-        ok = (near >= least) & (label != label[i])
-        if not sided:
-            ok[: i + 1] = False
-        j = np.flatnonzero(ok)
-        found.append(np.column_stack([near[j], np.full(len(j), i), j]))
-    found = np.concatenate(found) if found else np.zeros((0, 3))
-    found = found[np.argsort(-found[:, 0], kind="stable")]
-    return list(zip(found[:, 1].astype(int).tolist(), found[:, 2].astype(int).tolist(), strict=True))
-
-
-def _proposed(rows: pa.Table, least: float, percent: int) -> Iterator[tuple[int, int]]:
-    """All likely pairs of a group of FEW, a spanning forest of the likeliest in a larger region."""
-    label = rows.column("label").to_numpy()
-    pairs = _likely(_matrix(rows.column("sig")), label, rows.column("side").to_numpy(), least)
-    sets = Sets(len(label))
-    for i, j in pairs:
-        if sets.join(i, j) or len(label) <= FEW:
-            yield i, j
-
-
-def _resolved(rows: pa.Table, least: float, percent: int) -> Iterator[tuple[int, int]]:
-    """Links that join components, confirmed on the spot: every likely pair of the region is confirmed, refused, or
-    has been joined by others."""
-    _, label = np.unique(rows.column("label").to_numpy(), return_inverse=True)
-    items = [np.frombuffer(x, np.uint64) for x in rows.column("items").to_pylist()]
-    sets = Sets(int(label.max()) + 1)
-    for i, j in _likely(_matrix(rows.column("sig")), label, rows.column("side").to_numpy(), least):
-        if sets.root(int(label[i])) != sets.root(int(label[j])) and _linked(items[i], items[j], percent):
-            sets.join(int(label[i]), int(label[j]))
-            yield i, j
-
-
-def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-        return False
-    shared = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * shared >= percent * (len(x) + len(y) - shared)
-
-
-def _regions(work, least: float, percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by region; one that goes on in the next batch waits for it (its size is bounded)."""
-        kept: pa.Table | None = None
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            rows = pa.concat_tables([kept, rows]) if kept is not None else rows
-            unit = rows.column("unit").to_numpy()
-            end = int(np.searchsorted(unit, unit[-1])) if len(unit) else 0
-            kept = rows.slice(end)
-            yield several(rows.slice(0, end))
-        if kept is not None:
-            yield several(kept)
-
-    def several(rows: pa.Table) -> pa.RecordBatch:
-        a, b = [], []
-        if rows.num_rows:
-            rows = rows.combine_chunks()
-            unit, c = rows.column("unit").to_numpy(), rows.column("c").to_numpy()
-            cuts = np.concatenate([[0], np.flatnonzero(unit[1:] != unit[:-1]) + 1, [len(unit)]])
-            for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                if y - x > 1:
-                    for i, j in work(rows.slice(x, y - x), least, percent):
-                        p, q = int(c[x + i]), int(c[x + j])
-                        a.append(min(p, q))
-                        b.append(max(p, q))
-        return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return run
+def _linked(x: np.ndarray, others: list[np.ndarray], percent: int) -> list[int]:
+    """Which of the others (sorted distinct hashes) share enough with x."""
+    sizes = np.array([len(y) for y in others])
+    fits = np.flatnonzero(100 * np.minimum(sizes, len(x)) >= percent * np.maximum(sizes, len(x)))
+    if not len(fits):
+        return []
+    every = np.concatenate([others[k] for k in fits])
+    hit = x[np.minimum(np.searchsorted(x, every), len(x) - 1)] == every
+    shared = np.add.reduceat(hit.astype(np.int64), np.concatenate([[0], np.cumsum(sizes[fits])[:-1]]))
+    return fits[100 * shared >= percent * (len(x) + sizes[fits] - shared)].tolist()
 
 
-def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for batch in pieces(whole):
-            w = Words(batch.column(0))
-            sets = [shingles(w.hashes[w.rows[i] : w.rows[i + 1]]) for i in range(len(w.rows) - 1)]
-            sets = [s for s in sets if len(s)]
-            yield pa.record_batch([pa.array([_class_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["c", "items"])
+def _ends(rows: pa.Table, a: list[int], b: list[int]) -> tuple[pa.Array, pa.Array]:
+    c = rows.column("c").to_numpy()
+    x, y = c[np.array(a, np.int64)], c[np.array(b, np.int64)]
+    return pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))
+
+
+def _in_order(rows: DataFrame, percent: int, least: float, resolve: bool) -> DataFrame:
+    """Pairs (a, b) of classes from rows (g, key, c, ...): one order is one run of g.
+
+    Rows are range-partitioned and sorted by region, signature string and class, so a hot region is split.  A part keeps
+    the last DENSE rows that it has seen; its first and last DENSE rows are written beside its pairs, and the last
+    ones of a part meet the first ones of the next in a second pass over these borders only."""
+    n, most = rows.count(), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(n // PART, most), -(-n // LARGEST_PART))
+    width, names = DENSE, rows.columns
+    work_of = lambda: _resolved(_Labels(), percent) if resolve else _proposed
+    kinds = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("part", pa.int32()), ("head", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, work, kept, heads = TaskContext.get().partitionId(), work_of(), None, 0
+
+        def edge(of: pa.Table, head: bool) -> Iterator[pa.RecordBatch]:
+            k = of.num_rows
+            same = [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array([part] * k, pa.int32()), pa.array([head] * k, pa.bool_())]
+            yield from pa.table([*same, *of.columns], [*kinds.names, *of.schema.names]).to_batches()
+
+        for batch in batches:
+            new = pa.Table.from_batches([batch])
+            rows = (pa.concat_tables([kept, new]) if kept is not None else new).combine_chunks()
+            start = rows.num_rows - new.num_rows
+            found = work(rows, start, rows.num_rows, width, least)
+            if found:
+                a, b = _ends(rows, *map(list, zip(*found, strict=True)))
+                none = [pa.nulls(len(a), f.type) for f in rows.schema]
+                yield pa.record_batch([a, b, pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.bool_()), *none], [*kinds.names, *rows.schema.names])
+            if heads < width and parts > 1:
+                yield from edge(new.slice(0, width - heads), True)
+                heads += new.num_rows
+            kept = rows.slice(max(0, rows.num_rows - width))
+        if kept is not None and parts > 1:
+            yield from edge(kept, False)
+
+    def across(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("head", "ascending"), ("g", "ascending"), ("key", "ascending"), ("c", "ascending")]).combine_chunks()
+        start = rows.num_rows - sum(rows.column("head").to_pylist())
+        found = work_of()(rows, start, start, width, least)
+        return pa.table(_ends(rows, [x for x, _ in found], [y for _, y in found]), ["a", "b"])
+
+    schema = "a long, b long, part int, head boolean, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    out = rows.repartitionByRange(parts, "g", "key", "c").sortWithinPartitions("g", "key", "c").mapInArrow(run, schema)
+    if parts == 1:
+        return out.select("a", "b")
+    out = stored(out)
+    edges = out.where("a IS NULL").drop("a", "b")
+    follows = F.broadcast(edges.select(F.col("part").alias("before")).distinct().withColumn("border", F.lead("before").over(W.orderBy("before"))))  # one row a part
+    meet = edges.where("head").select("head", *names, F.col("part").alias("border")).unionByName(edges.where("NOT head").join(follows, F.col("part") == F.col("before")).where("border IS NOT NULL").select("head", *names, "border"))
+    return out.where("a IS NOT NULL").select("a", "b").union(meet.groupBy("border").applyInArrow(across, "a long, b long"))
 
 
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = [_linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            linked = [bool(_linked(np.frombuffer(x, np.uint64), [np.frombuffer(y, np.uint64)], percent)) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
     return run
 
 
-def _with_keys(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    """Semi or anti join of texts by doc_id; the ids are broadcast if they are known to be few."""
-    return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys, "doc_id", how)
+def _place(k: Column) -> Column:
+    return F.pmod(k, F.lit(MAP_BITS))
+
+
+def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """(digest, items): the shingle sets of the rows of docs (text, k) whose k is needed (k), each class once.
+
+    The needed rows are marked in a bit map of a fixed size that is broadcast; rows that share a mark by chance are read as well,
+    which costs their sets and changes nothing.  No text is shuffled."""
+    at = needed.select(_place(F.col("k")).alias("at"))
+    words = at.groupBy(F.floor(F.col("at") / 64).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS INT))")).alias("bits")).toPandas()  # MAP_BITS / 64 rows at most
+    marks = np.zeros(MAP_BITS // 64, np.int64)
+    marks[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    sent = docs.sparkSession.sparkContext.broadcast(marks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            place = whole.column(1).to_numpy()
+            marked = (sent.value[place // 64] >> (place % 64)) & 1
+            for batch in pieces(whole.filter(pa.array(marked == 1))):
+                w = Words(batch.column(0))
+                sets = [shingles(w.hashes[w.rows[i] : w.rows[i + 1]]) for i in range(len(w.rows) - 1)]
+                sets = [s for s in sets if len(s)]
+                yield pa.record_batch([pa.array([_class_of(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["digest", "items"])
+
+    sets = stored(docs.select("text", _place(F.col("k")).alias("at")).mapInArrow(run, "digest binary, items binary"))
+    if sets.groupBy("digest").count().where("count > 1").limit(1).count():  # rows repeat, or marks meet
+        sets = stored(sets.groupBy("digest").agg(F.first("items").alias("items")))
+    return sets
+
+
+def _with_keys(docs: DataFrame, keys: DataFrame, how: str, on: str = "doc_id") -> DataFrame:
+    """Semi or anti join by a key; the keys are broadcast if they are known to be few."""
+    return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys, on, how)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -200,127 +290,108 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     Two texts are linked if 100 * shared >= percent * all of their distinct 5-word shingles; component_id is the
     smallest doc_id reachable, kept its equality with doc_id.  Equal shingle sets are one class from the start, so
     copies cost one aggregation.  Texts without words have no shingles and no links; rows with a null id stay alone
-    (component null, kept); repeated rows repeat in the result, and equal ids with different texts are separate texts.
-
-    First turn: regions propose pairs (all of small groups, else a spanning forest by estimated similarity), full sets
-    confirm or refuse them, components join.  A region of more than DENSE classes is cut at deeper prefixes.  Second
-    turn: in groups that still lie in several components, every likely pair across them is confirmed or refused on
-    full sets; of a dense group, the texts outside its largest component meet all the others, block by block."""
-    return _found(docs, percent).drop("c")
+    (component null, kept); repeated rows repeat in the result, and equal ids with different texts are separate texts;
+    very long texts are read in full.  Other columns are not read, so their names can't clash.
+
+    First turn: in each order, regions of FEW texts propose all likely pairs, a text of a larger one its likeliest pair
+    among the DENSE neighbours before it; full sets confirm or refuse them, components join.  Second turn: in regions
+    that still lie in several components, every likely pair of neighbours across them is confirmed or refused on full
+    sets; texts of regions of more than DENSE texts, whose candidates share longer prefixes, do so in MORE_TREES further
+    orders.  A region costs its size times DENSE, whatever it holds."""
+    found = _found(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), percent)
+    component = F.coalesce("component_id", "doc_id")
+    return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def _found(docs: DataFrame, percent: int) -> DataFrame:
-    """near_duplicates with the class of each row's shingle set (c)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    feats = stored(docs.mapInArrow(_features, "doc_id long, n_shingles long, c long, sig binary"))
-    classes = stored(feats.where("c IS NOT NULL AND doc_id IS NOT NULL").groupBy("c").agg(F.min("doc_id").alias("first_id"), F.first("sig").alias("sig")))
+    """near_duplicates with the class of each row's shingle set (digest) and without kept."""
+    feats, of_class = _grouped(docs, percent, F.col("doc_id").isNotNull(), F.min("doc_id"))
+    return feats.join(of_class, (F.col("digest") == F.col("d")) & F.col("doc_id").isNotNull(), "left").select("doc_id", "n_shingles", F.col("first").alias("component_id"), "digest")
+
+
+def _grouped(docs: DataFrame, percent: int, takes_part: Column, first: Column) -> tuple[DataFrame, DataFrame]:
+    """The rows of docs (doc_id, text, ...) without texts and with n_shingles, digest and sig; and (d, first): of each
+    class of rows that take part, the least `first` of its component."""
+    docs = docs.select("text", F.xxhash64("doc_id", "text").alias("k"), *[c for c in docs.columns if c != "text"])
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
+    feats = stored(docs.mapInArrow(_features, kinds + ", n_shingles long, digest binary, sig binary"))
+    classes = feats.where(F.col("digest").isNotNull() & takes_part).groupBy("digest").agg(first.alias("first"), F.min("k").alias("k"), F.first("sig").alias("sig"))
+    classes = stored(classes.withColumn("c", F.monotonically_increasing_id()))
     labels = _labels(docs, classes, percent)
-
-    joined = classes.select("c", "first_id").join(labels, F.col("c") == F.col("node"), "left").select("c", "first_id", F.coalesce("label", "c").alias("label"))
-    least = joined.groupBy(F.col("label").alias("l")).agg(F.min("first_id").alias("component_id"))
-    of_class = joined.join(least, F.col("label") == F.col("l")).select(F.col("c").alias("k"), "component_id")
-    out = feats.join(of_class, (F.col("c") == F.col("k")) & F.col("doc_id").isNotNull(), "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "c")
+    joined = classes.select("c", "digest", "first").join(labels, F.col("c") == F.col("node"), "left").select("digest", "first", F.coalesce("label", "c").alias("label"))
+    least = joined.groupBy(F.col("label").alias("l")).agg(F.min("first").alias("least"))
+    return feats, joined.join(least, F.col("label") == F.col("l")).select(F.col("digest").alias("d"), F.col("least").alias("first"))
 
 
 def _labels(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    least = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / HASHES) ** 0.5
-    trees = classes.select("c", "sig").mapInArrow(_forest, "c long, g long, tree int")
-    groups = trees.groupBy("g").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.sum(F.xxhash64("c") % 2**40).alias("mark")).where("n > 1")
-    groups = stored(groups.groupBy("n", "low", "mark").agg(F.min("g").alias("g")).select(F.col("g").alias("own"), "n"))  # equal groups of several trees count once
+    least = percent / 100 - 4 * (percent / 100 * (1 - percent / 100) / HASHES) ** 0.5
+    trees = classes.select("c", "sig").mapInArrow(_prefixes(range(TREES)), "c long, g long, tree int")
+    groups = trees.groupBy("g").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.bit_xor(F.xxhash64("c")).alias("x"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("y")).where("n > 1")
+    # equal regions of several trees count once where all their pairs are proposed
+    groups = groups.groupBy("n", "low", "x", "y", F.when(F.col("n") > FEW, F.col("g")).alias("_g")).agg(F.min("g").alias("own"))
+    groups = stored(groups.select("own", "n"))
     few = groups.count() <= BROADCAST_IDS
     members = stored(trees.join(F.broadcast(groups) if few else groups, F.col("g") == F.col("own")).select("c", "g", "tree", "n"))
-    sigs = classes.select(F.col("c").alias("k"), "sig")
-    members_sig = members.join(sigs, F.col("c") == F.col("k"))
-    dense = groups.where(F.col("n") > DENSE).limit(1).count() > 0
-
-    ids = members.select("c").distinct().join(classes.select(F.col("c").alias("k"), "first_id"), F.col("c") == F.col("k")).select(F.col("first_id").alias("doc_id")).distinct()
-    sets = stored(_with_keys(docs, stored(ids), "left_semi").select("text").mapInArrow(_shingle_sets, "c long, items binary"))
-    if sets.groupBy("c").count().where("count > 1").limit(1).count():  # ids or texts repeat
-        sets = stored(sets.groupBy("c").agg(F.first("items").alias("items")))
-
-    units = members_sig.where(F.col("n") <= DENSE).select(F.col("g").alias("unit"), "c", F.col("c").alias("label"), F.lit(0).alias("side"), "sig")
-    if dense:
-        blocks = _dense_regions(members_sig.where(F.col("n") > DENSE))
-        units = units.union(blocks.select("unit", "c", F.col("c").alias("label"), F.lit(0), "sig"))
-    pairs = _by_region(units).mapInArrow(_regions(_proposed, least, percent), "a long, b long").distinct()
-    one, two = sets.select(F.col("c").alias("c1"), F.col("items").alias("x")), sets.select(F.col("c").alias("c2"), F.col("items").alias("y"))
-    links = pairs.join(one, F.col("a") == F.col("c1")).join(two, F.col("b") == F.col("c2")).select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long, linked boolean")
-    links = stored(links.where("linked").select("a", "b"))
+    of = classes.select(F.col("c").alias("k_c"), "sig", "digest", "k")
+
+    def strings(rows: DataFrame, *more: str) -> DataFrame:
+        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name not in ("sig", "tree"))
+        return rows.select("sig", "tree", "c", "g", *more).mapInArrow(_strings, "key binary, " + kinds).select("g", "key", "c", *more)
+
+    ordered = stored(strings(members.join(of.select("k_c", "sig"), F.col("c") == F.col("k_c")).select("sig", "tree", "c", "g", "n"), "n"))
+    pairs = _in_order(ordered, percent, least, False).distinct()
+    needed = members.select("c").distinct().join(of.select("k_c", "k"), F.col("c") == F.col("k_c")).select("k")
+    sets = _sets(docs, needed)
+    one, two = of.select(F.col("k_c").alias("c1"), F.col("digest").alias("d1")), of.select(F.col("k_c").alias("c2"), F.col("digest").alias("d2"))
+    x, y = sets.select(F.col("digest").alias("dx"), F.col("items").alias("x")), sets.select(F.col("digest").alias("dy"), F.col("items").alias("y"))
+    links = pairs.join(one, F.col("a") == F.col("c1")).join(two, F.col("b") == F.col("c2")).join(x, F.col("d1") == F.col("dx")).join(y, F.col("d2") == F.col("dy"))
+    links = stored(links.select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long, linked boolean").where("linked").select("a", "b"))
     labels = stored(components(links))
-    units = _open_units(members, dense, labels)
-    if units is None:
+
+    rows = members.where(F.col("n") > FEW).join(labels, F.col("c") == F.col("node"), "left").select("g", "tree", "n", "c", F.coalesce("label", "c").alias("label"))
+    rows = stored(rows)
+    undecided = rows.groupBy("g").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).where("l1 <> l2").select(F.col("g").alias("og"))
+    rows = stored(rows.join(undecided, F.col("g") == F.col("og"), "left_semi"))
+    if not rows.limit(1).count():
         return labels
-    units = units.join(sigs, F.col("c") == F.col("k")).join(sets.withColumnRenamed("c", "of"), F.col("c") == F.col("of")).select("unit", "c", "label", "side", "sig", "items")
-    more = stored(_by_region(units).mapInArrow(_regions(_resolved, least, percent), "a long, b long"))
+    dense = stored(rows.where(F.col("n") > DENSE).select("c", "label").distinct())
+    rows = rows.select("c", "g", "tree", "label")
+    if dense.limit(1).count():
+        more = dense.join(of.select("k_c", "sig"), F.col("c") == F.col("k_c")).select("c", "sig").mapInArrow(_prefixes(range(TREES, TREES + MORE_TREES)), "c long, g long, tree int")
+        rows = rows.union(more.join(dense.select(F.col("c").alias("dc"), "label"), F.col("c") == F.col("dc")).select("c", "g", "tree", "label"))
+    rows = rows.join(of.select("k_c", "sig", F.col("digest").alias("d")), F.col("c") == F.col("k_c")).join(sets, F.col("d") == F.col("digest")).select("sig", "tree", "c", "g", "label", "items")
+    more = stored(_in_order(stored(strings(rows, "label", "items")), percent, least, True))
     if not more.limit(1).count():
         return labels
     return stored(components(links.union(more)))
 
 
-def _by_region(units: DataFrame) -> DataFrame:
-    return units.repartition("unit").sortWithinPartitions("unit")
-
-
-def _block(parts: Column) -> Column:
-    return F.pmod(F.xxhash64("c", F.lit(3)), parts)
-
-
-def _dense_regions(rows: DataFrame) -> DataFrame:
-    """(unit, c, sig): dense regions cut at the first deeper prefix that leaves DENSE classes at most, else by hash."""
-    deep = stored(rows.select("c", "g", "tree", "sig").mapInArrow(_deeper, "c long, g long, d1 long, d2 long"))
-    n1 = deep.groupBy("g", "d1").agg(F.count("*").alias("n1"))
-    n2 = deep.groupBy("g", "d1", "d2").agg(F.count("*").alias("n2"))
-    cut = deep.join(n1, ["g", "d1"]).join(n2, ["g", "d1", "d2"])
-    unit = F.when(F.col("n1") <= DENSE, F.xxhash64("g", "d1")).otherwise(F.xxhash64("g", "d1", "d2", _block(F.ceil(F.col("n2") / DENSE))))
-    return cut.select(unit.alias("unit"), F.col("c").alias("own"), F.col("g").alias("own_g")).join(rows.select("c", "g", "sig"), (F.col("own") == F.col("c")) & (F.col("own_g") == F.col("g"))).select("unit", "c", "sig")
-
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), 85)
 
-def _open_units(members: DataFrame, dense: bool, labels: DataFrame) -> DataFrame | None:
-    """(unit, c, label, side) of the groups whose texts still lie in several components; None if there are none.
 
-    In a dense group, side 2 holds the texts outside its largest component, side 1 all; every block of the one meets
-    every block of the other, and only pairs with a text of side 2 count."""
-    rows = members.where(F.col("n") > FEW).join(labels, F.col("c") == F.col("node"), "left").select("g", "n", "c", F.coalesce("label", "c").alias("label"))
-    rows = stored(rows)
-    open_groups = rows.groupBy("g").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).where("l1 <> l2").select(F.col("g").alias("og"))
-    rows = stored(rows.join(open_groups, F.col("g") == F.col("og"), "left_semi"))
-    if not rows.limit(1).count():
-        return None
-    units = rows.where(F.col("n") <= DENSE).select(F.col("g").alias("unit"), "c", "label", F.lit(0).alias("side"))
-    if not dense:
-        return units
-    rows = rows.where(F.col("n") > DENSE)
-    sizes = rows.groupBy("g", "label").count()
-    largest = sizes.groupBy(F.col("g").alias("lg")).agg(F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("total"))
-    rows = rows.join(largest, F.col("g") == F.col("lg")).select("g", "c", "label", (F.col("label") != F.col("top.label")).alias("out"), F.ceil(F.col("total") / DENSE).alias("nb"), F.ceil((F.col("total") - F.col("top.count")) / DENSE).alias("ub"))
-    one = rows.select("g", "c", "label", _block(F.col("nb")).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("ub") - 1)).alias("j"), F.lit(1).alias("side"))
-    two = rows.where("out").select("g", "c", "label", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).alias("i"), _block(F.col("ub")).alias("j"), F.lit(2).alias("side"))
-    return units.union(one.union(two).select(F.xxhash64("g", "i", "j").alias("unit"), "c", "label", "side"))
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), 85)
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near-duplicates (similarity 0.8 or more) stays: of the smallest doc_id (null last), of its
+    rows the first in the table.  Rows are told apart by their place in the files of docs, not by id, so rows of one
+    id with different texts, rows repeated with one id, and rows with a null id each count as what they are.  Texts
+    without words are near nothing and stay.  Other columns of docs are left out."""
+    docs = docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id())
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("_row"))
+    feats, of_class = _grouped(docs.select("doc_id", "text", "_row"), 80, F.lit(True), F.min(place))
+    gone = stored(feats.join(of_class, F.col("digest") == F.col("d")).where(F.col("_row") != F.col("first._row")).select("_row"))
+    return _with_keys(docs, gone, "left_anti", "_row").select(*COLUMNS)
 
 
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (similarity 0.8 or more) stays: the smallest doc_id.
-
-    Rows go by id and text: where an id has several texts, only those that are duplicates go.  Rows repeated with one
-    id all stay if that id is the smallest of its group."""
-    found = stored(_found(docs.select("doc_id", "text"), 80).select("doc_id", "c", "kept"))
-    gone = found.where("NOT kept").select("doc_id", "c").distinct()
-    ids = stored(gone.select("doc_id").distinct())
-    docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
-    out = _with_keys(docs, ids, "left_anti")
-    mixed = stored(_with_keys(found.where("kept").select("doc_id"), ids, "left_semi").distinct())
-    if not mixed.limit(1).count():
-        return out
-    # ids of which some texts go and others stay
-    rows = _with_keys(docs, mixed, "left_semi").mapInArrow(_with_class, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema) + ", c long")
-    gone = stored(_with_keys(gone, mixed, "left_semi"))
-    return out.union(rows.join(gone, ["doc_id", "c"], "left_anti").select(*docs.columns))
+    """As one_of_each, by id and text: where an id has several texts, only those that are duplicates go; rows repeated with
+    one id all stay if that id is the smallest of its group, and rows of null ids stay."""
+    docs = docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id())
+    feats, of_class = _grouped(docs.select("doc_id", "text", "_row"), 80, F.col("doc_id").isNotNull(), F.min("doc_id"))
+    gone = stored(feats.join(of_class, (F.col("digest") == F.col("d")) & (F.col("doc_id") != F.col("first"))).select("_row"))
+    return _with_keys(docs, gone, "left_anti", "_row").select(*COLUMNS)
 
 
 OP6_SQL = r"""

@@ -102,3 +102,37 @@ def test_components(spark):
         up[max(x, y)] = min(x, y)
     assert got == {i: root(i) for a, b in edges if a != b for i in (a, b)}
     assert K.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_borders_between_parts(spark, documents, monkeypatch, percent):
+    """Orders cut into many small parts: neighbours on both sides of a border meet."""
+    monkeypatch.setattr(N, "PART", 16)
+    monkeypatch.setattr(N, "DENSE", 24)
+    rng = random.Random(8)
+    rows = []
+    for k in range(6):
+        base = " ".join(str(rng.randrange(10**6)) for _ in range(100))
+        rows += [(100 * k + i, near(rng, base, rng.choice([1, 1, 2, 3]))) for i in range(25)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in N.near_duplicates(documents(rows), percent).collect()}
+    assert got == brute(rows, percent)
+
+
+def test_region_without_links(spark, documents):
+    """Texts that share boilerplate but no link stay apart, one pair among them is found."""
+    rng = random.Random(9)
+    shared = [str(rng.randrange(10**6)) for _ in range(80)]
+    rows = [(i, " ".join(shared + [f"own{i}x{k}" for k in range(20)])) for i in range(400)]
+    rows.append((1000, rows[77][1] + " end"))
+    got = {r["doc_id"]: r["component_id"] for r in N.near_duplicates(documents(rows), 85).where("NOT kept").collect()}
+    assert got == {1000: 77}
+
+
+def test_one_of_each(spark, documents):
+    """One row of a group stays, whatever its id: repeated, shared and null ids, texts without words, other columns."""
+    text = " ".join(str(i) for i in range(300))
+    rows = [(7, text), (3, text), (None, text), (None, "x"), (None, "X"), (9, "same words here and there"), (9, "same words here and there"), (9, "a text of its own"), (5, None), (5, ""), (6, text + " end")]
+    kept = N.one_of_each(spark, documents(rows), "").collect()
+    assert sorted((str(r["doc_id"]), (r["text"] or "").lower()[:9]) for r in kept) == [("3", "0 1 2 3 4"), ("5", ""), ("5", ""), ("9", "a text of"), ("9", "same word"), ("None", "x")]
+    assert kept[0].asDict().keys() == {"doc_id", "text", "lang", "source", "n_chars"}
+    assert N.one_of_each(spark, documents(rows).limit(0), "").count() == 0
