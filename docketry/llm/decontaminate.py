@@ -1,5 +1,5 @@
 """Benchmark decontamination: a BM25 inverted index of test items with block maxima; every training passage is a
-query, WAND bounds skip what can't reach the threshold, and hits are verified by question and answer overlap."""
+query, block-max WAND skips what can't reach the threshold, and hits are verified by question and answer overlap."""
 
 from __future__ import annotations
 
@@ -11,8 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _SHINGLE, Words, mix, pieces, shingles, stored, table
-from .neardup import _with_keys
+from .common import _SHINGLE, Words, mix, pieces, shingles, table
 from .toxicity import _BREAK, _STOP
 
 #: BM25's constants; least words of a passage (longer if an item is: passages overlap by half, so three quarters of
@@ -23,8 +22,8 @@ K1, B, PASSAGE, RANGES = 1.2, 0.75, 64, 64
 #: one sentence, often of a word or two.
 RETRIEVE, OVERLAP, ASKED = 0.5, 0.8, 5
 #: Items and characters of one index, which is broadcast (some 16 bytes a character and 256 a term); more make more
-#: indexes, each run over all texts.
-INDEX_ITEMS, INDEX_CHARS = 4096, 4_000_000
+#: indexes, of which so many are probed in one pass over the texts.
+INDEX_ITEMS, INDEX_CHARS, INDEXES_A_PASS = 4096, 4_000_000, 4
 
 
 class Index(NamedTuple):
@@ -92,8 +91,8 @@ def _slices(start: np.ndarray, terms: np.ndarray) -> np.ndarray:
 def retrieve(index: Index, words: Words, threshold: float = RETRIEVE) -> list[tuple[int, int, int, float]]:
     """(row, first word, item, score) of every passage and item with score >= threshold.
 
-    Bounds come first: the sum of the terms' peaks over all items, then over each range of items; only postings in
-    ranges that can reach the threshold are read and scored."""
+    Bounds of all passages come first, by arrays: the sum of the terms' peaks over all items, then over each range of
+    items.  Passages that some range lets through are then walked by block-max WAND."""
     if not len(index.terms) or not len(words.hashes):
         return []
     at = np.minimum(np.searchsorted(index.terms, words.hashes), len(index.terms) - 1)
@@ -127,14 +126,52 @@ def retrieve(index: Index, words: Words, threshold: float = RETRIEVE) -> list[tu
         heads = cuts[x : x + 513]
         bound = np.add.reduceat(index.bounds[which[heads[0] : heads[-1]]], heads[:-1] - heads[0], axis=0) >= threshold
         for i in np.flatnonzero(bound.any(1)):
-            p = _slices(index.start, which[heads[i] : heads[i + 1]])
-            p = p[bound[i][index.item[p] // index.size]]
-            score = np.bincount(index.item[p], index.impact[p])
             r = int(np.searchsorted(base, number[heads[i]], side="right") - 1)
-            out += [(r, int(number[heads[i]] - base[r]) * step, int(k), float(score[k])) for k in np.flatnonzero(score >= threshold)]
+            out += [(r, int(number[heads[i]] - base[r]) * step, k, score) for k, score in _wand(index, which[heads[i] : heads[i + 1]], threshold)]
     return out
 
 
+def _wand(index: Index, terms: np.ndarray, threshold: float) -> Iterator[tuple[int, float]]:
+    """Block-max WAND, item by item: (item, score) with score >= threshold for a passage's distinct terms.
+
+    Cursors stand in order of their items.  The pivot is the first item that the peaks of the cursors up to it allow;
+    cursors before it skip to it.  Where the blocks' own maxima do not allow it, all of them skip past the block."""
+    item, impact, size = index.item, index.impact, index.size
+    cursors = [[int(index.start[t]), int(index.start[t + 1]), int(t)] for t in terms]
+
+    def skip(c: list[int], to: int) -> None:
+        c[0] += int(np.searchsorted(item[c[0] : c[1]], to))
+
+    while cursors:
+        cursors = sorted((c for c in cursors if c[0] < c[1]), key=lambda c: item[c[0]])
+        total, pivot = 0.0, -1
+        for j, c in enumerate(cursors):
+            total += index.peak[c[2]]
+            if total >= threshold:
+                pivot = j
+                break
+        if pivot < 0:
+            return
+        at = int(item[cursors[pivot][0]])
+        while pivot + 1 < len(cursors) and item[cursors[pivot + 1][0]] == at:
+            pivot += 1
+        head = cursors[: pivot + 1]
+        if index.bounds[[c[2] for c in head], at // size].sum() < threshold:
+            past = (at // size + 1) * size
+            past = min(past, int(item[cursors[pivot + 1][0]])) if pivot + 1 < len(cursors) else past
+            for c in head:
+                skip(c, past)
+        elif item[head[0][0]] == at:
+            score = float(sum(impact[c[0]] for c in head))
+            if score >= threshold:
+                yield at, score
+            for c in head:
+                c[0] += 1
+        else:
+            for c in head:
+                skip(c, at)
+
+
 def retrieve_questions(index: Index, words: Words, overlap: float) -> list[tuple[int, int, int, float]]:
     """(row, first word, item, score) of the passages that hold shingles of a question, in rows with `overlap` of them.
 
@@ -199,13 +236,20 @@ def verify(index: Index, words: Words, hits: list[tuple[int, int, int, float]])
         yield r, i, score, question, answer, whole, -first, verdict
 
 
-def _scan(sent, threshold: float, overlap: float):
+def _hits(sent: list, words: Words, threshold: float, overlap: float) -> Iterator[tuple[int, int, float, float, float, float, int]]:
+    """(row, item_id, score, question, answer, whole overlap, first word) of the leaks in some texts."""
+    for one in sent:
+        index = one.value
+        for r, i, score, question, answer, whole, first, verdict in verify(index, words, retrieve(index, words, threshold) + retrieve_questions(index, words, overlap)):
+            if verdict >= overlap:
+                yield r, int(index.items[i]), score, question, answer, whole, first
+
+
+def _scan(sent: list, threshold: float, overlap: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = sent.value
         for whole in batches:
             for batch in pieces(whole, 1):
-                words = Words(batch.column(1), _BREAK, latin=True)
-                rows = [(r, int(index.items[i]), s, q, a, w, f) for r, i, s, q, a, w, f, v in verify(index, words, retrieve(index, words, threshold) + retrieve_questions(index, words, overlap)) if v >= overlap]
+                rows = list(_hits(sent, Words(batch.column(1), _BREAK, latin=True), threshold, overlap))
                 c = list(zip(*rows, strict=True)) or [[]] * 7
                 kinds = [pa.int64(), *[pa.float64()] * 4, pa.int64()]
                 yield pa.record_batch([batch.column(0).take(pa.array(c[0], pa.int64())), *[pa.array(x, t) for x, t in zip(c[1:], kinds, strict=True)]], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "overlap", "first_word"])
@@ -213,25 +257,62 @@ def _scan(sent, threshold: float, overlap: float):
     return run
 
 
+def _keep_clean(sent: list, threshold: float, overlap: float):
+    """Rows (text, ...) that hold no item."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in pieces(whole):
+                clean = np.ones(batch.num_rows, bool)
+                clean[[r for r, *_ in _hits(sent, Words(batch.column(0), _BREAK, latin=True), threshold, overlap)]] = False
+                yield batch.filter(pa.array(clean))
+
+    return run
+
+
+def _passes(items: DataFrame) -> Iterator[list]:
+    """Broadcast indexes, as many as one pass over the texts probes at once.
+
+    Items of like length share an index, since its passages are as long as its longest item: one index for those of up to
+    PASSAGE words, one for up to twice as many, and so on.  An index holds INDEX_ITEMS and INDEX_CHARS at most but for a
+    single item; a pass broadcasts INDEXES_A_PASS of them."""
+    sc = items.sparkSession.sparkContext
+    items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
+    words = F.greatest(F.regexp_count("text", F.lit(r"[^\s!-/:-@\[-`{-~]+")), F.lit(PASSAGE))
+    items = items.withColumn("length", F.ceil(F.log2(words / PASSAGE)).cast("int"))
+    sent = []
+    for size in items.groupBy("length").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).orderBy("length").collect():  # a row a doubling of the length
+        shards = max(1, -(-size["n"] // INDEX_ITEMS), -(-size["chars"] // INDEX_CHARS))
+        for k in range(shards):
+            rows = items.where((F.col("length") == size["length"]) & (F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k)).orderBy("item_id", "text").collect()
+            if rows:
+                sent.append(sc.broadcast(build([r["item_id"] for r in rows], [r["text"] for r in rows])))
+            if len(sent) == INDEXES_A_PASS:
+                yield sent
+                sent = []
+    if sent:
+        yield sent
+
+
 def leaks(docs: DataFrame, items: DataFrame, threshold: float = RETRIEVE, overlap: float = OVERLAP) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap, overlap, first_word): the items that a document
     holds, one row a document row and item.
 
-    Words are runs without white space or ASCII punctuation, A-Z and À-Þ lower-cased.  Every passage of PASSAGE words, one
-    each STEP words, is a query over all items; shingles of questions are looked up besides.  A leak needs `overlap` of the 5-word shingles of the item, or of its
-    question (of ASKED words at least) without its answer (the last sentence), around the passage; all three shares are
-    reported.  Parts of under 5 words count as found where they stand as a run.  Null and empty texts,
-    items without words and null item ids match nothing; repeated rows repeat; items with equal texts each match."""
-    spark = docs.sparkSession
-    docs, items = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL")
-    size = items.agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).first()
-    shards, out = max(1, -(-size["n"] // INDEX_ITEMS), -(-(size["chars"] or 0) // INDEX_CHARS)), None
-    for k in range(shards):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k).orderBy("item_id", "text").collect()
-        index = build([r["item_id"] for r in rows], [r["text"] for r in rows])
-        part = docs.mapInArrow(_scan(spark.sparkContext.broadcast(index), threshold, overlap), "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, overlap double, first_word long")
+    Words are runs without white space or ASCII punctuation, A-Z and À-Þ lower-cased.  Every passage of an index's
+    length, one each half of it, is a query over the index; shingles of questions are looked up besides.  A leak needs
+    `overlap` of the 5-word shingles of the item, or of its question (of ASKED words at least) without its answer (the
+    last sentence; of a single sentence, its last quarter), around the passage; all three shares are reported.  Parts
+    of under 5 words count as found where they stand as a run.
+
+    Null and empty texts, items without words and null item ids match nothing; very long texts are read in full, in
+    overlapping passages; repeated rows repeat; items with equal texts each match; other columns of docs and items are
+    not read, so their names can't clash."""
+    docs, out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), None
+    schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, overlap double, first_word long"
+    for sent in _passes(items):
+        part = docs.mapInArrow(_scan(sent, threshold, overlap), schema)
         out = part if out is None else out.union(part)
-    return out
+    return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,6 +320,9 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold an item of the benchmark go."""
-    found = stored(leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct())
-    return _with_keys(docs.select("doc_id", "text", "lang", "source", "n_chars"), found, "left_anti")
+    """Rows that hold an item of the benchmark go.  Each row is judged by its own text, whatever its id: null, shared and
+    repeated ids make no difference; null and empty texts stay; other columns of docs are left out."""
+    docs = docs.select("text", "doc_id", "lang", "source", "n_chars")
+    for sent in _passes(table(spark, sf_dir, "benchmark")):
+        docs = docs.mapInArrow(_keep_clean(sent, RETRIEVE, OVERLAP), docs.schema)
+    return docs.select("doc_id", "text", "lang", "source", "n_chars")

@@ -86,3 +86,27 @@ def test_brute_force_on_tables(spark, data):
     docs = {r["doc_id"]: grams(cut(r["text"])) for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
     want = {(d, i) for d, g in docs.items() for i, s in items.items() if s and len(s & g) >= 0.8 * len(s)}
     assert {(r["doc_id"], r["item_id"]) for r in D.op2_decontamination(spark, data).collect()} == want
+
+
+def test_items_of_all_lengths(spark, documents):
+    """Long items have an index of their own, so short ones keep short passages; all are found in one pass."""
+    rng = random.Random(6)
+    pool = [f"w{i}" for i in range(900)]
+    items = [(i, " ".join(rng.choices(pool, k=k)) + ".") for i, k in enumerate([3, 5, 20, 64, 65, 130, 900, 3000])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert [[s.value.passage for s in sent] for sent in D._passes(bench)][0][0] == D.PASSAGE
+    filler = " ".join(rng.choices(pool, k=2000))
+    rows = documents([(i, f"{filler} {t} {filler}") for i, t in items] + [(50, filler)])
+    assert {(r["doc_id"], r["item_id"]) for r in D.leaks(rows, bench).collect()} == {(i, i) for i, _ in items}
+
+
+def test_stage_judges_rows_not_ids(spark, documents, tmp_path):
+    rng = random.Random(7)
+    items, vocabulary = make(rng, 12)
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    clean = " ".join(rng.choices(vocabulary, k=80))
+    rows = [(None, items[1][1]), (None, clean), (4, items[2][1]), (4, clean), (5, clean), (5, clean), (6, None), (7, ""), (8, clean * 200 + items[3][1])]
+    kept = D.pipeline_stage(spark, documents(rows), str(tmp_path)).collect()
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in kept) == sorted([("None", clean), ("4", clean), ("5", clean), ("5", clean), ("6", ""), ("7", "")])
+    assert kept[0].asDict().keys() == {"doc_id", "text", "lang", "source", "n_chars"}
+    assert D.pipeline_stage(spark, documents(rows).limit(0), str(tmp_path)).count() == 0
