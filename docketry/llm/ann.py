@@ -16,14 +16,21 @@ from .common import stored, table
 
 #: Documented bounds: the vectors that fit centroids and codebooks, and the coarse lists.
 FIT_ROWS, MOST_LISTS = 16_384, 1024
-#: Bytes of a code; share of the lists that a query probes, and the least number; reranked a block; rows of a block.
-CODE, PROBE_SHARE, LEAST_PROBES, RERANK, BLOCK = 16, 0.75, 16, 64, 4096
+#: Sampled queries that set how many lists are probed and how many rows are reranked, and the share of their exact
+#: neighbours that the lists, and the rows in front by codes, must hold.
+TRIED, NEEDED = 512, 0.97
+#: Least number of rows that a query reranks exactly, over all lists together, and their largest share of all rows.
+RERANK, RERANK_SHARE = 40, 0.02
+#: Bytes of a code; rows and queries of a block.
+CODE, BLOCK = 16, 4096
 
 
 class Index(NamedTuple):
     centroids: np.ndarray  # lists x width, unit vectors padded to a multiple of CODE
     codebooks: np.ndarray  # CODE x 256 x (width / CODE)
     counts: np.ndarray  # rows of each list
+    probes: int  # lists that a query looks into
+    depth: int  # rows of the sample that hold its neighbours, in the order of the codes
 
 
 def valid_vectors(df: DataFrame) -> DataFrame:
@@ -61,16 +68,28 @@ def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.concatenate([np.zeros(0, np.int64), *[(x[i : i + 2048] @ centres.T - half).argmax(1) for i in range(0, len(x), 2048)]])
 
 
-def fit(sample: np.ndarray, lists: int) -> Index:
+def fit(sample: np.ndarray, lists: int, k: int = 5) -> Index:
+    """Centroids and codebooks of the residuals; and what TRIED vectors need to find NEEDED of their exact k neighbours
+    within the sample: the number of lists, nearest first, and of rows in the order of the codes."""
     width = -(-sample.shape[1] // CODE) * CODE
     rng, x = np.random.default_rng(5), _unit(sample, width)
     centroids = _kmeans(x, lists, 12, rng)
-    rest = x - centroids[_nearest(x, centroids)]
-    parts = rest.reshape(len(x), CODE, -1)
-    return Index(centroids, np.stack([_kmeans(np.ascontiguousarray(parts[:, m]), 256, 8, rng) for m in range(CODE)]), np.zeros(lists, np.int64))
-
-
-def _encode(index: Index, dim: int):
+    own = _nearest(x, centroids)
+    parts = (x - centroids[own]).reshape(len(x), CODE, -1)
+    codebooks = np.stack([_kmeans(np.ascontiguousarray(parts[:, m]), 256, 8, rng) for m in range(CODE)])
+    decoded = centroids[own] + np.concatenate([codebooks[m][_nearest(np.ascontiguousarray(parts[:, m]), codebooks[m])] for m in range(CODE)], 1)
+    k, places, ranks = min(k, len(x) - 1), [], []
+    for i in rng.permutation(len(x))[:TRIED]:
+        near, coded = x @ x[i], decoded @ x[i]
+        near[i] = coded[i] = -np.inf
+        best = np.argsort(-near, kind="stable")[:k]
+        places.append(np.argsort(np.argsort(-(centroids @ x[i]), kind="stable"))[own[best]])
+        ranks.append((coded > coded[best][:, None]).sum(1))
+    last = lambda found: int(np.quantile(np.concatenate(found), NEEDED, method="higher")) + 1
+    return Index(centroids, codebooks, np.zeros(lists, np.int64), *((last(places), last(ranks)) if k else (lists, 1)))
+
+
+def _encode(index: Index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _unit(_vectors(batch.column(1)), index.centroids.shape[1])
@@ -82,87 +101,134 @@ def _encode(index: Index, dim: int):
     return run
 
 
+def _units(index: Index) -> tuple[np.ndarray, np.ndarray]:
+    """First unit and number of units of each list: lists of near centroids share a unit of BLOCK rows, larger lists
+    are split over several."""
+    middle = index.centroids - index.centroids.mean(0)
+    first, several, unit, held = np.zeros(len(middle), np.int64), np.maximum(1, -(-index.counts // BLOCK)), 0, 0
+    axis = np.linalg.svd(middle, full_matrices=False)[2][0]
+    for one in np.argsort(middle @ axis, kind="stable").tolist():
+        n = int(index.counts[one])
+        if held and held + n > BLOCK:
+            unit, held = unit + 1, 0
+        first[one] = unit
+        if several[one] > 1:
+            unit, held = unit + int(several[one]), 0
+        else:
+            held += n
+    return first, several
+
+
 def _probe(index: Index, least: int):
-    """The lists that each query looks into, nearest first, until they hold `least` rows at least."""
-    probes = min(len(index.centroids), max(LEAST_PROBES, round(PROBE_SHARE * len(index.centroids))))
+    """For each query and unit, the lists of the unit that it looks into: nearest first, until they hold `least` rows at
+    least.  The query's vector goes to a unit once, not once a list."""
+    first, several = _units(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _unit(_vectors(batch.column(1)), index.centroids.shape[1])
             order = np.argsort(-(x @ index.centroids.T), axis=1, kind="stable")
             held = np.cumsum(index.counts[order], axis=1)
-            need = np.maximum(probes, np.minimum((held < least).sum(1) + 1, order.shape[1]))
-            row = np.repeat(np.arange(len(x)), need)
-            lists = order[row, np.arange(len(row)) - np.repeat(np.cumsum(need) - need, need)] if len(row) else np.zeros(0, np.int64)
-            yield pa.record_batch([batch.column(0).take(pa.array(row)), batch.column(2).take(pa.array(row)), pa.array(lists.astype(np.int32)), batch.column(1).take(pa.array(row))], ["query_id", "q", "list", "vector"])
+            need = np.maximum(index.probes, np.minimum((held < least).sum(1) + 1, order.shape[1]))
+            rows, units, lists = [], [], []
+            for i, n in enumerate(need.tolist()):
+                own = order[i, :n]
+                every = np.repeat(own, several[own])
+                at = np.repeat(first[own], several[own]) + np.arange(len(every)) - np.repeat(np.cumsum(several[own]) - several[own], several[own])
+                by = np.argsort(at, kind="stable")
+                which, start = np.unique(at[by], return_index=True)
+                rows += [i] * len(which)
+                units += which.tolist()
+                lists += [x.tolist() for x in np.split(every[by], start[1:])]
+            yield pa.record_batch([batch.column(0).take(pa.array(rows, pa.int64())), batch.column(2).take(pa.array(rows, pa.int64())), pa.array(units, pa.int64()), pa.array(lists, pa.list_(pa.int32())), batch.column(1).take(pa.array(rows, pa.int64()))], ["query_id", "q", "unit", "lists", "vector"])
 
     return run
 
 
-def _search(index: Index, k: int):
-    kind = pa.schema([("q", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+def _search(index: Index, rerank: int):
+    """The best rows of a unit for each of its queries, by distance tables of codes."""
+    kind = pa.schema([("q", pa.int64()), ("query_id", pa.int64()), ("row", pa.int64()), ("vec_id", pa.int64()), ("near", pa.float32())])
 
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
         if not rows.num_rows or not queries.num_rows:
             return kind.empty_table()
         rows = rows.sort_by("vec_id").combine_chunks()
         queries = queries.combine_chunks()
-        ids, x = rows.column("vec_id").to_numpy(), _vectors(rows.column("embedding").combine_chunks())
-        codes = np.frombuffer(b"".join(rows.column("codes").to_pylist()), np.uint8).reshape(-1, CODE)
-        norms = np.sqrt((x * x).sum(1))
-        q, qids, y = queries.column("q").to_numpy(), queries.column("query_id").to_numpy(), _vectors(queries.column("vector").combine_chunks())
-        unit = _unit(y, index.centroids.shape[1])
+        ids, row, own = rows.column("vec_id").to_numpy(), rows.column("row").to_numpy(), rows.column("list").to_numpy()
+        codes = np.ascontiguousarray(np.frombuffer(b"".join(rows.column("codes").to_pylist()), np.uint8).reshape(-1, CODE).T)
+        q, qids, lists = queries.column("q").to_numpy(), queries.column("query_id").to_numpy(), queries.column("lists").to_pylist()
+        unit = _unit(_vectors(queries.column("vector").combine_chunks()), index.centroids.shape[1])
         out = []
         for a in range(0, len(q), 32):
-            tables = np.einsum("qms,mcs->qmc", unit[a : a + 32].reshape(-1, CODE, unit.shape[1] // CODE), index.codebooks)
-            near = np.zeros((len(tables), len(ids)), np.float32)
+            x = unit[a : a + 32]
+            tables = np.einsum("qms,mcs->mqc", x.reshape(len(x), CODE, -1), index.codebooks)
+            near = (x @ index.centroids.T)[:, own]
             for m in range(CODE):
-                near += tables[:, m, :][:, codes[:, m]]
-            for i in range(len(near)):
-                own, n = near[i], qids[a + i]
-                own[ids == n] = -np.inf
-                least = np.partition(own, len(own) - RERANK)[len(own) - RERANK] if len(own) > RERANK else -np.inf
-                at = np.flatnonzero((own >= least) & (own > -np.inf))
-                at = at[np.argsort(-own[at], kind="stable")][:RERANK]  # ties: the smaller vec_id, as rows are sorted
-                v = y[a + i]
-                score = (x[at] * v).sum(1) / (norms[at] * np.sqrt((v * v).sum()))
-                best = np.lexsort((ids[at], -score))[:k]
-                out.append((np.full(len(best), q[a + i]), np.full(len(best), n), ids[at[best]], score[best]))
+                near += tables[m].take(codes[m], axis=1)
+            for i in range(len(x)):
+                probed = np.zeros(len(index.centroids), bool)
+                probed[lists[a + i]] = True
+                at = np.flatnonzero(probed[own] & (ids != qids[a + i]))
+                if len(at) > rerank:
+                    least = np.partition(near[i, at], len(at) - rerank)[len(at) - rerank]
+                    at = at[near[i, at] >= least]
+                    at = at[np.argsort(-near[i, at], kind="stable")][:rerank]  # ties: the smaller vec_id, as rows are sorted
+                out.append((np.full(len(at), q[a + i]), np.full(len(at), qids[a + i]), row[at], ids[at], near[i, at]))
         return pa.table([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], schema=kind)
 
     return run
 
 
+def _cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (q, query_id, vec_id, vector, embedding) with the exact cosine instead of the vectors."""
+    for batch in batches:
+        x, y = _vectors(batch.column(3)), _vectors(batch.column(4))
+        score = (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1))) if len(x) else np.zeros(0)
+        yield pa.record_batch([*batch.columns[:3], pa.array(score, pa.float64())], ["q", "query_id", "vec_id", "score"])
+
+
 def nearest(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest by cosine, ties to the smaller vec_id, of every row for which
     the column is_query holds, among all rows with another vec_id.
 
-    Centroids and codebooks are fitted on a bounded sample in hash order; every row is indexed.  Vectors that are
-    null, empty, zero, of another length than the sample's first, or hold null or non-finite components take no part.
-    A vec_id is taken as the row's key: rows that share the query's are its own, other repeated rows count each.
-    Lists are cut into blocks of BLOCK rows and blocks of as many queries, so a hot list is no hot task."""
+    Centroids, codebooks and the number of probed lists are fitted on a bounded sample in hash order; every row is
+    indexed.  A query compares codes in its probed lists, keeps the best rows of all lists together, and fetches only
+    these vectors for exact cosines: as many as the sample needed, more by the root of rows a sampled row, since the
+    neighbours stand out more among more rows; RERANK at least, RERANK_SHARE of the rows at most.  Vectors that are null, empty, zero, of another length than the sample's first,
+    or hold null or non-finite components take no part; an empty table gives no rows.  A vec_id is taken as the row's key:
+    rows that share the query's are its own, other repeated rows count each, equal rows are one query.  Rows stand in
+    units of BLOCK, queries in blocks of as many, so a hot list is no hot task.  Other columns are not read."""
     spark = vectors.sparkSession
     valid = valid_vectors(vectors)
     sample = valid.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).select("embedding").toPandas()["embedding"].tolist()
     if not sample:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim = len(sample[0])
+    dim, vector = len(sample[0]), valid.schema["embedding"].dataType.simpleString()
     valid = valid.where(F.size("embedding") == dim)
-    index = fit(np.array([x for x in sample if len(x) == dim], np.float64), int(np.clip(round(valid.count() ** 0.5), 1, MOST_LISTS)))
-    coded = stored(valid.mapInArrow(_encode(index, dim), f"vec_id long, list int, codes binary, embedding {valid.schema['embedding'].dataType.simpleString()}"))
-    for row in coded.groupBy("list").count().collect():  # one row a list, MOST_LISTS at most
-        index.counts[row["list"]] = row["count"]
+    n, sample = valid.count(), np.array([x for x in sample if len(x) == dim], np.float64)
+    index = fit(sample, int(np.clip(round(n**0.5), 1, MOST_LISTS)), k)
+    rerank = max(RERANK, min(round(index.depth * max(1.0, n / len(sample)) ** 0.5), int(RERANK_SHARE * n)))
+    coded = valid.mapInArrow(_encode(index), f"vec_id long, list int, codes binary, embedding {vector}")
+    coded = stored(coded.withColumn("row", F.monotonically_increasing_id()))
+    for one in coded.groupBy("list").count().collect():  # one row a list, MOST_LISTS at most
+        index.counts[one["list"]] = one["count"]
     asked = coded.where(is_query).select("vec_id", "embedding", F.xxhash64("vec_id", "embedding").alias("q")).dropDuplicates(["q"])
-    probes = stored(asked.mapInArrow(_probe(index, k + 1), f"query_id long, q long, list int, vector {valid.schema['embedding'].dataType.simpleString()}"))
-    per = probes.groupBy(F.col("list").alias("l")).agg(F.ceil(F.count("*") / BLOCK).alias("q_blocks"))
-    sizes = coded.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).join(per, F.col("list") == F.col("l")).select("l", "blocks", "q_blocks")
-    sizes = F.broadcast(sizes)
+    probes = stored(asked.mapInArrow(_probe(index, k + 1), f"query_id long, q long, unit long, lists array<int>, vector {vector}"))
+    first, several = _units(index)
+    units = [(i, int(a), int(b)) for i, (a, b) in enumerate(zip(first, several, strict=True))]
+    units = F.broadcast(spark.createDataFrame(units, "l int, unit long, several long"))  # one row a list
+    per = F.broadcast(probes.groupBy(F.col("unit").alias("u")).agg(F.ceil(F.count("*") / BLOCK).alias("q_blocks")))  # one row a unit
     zero = F.lit(0).cast("long")
-    left = coded.join(sizes, F.col("list") == F.col("l")).select("list", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).alias("i"), F.explode(F.sequence(zero, F.col("q_blocks") - 1)).alias("j"), "vec_id", "codes", "embedding")
-    right = probes.join(sizes, F.col("list") == F.col("l")).select("list", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("i"), F.pmod(F.col("q"), F.col("q_blocks")).alias("j"), "query_id", "q", "vector")
-    found = left.groupBy("list", "i", "j").cogroup(right.groupBy("list", "i", "j")).applyInArrow(_search(index, k), "q long, query_id long, vec_id long, score double")
+    left = coded.join(units, F.col("list") == F.col("l")).select((F.col("unit") + F.pmod(F.xxhash64("row"), F.col("several"))).alias("unit"), "row", "vec_id", "list", "codes")
+    left = left.join(per, F.col("unit") == F.col("u")).select("unit", F.explode(F.sequence(zero, F.col("q_blocks") - 1)).alias("j"), "row", "vec_id", "list", "codes")
+    right = probes.join(per, F.col("unit") == F.col("u")).select("unit", F.pmod(F.col("q"), F.col("q_blocks")).alias("j"), "query_id", "q", "lists", "vector")
+    found = left.groupBy("unit", "j").cogroup(right.groupBy("unit", "j")).applyInArrow(_search(index, rerank), "q long, query_id long, row long, vec_id long, near float")
+    best = W.partitionBy("q").orderBy(F.col("near").desc(), "vec_id", "row")
+    found = found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= rerank).select("q", "query_id", "row", "vec_id")
+    found = found.join(coded.select("row", "embedding"), "row").join(asked.select(F.col("q").alias("own"), F.col("embedding").alias("vector")), F.col("q") == F.col("own"))
+    scored = found.select("q", "query_id", "vec_id", "vector", "embedding").mapInArrow(_cosines, "q long, query_id long, vec_id long, score double")
     order = W.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
