@@ -21,8 +21,8 @@ FIT_ROWS, MOST_LISTS = 16_384, 1024
 TRIED, NEEDED = 512, 0.97
 #: Least number of rows that a query reranks exactly, over all lists together, and their largest share of all rows.
 RERANK, RERANK_SHARE = 40, 0.02
-#: Bytes of a code; rows and queries of a block.
-CODE, BLOCK = 16, 4096
+#: Bytes of a code; least rows of a unit, queries of a block; rows of a unit by the root of all rows.
+CODE, BLOCK, ROOT = 16, 4096, 40
 
 
 class Index(NamedTuple):
@@ -102,14 +102,16 @@ def _encode(index: Index):
 
 
 def _units(index: Index) -> tuple[np.ndarray, np.ndarray]:
-    """First unit and number of units of each list: lists of near centroids share a unit of BLOCK rows, larger lists
-    are split over several."""
+    """First unit and number of units of each list: lists of near centroids share a unit, larger lists are split over
+    several.  A unit holds BLOCK rows, or ROOT times the root of all rows if that is more: some megabytes of codes, and
+    a query that looks into every list has as few answers to merge."""
+    size = max(BLOCK, round(ROOT * index.counts.sum() ** 0.5))
     middle = index.centroids - index.centroids.mean(0)
-    first, several, unit, held = np.zeros(len(middle), np.int64), np.maximum(1, -(-index.counts // BLOCK)), 0, 0
+    first, several, unit, held = np.zeros(len(middle), np.int64), np.maximum(1, -(-index.counts // size)), 0, 0
     axis = np.linalg.svd(middle, full_matrices=False)[2][0]
     for one in np.argsort(middle @ axis, kind="stable").tolist():
         n = int(index.counts[one])
-        if held and held + n > BLOCK:
+        if held and held + n > size:
             unit, held = unit + 1, 0
         first[one] = unit
         if several[one] > 1:
@@ -147,7 +149,7 @@ def _probe(index: Index, least: int):
 
 def _search(index: Index, rerank: int):
     """The best rows of a unit for each of its queries, by distance tables of codes."""
-    kind = pa.schema([("q", pa.int64()), ("query_id", pa.int64()), ("row", pa.int64()), ("vec_id", pa.int64()), ("near", pa.float32())])
+    kind = pa.schema([("q", pa.int64()), ("query_id", pa.int64()), ("found", pa.list_(pa.struct([("far", pa.float32()), ("vec_id", pa.int64()), ("row", pa.int64())])))])
 
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
         if not rows.num_rows or not queries.num_rows:
@@ -173,8 +175,11 @@ def _search(index: Index, rerank: int):
                     least = np.partition(near[i, at], len(at) - rerank)[len(at) - rerank]
                     at = at[near[i, at] >= least]
                     at = at[np.argsort(-near[i, at], kind="stable")][:rerank]  # ties: the smaller vec_id, as rows are sorted
-                out.append((np.full(len(at), q[a + i]), np.full(len(at), qids[a + i]), row[at], ids[at], near[i, at]))
-        return pa.table([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], schema=kind)
+                out.append((ids[at], row[at], -near[i, at]))
+        ends = np.concatenate([[0], np.cumsum([len(x) for x, _, _ in out])])
+        ids, row, far = (np.concatenate(c) for c in zip(*out, strict=True))
+        found = pa.StructArray.from_arrays([pa.array(far, pa.float32()), pa.array(ids), pa.array(row)], fields=list(kind.field("found").type.value_type))
+        return pa.table([pa.array(q), pa.array(qids), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)], schema=kind)
 
     return run
 
@@ -222,9 +227,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
     left = coded.join(units, F.col("list") == F.col("l")).select((F.col("unit") + F.pmod(F.xxhash64("row"), F.col("several"))).alias("unit"), "row", "vec_id", "list", "codes")
     left = left.join(per, F.col("unit") == F.col("u")).select("unit", F.explode(F.sequence(zero, F.col("q_blocks") - 1)).alias("j"), "row", "vec_id", "list", "codes")
     right = probes.join(per, F.col("unit") == F.col("u")).select("unit", F.pmod(F.col("q"), F.col("q_blocks")).alias("j"), "query_id", "q", "lists", "vector")
-    found = left.groupBy("unit", "j").cogroup(right.groupBy("unit", "j")).applyInArrow(_search(index, rerank), "q long, query_id long, row long, vec_id long, near float")
-    best = W.partitionBy("q").orderBy(F.col("near").desc(), "vec_id", "row")
-    found = found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= rerank).select("q", "query_id", "row", "vec_id")
+    found = left.groupBy("unit", "j").cogroup(right.groupBy("unit", "j")).applyInArrow(_search(index, rerank), "q long, query_id long, found array<struct<far:float,vec_id:long,row:long>>")
+    # a query's list has as many items as there are units times rerank
+    found = found.groupBy("q", "query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("found"))), 1, rerank).alias("found")).select("q", "query_id", F.inline("found")).select("q", "query_id", "row", "vec_id")
     found = found.join(coded.select("row", "embedding"), "row").join(asked.select(F.col("q").alias("own"), F.col("embedding").alias("vector")), F.col("q") == F.col("own"))
     scored = found.select("q", "query_id", "vec_id", "vector", "embedding").mapInArrow(_cosines, "q long, query_id long, vec_id long, score double")
     order = W.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
