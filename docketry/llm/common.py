@@ -57,6 +57,17 @@ def labelled_sample(labels: DataFrame, label: str, limit: int) -> DataFrame:
     return rows.orderBy(F.xxhash64(F.col("doc_id"), F.lit(17)), "doc_id").limit(limit)
 
 
+def labelled_texts(docs: DataFrame, sample: DataFrame, limit: int) -> DataFrame:
+    """(text, doc_id, label) of at most `limit` rows of docs whose id is in the sample, in hash order: an id that many rows
+    share brings each of its different texts once, and only as many as fit."""
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most `limit` ids
+    place = F.struct(F.xxhash64("doc_id", F.lit(17)), "doc_id", F.xxhash64("text"), F.coalesce(F.length("text"), F.lit(0)))
+    # texts are told apart by two hashes and their length, so that only hashes are shuffled; then the chosen come along
+    marks = rows.select(place.alias("m"), F.xxhash64("text", F.lit(5)).alias("h")).distinct().orderBy("m", "h").limit(limit)
+    first = rows.select("text", "doc_id", "label", place.alias("m"), F.xxhash64("text", F.lit(5)).alias("h")).join(F.broadcast(marks), ["m", "h"])
+    return first.groupBy("m", "h").agg(F.first("text").alias("text"), F.first("doc_id").alias("doc_id"), F.first("label").alias("label")).select("text", "doc_id", "label")
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWERED = np.arange(256, dtype=np.uint8)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, held_out, labelled_sample, pieces, table, text_bytes
+from .common import Words, held_out, labelled_sample, labelled_texts, pieces, table, text_bytes
 
 #: Documented bound of the labelled rows that vote; dimensions; neighbours; the power of a similarity in a vote.
 VOTERS, DIMENSIONS, NEIGHBOURS, POWER, THRESHOLD = 4000, 48, 15, 8, 0.3
@@ -26,7 +26,10 @@ TRIPLES = _N**3
 #: Shares of a text that triples can't see, each as one-hot terms of 8 levels.
 SHARES = ("words that repeat the word before", "words seen before in the text", "lines seen before in the text", "upper-case letters", "symbols", "words by count")
 LEVELS = 8
-TERMS = TRIPLES + len(SHARES) * LEVELS
+SHAPES = TRIPLES + len(SHARES) * LEVELS
+#: Words by hash, and what a word weighs beside a triple.
+WORDS, WORD_WEIGHT = 2048, 0.5
+TERMS = SHAPES + WORDS
 
 
 class Model(NamedTuple):
@@ -38,7 +41,8 @@ class Model(NamedTuple):
 
 
 def counts(column: pa.Array) -> np.ndarray:
-    """Term weights of whole texts, one row a text: log of triples a thousand characters, and the shares' levels."""
+    """Term weights of whole texts, one row a text: log of triples a thousand characters, the shares' levels, and log of
+    words (lower-cased, by hash) a hundred words."""
     n = len(column)
     raw, at = text_bytes(column)
     out = np.zeros((n, TERMS), np.float32)
@@ -53,6 +57,9 @@ def counts(column: pa.Array) -> np.ndarray:
             c = np.bincount((k[:-2] * _N + k[1:-1]) * _N + k[2:], minlength=TRIPLES)
             out[i, :TRIPLES] = np.log1p(c * (1000 / len(k)))
         w = words.hashes[words.rows[i] : words.rows[i + 1]]
+        if len(w):
+            found = np.bincount((w % np.uint64(WORDS)).astype(np.int64), minlength=WORDS)
+            out[i, SHAPES:] = WORD_WEIGHT * np.log1p(found * (100 / len(w)))
         text = raw[a:b].tobytes()
         lines = [x for x in text.split(b"\n") if x.strip()]
         letters = max(1, int((k <= 1).sum()))
@@ -70,13 +77,16 @@ def vectors(model_idf: np.ndarray, axes: np.ndarray, terms: np.ndarray) -> np.nd
 
 
 def fit(terms: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS) -> Model:
-    """Idf and the leading right singular vectors of the voters' term matrix, by its Gram matrix.  Weights terms in place."""
+    """Idf and the leading right singular vectors of the voters' term matrix, by subspace iteration.  Weights terms in place."""
     if not len(labels):
         return Model(np.ones(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), 1.0)
     idf = (np.log((1 + len(terms)) / (1 + (terms > 0).sum(0))) + 0.05).astype(np.float32)
     terms *= idf
-    _, axes = np.linalg.eigh(terms.T @ terms)
-    axes = np.ascontiguousarray(axes[:, ::-1][:, :dimensions], np.float32)
+    axes = np.random.default_rng(3).normal(size=(TERMS, min(dimensions + 8, TERMS))).astype(np.float32)
+    for _ in range(6):
+        axes = np.linalg.qr(terms.T @ (terms @ axes))[0]
+    turn = np.linalg.svd(terms @ axes, full_matrices=False)[2]
+    axes = np.ascontiguousarray((axes @ turn.T)[:, :dimensions], np.float32)
     return Model(idf, axes, vectors(np.float32(1), axes, terms), labels.astype(np.float64), float(labels.mean()))
 
 
@@ -86,7 +96,10 @@ def vote(model: Model, terms: np.ndarray, neighbours: int = NEIGHBOURS, power: i
         return np.full(len(terms), model.prior)
     near = vectors(model.idf, model.axes, terms) @ model.voters.T
     k = min(neighbours, near.shape[1])
-    top = np.argpartition(-near, k - 1, axis=1)[:, :k] if k < near.shape[1] else np.tile(np.arange(k), (len(terms), 1))
+    least = np.partition(near, -k, axis=1)[:, [-k]]
+    above, equal = near > least, near == least
+    taken = above | (equal & (np.cumsum(equal, axis=1) <= k - above.sum(1, keepdims=True)))
+    top = np.nonzero(taken)[1].reshape(len(terms), k)
     weight = np.maximum(np.take_along_axis(near, top, 1), 0).astype(np.float64) ** power + 1e-9
     return (weight * model.labels[top]).sum(1) / weight.sum(1)
 
@@ -98,9 +111,11 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, voters: int = VOTERS) -> Model:
-    """At most `voters` labelled documents outside the held-out fold.  Without any, every document scores 1."""
-    sample = F.broadcast(labelled_sample(labels, "quality", voters))
-    got = docs.select("doc_id", "text").join(sample, "doc_id").select("text", "doc_id", "label").mapInArrow(_terms, "doc_id long, label int, terms binary").toPandas()
+    """At most `voters` labelled documents outside the held-out fold.  Without any, every document scores 1.
+
+    Rows that repeat an id and a text vote once; an id with several texts brings each, within the bound.  Null texts vote
+    as texts without terms; labels without a document, and null ids, are no voters."""
+    got = labelled_texts(docs, labelled_sample(labels, "quality", voters), voters).mapInArrow(_terms, "doc_id long, label int, terms binary").toPandas()
     got = got.sort_values(["doc_id", "terms"])
     y, terms = got["label"].to_numpy(float), np.zeros((len(got), TERMS), np.float32)
     for i, x in enumerate(got.pop("terms")):
@@ -133,7 +148,8 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that score the threshold or more."""
+    """Keeps the documents that score the threshold or more.  Each row is scored by its own text, whatever its id: null,
+    shared and repeated ids make no difference, null and empty texts are voted on like others; other columns go."""
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
     scored = score(docs, train(docs, table(spark, sf_dir, "labels")), columns)
     return scored.where(F.col("score") >= THRESHOLD).select(*columns)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _SPACE, Words, held_out, labelled_sample, pieces, stored, table
+from .common import _SPACE, Words, held_out, labelled_sample, labelled_texts, pieces, stored, table
 
 #: Documented bound of the labelled rows that train the scorer.  Words are 40-bit hashes.
 TRAIN_ROWS, BUCKETS, THRESHOLD = 8000, 1 << 40, 0.5
@@ -100,11 +100,12 @@ def _bags(ids: np.ndarray):
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, least: int = 4, z_least: float = 4.5) -> Model:
     """Fits at most `rows` labelled documents outside the held-out fold.  Without any, every score is 0.
 
-    Spark counts the words of the sample by label.  Only words in `least` documents or more, found in toxic ones more
+    Rows that repeat an id and a text count once; an id with several texts brings each, within the bound.  Null texts hold
+    no sentence.  Spark counts the words of the sample by label.  Only words in `least` documents or more, found in toxic ones more
     often than chance explains (z_least standard deviations), get a weight: the others could only be learnt by heart.
     The driver gets these words and where they stand."""
     none = Model(-40.0, np.zeros(0, np.int64), np.zeros(0))
-    sample = docs.select("doc_id", "text").join(F.broadcast(labelled_sample(labels, "toxic", rows)), "doc_id").select("text", "doc_id", "label")
+    sample = stored(labelled_texts(docs, labelled_sample(labels, "toxic", rows), rows))
     seen = stored(sample.select("text", "label").mapInArrow(_words, "word long, label int").groupBy("word").agg(F.count("*").alias("n"), F.sum("label").alias("toxic")).where(F.col("n") >= F.when(F.col("word") < 0, 0).otherwise(least)))
     whole = seen.where("word < 0").first()
     if whole is None or not whole["toxic"]:
@@ -184,13 +185,15 @@ def score(docs: DataFrame, model: Model, columns: list[str], threshold: float =
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = score(docs, train(docs, table(spark, sf_dir, "labels")), ["doc_id"])
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
+    scored = score(docs, train(docs, table(spark, sf_dir, "labels")), ["doc_id", "text"])
+    spans = F.transform("offending", lambda x: F.substr("text", x["start"] + 1, x["end"] - x["start"]))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), F.size("offending").alias("n_offending"), "offending", spans.alias("offending_sentences"))
 
 
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that score below the threshold; the scorer is trained on the labelled documents that
-    the stage before kept."""
+    the stage before kept.  Each row is scored by its own text, whatever its id: null, shared and repeated ids make no
+    difference; null and empty texts score 0 and stay; other columns of docs are left out."""
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
     scored = score(docs, train(docs, table(spark, sf_dir, "labels")), columns)
     return scored.where(F.col("score") < THRESHOLD).select(*columns)

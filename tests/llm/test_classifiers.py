@@ -102,3 +102,34 @@ def test_noisy_or_is_exact():
     logs = T.sentence_scores(model, s)
     p = [1 / (1 + np.exp(1 - sum(model.of(np.unique(s.buckets[s.of_word == k]))))) for k in range(3)]
     assert abs((1 - np.exp(-logs.sum())) - (1 - np.prod([1 - x for x in p]))) < 1e-9
+
+
+def test_vote_takes_ties_in_order():
+    model = Q.Model(np.ones(Q.TERMS, np.float32), np.eye(Q.TERMS, 2, dtype=np.float32), np.array([[1, 0]] * 3 + [[0, 1]] * 4, np.float32), np.array([1, 0, 0, 1, 1, 1, 1.0]), 0.5)
+    x = np.zeros((1, Q.TERMS), np.float32)
+    x[0, 0] = 1
+    assert Q.vote(model, x, 1)[0] == 1 and abs(Q.vote(model, x, 2)[0] - 0.5) < 1e-6 and abs(Q.vote(model, x, 3)[0] - 1 / 3) < 1e-6
+
+
+def test_hot_training_ids_are_bounded(spark, documents):
+    """Rows that repeat an id count once; many texts of one id come within the bound, others beside them."""
+    from docketry.llm.common import labelled_texts
+
+    docs = documents([(3, f"text {i}") for i in range(300)] + [(4, "same")] * 200 + [(5, None)] * 3 + [(7, "unlabelled")])
+    sample = spark.createDataFrame([(3, 1), (4, 0), (5, 1)], "doc_id long, label int")
+    assert labelled_texts(docs, sample, 50).count() == 50
+    rows = labelled_texts(docs, sample, 1000).groupBy("doc_id").count().collect()
+    assert {r["doc_id"]: r["count"] for r in rows} == {3: 300, 4: 1, 5: 1}
+
+
+def test_stages_score_rows_not_ids(spark, documents, tmp_path):
+    rng = np.random.default_rng(4)
+    make = lambda bad: " ".join([*rng.choice(["the", "and", "of", "house", "tree"], 40), *(["vile"] * 2 if bad else [])]) + "."
+    rows = [(100 + i, make(i % 3 == 0)) for i in range(150)] + [(None, "the vile house."), (None, "the house."), (9, "a vile tree."), (9, "a tree."), (8, None), (8, "")]
+    spark.createDataFrame([(100 + i, 1, int(i % 3 == 0)) for i in range(150)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    kept = T.pipeline_stage(spark, documents(rows), str(tmp_path)).where("doc_id IS NULL OR doc_id < 100").collect()
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in kept) == [("8", ""), ("8", ""), ("9", "a tree."), ("None", "the house.")]
+    for stage in (Q.pipeline_stage, T.pipeline_stage):
+        out = stage(spark, documents(rows), str(tmp_path))
+        assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"] and stage(spark, documents(rows).limit(0), str(tmp_path)).count() == 0
+    assert Q.pipeline_stage(spark, documents(rows), str(tmp_path)).count() == len(rows)
