@@ -13,6 +13,8 @@ RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
 DEFAULT = "allow"
 #: Rules up to this number are broadcast (some 100 bytes each); more are joined by shuffle.
 BROADCAST_RULES = 100_000
+#: Hexadecimal digits of the hash prefix that urls and rules are joined on.
+SHORT = 8
 
 
 def url_host(url: Column) -> Column:
@@ -25,7 +27,7 @@ def url_path(url: Column) -> Column:
 
 def _keyed(df: DataFrame, expression: Column) -> DataFrame:
     digest = F.sha2(expression, 256)
-    return df.withColumn("digest", digest).withColumn("short", F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"))
+    return df.withColumns({"digest": digest, "short": F.conv(F.substring(digest, 1, SHORT), 16, 10).cast("long")})
 
 
 def rule_table(rules: DataFrame) -> DataFrame:
@@ -40,26 +42,29 @@ def rule_table(rules: DataFrame) -> DataFrame:
 def judge_urls(urls: DataFrame, rules: DataFrame, url_col: str = "url", default: str = DEFAULT) -> DataFrame:
     """Adds host, path, rule, verdict to every row.
 
-    A url is expanded only into the host-suffix label counts and path-prefix lengths that occur in rules, so
-    the expansion does not grow with the url.  Distinct (host, path) pairs are expanded, matched and reduced;
+    A url is expanded only into the pairs of host-suffix label count and path-prefix length that some rule has, so
+    the expansion grows neither with the url nor with every count times every length.  Expressions and rules meet by
+    the short hash prefix alone; of those that do, the full digest decides.  Distinct (host, path) pairs are expanded, matched and reduced;
     the decisions go back by an outer join whose right side has one row a pair, so hot urls split freely.
     Null urls or urls without `://`: host and path empty, no rule, the default verdict.  Repeated rows each get
     their verdict; empty tables give empty results.  Own columns host, path, rule, verdict are replaced."""
     rules = rule_table(rules)
-    shape = rules.agg(F.count("*").alias("n"), F.sort_array(F.collect_set("labels")).alias("labels"), F.sort_array(F.collect_set("path_len")).alias("lens")).first()
+    shape = rules.agg(F.count("*").alias("n"), F.sort_array(F.collect_set(F.struct("labels", "path_len"))).alias("shapes")).first()
     judged = urls.withColumn("host", url_host(F.col(url_col))).withColumn("path", url_path(F.col(url_col))).drop("rule", "verdict")
     if not shape["n"]:
         return judged.withColumn("rule", F.lit(None).cast("string")).withColumn("verdict", F.lit(default))
     if shape["n"] <= BROADCAST_RULES:
         rules = F.broadcast(rules)
 
-    pairs = judged.select("host", "path").where("host <> '' AND path <> ''" if 0 not in shape["lens"] else "host <> ''").groupBy("host", "path").agg(F.count("*").alias("urls"))
+    shapes = F.array(*[F.struct(F.lit(x["labels"]).alias("k"), F.lit(x["path_len"]).alias("n")) for x in shape["shapes"]])  # one a shape of the rules
+    pairs = judged.select("host", "path").where("host <> ''").groupBy("host", "path").agg(F.count("*").alias("urls"))
     labels = F.split("host", "[.]")
-    suffixes = F.array_compact(F.array(*[F.when(F.size(labels) >= k, F.array_join(F.slice(labels, -k, k), ".")) for k in shape["labels"]]))
-    prefixes = F.array_compact(F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in shape["lens"]]))
-    expressions = F.flatten(F.transform(suffixes, lambda h: F.transform(prefixes, lambda p: F.struct(F.concat(h, p).alias("text"), F.length(h).alias("host_len")))))
+    fitting = F.filter(shapes, lambda x: (F.size(labels) >= x["k"]) & (F.length("path") >= x["n"]))
+    expressions = F.transform(fitting, lambda x: F.concat(F.array_join(F.slice(labels, -x["k"], x["k"]), "."), F.substring(F.col("path"), F.lit(1), x["n"])))
+    expressions = F.transform(fitting, lambda x, i: F.struct(F.get(expressions, i).alias("text"), F.length(F.array_join(F.slice(labels, -x["k"], x["k"]), ".")).alias("host_len")))
     expanded = pairs.select("host", "path", F.explode(expressions).alias("e")).select("host", "path", F.col("e.host_len").alias("e_host_len"), F.col("e.text").alias("text"))
-    hits = _keyed(expanded, F.col("text")).alias("u").join(rules.alias("r"), (F.col("u.short") == F.col("r.short")) & (F.col("u.digest") == F.col("r.digest")) & (F.col("e_host_len") == F.col("r.host_len")))
+    near = _keyed(expanded, F.col("text")).select("host", "path", "e_host_len", "short", "text").alias("u").join(rules.alias("r"), "short")
+    hits = near.where((F.sha2("u.text", 256) == F.col("r.digest")) & (F.col("e_host_len") == F.col("r.host_len")))
     best = hits.groupBy(F.col("u.host").alias("h"), F.col("u.path").alias("p")).agg(F.max(F.struct(F.length("r.rule").alias("n"), F.col("r.host_len").alias("m"), F.col("r.rule").alias("rule"), F.col("r.verdict").alias("verdict"))).alias("best"))
     best = best.select("h", "p", F.xxhash64("h", "p").alias("k"), "best.rule", "best.verdict")
     out = judged.join(best, (F.xxhash64("host", "path") == F.col("k")) & (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")), "left").drop("h", "p", "k")

@@ -48,3 +48,13 @@ def test_brute_force(spark, n):
 def test_native_plan(spark, data):
     plan = U.op1_url_filters(spark, data)._jdf.queryExecution().toString()
     assert "Python" not in plan and "InArrow" not in plan and "Cartesian" not in plan
+
+
+def test_prefix_collisions_are_refused_by_the_digest(spark, monkeypatch):
+    """With one hexadecimal digit, expressions meet many rules that they are not."""
+    monkeypatch.setattr(U, "SHORT", 1)
+    rules = [(f"h{i}.com", f"/{j}", "block") for i in range(20) for j in range(4)]
+    got = verdicts(spark, [f"http://x.h{i}.com/{j}z" for i in range(30) for j in range(6)], rules)
+    for k, (host, path, rule, _) in got.items():
+        i, j = divmod(k, 6)
+        assert rule == (f"h{i}.com/{j}" if i < 20 and j < 4 else None)
