@@ -16,8 +16,10 @@ from .common import table
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK, UNKNOWN_PENALTY = "▁", 10.0
-#: Words whose counts a worker remembers.
-REMEMBERED = 500_000
+#: Characters of the words whose counts a worker remembers, and the longest word that it does remember.
+REMEMBERED, LONGEST = 4_000_000, 64
+#: What a remembered word costs beside its characters, in characters.
+ENTRY = 20
 #: The characters with the Unicode property White_Space.
 WHITE_SPACE = "\t\n\v\f\r \x85\xa0  -     　"
 _word = re.compile(f"[^{WHITE_SPACE}]+")
@@ -46,9 +48,11 @@ class Counter(dict):
 
     def __init__(self, pieces: list[tuple[str, float]]):
         super().__init__()
+        self.held = 0
         self.pieces = ahocorasick.Automaton()
         self.unknown = min((s for _, s in pieces), default=0.0) - UNKNOWN_PENALTY
         self.bytes = sum(bool(_byte.fullmatch(p)) for p, _ in pieces) == 256
+        self.longest = max((len(p) for p, _ in pieces), default=1) or 1
         for piece, score in pieces:
             if piece:
                 self.pieces.add_word(piece, (len(piece), score))
@@ -61,43 +65,42 @@ class Counter(dict):
             n = sum(self.segment(p)[1] for p in parts)
         else:
             n = self.segment(MARK + word)[1]
-        self[word] = n
+        if len(word) <= LONGEST:
+            if self.held > REMEMBERED:
+                self.clear()
+                self.held = 0
+            self[word] = n
+            self.held += len(word) + ENTRY
         return n
 
     def segment(self, text: str) -> tuple[float, int]:
-        """Best score and number of pieces.
+        """Best score and number of pieces, in one pass: the pieces that end at a character are used as they are found, and
+        only the last characters' scores, counts and marks are kept.
 
         Paths to a character are compared from the earliest start to the latest and only a larger score replaces one,
         so of equal scores the longest last piece stays.  A character without a piece of its own may be unknown; it
         counts its bytes where there are byte pieces, else a run of unknown characters counts one."""
-        n = len(text)
-        score: list[float | None] = [None] * (n + 1)
-        count, lost = [0] * (n + 1), [False] * (n + 1)
-        score[0] = 0.0
-        alone = [False] * (n + 1)
-        ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-        if len(self.pieces):
-            for at, found in self.pieces.iter(text):  # of one end, longer pieces come first
-                ends[at + 1].append(found)
-                alone[at + 1] |= found[0] == 1
-        for end in range(1, n + 1):
-            best = None
-            for length, s in ends[end]:
-                now = s + score[end - length]
+        keep = self.longest + 1
+        score, count, lost = [0.0] * keep, [0] * keep, [False] * keep  # of the last characters, in a ring
+        found = self.pieces.iter(text) if len(self.pieces) else iter(())
+        ahead = next(found, None)
+        for end in range(1, len(text) + 1):
+            best, pieces, astray, alone = None, 0, False, False
+            while ahead is not None and ahead[0] == end - 1:  # of one end, longer pieces come first
+                length, s = ahead[1]
+                alone |= length == 1
+                now = s + score[(end - length) % keep]
                 if best is None or now > best:
-                    best = now
-                    count[end], lost[end] = count[end - length] + 1, False
-            if not alone[end]:
-                now = self.unknown + score[end - 1]
+                    best, pieces, astray = now, count[(end - length) % keep] + 1, False
+                ahead = next(found, None)
+            if not alone:
+                before = (end - 1) % keep
+                now = self.unknown + score[before]
                 if best is None or now > best:
-                    best = now
-                    if self.bytes:
-                        more = len(text[end - 1].encode("utf-8", "surrogatepass"))
-                    else:
-                        more = 0 if lost[end - 1] else 1
-                    count[end], lost[end] = count[end - 1] + more, True
-            score[end] = best
-        return score[n], count[n]
+                    more = len(text[end - 1].encode("utf-8", "surrogatepass")) if self.bytes else 0 if lost[before] else 1
+                    best, pieces, astray = now, count[before] + more, True
+            score[end % keep], count[end % keep], lost[end % keep] = best, pieces, astray
+        return score[len(text) % keep], count[len(text) % keep]
 
     def count(self, text: str) -> tuple[int, int]:
         """Pieces and words of a whole text."""
@@ -110,7 +113,8 @@ def count_tokens(docs: DataFrame, pieces: list[tuple[str, float]], columns: list
 
     A text is split at white space, each word gets the mark and is segmented on its own, as a unigram tokenizer with a
     white-space split and a metaspace does.  Null and empty texts and texts of white space have 0.  A word of any
-    length costs its length times the longest piece.  Input columns n_tokens and n_words are replaced."""
+    length costs its length times the longest piece, and memory for the longest piece; a worker remembers the counts of
+    words of up to LONGEST characters, REMEMBERED characters of them at most.  Input columns n_tokens and n_words are replaced."""
     columns = [c for c in columns if c not in ("n_tokens", "n_words")]
     docs = docs.select(F.col("text").alias("_text"), *columns)
     sent = docs.sparkSession.sparkContext.broadcast(pieces)  # the vocabulary, whatever the input
@@ -119,11 +123,7 @@ def count_tokens(docs: DataFrame, pieces: list[tuple[str, float]], columns: list
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(sent.value)
         for batch in batches:
-            rows = []
-            for t in batch.column(0):
-                rows.append(counter.count(t.as_py() or ""))
-                if len(counter) > REMEMBERED:
-                    counter.clear()
+            rows = [counter.count(t.as_py() or "") for t in batch.column(0)]
             yield pa.record_batch([*batch.columns[1:], *(pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1))], [*columns, "n_tokens", "n_words"])
 
     return docs.mapInArrow(run, schema)
