@@ -11,6 +11,8 @@ from .common import stored, table
 
 #: Records of a file, and children of a node.
 FILE_RECORDS, FANOUT = 512, 8
+#: Files (numbered below 0) that records of null ids are dealt over by their digest.
+NULL_FILES = 1 << 20
 
 
 def warc_record(record_id: Column, uri: Column, payload: Column) -> Column:
@@ -29,11 +31,12 @@ def warc_record(record_id: Column, uri: Column, payload: Column) -> Column:
 def archive(pages: DataFrame) -> DataFrame:
     """(file, seq, page_id, digest, length): each page as a record of file page_id div FILE_RECORDS.
 
-    The record's place in its file is its order by page_id, then digest; null ids are file -1.  Repeated pages are
-    records of their own.  Null urls and texts are empty."""
+    The record's place in its file is its order by page_id, then digest; null ids are dealt over NULL_FILES files by
+    digest.  Repeated pages are records of their own.  Null urls and texts are empty.  A record is hashed as it is read,
+    however long; other columns of pages are not read."""
     record = warc_record(F.col("page_id"), F.col("url"), F.col("html"))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.sha2(record, 256).alias("digest"), F.length(record).cast("long").alias("length"))
-    return rows.withColumn("file", F.coalesce(F.floor(F.col("page_id") / FILE_RECORDS), F.lit(-1)))
+    return rows.withColumn("file", F.coalesce(F.floor(F.col("page_id") / FILE_RECORDS), -1 - F.pmod(F.xxhash64("digest"), F.lit(NULL_FILES))))
 
 
 def with_offsets(records: DataFrame) -> DataFrame:
@@ -78,35 +81,93 @@ def _ordered_hash(key: str) -> Column:
     return F.sha2(F.array_join(F.transform(children, lambda x: x["h"]), ""), 256)
 
 
+def _tops(tree: DataFrame, low: int, width: int) -> list[DataFrame]:
+    """Levels above the files' nodes, (node, hash): FANOUT file numbers a node, counted from `low`, up to one node."""
+    nodes = tree.where(F.col("level") == _height(tree)).select((F.col("file") - F.lit(low)).alias("node"), "hash")
+    levels = [stored(nodes)]
+    while width > 0:
+        nodes = levels[-1].groupBy(F.floor(F.col("node") / FANOUT).alias("node")).agg(_ordered_hash("node").alias("hash"))
+        levels.append(stored(nodes))
+        width //= FANOUT
+    return levels
+
+
+def _height(tree: DataFrame) -> int:
+    return tree.agg(F.max("level")).first()[0] or 0
+
+
+def _span(*trees: DataFrame) -> tuple[int, int]:
+    """The first file number of some trees, and how far the last is from it."""
+    ends = [t.agg(F.min("file").alias("a"), F.max("file").alias("b")).first() for t in trees]
+    ends = [(x["a"], x["b"]) for x in ends if x["a"] is not None]
+    low = min((a for a, _ in ends), default=0)
+    return low, max((b for _, b in ends), default=0) - low
+
+
 def root(tree: DataFrame) -> DataFrame:
     """One row (hash) over all files, by levels of FANOUT over the file numbers; an empty archive has the hash of ''."""
-    top = tree.agg(F.max("level")).first()[0]
-    nodes = tree.where(F.col("level") == top).select(F.col("file").alias("node"), "hash")
-    spread = nodes.agg((F.max("node") - F.min("node")).alias("w"), F.min("node").alias("low")).first()
-    nodes, width = nodes.withColumn("node", F.col("node") - F.lit(spread["low"] or 0)), spread["w"] or 0
-    while width > 0:
-        nodes, width = nodes.groupBy(F.floor(F.col("node") / FANOUT).alias("node")).agg(_ordered_hash("node").alias("hash")), width // FANOUT
-    return nodes.agg(F.coalesce(F.max("hash"), F.sha2(F.lit("").cast("binary"), 256)).alias("hash"))
+    return _tops(tree, *_span(tree))[-1].agg(F.coalesce(F.max("hash"), F.sha2(F.lit("").cast("binary"), 256)).alias("hash"))
+
+
+def _lifted(tree: DataFrame, height: int) -> DataFrame:
+    """The tree with levels of one node a file on top, as high as another replica's."""
+    own = _height(tree)
+    top = tree.where(F.col("level") == own)
+    for level in range(own + 1, height + 1):
+        top = top.withColumns({"level": F.lit(level), "node": F.floor(F.col("node") / FANOUT), "hash": F.sha2(F.col("hash").cast("binary"), 256)})
+        tree = tree.union(top)
+    return tree
 
 
 def audit(left: DataFrame, right: DataFrame) -> DataFrame:
     """Differing leaves of two trees: (file, node, first_offset, end_offset, left_hash, right_hash), null where a
-    replica has no such node.  Equal roots end the audit; else each level looks only below the nodes that differ."""
-    a, b = stored(left), stored(right)
-    tops = [t.agg(F.max("level")).first()[0] for t in (a, b)]
-    top = max([x for x in tops if x is not None], default=0)
-    if tops[0] == tops[1] and root(a).first() == root(b).first():
-        return _compare(a.limit(0), b.limit(0), 0)
-    if tops[0] != tops[1]:  # replicas of other heights share no shape: every leaf is compared
-        return _compare(a, b, 0)
-    differing = _compare(a, b, top)
-    for level in range(top - 1, -1, -1):
+    replica has no such node.
+
+    The descent starts at the root over all files; each level, of files first and of records then, looks only below the
+    nodes that differ, so equal branches are never compared.  A replica of less height is lifted to the other's.  Null
+    ids, repeats, empty archives and very long records are what archive() makes of them."""
+    height = max(_height(left), _height(right))
+    a, b = (stored(_lifted(t, height)) for t in (left, right))
+    span = _span(a, b)
+    differing = None
+    for x, y in zip(reversed(_tops(a, *span)), reversed(_tops(b, *span)), strict=True):
+        both = [t if differing is None else _below(t, differing, "node", []) for t in (x, y)]
+        x, y = both[0].select("node", F.col("hash").alias("left_hash")), both[1].select("node", F.col("hash").alias("right_hash"))
+        differing = stored(x.join(y, "node", "full").where(~F.col("left_hash").eqNullSafe(F.col("right_hash"))).select(F.col("node").alias("parent")))
+        if not differing.limit(1).count():
+            return _compare(a.limit(0), b.limit(0), 0)
+    files = differing.select((F.col("parent") + F.lit(span[0])).alias("file"))
+    a, b = (t.join(files, "file", "left_semi") for t in (a, b))
+    differing = _compare(a, b, height)
+    for level in range(height - 1, -1, -1):
         parents = stored(differing.select("file", F.col("node").alias("parent")))
-        below = [t.where(F.col("level") == level).withColumn("parent", F.floor(F.col("node") / FANOUT)).join(parents, ["file", "parent"], "left_semi").drop("parent") for t in (a, b)]
-        differing = _compare(*below, level)
+        differing = _compare(*[_below(t.where(F.col("level") == level), parents, "node", ["file"]) for t in (a, b)], level)
     return differing
 
 
+def _below(nodes: DataFrame, parents: DataFrame, node: str, keys: list[str]) -> DataFrame:
+    return nodes.withColumn("parent", F.floor(F.col(node) / FANOUT)).join(parents, [*keys, "parent"], "left_semi").drop("parent")
+
+
+def realign(left: DataFrame, right: DataFrame, differing: DataFrame) -> DataFrame:
+    """What happened to the records at differing leaves: (file, page_id, left_seq, right_seq, change).
+
+    `moved` stands in both replicas with one digest, at another place or offset or as another number of copies; `corrupt`
+    has an id of both with different digests; `lost` is in the first only, `added` in the second only.  left and right:
+    records with offsets.  Ids that repeat with several digests meet by digest first, then in order."""
+    at = differing.select("file", F.col("node").alias("seq"))
+    pick = lambda t: t.join(at, ["file", "seq"], "left_semi").select("file", "page_id", "digest", F.col("seq").cast("long").alias("seq"))
+    a, b = pick(left), pick(right)
+    same = lambda x, y, *more: F.col(f"{x}.file").eqNullSafe(F.col(f"{y}.file")) & F.col(f"{x}.page_id").eqNullSafe(F.col(f"{y}.page_id")) & (F.lit(True) if not more else F.col(f"{x}.{more[0]}") == F.col(f"{y}.{more[0]}"))
+    moved = a.alias("a").join(b.alias("b"), same("a", "b", "digest")).select("a.file", "a.page_id", F.col("a.seq").alias("left_seq"), F.col("b.seq").alias("right_seq"), F.lit("moved").alias("change"))
+    number = lambda t: t.withColumn("k", F.row_number().over(W.partitionBy("file", "page_id").orderBy("seq")))
+    x = number(a.alias("a").join(b.alias("b"), same("a", "b", "digest"), "left_anti"))
+    y = number(b.alias("b").join(a.alias("a"), same("b", "a", "digest"), "left_anti"))
+    rest = x.alias("x").join(y.alias("y"), same("x", "y", "k"), "full")
+    change = F.when(F.col("y.seq").isNull(), "lost").when(F.col("x.seq").isNull(), "added").otherwise("corrupt")
+    return moved.union(rest.select(F.coalesce("x.file", "y.file"), F.coalesce("x.page_id", "y.page_id"), F.col("x.seq"), F.col("y.seq"), change))
+
+
 def _compare(a: DataFrame, b: DataFrame, level: int) -> DataFrame:
     keep = lambda t, side: t.where(F.col("level") == level).select("file", "node", F.col("hash").alias(f"{side}_hash"), F.col("first_offset").alias(f"{side}_from"), F.col("end_offset").alias(f"{side}_to"))
     both = keep(a, "left").join(keep(b, "right"), ["file", "node"], "full").where(~F.col("left_hash").eqNullSafe(F.col("right_hash")))

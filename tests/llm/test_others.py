@@ -157,3 +157,22 @@ def test_ann_edges(spark, monkeypatch):
     want = exact(np.arange(400), x, 5)
     assert found[found.query_id == 0].sort_values("rank").vec_id.tolist() == [1, 2, 3, 4, 5]
     assert sum(len(set(want[q]) & set(g.vec_id)) for q, g in found.groupby("query_id")) >= 0.9 * 5 * len(want)
+
+
+def test_null_ids_are_dealt_over_files_and_long_records(spark):
+    rows = [(None, f"http://h/{i}", f"t{i}", 1, "s") for i in range(600)] + [(3, "http://long", "x" * 3_000_000, 1, "s")]
+    a = R.with_offsets(R.archive(pages(spark, rows)))
+    assert a.groupBy("file").count().agg(F.max("count")).first()[0] < 20 and a.agg(F.max("length")).first()[0] > 3_000_000
+    worse = R.with_offsets(R.archive(pages(spark, [(i, u, "y" + h[1:], f, s) if u.endswith("long") else (i, u, h, f, s) for i, u, h, f, s in rows])))
+    got = R.audit(R.merkle(a), R.merkle(worse)).collect()
+    assert len(got) == 1 and got[0]["file"] == 0
+
+
+def test_realign(spark):
+    """One lost, one grown and one new record: the rest of their file only moved."""
+    rows = [(i, f"http://h/{i}", "text " * (i % 7), 1, "s") for i in range(400)]
+    changed = [(i, u, h + "!" if i == 50 else h, f, s) for i, u, h, f, s in rows if i != 20] + [(450, "http://h/new", "n", 1, "s")]
+    a, b = (R.with_offsets(R.archive(pages(spark, x))) for x in (rows, changed))
+    out = R.realign(a, b, R.audit(R.merkle(a), R.merkle(b))).collect()
+    assert {(r["page_id"], r["change"]) for r in out if r["change"] != "moved"} == {(20, "lost"), (50, "corrupt"), (450, "added")}
+    assert sum(r["change"] == "moved" for r in out) == 400 - 20 - 2
