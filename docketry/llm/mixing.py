@@ -51,10 +51,23 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: flo
     documents; equal ids and sizes are one row with a count).  A cut between equal rows takes just as many of them as
     fit.  Null ids share one u and stand in order of size.  Null texts and texts without words have size 0 and take none; a null source is a source of its own;
     repeated rows count each (equal ones are interchangeable).  Input columns of the added names are replaced."""
-    own = ["size", "source_size", "target", "copies", "taken"]
-    docs = docs.drop(*own)
+    docs = docs.drop(*OWN)
     sized = docs.withColumn("size", _size())
-    slim = stored(sized.select("doc_id", "source", "size"))
+    return _mixed(sized, stored(sized.select("doc_id", "source", "size")), weights, budget, most, seed)
+
+
+def mix_sizes(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, most: int = MOST, seed: int = SEED) -> DataFrame:
+    """mix_sources without its texts: doc_id, source and the added columns of every row.  Texts are read once."""
+    slim = stored(docs.select("doc_id", "source", _size().alias("size")))
+    return _mixed(slim, slim, weights, budget, most, seed)
+
+
+OWN = ["size", "source_size", "target", "copies", "taken"]
+
+
+def _mixed(sized: DataFrame, slim: DataFrame, weights: tuple[int, ...], budget: float, most: int, seed: int) -> DataFrame:
+    """The mix of rows with a size; slim: their (doc_id, source, size), stored."""
+    kept = [c for c in sized.columns if c != "size"]
     targets = stored(source_targets(slim, weights, budget, most))
     parts = targets.select("source", "source_size", "target", (F.col("target") / F.when(F.col("source_size") > 0, F.col("source_size"))).alias("ratio"), F.ceil(F.sqrt("source_docs")).alias("ranges"))
     parts = parts.select("*", F.coalesce(F.floor("ratio"), F.lit(0)).alias("whole"))
@@ -85,26 +98,26 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: flo
     extra = (F.col("p") > 0) & (F.col("size") > 0) & (F.col("cut_range").isNull() | (_range(seed) < F.col("cut_range")) | ((_range(seed) == F.col("cut_range")) & F.coalesce(mine <= F.col("last"), F.lit(False))))
     out = out.withColumn("_extra", extra)
     if rule.where("take < equal").limit(1).count():  # the cut lies between equal rows
-        tied = _tied(docs, rule.where("take < equal"))
+        tied = _tied(sized, rule.where("take < equal"))
         rest = ~F.coalesce((F.col("take") < F.col("equal")) & (F.coalesce("doc_id", F.lit(2**63 - 1)) == F.col("last.id")) & (F.col("size") == F.col("last.size")), F.lit(False))
-        out = out.where(rest).select(*docs.columns, "size", "source_size", "target", "whole", "_extra").union(tied.select(*docs.columns, "size", "source_size", "target", "whole", "_extra"))
+        out = out.where(rest).select(*kept, "size", "source_size", "target", "whole", "_extra").union(tied.select(*kept, "size", "source_size", "target", "whole", "_extra"))
     extra = F.col("_extra")
     out = out.withColumn("copies", F.when(F.col("size") > 0, F.col("whole") + F.when(extra, 1).otherwise(0)).otherwise(0).cast("long"))
     out = out.withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
-    return out.select(*docs.columns, *own)
+    return out.select(*kept, *OWN)
 
 
 def _size() -> Column:
     return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def _tied(docs: DataFrame, rule: DataFrame) -> DataFrame:
+def _tied(sized: DataFrame, rule: DataFrame) -> DataFrame:
     """The rows equal to the last one of their source's cut, `take` of which get the extra copy (_extra).
 
     Each gets a number within the part of the input that it is read with; totals of the parts (pre-aggregated) place
     the cut in one part, and only that part's rows are ordered."""
-    rows = _with_targets(docs, rule.select("source", "source_size", "target", "whole", "take", F.col("last.id").alias("_id"), F.col("last.size").alias("_size")), F.coalesce("doc_id", F.lit(2**63 - 1)) == F.col("_id"))
-    rows = rows.withColumn("size", _size()).where(F.col("size") - F.col("_size") == 0)  # no join key, so that few texts are counted
+    rows = _with_targets(sized, rule.select("source", "source_size", "target", "whole", "take", F.col("last.id").alias("_id"), F.col("last.size").alias("_size")), F.coalesce("doc_id", F.lit(2**63 - 1)) == F.col("_id"))
+    rows = rows.where(F.col("size") - F.col("_size") == 0)  # no join key, so that few texts are counted
     rows = stored(rows.withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", 33)
     totals = rows.groupBy("source", "take", part.alias("part")).agg(F.count("*").alias("n"))
@@ -134,11 +147,12 @@ def _with_targets(docs: DataFrame, parts: DataFrame, also: Column | None = None)
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mix_sizes(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix itself: documents that are taken, with how many copies."""
+    """The mix itself: rows that are taken, with how many copies.  Rows of null, shared and repeated ids are rows of their
+    own; texts without words are taken by none; other columns of docs are left out."""
     return mix_sources(docs).where("copies > 0").select("doc_id", "text", "lang", "source", "n_chars", "size", "source_size", "target", "copies", "taken")
 
 

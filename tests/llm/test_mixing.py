@@ -66,3 +66,12 @@ def test_inclusion_rates(spark):
 def test_native_plan(spark, data):
     plan = M.op10_mixing(spark, data)._jdf.queryExecution().toString()
     assert "Python" not in plan and "InArrow" not in plan
+
+
+def test_stage_takes_rows_not_ids(spark, documents):
+    rows = [(None, "a b c")] * 4 + [(5, "d e")] * 3 + [(5, "f g h i")] + [(6, ""), (7, None)]
+    out = M.pipeline_stage(spark, documents(rows), "")
+    got = out.toPandas()
+    assert (got.copies > 0).all() and got.text.isin(["a b c", "d e", "f g h i"]).all() and (got.taken == got.copies * got["size"]).all()
+    assert abs(got.taken.sum() - got.groupby("source").target.first().sum()) <= 4 * got.source.nunique()
+    assert M.pipeline_stage(spark, documents(rows).limit(0), "").count() == 0
