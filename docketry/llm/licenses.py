@@ -45,11 +45,12 @@ TEMPLATES = [
 ]
 #: A block needs one of these, in any case.
 TRIGGER = r"licen[sc]e|copyright|spdx-|all rights reserved|permission is hereby|redistribution and use|creative commons|subject to the terms"
-#: Least share of a block's compressed size that a template takes away; templates that go on to the wording test;
-#: largest share of a template's words that may differ; words kept on each side of a trigger (more if a template is longer).
-LEAST_GAIN, CONTENDERS, TOLERANCE, AROUND = 0.2, 5, 0.1, 40
+#: Least share of a block's compressed size that a template takes away; largest share of a template's words that may
+#: differ; words kept on each side of a trigger (more if a template is longer).
+LEAST_GAIN, TOLERANCE, AROUND = 0.2, 0.1, 40
+#: Words at either end of a template without a trigger that become triggers of its own.
+OWN_WORDS = 2
 
-_trigger = re.compile(TRIGGER, re.IGNORECASE)
 _word = re.compile(r"[^\W_]+(?:[.\-'][^\W_]+)*")
 _rest = re.compile(r"[^\W_]*")
 #: A line end, with the marks of a comment's next line.
@@ -67,9 +68,20 @@ class Finding(NamedTuple):
     differences: list[str]
 
 
+def triggers(templates: list[tuple[str, str]]) -> str:
+    """TRIGGER, and for each template that it misses the words at the template's ends (either may be the ones that differ)."""
+    own = []
+    for _, text in templates:
+        if not re.search(TRIGGER, text, re.IGNORECASE):
+            words = [re.escape(w) for w in _word.findall(text)]
+            own += [r"[^0-9A-Za-z]+".join(x) for x in (words[:OWN_WORDS], words[-OWN_WORDS:]) if x]
+    return "|".join([TRIGGER, *dict.fromkeys(own)])
+
+
 class Scanner:
     def __init__(self, templates: list[tuple[str, str]], tolerance: float = TOLERANCE):
         self.templates, self.tolerance = templates, tolerance
+        self.trigger = re.compile(triggers(templates), re.IGNORECASE)
         self.words = [[w.lower() for w in _word.findall(t)] for _, t in templates]
         self.bags = [Counter(w) for w in self.words]
         self.reach = max([AROUND, *(int(len(re.findall(r"[^\W_]+", t)) * (1 + tolerance)) + 1 for _, t in templates)])
@@ -103,7 +115,7 @@ class Scanner:
     def scan(self, text: str) -> list[Finding]:
         """Every trigger's surroundings, then what a confirmed notice leaves of them, until no template is confirmed."""
         out, floor, at = [], 0, 0
-        while m := _trigger.search(text, at):
+        while m := self.trigger.search(text, at):
             a, b = self._around(text, m.start(), floor, -1), self._around(text, m.end(), len(text), 1)
             best = self._best(text, a, b)
             if best is None:  # the line alone, where the words around it hide a notice
@@ -118,31 +130,29 @@ class Scanner:
         return out
 
     def _all(self, text: str, a: int, b: int) -> list[Finding]:
-        best = self._best(text, a, b) if _trigger.search(text, a, b) else None
+        best = self._best(text, a, b) if self.trigger.search(text, a, b) else None
         return [*self._all(text, a, best.start), best, *self._all(text, best.end, b)] if best else []
 
     def _best(self, text: str, a: int, b: int) -> Finding | None:
-        """Of a block, the confirmed template with the most shared less differing words, then the largest gain."""
+        """Of a block, the template that compresses it best among those whose wording is confirmed: the templates are tried
+        in the order of their size reductions, equal ones as listed, until one is confirmed."""
         block = text[a:b]
-        words, best = [(m[0].lower(), m.start(), m.end()) for m in _word.finditer(block)], None
+        words = [(m[0].lower(), m.start(), m.end()) for m in _word.finditer(block)]
         bag = Counter(w[0] for w in words)
-        possible = {i for i, t in enumerate(self.bags) if (t - bag).total() <= self.tolerance * t.total()}  # no other can be confirmed
+        possible = [i for i, t in enumerate(self.bags) if (t - bag).total() <= self.tolerance * t.total()]  # no other can be confirmed
         if not possible:
             return None
         data = _wrap.sub(" ", block).lower().encode("utf-8", "replace")  # wording in any case, however it is wrapped
         plain = len(self.plain.compress(data))
-        sizes = [len(c.compress(data)) for c in self.given]
-        for i in [i for i in sorted(range(len(sizes)), key=lambda i: (sizes[i], i)) if i in possible][:CONTENDERS]:
+        sizes = {i: len(self.given[i].compress(data)) for i in possible}
+        for i in sorted(possible, key=lambda i: (sizes[i], i)):
             gain = (plain - sizes[i]) / plain
             if gain < LEAST_GAIN * min(1, len(self.templates[i][1]) / len(block)):
                 continue
             found = self._differences(words, self.words[i])
             if found and len(found[0]) <= self.tolerance * len(self.words[i]):
-                shared = len(self.words[i]) - sum(d[0] == "-" for d in found[0])
-                key = (len(found[0]) - shared, -gain, i)
-                if best is None or key < best[0]:
-                    best = key, Finding(self.templates[i][0], i, a + found[1], a + found[2], plain, sizes[i], gain, found[0])
-        return best[1] if best else None
+                return Finding(self.templates[i][0], i, a + found[1], a + found[2], plain, sizes[i], gain, found[0])
+        return None
 
     @staticmethod
     def _differences(words: list, template: list[str]) -> tuple[list[str], int, int] | None:
@@ -170,8 +180,10 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES)
     """(doc_id, license, template, start, end, plain_size, given_size, gain, differences), one row a confirmed notice.
 
     start and end are characters of the text; differences are the words that a notice lacks (-) or adds (+).
-    Notices may run over line ends, up to a blank line, and several may stand in one line.  Whole texts are searched for triggers; null and empty texts have no blocks; repeated documents repeat their rows;
-    equal gains go to the template listed first."""
+    Notices may run over line ends, up to a blank line, and several may stand in one line.  Whole texts are searched for
+    triggers, however long; templates of one's own are found by TRIGGER or by the words at their ends.  Null and empty
+    texts have no blocks; repeated documents repeat their rows; equal gains go to the template listed first; other
+    columns are not read."""
     schema = "doc_id long, license string, template int, start int, end int, plain_size int, given_size int, gain double, differences array<string>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +194,7 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES)
             kinds = [pa.int64(), pa.string(), *[pa.int32()] * 5, pa.float64(), pa.list_(pa.string())]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "license", "template", "start", "end", "plain_size", "given_size", "gain", "differences"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").rlike(f"(?i){TRIGGER}")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").rlike(f"(?iu){triggers(templates)}")).mapInArrow(run, schema)
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -176,3 +176,10 @@ def test_realign(spark):
     out = R.realign(a, b, R.audit(R.merkle(a), R.merkle(b))).collect()
     assert {(r["page_id"], r["change"]) for r in out if r["change"] != "moved"} == {(20, "lost"), (50, "corrupt"), (450, "added")}
     assert sum(r["change"] == "moved" for r in out) == 400 - 20 - 2
+
+
+def test_templates_without_a_usual_trigger(spark, documents):
+    own = [("House", "Free for all good uses under the house terms of this site."), *L.TEMPLATES]
+    rows = [(1, "a b. Free for all good uses under the house terms\nof this site. c"), (2, "free for none"), (3, "Released under the MIT License. Free for all fine uses under the house terms of this site.")]
+    got = sorted((r["doc_id"], r["license"], tuple(r["differences"])) for r in L.scan_licenses(documents(rows), own).collect())
+    assert got == [(1, "House", ()), (3, "MIT", ())]
