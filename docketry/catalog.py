@@ -73,13 +73,10 @@ def document_keys(spark, d):
     return t(spark, d, "pages").select("page_id", X.document_key(F.col("url"), [F.col("url"), F.col("page_id").cast("string")], ("page", "ref")).alias("document_key"))
 
 
-_REPAIR = "documents with the text written as UTF-8 and read as Latin-1"
-
-
-@query("SELECT doc_id, true AS restored, length(text) AS chars FROM documents WHERE lang IN ('fr', 'de', 'es')")
+@query("SELECT doc_id, text = text AS restored, length(text) AS chars FROM documents")
 def repair_roundtrip(spark, d):
-    """TXT2: texts read as Latin-1 by mistake come back."""
-    df = t(spark, d, "documents").where(F.col("lang").isin("fr", "de", "es"))
+    """TXT2: texts read as Latin-1 by mistake come back, in every language."""
+    df = t(spark, d, "documents")
     broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
     return df.withColumn("broken", broken).select("doc_id", (X.repair_text(F.col("broken")) == F.col("text")).alias("restored"), F.length("text").alias("chars"))
 
@@ -230,13 +227,13 @@ def audit_sync(spark, d):
     return select.sync_from_audit(t(spark, d, "documents").select("doc_id", "source", "lang"), audit, ["source", "lang"], "doc_id")
 
 
-@query(r"""WITH r AS (SELECT url, page_id, regexp_extract(url, '[^/\\]+$') AS n FROM pages WHERE page_id % 2 = 0),
+@query(r"""WITH r AS (SELECT url, page_id, regexp_extract(url, '[^/\\]+$') AS n FROM pages WHERE contains(url, '?')),
     e AS (SELECT url, min(page_id) AS id FROM r GROUP BY 1), m AS (SELECT n, min_by(page_id, (url, page_id)) AS id FROM r GROUP BY 1)
     SELECT p.page_id, coalesce(e.id, m.id) AS found FROM pages p LEFT JOIN e ON e.url = p.url LEFT JOIN m ON m.n = regexp_extract(p.url, '[^/\\]+$')""")
 def basename_join(spark, d):
-    """SRC8, JOI4: even pages are looked up by address, else by last segment."""
+    """SRC8, JOI4: pages are looked up by address among those with a query in theirs, else by last segment."""
     p = t(spark, d, "pages").select("page_id", "url")
-    right = p.where("page_id % 2 = 0").select("url", F.col("page_id").alias("found"), F.col("page_id").alias("row_idx"))
+    right = p.where(F.contains("url", F.lit("?"))).select("url", F.col("page_id").alias("found"), F.col("page_id").alias("row_idx"))
     return select.by_path_or_name(p, right, "url", ["found"]).select("page_id", "found")
 
 

@@ -18,9 +18,18 @@ PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
 LIGATURES = {" ": " ", "ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "ﬃ": "ffi", "ﬄ": "ffl", "–": "-", "—": "-"}
 #: What double-encoded UTF-8 shows.
 MOJIBAKE = "[ÃÂâ�]"
-#: Words that lose the blank between them, and the text put in their place.
-GLUED_AGREEMENT = [(r"(?iu)\bPORINTERM[EÉ]DIO\b", "POR INTERMEDIO"), (r"(?iu)\bPARAOPERA[CÇ][AÃ]O\b", "PARA OPERACAO")]
-GLUED_PLAN = [(r"(?iu)\b(Meta|Fase|Atividade|A[cç][aã]o)(?=\d)", "$1 "), (r"(?iu)(?<=\d)(?=(?:Meta|Fase|Atividade)\b)", " "), (r"(?iu)\bAt[eé](?=\d)", "Ate ")]
+#: Phrases that lose their blanks and get them back.
+GLUED_PHRASES = {"por intermédio": "POR INTERMEDIO", "para operação": "PARA OPERACAO"}
+#: Words of a work plan that stick to a number after or before them.
+GLUED_WORDS, GLUED_AFTER = ["Meta", "Fase", "Atividade", "Ação"], ["Meta", "Fase", "Atividade"]
+
+
+def _loose(word: str) -> str:
+    return "".join({"é": "[eé]", "ç": "[cç]", "ã": "[aã]"}.get(x, x) for x in word if x != " ")
+
+
+GLUED_AGREEMENT = [(rf"(?iu)\b{_loose(a)}\b", b) for a, b in GLUED_PHRASES.items()]
+GLUED_PLAN = [(rf"(?iu)\b({'|'.join(map(_loose, GLUED_WORDS))})(?=\d)", "$1 "), (rf"(?iu)(?<=\d)(?=(?:{'|'.join(GLUED_AFTER)})\b)", " "), (rf"(?iu)\b{_loose('até')}(?=\d)", "Ate ")]
 #: Where a document's text ends and its footer begins.
 TAIL_MARKERS = ["documento assinado eletronicamente", "a autenticidade do documento pode ser conferida", "codigo verificador", "codigo crc", "criado por "]
 PLACEHOLDERS = ["clique aqui para visualizar o conteudo deste documento", "clique aqui para visualizar o conteúdo deste documento"]
@@ -188,9 +197,14 @@ def process_parts(c: Column) -> Column:
     return F.struct(d.alias("digits"), F.when(F.length(d) >= 6, F.substring(d, -6, 4).cast("int")).alias("year"))
 
 
+#: Number signs before an agreement's number.
+NUMBER_SIGNS = ["numero", "número", "num.", "num", "nro.", "nro", "nº", "n°", "no", "n.", "n"]
+
+
 def agreement_number(c: Column) -> Column:
     """TXT18: without the number sign before it and the punctuation after it."""
-    return F.regexp_replace(F.regexp_replace(clean_spaces(c), r"(?iu)^(?:n[º°o]?\.?|numero|número)\s*[:.]?\s*(?=\d)", ""), r"[\s.,;:]+$", "")
+    signs = "|".join(x.replace(".", r"\.") for x in NUMBER_SIGNS)
+    return F.regexp_replace(F.regexp_replace(clean_spaces(c), rf"(?iu)^(?:{signs})\.?\s*[:.]?\s*(?=\d)", ""), r"[\s.,;:]+$", "")
 
 
 def sequence_cell(cells: Column, process: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import Rule, Weight, first_match, marker_score, term_score
-from ..functions.text import HEADER, LEAD, OPENING, PROCESS, contains_any, fold, prepare_text, trim_noise, window
+from ..functions.text import HEADER, LEAD, OPENING, PROCESS, contains_any, fold, fold_upper, has_content, prepare_text, trim_noise, window
 
 #: Classes with the type they resolve to, the snapshot prefix and the priority.
 CLASSES = {
@@ -47,11 +47,21 @@ REPORT = ("relatorio conjunto de execucao", "relatorio conjunto de atividades",
 CLOSURE = ("apos o encerramento", "apos o termino", "ao termino da vigencia", "ao final da vigencia", "por ocasiao do encerramento", "encerramento da parceria", "encerramento do ajuste")
 PERIODIC = ("mensal", "bimestral", "trimestral", "quadrimestral", "semestral", "anual")
 PENALTIES = ("minuta", "publicacao", "extrato", "reuniao", "alterado", "plano de trabalho", " pt ")
-STRONG_PENALTIES = ("minuta", "extrato", "termo aditivo", "termo de adesao", "proposta de termo", "publicacao no dou")
-SKIP = ("minuta", "e-mail", "email", "despacho", "oficio", "portaria", "extrato", "publicacao", "parecer", "nota tecnica", "anexo", "certidao")
+STRONG_PENALTIES = ("portaria", "publicacao", "reuniao", "plano de trabalho", "termo aditivo", "termo de adesao")
+#: Phrases that mark an agreement's wording besides CONTRACT, for its class only.
+AGREEMENT_WORDING = ("objeto do presente acordo", "para os fins que especifica", "resolvem firmar", "doravante denominado", "doravante denominada")
+#: Labels whose candidates are not opened.
+SKIP = ("minuta", "minutas", "extrato", "email", "e-mail", "anexo", "termo aditivo", "proposta de termo aditivo", "termo de adesao", "documentacao", "planilha", "publicacao")
+#: Tree labels that cost a candidate points: files and mail; then, for an agreement, its kin.
+TREE_FILES = ("e-mail", "email", "correio eletronico", "planilha", "xls", "xlsx", "csv")
+TREE_KIN = ("portaria", "publicacao", "reuniao", "termo aditivo", "termo de adesao", "plano de trabalho", "memorando", "termo de execucao descentralizada")
+#: Beginnings of annotation labels.
+METADATA_LABELS = ("GESTOR", "PORTARIA", "DOU", "DATA", "STATUS", "DESIGNACAO", "VENCIMENTO", "TERMO ADITIVO", "PARCEIRO", "PARCEIROS", "VIGENCIA", "NUMERO", "NUMERO ACT", "OBJETO", "VALOR", "TIPO", "PROCESSO")
 #: Institutions whose mention makes an agreement the publisher's own; a deployment sets its own list.
 INTERNAL = ("ministerio da defesa",)
 ACCEPTED = {"act": ("act_final",), "memorando": ("memorando",), "ted": ("ted",)}
+#: Characters of a work plan in which a draft names itself.
+PLAN_HEAD = 1600
 CASE_NUMBER = r"[0-9]{5}\.[0-9]{6}/[0-9]{4}-[0-9]{2}"
 
 
@@ -76,7 +86,7 @@ def classify(df: DataFrame) -> DataFrame:
     """CLS1: adds doc_class, classification_reason, resolved_document_type, snapshot_prefix, classification_priority
     to rows with the columns of blobs()."""
     answer = lambda a, b: F.struct(F.lit(a).alias("label"), F.lit(b).alias("reason"))
-    act = contains_any(F.col("opening"), CONTRACT)
+    act = contains_any(F.col("opening"), (*CONTRACT, *AGREEMENT_WORDING))
     found = (
         F.when(F.col("opening") == "", answer("email_outro", "snapshot_vazio"))
         .when(contains_any(F.col("opening"), SEARCH_PAGE), answer("stub", "pagina_de_pesquisa"))
@@ -124,6 +134,15 @@ def classify_plan(text: Column, label: Column) -> Column:
     return F.struct(F.lit("plano_trabalho").alias("doc_class"), F.when(draft, "pt_minuta_documentacao").otherwise("plano_trabalho_validado_por_conteudo").alias("reason"), (~draft).alias("canonical"))
 
 
+def plan_draft(title: Column, chosen: Column, text: Column) -> Column:
+    """CLS5 by content: a work plan's draft: `minuta [de] plano de trabalho` in its first 1600 characters, or
+    documentation and draft both named in its title or label.  A label's `minuta` alone is none."""
+    head, named = fold(F.substring(F.coalesce(text, F.lit("")), 1, PLAN_HEAD)), fold(F.concat_ws(" ", chosen, title))
+    plan = F.contains(head, F.lit("plano de trabalho")) | F.contains(named, F.lit("plano de trabalho"))
+    both = F.contains(named, F.lit("documentacao")) & F.contains(named, F.lit("minuta"))
+    return plan & (head.rlike(r"\bminuta(?:\s+de)?\s+plano\s+de\s+trabalho\b") | both)
+
+
 def reject_reason(text: Column, family: Column) -> Column:
     """CLS6: why a snapshot is no document of its family; null if it is one."""
     f = fold(F.coalesce(text, F.lit("")))
@@ -146,7 +165,19 @@ def skipped(label: Column, markers: tuple[str, ...] = SKIP) -> Column:
     return contains_any(fold(label), markers)
 
 
-tree_score = term_score  # CLS9
+def tree_score(label: Column, terms: list[str], family: str) -> Column:
+    """CLS9: the score of a tree label for a family; null where no term occurs or nothing is left, which drops it.
+
+    Files and mail cost 200 once; for an agreement each of PENALTIES costs 120, `anexo` 40, each of TREE_KIN 180; for a work
+    plan `documentacao` costs 20 and `minuta` 25 (both sides are folded, so these do count)."""
+    weights = [Weight(TREE_FILES, -200)]
+    if family == "act":
+        weights += [Weight(("anexo",), -40), Weight(PENALTIES, -120, each=True), Weight(TREE_KIN, -180, each=True)]
+    if family == "pt":
+        weights += [Weight(("documentacao",), -20), Weight(("minuta",), -25)]
+    score = term_score(label, terms, weights)
+    found = contains_any(fold(label), [t for t in terms if t])
+    return F.when(found & (score > 0), score)
 
 
 def canonical_score(df: DataFrame) -> Column:
@@ -164,7 +195,7 @@ def canonical_score(df: DataFrame) -> Column:
         + F.when(F.col("process_alignment") == "material_mismatch", -400).when(F.col("process_alignment") == "external_reference", -25).otherwise(0)
         + marker_score(label, [Weight(("anexo",), -20), Weight(PENALTIES, -80, each=True)])
         + marker_score(F.concat_ws(" ", opening, label), [Weight(STRONG_PENALTIES, -180, each=True)])
-        + F.least(F.floor(F.length("_body") / 5000), F.lit(10)).cast("int")
+        + F.least(F.floor(F.length("text") / 5000), F.lit(10)).cast("int")
     )
     return F.when(F.col("doc_class") == "act_final", score).otherwise(-1000)
 
@@ -183,15 +214,32 @@ def completeness(partner: Column, subject: Column, start: Column, end: Column, g
     return F.struct(status.alias("status"), n.alias("captured"))
 
 
+def plan_status(partner: Column, subject: Column, start: Column, end: Column, goals: Column, actions: Column) -> Column:
+    """CLS12 by content: as completeness, but texts count from 8 letters (a partner from 4), a period only if it ends no
+    earlier than it begins; completo_padronizado, parcial_padronizado, extraido_sem_padrao."""
+    p, o = has_content(partner, 4), has_content(subject)
+    g, a = has_content(goals), has_content(actions)
+    period = F.coalesce(end >= start, F.lit(False))
+    n = sum((x.cast("int") for x in (o, start.isNotNull(), end.isNotNull(), g, a)), p.cast("int"))
+    status = F.when(p & o & period & (g | a), "completo_padronizado").when(o & (p.cast("int") + period.cast("int") + (g | a).cast("int") >= 2), "parcial_padronizado").otherwise("extraido_sem_padrao")
+    return F.struct(status.alias("status"), n.alias("captured"))
+
+
 def outcome_status(reason: Column, error: Column, status: Column) -> Column:
     """CLS13: the status of a search without a document."""
     return F.coalesce(F.nullif(status, F.lit("")), F.when(reason == "stagnated", "stagnated").when(reason.isin("open_error", "filter_error", "reopen_error") | (F.coalesce(error, F.lit("")) != ""), "filter_error").otherwise("not_found"))
 
 
+#: Rows of a profile table: configuration, a CASE branch each.
+MOST_PROFILES = 1000
+
+
 def profile_of(df: DataFrame, profiles: DataFrame, text: str = "descricao") -> DataFrame:
     """CLS14: adds `profile`, the first enabled profile (ordinal, key, pattern, enabled) that the folded text holds.
-    Profiles are a configuration table of some dozen rows; they become one CASE, no join."""
-    rows = profiles.where("enabled").orderBy("ordinal").limit(1000).collect()
+    Profiles are a configuration table of some dozen rows; they become one CASE, no join; more than MOST_PROFILES raise."""
+    rows = profiles.where("enabled").orderBy("ordinal").limit(MOST_PROFILES + 1).collect()
+    if len(rows) > MOST_PROFILES:
+        raise ValueError(f"more than {MOST_PROFILES} profiles")
     out = F.lit(None).cast("string")
     for r in reversed(rows):
         out = F.when(F.contains(fold(F.col(text)), fold(F.lit(r["pattern"]))), r["key"]).otherwise(out)
@@ -214,9 +262,17 @@ def first_description(cells: Column, number: Column) -> Column:
     return F.get(F.filter(cells, lambda x: valid_description(x, number)), F.lit(0))
 
 
+def metadata_label(label: Column) -> Column:
+    """CLS17 of a label that is folded to upper case."""
+    known = F.lit(False)
+    for prefix in METADATA_LABELS:
+        known = known | F.startswith(label, F.lit(prefix))
+    return (label != "") & (known | ((F.size(F.split(label, " ")) <= 4) & label.rlike(r"^[A-Z0-9 /().-]+$")))
+
+
 def is_metadata_label(c: Column) -> Column:
-    """CLS17: a known label, or up to four words in capitals."""
-    return fold(c).rlike(r"^(?:parceir|vigencia|objeto|numero|n[o.]? ?act|processo|assunto|responsavel|situacao|observac|data|prazo|valor)") | (c.rlike(r"^[A-ZÀ-Ý0-9 ./º°-]+$") & (F.size(F.split(F.trim(c), r"\s+")) <= 4))
+    """CLS17: begins as a known label, or is up to four words of plain letters and digits; case and accents don't count."""
+    return metadata_label(fold_upper(c))
 
 
 def plan_quality(publication: Column, path: Column) -> Column:
@@ -227,7 +283,7 @@ def plan_quality(publication: Column, path: Column) -> Column:
 def agreement_quality(publication: Column, fields: list[Column], attempts: Column) -> Column:
     whole = F.lit(True)
     for f in fields:
-        whole = whole & (F.coalesce(f.cast("string"), F.lit("")) != "")
+        whole = whole & (F.trim(F.coalesce(f.cast("string"), F.lit(""))) != "")
     return F.when((publication == "published_gold") & whole, "gold_complete").when(publication == "published_gold", "gold_partial").when(F.coalesce(attempts, F.lit(0)) > 0, "silver_only").otherwise("not_found")
 
 

@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..functions.text import HEADER, OPENING, SECTION, clean_spaces, fold, fold_upper, trim_noise
-from .classify import INTERNAL, is_metadata_label
+from ..functions.text import HEADER, OPENING, SECTION, clean_spaces, contains_any, fold, fold_upper, has_content, let, trim_noise
+from ..functions.text import agreement_number as number_text
+from .classify import INTERNAL, metadata_label
+
+#: What ends a clause, at a line's beginning (with or without a number before it) or anywhere.
+CLAUSE_ENDS, CLAUSE_ENDS_ANYWHERE = ["cláusula", "subcláusula", "referência:"], ["documento assinado eletronicamente"]
+#: What ends a section of a work plan, besides the next numbered heading.
+PLAN_ENDS = ["previsão de início", "unidade responsável", "observações", "cronograma de desembolso"]
+
+
+def spelled(phrase: str) -> str:
+    """A pattern for a phrase with or without its accents and with any blanks between its words."""
+    either = {"á": "[aá]", "ã": "[aã]", "ç": "[cç]", "é": "[eé]", "ê": "[eê]", "í": "[ií]", "ó": "[oó]", "õ": "[oõ]", "ú": "[uú]"}
+    return r"\s+".join("".join(either.get(x, re.escape(x)) for x in w) for w in phrase.split())
+
 
-#: Where a clause ends.
-CLAUSE_STOP = r"\n\s*(?:\d+\s*[.)-]\s*)?CL[ÁA]USULA\b|\n\s*SUBCL[ÁA]USULA\b|\n\s*REFER[ÊE]NCIA:|\bDocumento assinado eletronicamente\b"
-PLAN_STOP = r"\bprevis[aã]o\s+de\s+in[ií]cio\b|\bunidade\s+respons[aá]vel\b|\bobserva[cç][oõ]es\b|\bcronograma\s+de\s+desembolso\b|\n\s*\d+\.\s*[A-Z]"
+CLAUSE_STOP = rf"\n\s*(?:\d+\s*\W\s*)?(?:{'|'.join(map(spelled, CLAUSE_ENDS))})|{'|'.join(map(spelled, CLAUSE_ENDS_ANYWHERE))}"
+PLAN_STOP = rf"\b(?:{'|'.join(map(spelled, PLAN_ENDS))})\b|\n\s*\d+\.\s*(?-i:[A-Z])"
 VALIDITY_HEADS = [r"(?:\d+\s*[.)-]\s*)?CL[ÁA]USULA[^\n]{0,60}?PRAZO(?:\s+E\s+VIG[ÊE]NCIA)?", r"(?:\d+\s*[.)-]\s*)?CL[ÁA]USULA[^\n]{0,80}?D[AO]\s+VIG[ÊE]NCIA", r"\bPRAZO\s+E\s+VIG[ÊE]NCIA\b", r"\bPRAZO\s+DE\s+VIG[ÊE]NCIA\b", r"\bVIG[ÊE]NCIA\b\s*:"]
 OBJECT_HEADS = [r"(?:\d+\s*[.)-]\s*)?CL[ÁA]USULA[^\n]{0,60}?D[OA]\s+OBJETO", r"\bDO OBJETO\b"]
 
@@ -43,8 +57,8 @@ def clause_value(c: Column) -> Column:
     return clean_spaces(F.regexp_replace(c, r"^[\s\-:.;]+", ""))
 
 
-#: Number patterns by the wording before them.
-NUMBERS = [("cabecalho_act_tecnica", r"acordo de cooperacao tecnica\s+(?:n[o.]|no|n)?\s*[:o]?\s*([a-z0-9./-]*\d[a-z0-9./-]*)"), ("cabecalho_act_generico", r"acordo de cooperacao\s+(?!tecnica\b)(?:n[o.]|no|n)?\s*[:o]?\s*([a-z0-9./-]*\d[a-z0-9./-]*)")]
+#: The wordings before an agreement's number and the source that each gives.
+NUMBER_HEADS = {"cabecalho_act_tecnica": "acordo de cooperacao tecnica", "cabecalho_act_generico": "acordo de cooperacao"}
 
 
 def agreement_number(title: Column, text: Column) -> Column:
@@ -53,34 +67,41 @@ def agreement_number(title: Column, text: Column) -> Column:
 
 
 def folded_number(*sources: Column) -> Column:
+    """The word after a head and its number sign, if it holds a digit."""
     out = []
     for source in sources:
-        for name, p in NUMBERS:
-            value = filled(F.regexp_replace(F.regexp_extract(source, p, 1), r"[.,;:]+$", ""))
-            out.append(F.when(value.isNotNull(), F.struct(value.alias("value"), F.lit(name).alias("source"))))
+        for name, head in NUMBER_HEADS.items():
+            rest = F.regexp_extract(source, rf"{head}\s+(?:(?:numero|no|n[o.]?)\s*:?\s*)?([\w./-]+)", 1)
+            value = F.regexp_replace(rest, r"[.,;:]+$", "")
+            out.append(F.when(value.rlike(r"\d"), F.struct(value.alias("value"), F.lit(name).alias("source"))))
     return F.coalesce(*out)
 
 
-def is_internal(c: Column, internal: tuple[str, ...] = (*INTERNAL, "uniao")) -> Column:
-    out = F.lit(False)
-    for m in internal:
-        out = out | F.contains(fold(c), F.lit(m))
-    return out
+def is_internal(c: Column, internal: tuple[str, ...] = INTERNAL) -> Column:
+    """The publisher's own institutions; the union stands for them."""
+    return contains_any(fold(c), (*internal, "uniao"))
 
 
-def counterparty(text: Column) -> Column:
+def counterparty(text: Column, internal: tuple[str, ...] = INTERNAL) -> Column:
     """EXT7: struct (value, source): the first party that isn't an internal institution, from the preamble's wording,
-    then its paragraphs, then the folded text."""
-    return party_ladder(party_parts(preamble(text), fold(text)))
+    then its paragraphs, then the folded text.  `internal` is the publisher's list."""
+    return party_ladder(party_parts(preamble(text), fold(text), internal))
 
 
-def party_parts(head: Column, folded: Column) -> dict[str, Column]:
-    party = r"([^,;\n]{4,160})"
-    patterns = (rf"(?isu)celebram[^\n]{{0,80}}?\be\s+(?:o|a)\s+{party}", rf"(?isu)\be\s*,?\s*de outro lado,?\s*(?:o|a)?\s*{party}", rf"(?isu)por interm[eé]dio d[oa][^,;\n]+,?\s+e\s+(?:o|a)\s+{party}")
-    other = lambda names: F.get(F.filter(F.transform(names, party_name), lambda x: (x != "") & ~is_internal(x)), F.lit(0))
+#: What ends the list of parties after `celebram`, and what joins two of them.
+PARTY_ENDS = ["para os fins que especifica", "doravante", "neste ato", "mediante"]
+PARTY_JOINS = [r",?\s+e\s*,?\s*(?:de\s+outro\s+lado\s*,?\s*)?(?:o|a|os|as)\s+", r",?\s*por\s+interm[eé]dio\s+d[oa]s?\s+", r",?\s*de\s+outro\s+lado\s*,?\s*(?:o|a|os|as)?\s+"]
+
+
+def party_parts(head: Column, folded: Column, internal: tuple[str, ...] = INTERNAL) -> dict[str, Column]:
+    """Parties named after `celebram`, whichever comes first and over line ends; then paragraphs' and labels' parties."""
+    named = lambda x: (F.length(F.regexp_replace(x, "[^A-Za-zÀ-ÿ]", "")) >= 4) & ~is_internal(x, internal)
+    other = lambda names: F.get(F.filter(F.transform(names, party_name), named), F.lit(0))
+    ends = "|".join(x.replace(" ", r"\s+") for x in PARTY_ENDS)
+    listed = F.regexp_extract(head, rf"(?isu)\bcelebram\b(.{{4,900}}?)(?:,?\s*\b(?:{ends})\b|\.\s|\n\s*\n|\z)", 1)
     paragraphs = F.filter(F.split(head, r"\n\s*\n"), lambda p: p.rlike(r"(?iu)CNPJ|inscrit[oa]|com sede|representad[oa]"))
     return {
-        "preambulo": other(F.flatten(F.array(*[F.regexp_extract_all(head, F.lit(p), F.lit(1)) for p in patterns]))),
+        "preambulo": other(F.split(listed, rf"(?iu)(?:{'|'.join(PARTY_JOINS)})")),
         "preambulo_paragrafo": other(F.transform(paragraphs, lambda p: F.regexp_extract(p, r"(?su)^\s*(?:[0-9IVX]+\s*[-.)]\s*)?(?:[OA]\s+)?([^,;\n]{4,160})", 1))),
         "texto_normalizado": other(F.regexp_extract_all(folded, F.lit(r"(?:participe 2|segundo participe|convenente)\s*:?\s*([^,;.\n]{4,120})"), F.lit(1))),
     }
@@ -103,17 +124,22 @@ def subject(text: Column) -> Column:
     return F.coalesce(answer(clause, "clausula_objeto"), answer(header, "cabecalho_objeto"))
 
 
-def named_value(c: Column, labels: list[str], stops: tuple[str, ...] = ("matr[ií]cula", "cpf", "cargo", "telefone", "e-mail", "substitut[oa]", "unidade")) -> Column:
+#: Labels of the people and the unit of an agreement, and what ends their values.
+HOLDER, DEPUTY, UNIT = ["gestor titular", "titular", "gestor(?:a)?"], ["gestor substituto", "substitut[oa]", "suplente"], ["unidade respons[aá]vel"]
+NAME_ENDS = ("substitut[oa]", "titular", "cpf", "rg", "matr[ií]cula", "suplente", "unidade respons[aá]vel", "cargo", "telefone", "e-mail", "unidade")
+
+
+def named_value(c: Column, labels: list[str], stops: tuple[str, ...] = NAME_ENDS) -> Column:
     """EXT9: the text after one of the labels and a colon, up to a stop label."""
     out = []
     for label in labels:
-        v = F.regexp_replace(F.regexp_extract(c, rf"(?iu)\b{label}\b\s*:\s*([^\n]{{3,160}})", 1), rf"(?iu)\s*[,;-]?\s*\b(?:{'|'.join(stops)})\b.*$", "")
+        v = F.regexp_replace(F.regexp_extract(c, rf"(?iu)\b{label}\b\s*:\s*([^\n:]{{3,160}})", 1), rf"(?iu)\s*[,;-]?\s*\b(?:{'|'.join(stops)})\b.*$", "")
         v = clean_spaces(F.regexp_replace(v, r"^[\s\-:.;]+|[\s\-:.;,]+$", ""))
         out.append(F.when(F.length(F.regexp_replace(v, "[^A-Za-zÀ-ÿ]", "")) >= 3, v))
     return F.coalesce(*out)
 
 
-def agreement_record(df: DataFrame, text: str = "_body", title: str = "title", whole: str = "text") -> DataFrame:
+def agreement_record(df: DataFrame, text: str = "_body", title: str = "title", whole: str = "text", internal: tuple[str, ...] = INTERNAL) -> DataFrame:
     """EXT10: adds the extracted fields of an agreement; only final agreements are read, others get nulls.  Signatures
     stand in the footer, so they are read from the whole text."""
     only = lambda c: F.when(F.col("doc_class") == "act_final", F.col(c))
@@ -122,36 +148,52 @@ def agreement_record(df: DataFrame, text: str = "_body", title: str = "title", w
     clause = F.coalesce(section(final, VALIDITY_HEADS), focus_window(final, [r"\bPRAZO\s+DE\s+VIG[ÊE]NCIA\b", r"\bPRAZO\s+E\s+VIG[ÊE]NCIA\b", r"\bVIG[ÊE]NCIA\b"]))
     df = df.withColumns({"_clause": clause, "_head": preamble(final), "_ftitle": fold(F.coalesce(only(title), F.lit(""))), "_fhead": fold(F.substring(F.coalesce(final, F.lit("")), 1, HEADER)), "_ftext": fold(final)})
     df = D.staged(df, D.validity_parts(F.col("_clause"), F.col("_signed")), "_validity", D.validity_ladder)
-    df = D.staged(df, party_parts(F.col("_head"), F.col("_ftext")), "_party", party_ladder)
+    df = D.staged(df, party_parts(F.col("_head"), F.col("_ftext"), internal), "_party", party_ladder)
     df = df.withColumns({"_number": folded_number(F.col("_ftitle"), F.col("_fhead")), "_subject": subject(final)})
     return df.withColumns({
         "numero_acordo": F.col("_number.value"), "numero_fonte": F.col("_number.source"), "data_inicio_vigencia": F.col("_validity.start"), "data_fim_vigencia": F.col("_validity.end"),
         "vigencia_fonte": F.col("_validity.source"), "vigencia_aviso": F.col("_validity.warning"), "orgao_convenente": F.col("_party.value"), "objeto": F.col("_subject.value"),
-        "gestor": named_value(final, ["gestor(?:a)?", "gestor titular"]), "gestor_substituto": named_value(final, ["gestor substituto", "substitut[oa]"]), "unidade": named_value(final, ["unidade respons[aá]vel", "unidade"]), "text_chars": F.length(F.col(text)),
+        "objeto_fonte": F.col("_subject.source"), "gestor": named_value(final, HOLDER), "gestor_substituto": named_value(final, DEPUTY), "unidade": named_value(final, [*UNIT, "unidade"]), "text_chars": F.length(F.col(text)),
     }).drop("_validity", "_number", "_party", "_subject", "_final", "_signed", "_clause", "_head", "_ftitle", "_fhead", "_ftext")
 
 
+#: What follows the identification of a work plan's object, and what follows its partner.
+OBJECT_ENDS = ["diagnostico", "objetivo", "metodologia", r"meta\s*\d+", r"previsao\s+de\s+inicio", r"unidade\s+responsavel"]
+PARTNER_ENDS = ["cnpj", "ddd/telefone", "respons[aá]vel", "endere[cç]o"]
+#: The wordings before a partner's name, in order.
+PARTNER_HEADS = [r"part[ií]cipe\s*2\s*:", r"executor\b[^\n]*?[oó]rg[aã]o\s*/\s*entidade\b\s*:?", r"\bparceir[oa]\s*:", r"nome da institui[cç][aã]o\s*:", r"[oó]rg[aã]o/entidade\s*:"]
+
+
+def content(c: Column, least: int = 8) -> Column:
+    """The value if it has so many letters before its footer (TXT9)."""
+    return F.when(has_content(c, least), c)
+
+
 def plan_object(text: Column, preview: Column) -> Column:
-    """EXT11: the preview's, else the identification block's, else the first `objeto:` line."""
-    block = clause_value(F.regexp_extract(text, r"(?isu)identifica[cç][aã]o do objeto\s*:?\s*(.{8,900}?)(?=\n\s*\n|\n\s*\d+\.|\z)", 1))
-    line = clause_value(F.regexp_extract(F.get(F.filter(F.split(text, "\n"), lambda x: x.rlike(r"(?iu)^\s*objeto\s*:")), F.lit(0)), r"(?iu)objeto\s*:\s*(.*)$", 1))
-    return F.coalesce(filled(clean_spaces(preview)), filled(block), filled(line))
+    """EXT11: the preview's, else the identification block's (folded), else the first line that names the object and has
+    a colon; each if it has content."""
+    block = F.regexp_extract(fold(text), rf"(?s)identificacao\s+do\s+objeto\s*:?\s*(.{{1,4000}}?)(?=\b(?:{'|'.join(OBJECT_ENDS)})\b|\z)", 1)
+    lines = F.filter(F.split(text, r"\r\n?|\n"), lambda x: F.contains(x, F.lit(":")) & F.contains(fold(x), F.lit("objeto")))
+    values = F.filter(F.transform(lines, lambda x: clean_spaces(F.regexp_replace(x, "^[^:]*:", ""))), lambda x: has_content(x))
+    return F.coalesce(content(clean_spaces(preview)), content(clean_spaces(block)), F.get(values, F.lit(0)))
 
 
-def plan_partner(text: Column, preview: Column, fallback: str | None = None) -> Column:
-    """EXT12."""
-    found = F.array_compact(F.array(*[filled(party_name(F.regexp_extract(text, p, 1))) for p in (r"(?iu)\bparceir[oa]\s*:\s*([^\n]{3,160})", r"(?iu)(?:nome da institui[cç][aã]o|[oó]rg[aã]o/entidade)\s*:\s*([^\n]{3,160})", r"(?iu)part[ií]cipe 2\s*:\s*([^\n]{3,160})")]))
-    return F.coalesce(filled(clean_spaces(preview)), F.get(F.filter(found, lambda x: ~is_internal(x)), F.lit(0)), F.lit(fallback).cast("string"))
+def plan_partner(text: Column, preview: Column, fallback: str | None = None, internal: tuple[str, ...] = INTERNAL) -> Column:
+    """EXT12: the preview's, else the first of the wordings' that isn't internal, else the fallback if the text holds it."""
+    ends = rf"(?:\s+(?:{'|'.join(PARTNER_ENDS)})\b|\n|\z)"
+    found = [content(party_name(F.regexp_extract(text, rf"(?isu){head}\s*(.{{3,300}}?){ends}", 1)), 4) for head in PARTNER_HEADS]
+    known = F.lit(None).cast("string") if fallback is None else F.when(F.contains(fold(text), fold(F.lit(fallback))), F.lit(fallback))
+    return F.coalesce(content(clean_spaces(preview), 4), *[F.when(~is_internal(x, internal), x) for x in found], known)
 
 
 def duties(text: Column) -> Column:
     """EXT13."""
-    return filled(clause_value(section(text, [r"\bATRIBUI[CÇ][OÕ]ES\b", r"\bRESPONSABILIDADES\b", r"\bOBRIGA[CÇ][OÕ]ES DOS PART[IÍ]CIPES\b"], PLAN_STOP, keep_head=True)))
+    return filled(clause_value(section(text, [r"\b" + spelled(x) for x in ("responsabilidades dos partícipes", "objetivo geral e objetivos específicos", "compromissos e responsabilidades", "atribuições", "responsabilidades", "obrigações dos partícipes")], PLAN_STOP, keep_head=True)))
 
 
 def table_goals(tables: Column) -> Column:
-    """EXT14: struct (goals, actions), items joined by ` || ` and cells by ` | `, distinct and in order, from tables
-    whose header speaks of goals, actions or phases: rows that begin with a number or `meta` are goals."""
+    """EXT14, loose: struct (goals, actions), items joined by ` || ` and cells by ` | `, distinct and in order, from tables
+    whose header speaks of goals, actions or phases: rows that begin with `meta` are goals, all others actions."""
     relevant = F.filter(tables, lambda t: fold(F.array_join(F.get(t["rows"], F.lit(0)), " ")).rlike(r"\b(?:metas?|acao|acoes|fases?|etapas?|atividades?)\b"))
     rows = F.flatten(F.transform(relevant, lambda t: F.slice(t["rows"], 2, 1_000_000)))
     lines = F.transform(F.filter(rows, lambda r: F.exists(r, lambda x: F.trim(x) != "")), lambda r: F.array_join(F.filter(F.transform(r, clean_spaces), lambda x: x != ""), " | "))
@@ -160,9 +202,41 @@ def table_goals(tables: Column) -> Column:
     return F.struct(pack(F.filter(lines, goal)).alias("goals"), pack(F.filter(lines, lambda x: ~goal(x))).alias("actions"))
 
 
+def routed_goals(tables: Column) -> Column:
+    """EXT14: struct (goals, actions) as table_goals, from tables whose header has `meta`, an action or description, and a
+    period, schedule or owner (or `etapa`, description and schedule).
+
+    A row that begins with a number is a goal (number and next cell) and, with more cells, an action (all but the
+    number).  A row that begins with meta, fase or etapa is a goal as it is, and its other cells an action.  All else is
+    an action."""
+    has = lambda h, *words: contains_any(h, words)
+    full = lambda h: has(h, "meta") & has(h, "acao", "descricao") & has(h, "periodo", "cronograma", "responsavel")
+    header = lambda t: fold(F.array_join(F.get(t["rows"], F.lit(0)), " | "))
+    relevant = F.filter(tables, lambda t: let(header(t), lambda h: full(h) | (has(h, "etapa") & has(h, "descricao") & has(h, "cronograma"))))
+    rows = F.flatten(F.transform(relevant, lambda t: F.slice(t["rows"], 2, 1_000_000)))
+    cells = F.filter(F.transform(rows, lambda r: F.filter(F.transform(r, clean_spaces), lambda x: x != "")), lambda r: F.size(r) > 0)
+    join = lambda a: F.array_join(a, " | ")
+    rest = lambda r: F.when(F.size(r) > 1, join(F.slice(r, F.lit(2), F.size(r) - 1)))
+
+    def routed(r: Column) -> Column:
+        first = fold(F.get(r, F.lit(0)))
+        numbered, named = first.rlike(r"^\d+$") & (F.size(r) >= 2), first.rlike("^(?:meta|fase|etapa)")
+        goal = F.when(numbered, join(F.slice(r, 1, 2))).when(named, join(r))
+        return F.struct(goal.alias("goal"), F.when(numbered, F.when(F.size(r) >= 3, rest(r))).when(named, rest(r)).otherwise(join(r)).alias("action"))
+
+    pack = lambda a: filled(F.array_join(F.array_distinct(F.array_compact(a)), " || "))
+    both = F.transform(cells, routed)
+    return let(both, lambda x: F.struct(pack(F.transform(x, lambda y: y["goal"])).alias("goals"), pack(F.transform(x, lambda y: y["action"])).alias("actions")))
+
+
+#: Headings of a work plan's execution, in order.
+EXECUTION_HEADS = ["metodologia e intervenção", "metas de execução", "meta de execução", "ação e cronograma", "etapas, execução e cronograma", "etapas e execução e cronograma", "cronograma de execução", "plano de ação"]
+
+
 def execution_section(text: Column) -> Column:
-    """EXT15: the execution section, else from the first mention of a goal or phase."""
-    return F.coalesce(section(text, [r"\bCRONOGRAMA DE EXECU[CÇ][AÃ]O\b", r"\bPLANO DE A[CÇ][AÃ]O\b", r"\bMETAS\b"], PLAN_STOP, keep_head=True), focus_window(text, [r"\b(?:meta|fase)\s*\d"]))
+    """EXT15: the execution section, else from the first goal or phase mentioned to the next stop."""
+    named = section(text, [r"\b" + spelled(x) for x in EXECUTION_HEADS], PLAN_STOP, keep_head=True)
+    return F.coalesce(named, section(text, [r"\b(?:meta\s*\d|fase\s*[a-z]\b)"], PLAN_STOP, keep_head=True))
 
 
 def fragments(text: Column, patterns: list[str], longest: int = 900) -> Column:
@@ -171,11 +245,31 @@ def fragments(text: Column, patterns: list[str], longest: int = 900) -> Column:
     return F.array_distinct(F.filter(F.transform(found, lambda x: F.substring(clean_spaces(x), 1, longest)), lambda x: x != ""))
 
 
-def goals_text(tables: Column, text: Column, actions: bool = False) -> Column:
-    """EXT17: from tables, else fragments, else the section."""
-    part = table_goals(tables)["actions" if actions else "goals"]
-    word = "(?:a[cç][aã]o|atividade|fase)" if actions else "meta"
-    return F.coalesce(part, filled(F.array_join(fragments(text, [rf"(?iu)\b{word}\s*\d+\s*[:.)-][^\n]+"]), " || ")), filled(clean_spaces(execution_section(text))))
+#: Marks that begin a part of a work plan.
+PARTS = {"meta": r"meta\s*\d+\b", "fase": r"fase\s*[a-z]\b", "etapa": r"etapas?\b", "acao": r"a[cç][aã]o\b", "atividade": r"atividade\s*[a-z]?\.\d", "produto": r"produto\b"}
+#: The parts that are goals, and actions: what ends each, and its longest text.
+GOAL_PARTS = [("meta", ["meta", "fase", "acao", "atividade"], 700), ("fase", ["fase", "meta"], 700), ("etapa", [], 700)]
+ACTION_PARTS = [("acao", ["acao", "produto", "meta", "atividade"], 600), ("atividade", ["atividade", "fase", "meta"], 600), ("produto", ["produto", "meta", "acao"], 300)]
+
+
+def part_fragments(text: Column, kinds: list[tuple[str, list[str], int]]) -> Column:
+    """EXT16 over line ends: the text is split where a kind or one of its ends begins, and the pieces that begin with the
+    kind are kept, up to a section's stop."""
+    found = []
+    for kind, ends, longest in kinds:
+        borders = "|".join(PARTS[x] for x in dict.fromkeys([kind, *ends]))
+        pieces = F.filter(F.split(text, rf"(?iu)(?=\b(?:{borders}))"), lambda x: x.rlike(rf"(?iu)^{PARTS[kind]}"))  # noqa: B023
+        cut = lambda x: F.substring(F.regexp_replace(x, rf"(?isu)(?:{PLAN_STOP}).*", ""), 1, longest + 10)  # noqa: B023, E731
+        found.append(F.transform(pieces, lambda x: F.regexp_replace(clean_spaces(trim_noise(cut(x))), r"[\s,;]+$", "")))
+    return F.array_distinct(F.filter(F.flatten(F.array(*found)), lambda x: x != ""))
+
+
+def goals_text(tables: Column, text: Column, actions: bool = False, from_tables=None) -> Column:
+    """EXT17: from tables if they have content, else fragments of the execution section (or the text), else the section."""
+    part = (from_tables or table_goals)(tables)["actions" if actions else "goals"]
+    base = F.coalesce(execution_section(text), text)
+    pieces = filled(F.array_join(part_fragments(base, ACTION_PARTS if actions else GOAL_PARTS), " || "))
+    return F.coalesce(part if from_tables is None else content(part), pieces, filled(clean_spaces(execution_section(text))))
 
 
 def plan_record(df: DataFrame) -> DataFrame:
@@ -187,30 +281,38 @@ def plan_record(df: DataFrame) -> DataFrame:
     }).drop("_period")
 
 
-#: Annotation labels (folded, upper case) and the field that each begins.
-ANNOTATIONS = {"parceiro": r"PARCEIR[OA]S?", "vigencia": r"VIGENCIA", "numero_act": r"(?:NUMERO DO )?ACT|N[O.]? ?(?:DO )?ACT", "objeto": r"OBJETO"}
+#: Annotation labels (folded, upper case) and the field that each begins.
+ANNOTATIONS = {"parceiro": ["PARCEIRO", "PARCEIROS", "PARCEIRA", "PARCEIRAS"], "vigencia": ["VIGENCIA"], "numero_act": ["NUMERO ACT", "NUMEROACT", "NUMERO", "NUMERO DO ACT", "ACT", "N DO ACT", "NO ACT", "NO DO ACT"], "objeto": ["OBJETO"]}
 
 
 def annotation(c: Column) -> Column:
     """EXT19: struct (parceiro, vigencia, numero_act, objeto) of a block of `LABEL: value` lines.
 
-    The first value of a label wins; the object goes on over lines until the next label.  One pass over the lines of
-    a row as an array, so no shuffle."""
-    lines = F.filter(F.transform(F.split(F.regexp_replace(c, r"(?i)<br\s*/?>", "\n"), r"\r?\n"), clean_spaces), lambda x: x != "")
-    label = lambda x: fold_upper(F.regexp_extract(x, r"^([^:]{2,40}):", 1))
-    value = lambda x: F.trim(F.regexp_replace(x, r"^[^:]{2,40}:", ""))
-    fields = {}
-    for name, p in ANNOTATIONS.items():
-        named = f"^(?:{p})$"
-        hit = F.filter(lines, lambda x: label(x).rlike(named) & (value(x) != ""))  # noqa: B023
-        fields[name] = value(F.get(hit, F.lit(0)))
-    start = F.array_position(F.transform(lines, lambda x: label(x).rlike("^OBJETO$")), F.lit(True)).cast("int")
-    rest = F.slice(lines, F.greatest(start + 1, F.lit(1)), F.greatest(F.size(lines) - start, F.lit(0)))
-    begins = lambda x: (label(x) != "") & (is_metadata_label(F.regexp_extract(x, r"^([^:]{2,40}):", 1)))
-    stop = F.array_position(F.transform(rest, begins), F.lit(True)).cast("int")
-    rest = F.when(stop > 0, F.slice(rest, F.lit(1), stop - 1)).otherwise(rest)
-    fields["objeto"] = F.when(start > 0, filled(clean_spaces(F.concat_ws(" ", value(F.get(lines, start - 1)), F.array_join(rest, " ")))))
-    return F.struct(*[v.alias(k) for k, v in fields.items()])
+    The first filled value of a label wins; numbers lose their sign.  The object goes on over lines until the next
+    metadata label, whatever its case; a later object block replaces an earlier one.  One walk over a row's lines."""
+    lines = F.filter(F.transform(F.split(F.regexp_replace(c, r"(?i)<br\s*/?>", "\n"), r"\r\n?|\n"), clean_spaces), lambda x: x != "")
+
+    def parsed(x: Column) -> Column:
+        at = F.locate(":", x)
+        label = F.when(at > 1, fold_upper(F.substring(x, F.lit(1), at - 1))).otherwise("")
+        return F.struct(x.alias("line"), label.alias("label"), F.when(at > 0, F.trim(F.substr(x, at + 1))).otherwise("").alias("value"), (at.between(3, 81) & metadata_label(label)).alias("ends"))
+
+    text = F.lit(None).cast("string")
+    start = F.struct(F.lit(False).alias("inside"), F.array().cast("array<string>").alias("lines"), *[text.alias(k) for k in ("parceiro", "vigencia", "numero_act")])
+
+    def step(acc: Column, x: Column) -> Column:
+        object_line = x["label"].isin(ANNOTATIONS["objeto"])
+        inside = acc["inside"] & ~(x["ends"] & ~object_line)
+        begins = object_line & ~acc["inside"]
+        first = F.when(x["value"] != "", F.array(x["value"])).otherwise(F.array().cast("array<string>"))
+        more = F.when(begins, first).when(inside, F.concat(acc["lines"], F.array(x["line"]))).otherwise(acc["lines"])
+        take = lambda k: F.coalesce(acc[k], F.when(~inside & x["label"].isin(ANNOTATIONS[k]), filled(x["value"])))
+        return F.struct((inside | begins).alias("inside"), more.alias("lines"), *[take(k).alias(k) for k in ("parceiro", "vigencia", "numero_act")])
+
+    def end(acc: Column) -> Column:
+        return F.struct(acc["parceiro"].alias("parceiro"), acc["vigencia"].alias("vigencia"), number_text(acc["numero_act"]).alias("numero_act"), filled(clean_spaces(F.array_join(acc["lines"], " "))).alias("objeto"))
+
+    return F.aggregate(F.transform(lines, parsed), start, step, end)
 
 
 def preview_record(cells: Column, process: Column) -> Column:
@@ -221,32 +323,58 @@ def preview_record(cells: Column, process: Column) -> Column:
     return F.struct(sequence_cell(cells, process).alias("seq"), *[a[k].alias(k) for k in ANNOTATIONS])
 
 
-#: Words that make a label a date label, and the key that each gives, first found first.
-RAW_KEYS = [("inicio", r"inicio"), ("termino", r"termino|fim\b|final"), ("assinatura", r"assinatura"), ("vigencia", r"vigencia"), ("prazo", r"prazo"), ("periodo", r"periodo"), ("data", r"data")]
-_RAW_DATE = r"\d{1,2}\s*[/.-]\s*\d{1,2}\s*[/.-]\s*\d{2,4}|\d{1,2}\s*/\s*\d{4}|\d{1,2}\s+de\s+[a-zç]+\s+de\s+\d{4}|\d+\s+(?:mes|mês|ano|dia)"
+#: Words that make a label a date label, and the key that some give, first found first.
+DATE_LABELS = ["inicio", "termino", "assinatura", "vigencia", "prazo", "periodo", "data", "duracao", "execucao"]
+RAW_KEYS = [("inicio", ["inicio"]), ("termino", ["termino", "fim"]), *[(k, [k]) for k in ("assinatura", "vigencia", "prazo", "periodo", "data")]]
+#: Marks of page furniture, in which no field is looked for.
+RAW_NOISE = ["http://", "https://", "documento assinado eletronicamente", "a autenticidade do documento pode ser conferida", "codigo verificador", "codigo crc", "controlador_externo.php", "criado por ", "super.gov.br"]
+#: Wordings that stand for a date.
+RELATIVE_DATES = ["apos", "antes", "imediatamente", "sem data", "na data de assinatura", "a partir da assinatura"]
+EVIDENCE = 180
+
+
+#: What a date looks like, in folded text; besides the months' first letters.
+DATED = "|".join([r"\b\d{1,2}\s*[/.-]\s*(?:\d{1,2}\s*[/.-]\s*\d{2,4}|\d{4})\b", r"\b[a-z]{3,12}\s*[/.-]\s*\d{2,4}\b", r"\d\s+(?:mes|ano|dia)", rf"\b(?:{'|'.join(RELATIVE_DATES)})\b", *D.SHORT])
+
+
+def dated(folded: Column) -> Column:
+    """A date, a month, a wording that stands for one, or a duration (which the label of a period makes a value)."""
+    return folded.rlike(DATED)
+
+
+def _any(words) -> str:
+    return "|".join(re.escape(w) for w in words)
 
 
 def raw_fields(df: DataFrame, key: str = "processo", text: str = "text", tables: str | None = "tables") -> DataFrame:
-    """EXT21: (key, field_key, label, value, source, ref, value_is_empty, value_has_date_like): label and value of table
-    rows and `label: value` lines, and bare lines with a date; distinct."""
-    f = lambda c: fold(c)
-    ok = lambda c: c.rlike(r"^.{3,60}$") & (F.size(F.split(F.trim(c), r"\s+")) <= 6) & (F.length(F.regexp_replace(c, "[^A-Za-zÀ-ÿ]", "")) >= 4) & ~c.rlike(r"https?://|www\.|[|@]") & f(c).rlike("inicio|termino|fim|final|assinatura|vigencia|prazo|periodo|data")
-    noise = lambda c: f(c).rlike("codigo verificador|codigo crc|documento assinado|autenticidade")
-    name = F.lit("outro")
-    for k, p in reversed(RAW_KEYS):
-        name = F.when(f(F.col("label")).rlike(p), k).otherwise(name)
-    lines = df.select(key, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), r"\r?\n")).alias("ref", "line"))
-    pairs = lines.select(key, clean_spaces(F.regexp_extract("line", r"^\s*([^:\n]{3,60}):\s*(.+)$", 1)).alias("label"), clean_spaces(F.regexp_extract("line", r"^\s*([^:\n]{3,60}):\s*(.+)$", 2)).alias("value"), F.lit("texto").alias("source"), F.col("ref").cast("string").alias("ref"), F.lit(True).alias("_dated"))
-    bare = lines.where(~F.col("line").rlike(r"^\s*[^:\n]{3,60}:\s*.+$") & (F.length(F.trim("line")) <= 160) & F.col("line").rlike(_RAW_DATE)).select(key, F.lit("").alias("label"), F.substring(clean_spaces(F.col("line")), 1, 180).alias("value"), F.lit("linha").alias("source"), F.col("ref").cast("string").alias("ref"))
+    """EXT21: (key, field_key, label, value, origin, origin_ref, section_hint, evidence, value_is_empty,
+    value_has_date_like): label and value of table rows (all cells after the first) and of `label: value` matches in
+    lines, and bare lines with a date; equal fields of a line or row count once.
+
+    One pass over a row's lines as arrays, so there is no shuffle; what tests need is made by the generator, so that it
+    is computed once.  Null texts and tables have no fields."""
+    clean = F.regexp_replace(F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("\u00a0"), F.lit(" ")), r"[ \t]*[\r\n]+", "\n")
+    line = lambda x, at: F.struct(at.alias("_at"), x.alias("_line"), fold(x).alias("_f"))
+    lines = F.filter(F.transform(F.split(F.trim(clean), "\n"), lambda x, i: line(F.trim(F.regexp_replace(x, r"[ \t]+", " ")), i)), lambda x: x["_line"] != "")
+    lines = df.select(key, F.inline(lines)).where(~F.col("_f").rlike(_any(RAW_NOISE)))
+    field = lambda label, value: F.struct(label.alias("label"), value.alias("value"), fold(label).alias("_fl"), let(fold(value), lambda x: F.when(~x.rlike(_any(RAW_NOISE)), x)).alias("_fv"))
+    pairs = F.regexp_extract_all("_line", F.lit(r"[^:\n]{2,80}:[^:\n]{0,300}"), F.lit(0))
+    named = F.transform(F.array_distinct(pairs), lambda x: field(F.trim(F.split_part(x, F.lit(":"), F.lit(1))), F.trim(F.split_part(x, F.lit(":"), F.lit(2)))))
+    bare = F.when((F.length("_line") <= 160) & dated(F.col("_f")), F.array(field(F.lit(""), F.col("_line"))))
+    rows = lines.select(key, F.lit("text").alias("origin"), F.concat(F.lit("line#"), F.col("_at").cast("string")).alias("origin_ref"), F.inline(F.when(F.contains("_line", F.lit(":")) & F.col("_line").rlike("[^:]{2}:"), named).otherwise(bare)))
     if tables:
-        cells = df.select(key, F.posexplode(F.coalesce(F.col(tables), F.array())).alias("t", "table")).select(key, "t", F.posexplode("table.rows").alias("r", "row"))
-        table = cells.select(key, clean_spaces(F.get("row", F.lit(0))).alias("label"), clean_spaces(F.get("row", F.lit(1))).alias("value"), F.lit("tabela").alias("source"), F.concat_ws(":", "t", "r").alias("ref"), F.lit(False).alias("_dated"))
-        pairs = pairs.unionByName(table)
-    pairs = pairs.where(ok(F.col("label")) & (F.length("value") > 2) & ~noise(F.col("value")) & ~noise(F.col("label"))).withColumn("field_key", name)
-    pairs = pairs.where(F.col("value").rlike(f"(?i){_RAW_DATE}") | (~F.col("_dated") & (F.col("field_key") != "outro"))).drop("_dated")
-    out = pairs.unionByName(bare.where(~noise(F.col("value"))).withColumn("field_key", F.lit("data"))).withColumn("value", F.substring("value", 1, 180))
-    out = out.dropDuplicates([key, "field_key", "label", "value", "ref"])
-    return out.withColumns({"value_is_empty": F.trim("value") == "", "value_has_date_like": F.col("value").rlike(f"(?i){_RAW_DATE}")})
+        cells = df.select(key, F.posexplode(F.coalesce(F.col(tables), F.array())).alias("_t", "_table")).select(key, "_t", F.posexplode("_table.rows").alias("_r", "_row"))
+        cells = cells.select(key, F.lit("table").alias("origin"), F.concat(F.lit("table#"), F.col("_t").cast("string"), F.lit(" row#"), F.col("_r").cast("string")).alias("origin_ref"), F.transform("_row", lambda x: clean_spaces(F.coalesce(x, F.lit("")))).alias("_c"))
+        rest = F.array_join(F.filter(F.slice("_c", 2, 1_000_000), lambda x: x != ""), " | ")
+        rows = rows.union(cells.where("size(_c) > 0").select(key, "origin", "origin_ref", F.inline(F.array(field(F.get("_c", F.lit(0)), rest)))).where("label <> ''"))
+    label, name = F.col("_fl"), F.lit("outro")
+    for k, words in reversed(RAW_KEYS):
+        name = F.when(contains_any(label, words), k).otherwise(name)
+    named = label.rlike(_any(DATE_LABELS)) & F.length("label").between(3, 60) & ~label.rlike(f"[|@]|{_any(RAW_NOISE)}") & (F.size(F.split(label, " ")) <= 6) & (F.length(F.regexp_replace(label, "[^a-z]", "")) >= 4)
+    useful = (F.length("value") > 2) & F.col("_fv").isNotNull() & (((F.col("origin") == "table") & label.rlike(_any(w for _, words in RAW_KEYS for w in words))) | dated(F.col("_fv")))
+    rows = rows.where((label == "") | (named & useful))
+    evidence = F.substring(F.concat_ws(": ", F.nullif("label", F.lit("")), "value"), 1, EVIDENCE)
+    return rows.select(key, F.when(label == "", "data").otherwise(name).alias("field_key"), "label", "value", "origin", "origin_ref", F.lit("").alias("section_hint"), evidence.alias("evidence"), (F.col("value") == "").alias("value_is_empty"), F.coalesce(dated(F.col("_fv")), F.lit(False)).alias("value_has_date_like"))
 
 
 def instrument_number(*keys: Column) -> Column:

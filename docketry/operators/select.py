@@ -158,11 +158,11 @@ def with_counts(base: DataFrame, counts: dict[str, DataFrame], key: str = "proce
 
 def explorer(tables: dict[str, DataFrame], process: str) -> DataFrame:
     """JOI7: one row with the first row of each table for one case, as JSON; null where a table has none."""
-    out = None
+    rows = None
     for name, df in tables.items():
-        row = df.where(F.col("processo") == process).agg(F.min_by(F.to_json(F.struct(*df.columns)), "row_idx").alias(name)).withColumn("processo", F.lit(process))
-        out = row if out is None else out.join(row, "processo")
-    return out
+        own = df.where(F.col("processo") == process).select(F.lit(name).alias("_t"), F.col("row_idx").cast("long").alias("_i"), F.to_json(F.struct(*df.columns)).alias("_j"))
+        rows = own if rows is None else rows.union(own)
+    return rows.agg(*[F.min_by("_j", F.when(F.col("_t") == name, F.col("_i"))).alias(name) for name in tables]).withColumn("processo", F.lit(process))
 
 
 def span_seconds(processes: DataFrame, spans: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -10,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import clean_spaces, empty_to_null, safe_name
+from ..functions.text import clean_spaces, empty_to_null, fold, repair_native, repair_payload, repair_text, safe_name
 
 #: A captured document: text, tables, address, title and how it was read.
 SNAPSHOT = "captured_at string, document_type string, requested_type string, processo string, documento string, snapshot struct<text:string,tables:array<struct<rows:array<array<string>>>>,url:string,title:string,extraction_mode:string>, collection struct<found:boolean,found_in:string,search_term:string,results_count:int,chosen_documento:string,selection_reason:string,selection_detail:string,extraction_error:string>, prazos struct<status:string,inicio_data:string,inicio_raw:string,termino_data:string,termino_raw:string>"
@@ -22,6 +25,17 @@ def _there(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below spark.checkpoint.dir; that setting is made here only where it is unset in local mode (tests)."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        top = "file://" + tempfile.mkdtemp(prefix="docketry-")
+        spark.conf.set("spark.checkpoint.dir", top)
+    return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def read_csv(spark: SparkSession, path: str, columns: list[str], collapse: bool = False) -> DataFrame:
     """SRC1, SRC2 (collapse): all text, the wanted columns in order; absent columns are empty, an absent file is an
     empty frame.  Adds row_idx, the order of reading."""
@@ -36,7 +50,7 @@ def read_csv(spark: SparkSession, path: str, columns: list[str], collapse: bool
 
 
 def read_snapshots(spark: SparkSession, path: str, schema: str = SNAPSHOT, corrupt: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
-    """SRC3: one JSON object a file, with json_path, and the files that hold none."""
+    """SRC3: one JSON object a file, with json_path, and the files that hold none.  See landing() for the repair."""
     df = spark.read.text(path, wholetext=True).withColumn("json_path", F.col("_metadata.file_path"))
     df = df.select("json_path", _parsed(F.col("value"), schema, corrupt).alias("r")).select("json_path", F.coalesce(f"r.{corrupt}", F.when(F.col("r").isNull(), F.lit(""))).alias(corrupt), "r")
     good = df.where(F.col(corrupt).isNull()).select("r.*", "json_path").drop(corrupt)
@@ -56,8 +70,10 @@ def read_ndjson(spark: SparkSession, path: str, schema: str, corrupt: str = "_co
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """SRC5: (run, line_no, ts, level, message) of lines with a timestamp and a text; run is the file.  A message that
-    is no JSON string doesn't count."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("run"), F.monotonically_increasing_id().alias("line_no"), "value")
+    is no JSON string doesn't count.  line_no follows the file, however it is split: the block's first byte, then the
+    place within the task that read the block."""
+    place = F.col("_metadata.file_block_start").cast("decimal(38,0)") * F.lit(2**33) + F.monotonically_increasing_id().bitwiseAND(2**33 - 1)
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("run"), place.cast("decimal(38,0)").alias("line_no"), "value")
     message = F.try_variant_get(F.try_parse_json("value"), "$.message", "string")
     kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json("value"), "$.message", "variant"))
     df = lines.select("run", "line_no", F.try_to_timestamp(F.get_json_object("value", "$.timestamp")).alias("ts"), F.coalesce(F.get_json_object("value", "$.level"), F.lit("")).alias("level"), F.when(kind == "STRING", message).alias("message"))
@@ -70,6 +86,19 @@ def discover(spark: SparkSession, root: str, prefix: str) -> str:
     return inner if _there(spark, inner) else f"{root}/{prefix}_*.json"
 
 
+def landing(snapshots: DataFrame) -> DataFrame:
+    """SRC7: snapshots as they are landed: every text of the payload repaired (TXT3; the main text and title in two
+    rounds and both code pages, texts in tables in one round), and the name they are kept under."""
+    one = {c: repair_payload(F.col(c), snapshots.schema[c].dataType, repair_native) for c in snapshots.columns if c != "snapshot"}
+    if "snapshot" in snapshots.columns:
+        kind = snapshots.schema["snapshot"].dataType
+        parts = [(repair_text(F.col(f"snapshot.{f.name}")) if isinstance(f.dataType, T.StringType) else repair_payload(F.col(f"snapshot.{f.name}"), f.dataType, repair_native)).alias(f.name) for f in kind.fields]
+        one["snapshot"] = F.when(F.col("snapshot").isNotNull(), F.struct(*parts))
+    out = snapshots.withColumns(one)
+    named = [F.col(c) for c in ("document_type", "processo", "documento") if c in out.columns]
+    return out.withColumn("name", safe_name(F.concat_ws("_", *named))) if named else out
+
+
 def write_layer(df: DataFrame, path: str, run_id: str, by: list[str] = ()) -> None:
     """SRC7, SNK4: replaces only this run's partitions; older runs stay.  The latest run is a filter."""
     df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", *by).parquet(path)
@@ -81,14 +110,21 @@ def read_layer(spark: SparkSession, path: str, run_id: str | None = None) -> Dat
     return df.where(F.col("run_id") == run_id) if run_id else df.where(F.col("run_id") == df.agg(F.max("run_id")).first()[0])
 
 
-def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
-    """SNK1: the columns in order, nulls empty, as one folder of CSV files."""
-    df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns]).write.mode("overwrite").options(header=True, escape='"', emptyValue="").csv(path)
+def write_csv(df: DataFrame, path: str, columns: list[str], bom: bool = False) -> None:
+    """SNK1: the columns in order, nulls empty, as one folder of CSV files; bom puts the byte-order mark of UTF-8 before
+    the first column's name, which read_csv takes off."""
+    names = ["\ufeff" + c if bom and i == 0 else c for i, c in enumerate(columns)]
+    df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in zip(columns, names, strict=True)]).write.mode("overwrite").options(header=True, escape='"', emptyValue="").csv(path)
 
 
-def append_raw_fields(df: DataFrame, path: str) -> None:
-    """SNK2."""
-    df.write.mode("append").parquet(path)
+def append_raw_fields(df: DataFrame, path: str, run_id: str | None = None) -> None:
+    """SNK2: raw fields behind those of earlier documents, with value_is_empty and value_has_date_like where the rows do
+    not bring them, and the run if it is given."""
+    from ..operators.extract import dated
+
+    df = df if "value_is_empty" in df.columns else df.withColumn("value_is_empty", F.coalesce(F.trim("value"), F.lit("")) == "")
+    df = df if "value_has_date_like" in df.columns else df.withColumn("value_has_date_like", F.coalesce(dated(fold(F.col("value"))), F.lit(False)))
+    (df if run_id is None else df.withColumn("run_id", F.lit(run_id))).write.mode("append").parquet(path)
 
 
 def write_previews(df: DataFrame, path: str, columns: list[str]) -> bool:
@@ -110,9 +146,20 @@ def canonical_aliases(gold: DataFrame) -> DataFrame:
     return gold.select("processo", safe_name(F.concat_ws("_", "snapshot_prefix", "processo")).alias("alias"), F.col("json_path").alias("source_path"))
 
 
+def publish_aliases(gold: DataFrame, path: str, run_id: str) -> DataFrame:
+    """SNK6: writes the aliases of a run in place of those it had, so a case without a winner loses its alias, and
+    returns what stands there."""
+    write_layer(canonical_aliases(gold), path, run_id)
+    return read_layer(gold.sparkSession, path, run_id)
+
+
 def freshness(spark: SparkSession, path: str) -> DataFrame:
-    """SRC9: (path, mtime, size) of the files below a path; the signature that says whether to read again."""
-    return spark.read.format("binaryFile").load(path).select("path", F.col("modificationTime").alias("mtime"), F.col("length").alias("size"))
+    """SRC9: (path, exists, mtime, size) of the files below a path; the signature that says whether to read again.  A path
+    that isn't there is one row with exists = false."""
+    if not _there(spark, path):
+        return spark.createDataFrame([(path, False, None, None)], "path string, exists boolean, mtime timestamp, size long")
+    files = spark.read.format("binaryFile").load(path)
+    return files.select("path", F.lit(True).alias("exists"), F.col("modificationTime").alias("mtime"), F.col("length").alias("size"))
 
 
 API_ITEM = "numero_processo string, numeroProcesso string, objeto string, valor_global string, valorGlobal string, situacao string, uf string, itens string"
