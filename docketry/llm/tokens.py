@@ -17,7 +17,7 @@ from .common import table
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK, UNKNOWN_PENALTY = "▁", 10.0
 #: Characters of the words whose counts a worker remembers, and the longest word that it does remember.
-REMEMBERED, LONGEST = 4_000_000, 64
+REMEMBERED, LONGEST = 14_000_000, 64
 #: What a remembered word costs beside its characters, in characters.
 ENTRY = 20
 #: The characters with the Unicode property White_Space.
