@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, decontaminate, licenses, mixing, neardup, quality, tokens, toxicity, url_filters, warc
+from . import ann, decontaminate, fim, licenses, mixing, neardup, quality, tokens, toxicity, url_filters, warc
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc_fixity": warc.op8_warc_fixity,
     "op9_ann": ann.op9_ann,
     "op10_mixing": mixing.op10_mixing,
+    "op11_fill_in_middle": fim.op11_fill_in_middle,
 }
 
 ORACLES = {
@@ -22,4 +23,5 @@ ORACLES = {
     "op6_minhash_dedup": neardup.OP6_SQL,
     "op8_warc_fixity": warc.OP8_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "op11_fill_in_middle": fim.OP11_SQL,
 }
