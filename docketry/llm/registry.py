@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, decontaminate, fim, licenses, mixing, neardup, quality, tokens, toxicity, url_filters, warc
+from . import ann, decontaminate, fim, licenses, mixing, neardup, quality, tokens, toxicity, trie, url_filters, warc
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_ann": ann.op9_ann,
     "op10_mixing": mixing.op10_mixing,
     "op11_fill_in_middle": fim.op11_fill_in_middle,
+    "op12_conversation_trie": trie.op12_conversation_trie,
 }
 
 ORACLES = {
@@ -24,4 +25,5 @@ ORACLES = {
     "op8_warc_fixity": warc.OP8_SQL,
     "op10_mixing": mixing.OP10_SQL,
     "op11_fill_in_middle": fim.OP11_SQL,
+    "op12_conversation_trie": trie.OP12_SQL,
 }
