@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, decontaminate, fim, licenses, mixing, neardup, quality, tokens, toxicity, trie, url_filters, warc
+from . import ann, decontaminate, fim, licenses, mixing, neardup, quality, repeats, tokens, toxicity, trie, url_filters, warc
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_mixing": mixing.op10_mixing,
     "op11_fill_in_middle": fim.op11_fill_in_middle,
     "op12_conversation_trie": trie.op12_conversation_trie,
+    "op13_repeated_passages": repeats.op13_repeated_passages,
 }
 
 ORACLES = {
