@@ -289,6 +289,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "first", b
     items = stored(texts.mapInArrow(_slices, _ITEM))
     parts = _resolved(items, length, first, block).groupBy(F.col("b").alias("p_a"), F.col("y").alias("p_x")).agg(F.collect_list(F.struct("f", "t")).alias("parts"))
     verdict = classes.join(parts, (F.col("a") == F.col("p_a")) & (F.col("x") == F.col("p_x")), "left").where("n > 1 OR parts IS NOT NULL").select(F.col("a").alias("v_a"), F.col("x").alias("v_x"), "n", "w", "parts")
+    verdict = stored(verdict)  # a table of its own, so that Spark can split a context that very many texts have
     hits = runs.join(verdict, (F.col("a") == F.col("v_a")) & (F.col("x") == F.col("v_x")))
     every = _where() != F.col("w") if first else F.col("n") > 1
     range_of = lambda f, t: F.struct((F.col("s") + f - F.col("lo")).alias("start"), (F.col("s") + t - F.col("lo") + length).alias("end"))
