@@ -37,7 +37,8 @@ def t(spark: SparkSession, d: str, name: str) -> DataFrame:
 #: DuckDB forms of TXT1 and TXT6.
 _WS = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 _CLEAN = lambda c: f"trim(regexp_replace({c}, '{_WS}', ' ', 'g'))"
-_FOLD = lambda c: _CLEAN(f"translate(replace(replace(lower({c}), 'º', 'o'), '°', 'o'), '{X.ACCENTED}', '{X.PLAIN}')")
+_PLAIN = X.PLAIN.replace("'", "''")
+_FOLD = lambda c: _CLEAN(f"translate(replace(replace(lower({c}), 'º', 'o'), '°', 'o'), '{X.ACCENTED}', '{_PLAIN}')")
 _CENTS = lambda c: f"CAST({c} AS DECIMAL(18, 2))"
 
 
@@ -75,9 +76,10 @@ def document_keys(spark, d):
 
 @query("SELECT doc_id, text = text AS restored, length(text) AS chars FROM documents")
 def repair_roundtrip(spark, d):
-    """TXT2: texts read as Latin-1 by mistake come back, in every language."""
+    """TXT2: texts read as Latin-1 by mistake, once or (every third document) twice, come back, in every language."""
     df = t(spark, d, "documents")
-    broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+    wrong = lambda c: F.decode(F.encode(c, "UTF-8"), "ISO-8859-1")
+    broken = F.when(F.col("doc_id") % 3 == 0, wrong(wrong(F.col("text")))).otherwise(wrong(F.col("text")))
     return df.withColumn("broken", broken).select("doc_id", (X.repair_text(F.col("broken")) == F.col("text")).alias("restored"), F.length("text").alias("chars"))
 
 
@@ -157,7 +159,7 @@ def _candidates(spark, d):
     l AS (SELECT *, tree OR k <= 2 AS listed FROM k),
     s AS (SELECT *, row_number() OVER (PARTITION BY processo ORDER BY listed DESC, tree, CASE WHEN NOT tree THEN a END, CASE WHEN NOT tree THEN id END, CASE WHEN tree THEN score END DESC NULLS LAST, id::VARCHAR) AS seq FROM l),
     w AS (SELECT *, min(CASE WHEN listed AND NOT skip AND canon THEN seq END) OVER (PARTITION BY processo) AS win, max((listed AND NOT skip AND NOT tree)::INT) OVER (PARTITION BY processo) AS opened FROM s)
-    SELECT id AS position, seq::INT AS seq, CASE WHEN NOT listed THEN 'beyond_top' WHEN seq > win THEN 'not_opened' WHEN skip THEN 'skipped' WHEN seq = win THEN 'chosen' ELSE 'rejected' END AS state,
+    SELECT id AS position, seq::BIGINT AS seq, CASE WHEN NOT listed THEN 'beyond_top' WHEN seq > win THEN 'not_opened' WHEN skip THEN 'skipped' WHEN seq = win THEN 'chosen' ELSE 'rejected' END AS state,
       CASE WHEN win IS NOT NULL THEN 'found' WHEN opened = 1 THEN 'no_canonical_candidate_after_filter_and_tree' ELSE 'not_found_after_filter_and_tree' END AS outcome FROM w""")
 def candidate_funnel(spark, d):
     """SEL5: orders as candidates of their customer."""
@@ -428,10 +430,14 @@ def validity_ladder(spark, d):
 
 
 # --- extraction -------------------------------------------------------------------------------------------------
-@query("""SELECT o_orderkey, k AS field_key, l AS label, v AS value FROM (SELECT o_orderkey, unnest([{'k': 'inicio', 'l': 'Data de inicio', 'v': strftime(o_orderdate, '%d/%m/%Y')}, {'k': 'prazo', 'l': 'Prazo', 'v': '12 meses'}], recursive := true) FROM orders)""")
+@query("""SELECT o_orderkey, k AS field_key, l AS label, v AS value FROM (SELECT o_orderkey, unnest([{'k': 'inicio', 'l': 'Data de inicio', 'v': strftime(o_orderdate, '%d/%m/%Y')}, {'k': 'prazo', 'l': 'Prazo', 'v': 'maio do ano seguinte'},
+    {'k': 'data', 'l': '', 'v': 'feito em ' || strftime(o_orderdate, '%-d') || ' de maio de ' || year(o_orderdate)}, {'k': 'data', 'l': '', 'v': 'ate 31/12/2031-' || o_custkey}, {'k': 'data', 'l': '', 'v': 'imediatamente'}], recursive := true) FROM orders)""")
 def raw_fields(spark, d):
-    """EXT21: `label: value` lines written from orders."""
-    o = t(spark, d, "orders").select("o_orderkey", F.concat(F.lit("Data de inicio: "), F.date_format("o_orderdate", "dd/MM/yyyy"), F.lit("\nPrazo: 12 meses\nCliente: "), F.col("o_custkey").cast("string"), F.lit("\nsem campo")).alias("text"))
+    """EXT21: `label: value` lines and bare lines with a date, written from orders, among lines that have none."""
+    text = F.concat(
+        F.lit("Data de inicio: "), F.date_format("o_orderdate", "dd/MM/yyyy"), F.lit("\nPrazo: 12 meses\nPrazo: maio do ano seguinte\nCliente: "), F.col("o_custkey").cast("string"), F.lit("\nsem campo\nNada mais havendo a tratar\nOutras informações do setor 12 de maio\nfeito em "),
+        F.dayofmonth("o_orderdate").cast("string"), F.lit(" de maio de "), F.year("o_orderdate").cast("string"), F.lit("\nate 31 / 12/2031-"), F.col("o_custkey").cast("string"), F.lit("\n3 anos e 2 dias\nimediatamente"))
+    o = t(spark, d, "orders").select("o_orderkey", F.regexp_replace(text, "31 / 12", "31/12").alias("text"))
     return E.raw_fields(o, "o_orderkey", "text", None).select("o_orderkey", "field_key", "label", "value")
 
 
@@ -527,18 +533,19 @@ def agreement_publication(spark, d):
     return out.select("o_orderkey", "doc_class", "normalization_status", "numero_acordo", F.col("data_inicio_vigencia").alias("start_date"), F.col("data_fim_vigencia").alias("end_date"), F.col("orgao_convenente").alias("party"))
 
 
-@query("""SELECT o_orderkey, 'Instituto ' || c_name AS parceiro, 'vigiar ' || n_name AS objeto, o_orderdate::DATE AS start_date, (o_orderdate::DATE + to_months(24))::DATE AS end_date, 'Meta 1 | ' || o_orderpriority AS metas,
-    CASE WHEN o_orderstatus = 'P' THEN 'retained_silver' ELSE 'published_gold' END AS publication_status, 5 AS captured FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey""")
+@query("""SELECT o_orderkey, 'Instituto ' || c_name AS parceiro, 'vigiar ' || n_name AS objeto, o_orderdate::DATE AS start_date, (o_orderdate::DATE + to_months(24))::DATE AS end_date, 'Meta 1 | Mapear ' || o_orderpriority AS metas, 'Mapear ' || o_orderpriority AS acoes,
+    CASE WHEN o_orderstatus = 'P' THEN 'retained_silver' ELSE 'published_gold' END AS publication_status, 6 AS captured FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey""")
 def plan_publication(spark, d):
-    """CLS5, CLS12, EXT11-EXT18, DAT8, DAT13, JOI2: orders written as work plans of their customers' previews."""
+    """CLS5, CLS12, EXT11-EXT18, DAT8, DAT13, JOI2: orders written as work plans of their customers' previews; a draft names
+    itself in its head, a label's `minuta` alone makes none."""
     from .plans import publish
 
     c = t(spark, d, "customer").join(t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_name", "n_name")
     previews = c.select(F.col("c_custkey").alias("row_idx"), F.col("c_custkey").cast("string").alias("processo"), F.concat(F.lit("Instituto "), "c_name").alias("parceiro"), F.lit("").alias("vigencia"), F.lit("").alias("numero_act"), F.lit("").alias("objeto"))
     o = t(spark, d, "orders").join(c, F.col("c_custkey") == F.col("o_custkey"))
     day = F.date_format("o_orderdate", "dd/MM/yyyy")
-    text = F.concat(F.lit("PLANO DE TRABALHO\nObjeto: vigiar "), "n_name", F.lit("\nO prazo de 24 (vinte e quatro) meses, a partir da data de sua assinatura.\nAssinado eletronicamente por A, em "), day, F.lit("."))
-    table = F.array(F.struct(F.array(F.array(F.lit("Meta"), F.lit("Acao")), F.array(F.lit("Meta 1"), F.col("o_orderpriority"))).alias("rows")))
-    bronze = o.select("o_orderkey", F.col("o_orderkey").alias("row_idx"), F.col("o_custkey").cast("string").alias("processo"), text.alias("text"), table.alias("tables"), F.when(F.col("o_orderstatus") == "P", "minuta").otherwise("").alias("chosen"), F.lit(None).cast("struct<status:string,inicio_data:string,inicio_raw:string,termino_data:string,termino_raw:string>").alias("prazos"), F.lit("/p").alias("json_path"))
+    text = F.concat(F.when(F.col("o_orderstatus") == "P", "MINUTA DE ").otherwise(""), F.lit("PLANO DE TRABALHO\nObjeto: vigiar "), "n_name", F.lit("\nO prazo de 24 (vinte e quatro) meses, a partir da data de sua assinatura.\nAssinado eletronicamente por A, em "), day, F.lit("."))
+    table = F.array(F.struct(F.array(F.array(F.lit("Meta"), F.lit("Acao"), F.lit("Período")), F.array(F.lit("Meta 1"), F.concat(F.lit("Mapear "), "o_orderpriority"))).alias("rows")))
+    bronze = o.select("o_orderkey", F.col("o_orderkey").alias("row_idx"), F.col("o_custkey").cast("string").alias("processo"), text.alias("text"), table.alias("tables"), F.when(F.col("o_orderstatus") == "O", "Minuta").otherwise("").alias("chosen"), F.lit(None).cast("struct<status:string,inicio_data:string,inicio_raw:string,termino_data:string,termino_raw:string>").alias("prazos"), F.lit("/p").alias("json_path"))
     out = publish.work_plans(bronze, previews)
-    return out.select("o_orderkey", "parceiro", "objeto", F.col("vigencia_inicio").alias("start_date"), F.col("vigencia_fim").alias("end_date"), "metas", "publication_status", F.col("captured_focus_fields").alias("captured"))
+    return out.select(F.col("row_idx").alias("o_orderkey"), "parceiro", "objeto", F.col("vigencia_inicio").alias("start_date"), F.col("vigencia_fim").alias("end_date"), F.col("metas_raw").alias("metas"), F.col("acoes_raw").alias("acoes"), "publication_status", F.col("captured_focus_fields").alias("captured"))

@@ -11,7 +11,7 @@ from .catalog import _FOLD, cents, t
 from .functions import dates as D
 from .functions import text as X
 from .operators import classify as C
-from .operators import dash, records, runlog, select
+from .operators import dash, ordered, records, runlog, select
 from .operators import extract as E
 from .sources import tables as S
 
@@ -38,14 +38,17 @@ def day(c: str = "o_orderdate"):
 
 
 # --- text -------------------------------------------------------------------------------------------------------
-@query("SELECT o_orderkey, 'Acao ' || o_orderkey AS a, ['obj ' || o_custkey, 'sem marca', NULL] AS b FROM orders")
+@query("SELECT o_orderkey, 'Ação ' || o_orderkey AS a, ['obj ' || o_custkey, 'relação ' || o_custkey, '2020 – 2021', 'sem marca', NULL] AS b FROM orders")
 def repair_payload(spark, d):
-    """TXT3: every text of a nested value, here order keys with double-encoded letters in a struct with a list."""
+    """TXT3: every text of a nested value: order keys with letters encoded twice, once and thrice, in a struct with a list."""
     o = t(spark, d, "orders")
-    value = F.struct(F.concat(lit("AÃ§Ã£o "), "o_orderkey").alias("a"), F.array(F.concat(lit("obj "), "o_custkey"), lit("sem marca"), lit(None).cast("string")).alias("b"))
+    who = F.col("o_custkey").cast("string")
+    wrong = lambda x: F.decode(F.encode(x, "UTF-8"), "ISO-8859-1")
+    texts = F.array(F.concat(lit("obj "), who), wrong(wrong(F.concat(lit("relação "), who))), lit("2020 – 2021".encode().decode("cp1252")), lit("sem marca"), lit(None).cast("string"))
+    value = F.struct(F.concat(lit("AÃ§Ã£o "), "o_orderkey").alias("a"), texts.alias("b"))
     df = o.select("o_orderkey", value.alias("v"))
-    df = df.select("o_orderkey", X.repair_payload(F.col("v"), df.schema["v"].dataType, X.repair_native).alias("v"))
-    return df.select("o_orderkey", F.translate("v.a", "çã", "ca").alias("a"), "v.b")
+    df = df.select("o_orderkey", X.repair_payload(F.col("v"), df.schema["v"].dataType).alias("v"))
+    return df.select("o_orderkey", "v.a", "v.b")
 
 
 @query("""SELECT o_orderkey, 'fim da Clausula ' || o_orderkey || ' em 2020' AS prepared, 'Meta 1 e Fase 2 de ' || o_custkey AS plan FROM orders""")
@@ -98,34 +101,42 @@ def stated_periods(spark, d):
     return o.select("o_orderkey", p["start"].alias("a"), p["end"].alias("b"), D.date_after(F.concat(lit("a partir da publicação no diário de "), show("x")), "publicação").alias("published"), q["status"].alias("status"), q["start"].alias("first"))
 
 
-@query("""SELECT o_orderkey, o_orderkey % 4 = 0 AS noise, o_orderkey % 4 = 1 AS relative, (o_custkey % 10 + 1)::INT AS n FROM orders""")
+@query("""SELECT o_orderkey, o_orderkey % 8 = 0 AS noise, o_orderkey % 8 IN (1, 4, 5, 6) AS relative, (o_custkey % 10 + 1)::INT AS n FROM orders""")
 def period_words(spark, d):
-    """DAT14-DAT16: placeholders, wordings that hang on the signature, number words."""
-    k = F.col("o_orderkey") % 4
-    text = F.when(k == 0, "inserir previsão").when(k == 1, "imediatamente após a assinatura").otherwise(day())
+    """DAT14-DAT16: placeholders, wordings that hang on the signature and some that don't, number words."""
+    k = F.col("o_orderkey") % 8
+    text = _of({0: "inserir previsão", 1: "imediatamente após a assinatura", 2: "assinatura do presente", 3: "a contar da publicação", 4: "na data da assinatura", 5: "Na data de sua assinatura", 6: "a partir da assinatura"}, k)
+    text = F.coalesce(text, day())
     word = F.element_at(F.array(*[lit(w) for w in ("um", "dois", "Três", "quatro", "cinco", "seis", "sete", "oito", "nove", "dez")]), (F.col("o_custkey") % 10 + 1).cast("int"))
     return t(spark, d, "orders").select("o_orderkey", D.is_period_noise(text).alias("noise"), D.is_relative(text).alias("relative"), D.number_word(word).alias("n"))
 
 
-_PLAN_CASES = """SELECT o_orderkey, CASE o_orderkey % 5 WHEN 4 THEN NULL ELSE o_orderdate::DATE END AS start_date,
-    CASE o_orderkey % 5 WHEN 0 THEN (o_orderdate::DATE + to_months(24))::DATE WHEN 1 THEN (o_orderdate::DATE + to_months(6))::DATE WHEN 2 THEN (o_orderdate::DATE + to_months(36))::DATE WHEN 3 THEN (o_orderdate::DATE + to_months(12))::DATE END AS end_date,
-    CASE o_orderkey % 5 WHEN 3 THEN 'direct_label' WHEN 4 THEN 'unresolved_relative' ELSE 'derived_from_signature' END AS source FROM orders"""
+_PLAN_CASES = """SELECT o_orderkey, CASE WHEN o_orderkey % 11 IN (4, 10) THEN NULL ELSE o_orderdate::DATE END AS start_date,
+    CASE WHEN o_orderkey % 11 IN (0, 8) THEN (o_orderdate::DATE + to_months(24))::DATE WHEN o_orderkey % 11 = 1 THEN (o_orderdate::DATE + to_months(6))::DATE WHEN o_orderkey % 11 = 2 THEN (o_orderdate::DATE + to_months(36))::DATE
+      WHEN o_orderkey % 11 IN (3, 5, 6, 7, 9) THEN (o_orderdate::DATE + to_months(12))::DATE END AS end_date,
+    CASE WHEN o_orderkey % 11 IN (3, 5, 6, 7, 9) THEN 'direct_label' WHEN o_orderkey % 11 = 4 THEN 'unresolved_relative' WHEN o_orderkey % 11 = 10 THEN 'missing_period' ELSE 'derived_from_signature' END AS source FROM orders"""
 
 
 @query(_PLAN_CASES)
 def plan_periods(spark, d):
-    """DAT8, DAT13: durations in words and digits from a signature or a dated seat, labels, and relative wording alone."""
-    k = F.col("o_orderkey") % 5
+    """DAT8, DAT13: terms in words and digits from a signature or a dated seat; labelled pairs of dates; captured labels, with
+    and without dates already parsed, beside stray pairs of dates that are no period; and relative wording alone."""
+    k = F.col("o_orderkey") % 11
     months = lit("|".join(D.MONTHS))
     worded = F.concat(F.dayofmonth("o_orderdate").cast("string"), lit(" de "), F.element_at(F.split(months, r"\|"), F.month("o_orderdate")), lit(" de "), F.year("o_orderdate").cast("string"))
+    a, b = day(), F.date_format(F.add_months("o_orderdate", 12), "dd/MM/yyyy")
     text = (
-        F.when(k == 0, F.concat(lit("vigorará pelo prazo de dois anos, a partir da data de sua assinatura. Assinado por A em "), day()))
+        F.when(k == 0, F.concat(lit("vigorará pelo prazo de dois anos, a partir da data de sua assinatura. Assinado por A em "), a))
         .when(k == 1, F.concat(lit("prazo de 6 (seis) meses após a assinatura. Brasília, "), worded))
-        .when(k == 2, F.concat(lit("Início: imediatamente após a assinatura. Fim: 36 meses após a assinatura. Brasília, "), day()))
-        .when(k == 4, lit("terá início a partir da assinatura")).otherwise("metas")
+        .when(k == 2, F.concat(lit("Início: imediatamente após a assinatura. Fim: 36 meses após a assinatura. Brasília, "), a))
+        .when(k == 4, lit("terá início a partir da assinatura")).when(k == 5, lit("Visitas feitas de 01/01/2010 a 31/12/2010"))
+        .when(k == 6, F.concat(lit("feitas de 01/01/2010 a 31/12/2010. Período de execução: "), a, lit(" a "), b)).when(k == 7, F.concat(lit("Início (mês/ano): "), a, lit(" Término (mês/ano): "), b))
+        .when(k == 8, F.concat(lit("Brasília, "), worded)).when(k == 10, lit("O prazo de prestação de contas venceu em 05/05/2015 e 06/06/2016")).otherwise("metas")
     )
-    start, end = F.when(k == 3, day()), F.when(k == 3, F.date_format(F.add_months("o_orderdate", 12), "dd/MM/yyyy"))
-    o = D.staged(t(spark, d, "orders").select("o_orderkey", text.alias("x"), start.alias("s"), end.alias("e")), D.plan_period_parts(F.col("x"), F.col("s"), F.col("e")), "p", D.plan_period_ladder)
+    start, end = F.when(k.isin(3, 5), a).when(k == 8, lit("na data da assinatura")), F.when(k.isin(3, 5), b).when(k == 8, lit("24 meses"))
+    given = F.when(k == 9, F.col("o_orderdate").cast("date").cast("string")), F.when(k == 9, F.add_months("o_orderdate", 12).cast("string"))
+    o = t(spark, d, "orders").select("o_orderkey", text.alias("x"), start.alias("s"), end.alias("e"), given[0].alias("sd"), given[1].alias("ed"))
+    o = D.staged(o, D.plan_period_parts(F.col("x"), F.col("s"), F.col("e"), F.col("sd"), F.col("ed")), "p", D.plan_period_ladder)
     return o.select("o_orderkey", F.col("p.start").alias("start_date"), F.col("p.end").alias("end_date"), "p.source")
 
 
@@ -155,19 +166,40 @@ def classify_wordings(spark, d):
     return C.classify(C.blobs(o)).select("o_orderkey", "doc_class", F.col("classification_reason").alias("reason"))
 
 
-@query("""SELECT o_orderkey, (CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE 140 END + CASE WHEN o_orderkey % 3 = 0 THEN 100 ELSE 0 END + 60 + 20 + 10 + 10 - CASE WHEN o_orderkey % 2 = 0 THEN 180 ELSE 0 END
+@query("""SELECT o_orderkey, (CASE o_orderkey % 4 WHEN 0 THEN 100 WHEN 3 THEN 0 ELSE 140 END + CASE WHEN o_orderkey % 4 = 3 THEN 60 ELSE 60 + 20 END + 20 + 10 + 10 - CASE WHEN o_orderkey % 2 = 0 THEN 180 ELSE 0 END
     - CASE WHEN o_orderkey % 5 = 0 THEN 80 ELSE 0 END - CASE WHEN o_orderkey % 7 = 0 THEN 20 ELSE 0 END + least(o_custkey % 3 * 2, 10))::INTEGER AS score FROM orders""")
 def canonical_scores(spark, d):
-    """CLS10: an agreement's score by its opening, its label's penalties, the strong ones, and the whole text's length."""
+    """CLS10: an agreement's score by its body's opening, its title's and label's points and penalties, the strong ones, and
+    the whole text's length.  A title that names the agreement doesn't stand in for a body that does not."""
     k = F.col("o_orderkey")
-    opening = F.concat(F.when(k % 3 == 0, "acordo de cooperacao ").otherwise("acordo de cooperacao tecnica "), lit("que entre si celebram para os fins"), F.when(k % 2 == 0, " conforme a portaria").otherwise(""))
+    named = F.when(k % 4 == 0, "Acordo de Cooperação ").when(k % 4 == 3, "Anexo único ").otherwise("Acordo de Cooperação Técnica ")
+    opening = F.concat(named, F.when(k % 4 == 3, "de outra coisa").otherwise("que entre si celebram, para os fins que especifica"), F.when(k % 2 == 0, " conforme a portaria").otherwise(""))
+    title = F.when(k % 4 == 3, "Acordo de Cooperação Técnica 1 que entre si celebram").otherwise("")
     o = t(spark, d, "orders").select(
-        "o_orderkey", opening.alias("opening"), F.concat_ws(" ", F.when(k % 5 == 0, "alterado"), F.when(k % 7 == 0, "anexo")).alias("_title"), lit("").alias("_chosen"), F.repeat(lit("x"), (F.col("o_custkey") % 3 * 10_000).cast("int")).alias("text"),
+        "o_orderkey", F.concat(opening, F.repeat(lit("x "), (F.col("o_custkey") % 3 * 5_000 + 50).cast("int"))).alias("text"), title.alias("title"), F.concat_ws(" ", F.when(k % 5 == 0, "alterado"), F.when(k % 7 == 0, "anexo")).alias("chosen"),
         lit("act_final").alias("doc_class"), lit("valid_for_requested_type").alias("validation_status"), lit(True).alias("has_internal"), lit("aligned").alias("process_alignment"), lit("1/2020").alias("numero_acordo"), lit("o").alias("objeto"), lit("p").alias("orgao_convenente"),
     )
+    o = C.blobs(o)
     return o.select("o_orderkey", C.canonical_score(o).alias("score"))
 
 
+@query("""SELECT o_orderkey, CASE o_orderkey % 6 WHEN 1 THEN 'act_sem_marcador_interno' WHEN 3 THEN 'extrato' ELSE '' END AS discard_reason, CASE o_orderkey % 6 WHEN 1 THEN 'act_sem_marcador_interno' WHEN 3 THEN 'cabecalho_extrato' ELSE 'cabecalho_act_tecnica_contratual' END AS reason,
+    CASE o_orderkey % 6 WHEN 0 THEN 'aligned' WHEN 1 THEN 'material_mismatch' WHEN 2 THEN 'external_reference' ELSE 'unknown' END AS alignment,
+    CASE o_orderkey % 6 WHEN 0 THEN '11111.000001/2021-01' WHEN 1 THEN '22222.000002/2021-02' WHEN 2 THEN '22222.000002/2021-02' ELSE '' END AS number, o_orderkey % 6 NOT IN (1, 3) AS canonical FROM orders""")
+def agreement_gates(spark, d):
+    """CLS2-CLS4: the institution counts in the title, label and opening only; an empty or missing case number aligns with
+    nothing; the number that is shown is the case's own if the document has it."""
+    k = F.col("o_orderkey") % 6
+    own, other = "11111.000001/2021-01", "22222.000002/2021-02"
+    head = F.concat(lit("Acordo de Cooperação Técnica 1 que entre si celebram a Fundação "), F.col("o_custkey").cast("string"), F.when(k != 1, " e o Ministério da Defesa").otherwise(" e outra"))
+    cited = F.when(k == 0, f" {other} {own}").when(k == 3, "").otherwise(f" {other}")
+    far = F.when(k == 1, F.concat(F.repeat(lit("texto sem mais "), 400), lit(" Ministério da Defesa"))).otherwise("")
+    case = F.when(k == 4, "").when(k == 5, lit(None).cast("string")).otherwise(own)
+    o = t(spark, d, "orders").select("o_orderkey", F.concat(head, cited, far).alias("text"), F.when(k == 3, "Extrato").otherwise("").alias("title"), lit("").alias("chosen"), case.alias("processo"), lit("act").alias("requested_type"))
+    o = C.gate(C.classify(C.blobs(o)))
+    return o.select("o_orderkey", "discard_reason", F.col("classification_reason").alias("reason"), F.col("process_alignment").alias("alignment"), F.col("document_processo").alias("number"), F.col("is_canonical").alias("canonical"))
+
+
 _SKIPPED = "contains(l, 'anexo') OR contains(l, 'planilha') OR contains(l, 'termo aditivo') OR contains(l, 'email')"
 
 
@@ -295,7 +327,7 @@ def goal_fragments(spark, d):
     text = F.concat(lit("Metas de execução\nMeta 1 - vigiar "), F.col("o_custkey").cast("string"), lit("\nsempre\nAcao: mapear "), F.col("o_orderkey").cast("string"), lit("\nProduto: mapa\nMeta 2 - voar\n7. Fim"))
     none = lit(None).cast("array<struct<rows:array<array<string>>>>")
     o = t(spark, d, "orders").select("o_orderkey", text.alias("x"))
-    return o.select("o_orderkey", E.goals_text(none, F.col("x"), from_tables=E.routed_goals).alias("goals"), E.goals_text(none, F.col("x"), True, E.routed_goals).alias("actions"))
+    return o.select("o_orderkey", E.goals_text(none, F.col("x")).alias("goals"), E.goals_text(none, F.col("x"), True).alias("actions"))
 
 
 @query("""SELECT c_custkey, c_name AS parceiro, '12/' || c_custkey AS numero_act, 'vigencia de ' || c_nationkey AS vigencia, 'saldo do segmento ' || c_mktsegment || ' e mais' AS objeto FROM customer""")
@@ -320,13 +352,17 @@ def raw_field_tables(spark, d):
     return E.raw_fields(df, "o_orderkey").select("o_orderkey", "field_key", "label", "value", "origin_ref")
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'a' ELSE o_custkey::VARCHAR END AS number, 'texto ' || o_orderkey AS snapshot_text FROM orders""")
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'a' ELSE o_custkey::VARCHAR END AS number, 'texto ' || o_orderkey AS snapshot_text, o_orderpriority AS unknown, CASE WHEN o_orderkey % 3 = 0 THEN '{"a":[' || o_custkey || ']}' END AS api FROM orders""")
 def snapshot_texts(spark, d):
-    """EXT22, EXT23: the first filled number, and the text of the snapshot at a path."""
+    """EXT22, EXT23: the first filled number; text and payload of the snapshot at a path, with keys that no schema names."""
     o = t(spark, d, "orders")
-    snaps = o.select(F.concat(lit("/s/"), "o_orderkey").alias("json_path"), F.struct(F.concat(lit("texto "), "o_orderkey").alias("text")).alias("snapshot"))
+    text = F.concat(lit("texto "), "o_orderkey")
+    api = F.when(F.col("o_orderkey") % 3 == 0, F.concat(lit(', "api_payload": {"a": ['), F.col("o_custkey").cast("string"), lit("]}"))).otherwise("")
+    body = F.concat(lit('{"snapshot": {"text": "x"'), api, lit('}, "new_key": "'), "o_orderpriority", lit('"}'))
+    snaps = o.select(F.concat(lit("/s/"), "o_orderkey").alias("json_path"), F.struct(text.alias("text")).alias("snapshot"), F.try_parse_json(body).alias("payload"))
     rows = o.select("o_orderkey", F.concat(lit("/s/"), "o_orderkey").alias("json_path"), E.instrument_number(F.when(F.col("o_orderkey") % 2 == 0, "a").otherwise(" "), F.col("o_custkey").cast("string")).alias("number"))
-    return E.with_snapshot_text(rows, snaps).select("o_orderkey", "number", "snapshot_text")
+    out = E.with_snapshot_text(rows, snaps)
+    return out.select("o_orderkey", "number", "snapshot_text", S.payload_value(F.col("snapshot_payload"), "$.new_key").alias("unknown"), S.payload_value(F.col("snapshot_payload"), "$.snapshot.api_payload").alias("api"))
 
 
 _ACT = """WITH o AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders)
@@ -589,12 +625,124 @@ def raw_field_store(spark, d):
     return spark.read.parquet(path)
 
 
-@query("SELECT 'here' AS what, true AS found, true AS sized FROM (SELECT 1) UNION ALL SELECT 'gone', false, NULL")
+@query("SELECT o_orderkey, true AS found, true AS sized FROM orders")
 def source_freshness(spark, d):
-    """SRC9: the signature of a file that is there and of one that isn't."""
-    here = S.freshness(spark, f"{d}/orders.parquet").groupBy(lit("here").alias("what")).agg(F.bool_and("exists").alias("found"), F.bool_and(F.col("size") > 0).alias("sized"))
-    gone = S.freshness(spark, f"{d}/orders_not_there.parquet").select(lit("gone").alias("what"), F.col("exists").alias("found"), (F.col("size") > 0).alias("sized"))
-    return here.union(gone)
+    """SRC9: of each row the signature of the file that holds it; a file that isn't there is known as such."""
+    name = F.regexp_extract(F.col("path"), r"([^/]+)$", 1)
+    files = S.freshness(spark, f"{d}/orders.parquet").unionByName(S.freshness(spark, f"{d}/orders_not_there.parquet"))
+    files = files.select(name.alias("file"), "exists", (F.col("size") > 0).alias("sized"))
+    rows = t(spark, d, "orders").select("o_orderkey", F.regexp_extract("_metadata.file_path", r"([^/]+)$", 1).alias("of"))
+    return rows.join(F.broadcast(files), F.col("of") == F.col("file"), "left").select("o_orderkey", F.coalesce("exists", lit(False)).alias("found"), "sized")  # one row a file
+
+
+def _landings(spark, d):
+    """Two landings of the attempts: the second misses some files, and others have grown."""
+    o = t(spark, d, "orders")
+    size = F.round("o_totalprice").cast("long")
+    files = o.select(F.concat(lit("/x/"), "o_orderkey").alias("path"), lit(True).alias("exists"), F.col("o_orderdate").cast("timestamp").alias("mtime"), size.alias("size"), "o_custkey", "o_orderstatus", "o_orderpriority")
+    before = files.where("o_orderstatus <> 'P'").withColumn("size", F.when(F.col("o_orderpriority") == "1-URGENT", F.col("size") - 1).otherwise(F.col("size")))
+    return before, files.where("o_orderpriority <> '5-LOW'")
+
+
+@query("""WITH o AS (SELECT o_orderkey, o_orderstatus = 'P' AS new, o_orderpriority = '5-LOW' AS gone, o_orderpriority = '1-URGENT' AS grown FROM orders)
+    SELECT '/x/' || o_orderkey AS path, CASE WHEN new THEN 'added' WHEN gone THEN 'removed' ELSE 'changed' END AS change FROM o WHERE (new AND NOT gone) OR (gone AND NOT new) OR (grown AND NOT new)""")
+def changed_files(spark, d):
+    """SRC9: what differs between the listings of two landings."""
+    from .plans import refresh
+
+    before, now = _landings(spark, d)
+    return refresh.changes(before.select("path", "exists", "mtime", "size"), now.select("path", "exists", "mtime", "size"))
+
+
+@query("""SELECT o_custkey::VARCHAR AS processo, max(round(o_totalprice)::BIGINT) AS largest, count(*) AS attempts FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY 1""")
+def mart_refresh(spark, d):
+    """SRC9, JOI1: a mart of cases after a second landing, built anew for the cases of changed files alone; the SQL builds all."""
+    from .plans import refresh
+
+    before, now = _landings(spark, d)
+    kept = ordered.stored(before), ordered.stored(now)
+    cases = lambda df: df.select(F.col("path").alias("json_path"), F.col("o_custkey").cast("string").alias("processo"), "size")
+    build = lambda df: df.groupBy("processo").agg(F.max("size").alias("largest"), F.count("*").alias("attempts"))
+    mart = ordered.stored(build(cases(kept[0])))
+    diff = refresh.changes(*[k.select("path", "exists", "mtime", "size") for k in kept])
+    touched = ordered.stored(refresh.touched(diff, *map(cases, kept)))
+    return refresh.refreshed(mart, touched, build, [cases(kept[1])])
+
+
+@query("""SELECT o_orderkey, o_orderstatus, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS gold, (SELECT count(*) FROM orders WHERE o_orderstatus = 'O') AS older FROM orders""")
+def published_runs(spark, d):
+    """SNK4: a run is read as a whole: one that failed between two layers is not seen, a retry is, and the run before stays."""
+    from .plans import publish
+
+    root, o = S.shared_folder(spark), t(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.when(F.col("o_orderstatus") == "F", "published_gold").otherwise("retained_silver").alias("publication_status"))
+    publish.publish({"act": o.where("o_orderstatus = 'O'")}, {}, root, "run1")
+    try:
+        publish.publish({"act": o, "pt": o.withColumn("x", F.raise_error(lit("a layer fails")))}, {}, root, "run2")
+    except Exception as e:
+        if "a layer fails" not in str(e):
+            raise
+    seen = S.read_published(spark, root, "silver/act").count()
+    for _ in range(2):
+        publish.publish({"act": o}, {}, root, "run2")
+    out, gold = S.read_published(spark, root, "silver/act"), S.read_published(spark, root, "gold/act", "run2").count()
+    return out.select("o_orderkey", "o_orderstatus", lit(gold).cast("long").alias("gold"), lit(seen).cast("long").alias("older"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'pt' WHEN 1 THEN 'act' WHEN 2 THEN 'memorando' WHEN 3 THEN 'ted' ELSE 'parecer' END AS family,
+    CASE o_orderkey % 5 WHEN 0 THEN 'email_outro' WHEN 1 THEN 'act_final' WHEN 2 THEN 'memorando' WHEN 3 THEN 'ted' ELSE 'parecer_final' END AS doc_class, CASE o_orderkey % 5 WHEN 1 THEN lpad(o_custkey::VARCHAR, 8, '0') || '/2021' WHEN 4 THEN o_custkey::VARCHAR END AS number FROM orders""")
+def family_dispatch(spark, d):
+    """The registry: orders as captures of the four families and of a fifth that is registered here, each to its own record."""
+    from .functions.rules import Rule
+    from .operators.families import FamilySpec
+    from .plans import publish
+
+    k = F.col("o_orderkey") % 5
+    who = F.lpad(F.col("o_custkey").cast("string"), 8, "0")
+    text = (
+        F.when(k == 0, lit("PLANO DE TRABALHO")).when(k == 1, F.concat(lit("ACORDO DE COOPERAÇÃO TÉCNICA Nº "), who, lit("/2021 que entre si celebram o Ministério da Defesa e a Fundacao X, para os fins que especifica.")))
+        .when(k == 2, lit("Memorando de Entendimentos")).when(k == 3, lit("Termo de Execução Descentralizada")).otherwise(F.concat(lit("Parecer Jurídico "), F.col("o_custkey").cast("string")))
+    )
+    asked = _of({0: "pt", 1: "act", 2: "memorando", 3: "TED", 4: "parecer"}, k)
+    bronze = t(spark, d, "orders").select("o_orderkey", lit("").alias("processo"), asked.alias("requested_type"), lit("").alias("title"), text.alias("text"), lit("").alias("chosen"), lit("/p").alias("json_path"), F.col("o_orderkey").alias("row_idx"))
+    numbered = lambda df: df.withColumn("numero_acordo", F.regexp_extract("text", r"(\d+)", 1))
+    registry = publish.registry().add(FamilySpec("parecer", "PARECER", ("parecer_final",), (Rule(("parecer juridico",), "parecer_final", "cabecalho_parecer"),), numbered))
+    out = None
+    for key, df in registry.dispatch(bronze).items():
+        number = F.col("numero_acordo") if "numero_acordo" in df.columns else lit(None).cast("string")
+        rows = df.where("accepted").select("o_orderkey", lit(key).alias("family"), "doc_class", number.alias("number"))
+        out = rows if out is None else out.union(rows)
+    return out
+
+
+@query("""SELECT p_partkey, min(c_custkey) AS profile FROM (SELECT p_partkey, p_partkey || ' segue ' || p_name || ' fim' AS x, p_name FROM part) p JOIN (SELECT min(p_partkey) AS c_custkey, lower(p_name) AS pattern FROM part GROUP BY 2) c ON contains(lower(p.x), c.pattern) GROUP BY 1""")
+def part_profiles(spark, d):
+    """CLS14, JOI5: as many profiles as there are names, each text's first one, by an equi-join on pieces."""
+    p = t(spark, d, "part")
+    profiles = p.select(F.col("p_partkey").alias("ordinal"), F.lpad(F.col("p_partkey").cast("string"), 12, "0").alias("key"), F.col("p_name").alias("pattern"), lit(True).alias("enabled"))
+    texts = p.select("p_partkey", F.concat_ws(" ", F.col("p_partkey").cast("string"), lit("segue"), F.upper("p_name"), lit("fim")).alias("x"))
+    return C.profile_of(texts, profiles, "x").select("p_partkey", F.col("profile").cast("long").alias("profile"))
+
+
+@query("""SELECT o_orderkey, o_orderpriority AS priority, 'relação ' || o_custkey AS title, o_orderstatus AS unknown FROM orders""")
+def snapshot_files(spark, d):
+    """SRC3, SRC6, SNK3: orders written as JSON objects, read as snapshots with what no schema names, and landed."""
+    path = S.shared_folder(spark)
+    broken = F.decode(F.encode(F.concat(lit("relação "), F.col("o_custkey").cast("string")), "UTF-8"), "ISO-8859-1")
+    o = t(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("processo"), F.col("o_orderpriority").alias("documento"), F.struct(broken.alias("title")).alias("snapshot"), F.col("o_orderstatus").alias("new_key"))
+    rows = o.select(F.to_json(F.struct("processo", "documento", "snapshot", "new_key")).alias("value"))
+    good, _ = S.snapshots_of(rows.withColumn("json_path", F.concat(lit(path), lit("/"), F.sha1("value"))))
+    out = S.landing(good)
+    return out.select(F.col("processo").cast("long").alias("o_orderkey"), F.col("documento").alias("priority"), "snapshot.title", S.payload_value(F.col("payload"), "$.new_key").alias("unknown"))
+
+
+@query("SELECT event_id, event_type AS kind FROM events WHERE event_id % 4 <> 0")
+def ndjson_round_trip(spark, d):
+    """SRC4: objects a line, some cut short and some blank, which are skipped."""
+    path = S.shared_folder(spark)
+    line = F.to_json(F.struct("event_id", F.col("event_type").alias("kind")))
+    e = t(spark, d, "events").select(F.when(F.col("event_id") % 8 == 0, " ").when(F.col("event_id") % 4 == 0, F.substring(line, 1, 9)).otherwise(line).alias("value"))
+    e.write.text(path)
+    return S.read_ndjson(spark, path, "event_id long, kind string")
 
 
 @query("SELECT o_orderkey, 'AÇÃO ' || o_orderkey AS title, 'relação ' || o_custkey AS text, 'célula' AS cell, 'pt_' || o_custkey AS name FROM orders")

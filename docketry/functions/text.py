@@ -1,19 +1,28 @@
-"""Text column functions (inventory TXT).  All are built-in expressions, but for repair_text on marked rows and
-fold_full, which run as Arrow batches."""
+"""Text column functions (inventory TXT), all of them built-in expressions."""
 
 from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Accented letters and their plain forms, for folding after lower-casing.
-ACCENTED = "áàâãäåçéèêëíìîïñóòôõöúùûüýÿ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+
+
+def _plain(x: str) -> str:
+    """A character's compatibility decomposition without combining marks, in lower case."""
+    return "".join(y for y in unicodedata.normalize("NFKD", x) if not unicodedata.combining(y)).lower()
+
+
+#: Blocks whose decompositions folding takes: Latin letters with all their additions, combining marks, raised and lowered
+#: signs, wide forms.  (Each use of fold() carries the table, so scripts whose letters have no Latin base are left out.)
+FOLDED = [*range(0x80, 0x250), *range(0x300, 0x370), *range(0x1E00, 0x1F00), *range(0x2070, 0x20A0), *range(0xFF00, 0xFF60)]
+#: After lower-casing: characters that fold to one other, and then marks that fold to nothing (translate() drops them).
+_ONE = [x for x in map(chr, FOLDED) if len(_plain(x)) == 1 and _plain(x) != x and not x.isspace() and x == x.lower()]
+ACCENTED = "".join(_ONE) + "".join(x for x in map(chr, FOLDED) if not _plain(x))
+PLAIN = "".join(map(_plain, _ONE))
 #: Ligatures and special blanks of extracted text.
 LIGATURES = {" ": " ", "ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "ﬃ": "ffi", "ﬄ": "ffl", "–": "-", "—": "-"}
 #: What double-encoded UTF-8 shows.
@@ -47,49 +56,43 @@ def clean_spaces(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
-@F.pandas_udf(T.StringType())
-def _repaired(texts: pd.Series) -> pd.Series:
-    def one(text):
-        for _ in range(2):
-            for encoding in ("latin1", "cp1252"):
-                try:
-                    new = text.encode(encoding).decode("utf-8")
-                    break
-                except UnicodeError:
-                    new = text
-            if new == text or not any(m in new for m in "ÃÂâ�"):
-                return new
-            text = new
-        return text
+#: Characters that CP-1252 has in place of the controls U+0080 to U+009F, and these controls, by the codec itself.
+CP1252 = "".join(bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0))
+CONTROLS = "".join(chr(x.encode("cp1252")[0]) for x in CP1252)
+
+
+def _read_as_utf8(c: Column) -> Column:
+    """c's characters up to U+00FF as bytes, read as UTF-8; null where they are none or are not valid."""
+    raw = F.encode(F.when(~c.rlike("[^\\u0000-\\u00ff]"), c), "ISO-8859-1")
+    return let(raw, lambda x: F.when(F.is_valid_utf8(x.cast("string")), x.cast("string")))
 
-    return texts.map(one, na_action="ignore")
+
+def _repaired_once(c: Column) -> Column:
+    """One round: as Latin-1, else as CP-1252, in which U+0080 to U+009F don't occur; else as it is."""
+    other = F.translate(F.when(~c.rlike("[\\u0080-\\u009f]"), c), CP1252, CONTROLS)
+    return F.coalesce(_read_as_utf8(c), _read_as_utf8(other), c)
 
 
 def repair_text(c: Column) -> Column:
-    """TXT2: undoes up to two rounds of UTF-8 read as Latin-1 or CP-1252.  The Arrow step is under a marker test, which
-    passes null to it for all other rows."""
-    marked = c.rlike(MOJIBAKE)
-    return F.when(marked, _repaired(F.when(marked, c))).otherwise(c)
+    """TXT2: undoes up to two rounds of UTF-8 read as Latin-1 or CP-1252; a text that is still marked after the first round
+    gets the second.  Texts without marks are not touched; null stays null.  Built-in functions alone, at any depth."""
+    marked = lambda x: x.rlike(MOJIBAKE)
+    return F.when(marked(c), let(_repaired_once(c), lambda x: F.when(marked(x), _repaired_once(x)).otherwise(x))).otherwise(c)
 
 
-def repair_payload(c: Column, kind: T.DataType, repair=repair_text) -> Column:
-    """TXT3: repair over a nested value of a known type: texts in structs and arrays."""
+def repair_payload(c: Column, kind: T.DataType) -> Column:
+    """TXT3: repair over a nested value of a known type: texts in structs, arrays and maps' values."""
     if isinstance(kind, T.StringType):
-        return repair(c)
+        return repair_text(c)
     if isinstance(kind, T.StructType):
-        return F.struct(*[repair_payload(c[f.name], f.dataType, repair).alias(f.name) for f in kind.fields])
+        return F.when(c.isNotNull(), F.struct(*[repair_payload(c[f.name], f.dataType).alias(f.name) for f in kind.fields]))
     if isinstance(kind, T.ArrayType):
-        return F.transform(c, lambda x: repair_payload(x, kind.elementType, repair))
+        return F.transform(c, lambda x: repair_payload(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(c, lambda _, x: repair_payload(x, kind.valueType))
     return c
 
 
-def repair_native(c: Column) -> Column:
-    """One Latin-1 round of TXT2 in built-in functions, for texts inside arrays: only where the bytes are UTF-8."""
-    raw = F.encode(c, "ISO-8859-1")
-    ok = c.rlike(MOJIBAKE) & ~c.rlike("[^\\u0000-\\u00ff]") & F.is_valid_utf8(raw.cast("string"))
-    return F.when(ok, F.decode(F.when(ok, raw), "UTF-8")).otherwise(c)
-
-
 def prepare_text(c: Column, glued: Iterable[tuple[str, str]] = GLUED_AGREEMENT) -> Column:
     """TXT4, TXT5: ligatures, blanks, dashes, line ends; splits words glued at lower-Upper and letter-year borders."""
     for a, b in LIGATURES.items():
@@ -108,18 +111,13 @@ def prepare_plan_text(c: Column) -> Column:
 
 
 def fold(c: Column, degree: str = "o") -> Column:
-    """TXT6: lower case without accents, one blank between words.  degree: what the degree sign becomes."""
+    """TXT6: lower case without accents, one blank between words, for every letter of FOLDED.  degree: what the degree sign
+    becomes.  Characters that decompose to several (ligatures, fractions) are prepare_text's and stay here."""
     return clean_spaces(F.translate(F.replace(F.replace(F.lower(c), F.lit("º"), F.lit("o")), F.lit("°"), F.lit(degree)), ACCENTED, PLAIN))
 
 
-@F.pandas_udf(T.StringType())
-def fold_full(texts: pd.Series) -> pd.Series:
-    """TXT6 for every script: NFKD without combining marks."""
-    return texts.map(lambda x: " ".join("".join(ch for ch in unicodedata.normalize("NFKD", x) if not unicodedata.combining(ch)).lower().split()), na_action="ignore")
-
-
 def fold_upper(c: Column) -> Column:
-    """TXT7."""
+    """TXT7: folded, in upper case."""
     return F.upper(fold(c))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import Rule, Weight, first_match, marker_score, term_score
-from ..functions.text import HEADER, LEAD, OPENING, PROCESS, contains_any, fold, fold_upper, has_content, prepare_text, trim_noise, window
+from ..functions.text import HEADER, LEAD, OPENING, PROCESS, clean_spaces, contains_any, fold, fold_upper, has_content, prepare_text, trim_noise, window
 
 #: Classes with the type they resolve to, the snapshot prefix and the priority.
 CLASSES = {
@@ -66,11 +66,13 @@ CASE_NUMBER = r"[0-9]{5}\.[0-9]{6}/[0-9]{4}-[0-9]{2}"
 
 
 def blobs(df: DataFrame, text: str = "text", title: str = "title", label: str = "chosen") -> DataFrame:
-    """Folded texts that the rules read, once each as columns: rejection, header, opening and full."""
+    """Folded texts that the rules read, once each as columns: rejection, header, opening and full, which hold the title and
+    the label as well, and body_opening, which does not."""
     body = trim_noise(prepare_text(F.coalesce(text, F.lit(""))))
     df = df.withColumns({"_body": body, "_title": fold(prepare_text(F.coalesce(title, F.lit("")))), "_chosen": fold(prepare_text(F.coalesce(label, F.lit(""))))})
     joined = lambda part: F.concat_ws(" ", F.nullif("_title", F.lit("")), F.nullif(part, F.lit("")), F.nullif("_chosen", F.lit("")))
-    df = df.withColumns({"rejection": joined(fold(window(F.col("_body"), LEAD))), "header": joined(fold(window(F.col("_body"), HEADER))), "opening": joined(fold(window(F.col("_body"), OPENING))), "folded": fold(F.col("_body"))})
+    df = df.withColumn("body_opening", fold(window(F.col("_body"), OPENING)))
+    df = df.withColumns({"rejection": joined(fold(window(F.col("_body"), LEAD))), "header": joined(fold(window(F.col("_body"), HEADER))), "opening": joined(F.col("body_opening")), "folded": fold(F.col("_body"))})
     return df.withColumn("full", F.concat_ws(" ", "header", "folded"))
 
 
@@ -109,33 +111,39 @@ def document_processes(title: Column, text: Column) -> Column:
 
 
 def alignment(found: Column, process: Column, internal: Column) -> Column:
-    """CLS3: unknown, aligned, external_reference (the publisher's own context is there) or material_mismatch."""
-    return F.when(F.size(found) == 0, "unknown").when(F.array_contains(found, process), "aligned").when(internal, "external_reference").otherwise("material_mismatch")
+    """CLS3: unknown (the text or the case has no number), aligned, external_reference (the publisher's own context is
+    there) or material_mismatch."""
+    process = F.coalesce(clean_spaces(process), F.lit(""))
+    return F.when((F.size(found) == 0) | (process == ""), "unknown").when(F.array_contains(found, process), "aligned").when(internal, "external_reference").otherwise("material_mismatch")
 
 
 def gate(df: DataFrame, internal: tuple[str, ...] = INTERNAL) -> DataFrame:
-    """CLS2: canonical if the class fits requested_type; an agreement also needs an internal institution and no
-    material mismatch.  Adds validation_status, publication_status, discard_reason and what they rest on."""
-    df = df.withColumns({"has_internal": contains_any(F.col("full"), internal), "processes": document_processes(F.col("_title"), F.col("_body"))})
+    """CLS2: canonical if the class fits requested_type; an agreement also needs an internal institution in its title, label
+    or opening, and no material mismatch.  Adds validation_status, publication_status, discard_reason and what they
+    rest on; a refused agreement's reason is also its classification_reason.  Only agreements that were asked for as
+    such have a context, case numbers and an alignment."""
+    asked = (F.col("requested_type") == "act") & (F.col("doc_class") == "act_final")
+    asked = F.coalesce(asked, F.lit(False))
+    none = F.array().cast("array<string>")
+    df = df.withColumns({"has_internal": asked & contains_any(F.col("opening"), internal), "processes": F.when(asked, document_processes(F.col("_title"), F.col("_body"))).otherwise(none)})
     df = df.withColumn("process_alignment", alignment(F.col("processes"), F.col("processo"), F.col("has_internal")))
     accepted = F.lit(False)
     for kind, classes in ACCEPTED.items():
         accepted = accepted | ((F.col("requested_type") == kind) & F.col("doc_class").isin(*classes))
-    act = F.col("requested_type") == "act"
-    canonical = accepted & (~act | (F.col("has_internal") & (F.col("process_alignment") != "material_mismatch")))
-    reason = F.when(canonical, "").when(accepted & act & ~F.col("has_internal"), "act_sem_marcador_interno").when(accepted & act, "act_processo_divergente").otherwise(F.col("doc_class"))
+    refused = F.when(asked & ~F.col("has_internal"), "act_sem_marcador_interno").when(asked & (F.col("process_alignment") == "material_mismatch"), "processo_divergente_documento")
+    canonical = F.coalesce(accepted, F.lit(False)) & refused.isNull()
+    reason = F.when(canonical, "").otherwise(F.coalesce(refused, F.col("doc_class")))
     status = F.when(F.col("doc_class").isin("stub", "email_outro"), "rejected_snapshot").when(canonical, "valid_for_requested_type").otherwise("related_but_not_requested")
-    return df.withColumns({"is_canonical": canonical, "validation_status": status, "publication_status": F.when(canonical, "published_gold").otherwise("retained_silver"), "discard_reason": reason})
-
-
-def classify_plan(text: Column, label: Column) -> Column:
-    """CLS5: struct (doc_class, reason, canonical): a work plan, unless its label or lead marks a draft."""
-    draft = contains_any(F.concat_ws(" ", fold(label), fold(F.substring(text, 1, LEAD))), ("minuta", "modelo de documentacao", "documentacao complementar"))
-    return F.struct(F.lit("plano_trabalho").alias("doc_class"), F.when(draft, "pt_minuta_documentacao").otherwise("plano_trabalho_validado_por_conteudo").alias("reason"), (~draft).alias("canonical"))
+    # the number that the record shows: the case's own if the document has it, else the document's first
+    number = F.when(F.col("process_alignment") == "aligned", clean_spaces("processo")).when(F.col("process_alignment") != "unknown", F.get("processes", F.lit(0))).otherwise("")
+    return df.withColumns({
+        "is_canonical": canonical, "validation_status": status, "publication_status": F.when(canonical, "published_gold").otherwise("retained_silver"), "discard_reason": reason,
+        "classification_reason": F.coalesce(refused, F.col("classification_reason")), "document_processo": number,
+    })
 
 
 def plan_draft(title: Column, chosen: Column, text: Column) -> Column:
-    """CLS5 by content: a work plan's draft: `minuta [de] plano de trabalho` in its first 1600 characters, or
+    """CLS5: a work plan's draft: `minuta [de] plano de trabalho` in its first 1600 characters, or
     documentation and draft both named in its title or label.  A label's `minuta` alone is none."""
     head, named = fold(F.substring(F.coalesce(text, F.lit("")), 1, PLAN_HEAD)), fold(F.concat_ws(" ", chosen, title))
     plan = F.contains(head, F.lit("plano de trabalho")) | F.contains(named, F.lit("plano de trabalho"))
@@ -181,8 +189,10 @@ def tree_score(label: Column, terms: list[str], family: str) -> Column:
 
 
 def canonical_score(df: DataFrame) -> Column:
-    """CLS10, over the columns of blobs(), classify() and gate() and the extracted number, object and party."""
-    label, opening = F.concat_ws(" ", "_title", "_chosen"), F.col("opening")
+    """CLS10, over the columns of blobs(), classify() and gate() and the extracted number, object and party.
+
+    The opening is the body's own: a title or label that names an agreement has its own points."""
+    label, opening = F.concat_ws(" ", "_title", "_chosen"), F.col("body_opening")
     has = lambda c, m: F.contains(c, F.lit(m))
     filled = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
     score = (
@@ -205,18 +215,9 @@ def closing_report(folded: Column) -> Column:
     return contains_any(folded, FINAL_REPORT) | (contains_any(folded, REPORT) & contains_any(folded, CLOSURE) & ~contains_any(folded, PERIODIC))
 
 
-def completeness(partner: Column, subject: Column, start: Column, end: Column, goals: Column, actions: Column) -> Column:
-    """CLS12: struct (status, captured): complete, partial or unstructured, and how many of six fields are there."""
-    there = lambda c: F.coalesce(c.cast("string"), F.lit("")) != ""
-    p, o, period, work = there(partner), there(subject), there(start) & there(end), there(goals) | there(actions)
-    status = F.when(p & o & period & work, "completo").when(o & (p.cast("int") + period.cast("int") + work.cast("int") >= 2), "parcial").otherwise("nao_estruturado")
-    n = sum((there(c).cast("int") for c in (subject, start, end, goals, actions)), there(partner).cast("int"))
-    return F.struct(status.alias("status"), n.alias("captured"))
-
-
 def plan_status(partner: Column, subject: Column, start: Column, end: Column, goals: Column, actions: Column) -> Column:
-    """CLS12 by content: as completeness, but texts count from 8 letters (a partner from 4), a period only if it ends no
-    earlier than it begins; completo_padronizado, parcial_padronizado, extraido_sem_padrao."""
+    """CLS12: struct (status, captured): completo_padronizado, parcial_padronizado or extraido_sem_padrao, and how many of six
+    fields are there.  Texts count from 8 letters (a partner from 4), a period only if it ends no earlier than it begins."""
     p, o = has_content(partner, 4), has_content(subject)
     g, a = has_content(goals), has_content(actions)
     period = F.coalesce(end >= start, F.lit(False))
@@ -230,20 +231,47 @@ def outcome_status(reason: Column, error: Column, status: Column) -> Column:
     return F.coalesce(F.nullif(status, F.lit("")), F.when(reason == "stagnated", "stagnated").when(reason.isin("open_error", "filter_error", "reopen_error") | (F.coalesce(error, F.lit("")) != ""), "filter_error").otherwise("not_found"))
 
 
-#: Rows of a profile table: configuration, a CASE branch each.
-MOST_PROFILES = 1000
+#: Up to so many profiles become one CASE; more are joined.
+MOST_PROFILES = 200
+#: Characters of the piece by which a text and a pattern meet.
+PIECE = 4
 
 
 def profile_of(df: DataFrame, profiles: DataFrame, text: str = "descricao") -> DataFrame:
-    """CLS14: adds `profile`, the first enabled profile (ordinal, key, pattern, enabled) that the folded text holds.
-    Profiles are a configuration table of some dozen rows; they become one CASE, no join; more than MOST_PROFILES raise."""
-    rows = profiles.where("enabled").orderBy("ordinal").limit(MOST_PROFILES + 1).collect()
-    if len(rows) > MOST_PROFILES:
-        raise ValueError(f"more than {MOST_PROFILES} profiles")
-    out = F.lit(None).cast("string")
-    for r in reversed(rows):
-        out = F.when(F.contains(fold(F.col(text)), fold(F.lit(r["pattern"]))), r["key"]).otherwise(out)
-    return df.withColumn("profile", out)
+    """CLS14: adds `profile`, the first enabled profile (ordinal, key, pattern, enabled) that the folded text holds; of
+    profiles with one ordinal the smaller key.  A profile with an empty pattern fits every text, a null one none.
+
+    A few profiles become one CASE without a join; tables of any size are joined with holds()."""
+    on = profiles.where("enabled AND pattern IS NOT NULL").select("ordinal", "key", fold(F.col("pattern")).alias("pattern"))
+    rows = on.orderBy("ordinal", "key").limit(MOST_PROFILES + 1).collect()
+    if len(rows) <= MOST_PROFILES:
+        out = F.lit(None).cast("string")
+        for r in reversed(rows):
+            out = F.when(F.contains("_folded", F.lit(r["pattern"])), r["key"]).otherwise(out)
+        return df.withColumn("_folded", fold(F.col(text))).withColumn("profile", out).drop("_folded")
+    # texts are told apart by their folded form, so equal ones are looked up once
+    texts = df.select(fold(F.col(text)).alias("folded")).where("folded IS NOT NULL").distinct()
+    best = holds(texts, "folded", on, "pattern").groupBy("folded").agg(F.min(F.struct("ordinal", "key")).alias("b"))
+    best = best.select(F.col("folded").alias("_f"), F.col("b.key").alias("profile"))
+    return df.withColumn("_folded", fold(F.col(text))).join(best, F.col("_folded") == F.col("_f"), "left").drop("_folded", "_f")
+
+
+def holds(texts: DataFrame, text: str, patterns: DataFrame, pattern: str) -> DataFrame:
+    """Rows of texts joined with the rows of patterns that they hold, for any number of patterns: an equi-join on pieces.
+
+    Each pattern is looked for by one of its pieces of PIECE characters, the one that fewest patterns have, and a text
+    by all of its own; where they meet, the whole pattern is tested.  Patterns shorter than a piece are told by their
+    length: texts give their pieces of that length as well.  One pass over the texts; texts that are null hold nothing."""
+    cut = lambda c, n: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - n + 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(n)))
+    rows = patterns.withColumn("_pieces", F.array_distinct(cut(F.col(pattern), PIECE)))
+    counts = rows.select(F.explode("_pieces").alias("_piece")).groupBy("_piece").count()
+    rows = rows.withColumn("_row", F.monotonically_increasing_id())
+    best = rows.select("_row", F.explode("_pieces").alias("_piece")).join(counts, "_piece").groupBy("_row").agg(F.min(F.struct("count", "_piece")).alias("_b"))
+    keyed = rows.join(best.select(F.col("_row").alias("_r"), F.col("_b._piece").alias("_piece")), F.col("_row") == F.col("_r")).drop("_pieces", "_row", "_r")
+    sizes = [r["n"] for r in keyed.select(F.length("_piece").alias("n")).distinct().collect()]  # PIECE + 1 at most
+    own = F.concat(*[cut(F.col(text), n) for n in sizes if n > 0], F.array(F.lit("")))
+    given = texts.withColumn("_own", F.explode(F.array_distinct(own)))
+    return given.join(keyed, F.col("_own") == F.col("_piece")).where(F.contains(F.col(text), F.col(pattern))).drop("_own", "_piece")
 
 
 def family_list(c: Column, known: tuple[str, ...] = ("pt", "act", "memorando", "ted"), default: str = "pt") -> Column:

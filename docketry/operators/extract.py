@@ -191,19 +191,8 @@ def duties(text: Column) -> Column:
     return filled(clause_value(section(text, [r"\b" + spelled(x) for x in ("responsabilidades dos partícipes", "objetivo geral e objetivos específicos", "compromissos e responsabilidades", "atribuições", "responsabilidades", "obrigações dos partícipes")], PLAN_STOP, keep_head=True)))
 
 
-def table_goals(tables: Column) -> Column:
-    """EXT14, loose: struct (goals, actions), items joined by ` || ` and cells by ` | `, distinct and in order, from tables
-    whose header speaks of goals, actions or phases: rows that begin with `meta` are goals, all others actions."""
-    relevant = F.filter(tables, lambda t: fold(F.array_join(F.get(t["rows"], F.lit(0)), " ")).rlike(r"\b(?:metas?|acao|acoes|fases?|etapas?|atividades?)\b"))
-    rows = F.flatten(F.transform(relevant, lambda t: F.slice(t["rows"], 2, 1_000_000)))
-    lines = F.transform(F.filter(rows, lambda r: F.exists(r, lambda x: F.trim(x) != "")), lambda r: F.array_join(F.filter(F.transform(r, clean_spaces), lambda x: x != ""), " | "))
-    goal = lambda x: fold(x).rlike(r"^meta\b")
-    pack = lambda a: filled(F.array_join(F.array_distinct(a), " || "))
-    return F.struct(pack(F.filter(lines, goal)).alias("goals"), pack(F.filter(lines, lambda x: ~goal(x))).alias("actions"))
-
-
 def routed_goals(tables: Column) -> Column:
-    """EXT14: struct (goals, actions) as table_goals, from tables whose header has `meta`, an action or description, and a
+    """EXT14: struct (goals, actions), items joined by ` || ` and cells by ` | `, distinct and in order, from tables whose header has `meta`, an action or description, and a
     period, schedule or owner (or `etapa`, description and schedule).
 
     A row that begins with a number is a goal (number and next cell) and, with more cells, an action (all but the
@@ -239,12 +228,6 @@ def execution_section(text: Column) -> Column:
     return F.coalesce(named, section(text, [r"\b(?:meta\s*\d|fase\s*[a-z]\b)"], PLAN_STOP, keep_head=True))
 
 
-def fragments(text: Column, patterns: list[str], longest: int = 900) -> Column:
-    """EXT16: what the patterns match, trimmed, distinct, each cut at `longest`."""
-    found = F.flatten(F.array(*[F.regexp_extract_all(text, F.lit(p), F.lit(0)) for p in patterns]))
-    return F.array_distinct(F.filter(F.transform(found, lambda x: F.substring(clean_spaces(x), 1, longest)), lambda x: x != ""))
-
-
 #: Marks that begin a part of a work plan.
 PARTS = {"meta": r"meta\s*\d+\b", "fase": r"fase\s*[a-z]\b", "etapa": r"etapas?\b", "acao": r"a[cç][aã]o\b", "atividade": r"atividade\s*[a-z]?\.\d", "produto": r"produto\b"}
 #: The parts that are goals, and actions: what ends each, and its longest text.
@@ -264,21 +247,12 @@ def part_fragments(text: Column, kinds: list[tuple[str, list[str], int]]) -> Col
     return F.array_distinct(F.filter(F.flatten(F.array(*found)), lambda x: x != ""))
 
 
-def goals_text(tables: Column, text: Column, actions: bool = False, from_tables=None) -> Column:
+def goals_text(tables: Column, text: Column, actions: bool = False) -> Column:
     """EXT17: from tables if they have content, else fragments of the execution section (or the text), else the section."""
-    part = (from_tables or table_goals)(tables)["actions" if actions else "goals"]
+    part = routed_goals(tables)["actions" if actions else "goals"]
     base = F.coalesce(execution_section(text), text)
     pieces = filled(F.array_join(part_fragments(base, ACTION_PARTS if actions else GOAL_PARTS), " || "))
-    return F.coalesce(part if from_tables is None else content(part), pieces, filled(clean_spaces(execution_section(text))))
-
-
-def plan_record(df: DataFrame) -> DataFrame:
-    """EXT18: adds a work plan's fields to (text, tables, prazos, preview columns)."""
-    df = D.staged(df, D.plan_period_parts(F.col("text"), F.col("prazos.inicio_raw"), F.col("prazos.termino_raw")), "_period", D.plan_period_ladder)
-    return df.withColumns({
-        "parceiro": plan_partner(F.col("text"), F.col("preview_parceiro")), "objeto": plan_object(F.col("text"), F.col("preview_objeto")), "vigencia_inicio": F.col("_period.start"), "vigencia_fim": F.col("_period.end"), "period_source": F.col("_period.source"),
-        "metas": goals_text(F.col("tables"), F.col("text")), "acoes": goals_text(F.col("tables"), F.col("text"), True), "atribuicoes": duties(F.col("text")),
-    }).drop("_period")
+    return F.coalesce(content(part), pieces, filled(clean_spaces(execution_section(text))))
 
 
 #: Annotation labels (folded, upper case) and the field that each begins.
@@ -333,13 +307,38 @@ RELATIVE_DATES = ["apos", "antes", "imediatamente", "sem data", "na data de assi
 EVIDENCE = 180
 
 
-#: What a date looks like, in folded text; besides the months' first letters.
-DATED = "|".join([r"\b\d{1,2}\s*[/.-]\s*(?:\d{1,2}\s*[/.-]\s*\d{2,4}|\d{4})\b", r"\b[a-z]{3,12}\s*[/.-]\s*\d{2,4}\b", r"\d\s+(?:mes|ano|dia)", rf"\b(?:{'|'.join(RELATIVE_DATES)})\b", *D.SHORT])
+def _shaped(x: Column, kind: str, low: int, high: int) -> Column:
+    return F.coalesce(x.rlike(f"^[{kind}]{{{low},{high}}}$"), F.lit(False))
 
 
 def dated(folded: Column) -> Column:
-    """A date, a month, a wording that stands for one, or a duration (which the label of a period makes a value)."""
-    return folded.rlike(DATED)
+    """Folded text names a date or stands for one: day, month and year, month and year, or a name and a year with a mark
+    between them; a day, a month's name and a year with `de` between them; or one of RELATIVE_DATES."""
+    numbers = lambda x, low, high: _shaped(x, "0-9", low, high)
+    name = lambda x: _shaped(x, "a-z", 3, 12)
+
+    def marked(token: Column) -> Column:
+        """A token whose neighbouring parts, between marks, have the shapes of a date."""
+        def fits(parts: Column) -> Column:
+            at = lambda i: F.get(parts, i)
+            return F.transform(parts, lambda x, i: ((numbers(x, 1, 2) & ((numbers(at(i + 1), 1, 2) & numbers(at(i + 2), 2, 4)) | numbers(at(i + 1), 4, 4))) | (name(x) & numbers(at(i + 1), 2, 4))))
+        return let(F.split(token, "[./-]"), lambda parts: F.array_contains(fits(parts), True))
+
+    def worded(tokens: Column) -> Column:
+        at = lambda i: F.get(tokens, i)
+        return F.array_contains(F.transform(tokens, lambda x, i: numbers(x, 1, 2) & F.coalesce(at(i + 1) == "de", F.lit(False)) & name(at(i + 2)) & F.coalesce(at(i + 3) == "de", F.lit(False)) & numbers(at(i + 4), 4, 4)), True)
+
+    tokens = F.split(F.regexp_replace(folded, r"\s*([./-])\s*", "$1"), "[^a-z0-9./-]+")
+    return F.when(folded.rlike(rf"\b(?:{'|'.join(RELATIVE_DATES)})\b"), True).when(~folded.rlike("[0-9]"), False).otherwise(let(tokens, lambda x: F.exists(x, marked) | worded(x)))
+
+
+def dated_value(folded: Column) -> Column:
+    """A value after a label is also dated if it has the first letters of a month."""
+    return dated(folded) | contains_any(folded, D.SHORT)
+
+
+#: No line without one of these holds a date (case and accents as they are in the text).
+_MAY_BE_DATED = r"(?iu)[0-9]|" + "|".join([*D.SHORT, "ap[oó]s", *[w for w in RELATIVE_DATES if w != "apos"]])
 
 
 def _any(words) -> str:
@@ -354,9 +353,10 @@ def raw_fields(df: DataFrame, key: str = "processo", text: str = "text", tables:
     One pass over a row's lines as arrays, so there is no shuffle; what tests need is made by the generator, so that it
     is computed once.  Null texts and tables have no fields."""
     clean = F.regexp_replace(F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("\u00a0"), F.lit(" ")), r"[ \t]*[\r\n]+", "\n")
-    line = lambda x, at: F.struct(at.alias("_at"), x.alias("_line"), fold(x).alias("_f"))
-    lines = F.filter(F.transform(F.split(F.trim(clean), "\n"), lambda x, i: line(F.trim(F.regexp_replace(x, r"[ \t]+", " ")), i)), lambda x: x["_line"] != "")
-    lines = df.select(key, F.inline(lines)).where(~F.col("_f").rlike(_any(RAW_NOISE)))
+    numbered = F.transform(F.split(F.trim(clean), "\n"), lambda x, i: F.struct(i.alias("_at"), x.alias("_line")))
+    # fields of lines need a date in their value; lines that can't have one are dropped before they are folded
+    lines = df.select(key, F.inline(F.filter(numbered, lambda x: x["_line"].rlike(_MAY_BE_DATED)))).withColumn("_line", F.trim(F.regexp_replace("_line", r"[ \t]+", " ")))
+    lines = lines.withColumn("_f", fold(F.col("_line"))).where(~F.col("_f").rlike(_any(RAW_NOISE)))
     field = lambda label, value: F.struct(label.alias("label"), value.alias("value"), fold(label).alias("_fl"), let(fold(value), lambda x: F.when(~x.rlike(_any(RAW_NOISE)), x)).alias("_fv"))
     pairs = F.regexp_extract_all("_line", F.lit(r"[^:\n]{2,80}:[^:\n]{0,300}"), F.lit(0))
     named = F.transform(F.array_distinct(pairs), lambda x: field(F.trim(F.split_part(x, F.lit(":"), F.lit(1))), F.trim(F.split_part(x, F.lit(":"), F.lit(2)))))
@@ -371,10 +371,10 @@ def raw_fields(df: DataFrame, key: str = "processo", text: str = "text", tables:
     for k, words in reversed(RAW_KEYS):
         name = F.when(contains_any(label, words), k).otherwise(name)
     named = label.rlike(_any(DATE_LABELS)) & F.length("label").between(3, 60) & ~label.rlike(f"[|@]|{_any(RAW_NOISE)}") & (F.size(F.split(label, " ")) <= 6) & (F.length(F.regexp_replace(label, "[^a-z]", "")) >= 4)
-    useful = (F.length("value") > 2) & F.col("_fv").isNotNull() & (((F.col("origin") == "table") & label.rlike(_any(w for _, words in RAW_KEYS for w in words))) | dated(F.col("_fv")))
+    useful = (F.length("value") > 2) & F.col("_fv").isNotNull() & (((F.col("origin") == "table") & label.rlike(_any(w for _, words in RAW_KEYS for w in words))) | dated_value(F.col("_fv")))
     rows = rows.where((label == "") | (named & useful))
     evidence = F.substring(F.concat_ws(": ", F.nullif("label", F.lit("")), "value"), 1, EVIDENCE)
-    return rows.select(key, F.when(label == "", "data").otherwise(name).alias("field_key"), "label", "value", "origin", "origin_ref", F.lit("").alias("section_hint"), evidence.alias("evidence"), (F.col("value") == "").alias("value_is_empty"), F.coalesce(dated(F.col("_fv")), F.lit(False)).alias("value_has_date_like"))
+    return rows.select(key, F.when(label == "", "data").otherwise(name).alias("field_key"), "label", "value", "origin", "origin_ref", F.lit("").alias("section_hint"), evidence.alias("evidence"), (F.col("value") == "").alias("value_is_empty"), F.coalesce(dated_value(F.col("_fv")), F.lit(False)).alias("value_has_date_like"))
 
 
 def instrument_number(*keys: Column) -> Column:
@@ -383,5 +383,8 @@ def instrument_number(*keys: Column) -> Column:
 
 
 def with_snapshot_text(df: DataFrame, snapshots: DataFrame, path: str = "json_path") -> DataFrame:
-    """EXT23: text and payload of the snapshot at a path."""
-    return df.join(snapshots.select(F.col(path).alias("_path"), F.col("snapshot.text").alias("snapshot_text")), F.col(path) == F.col("_path"), "left").drop("_path")
+    """EXT23: text and payload of the snapshot at a path: the payload whole as VARIANT (see tables.payload_value), null where
+    the snapshots have none."""
+    payload = F.col("payload") if "payload" in snapshots.columns else F.lit(None).cast("variant")
+    side = snapshots.select(F.col(path).alias("_path"), F.col("snapshot.text").alias("snapshot_text"), payload.alias("snapshot_payload"))
+    return df.join(side, F.col(path) == F.col("_path"), "left").drop("_path")

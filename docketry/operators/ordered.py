@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from ..sources.tables import shared_folder
 
 #: How a step runs over rows, how a range is summed up (value, place), and how the carry joins what a range has by itself.
-_OVER = {"sum": F.sum, "max": F.max, "min": F.min, "last": lambda c: F.last(c, ignorenulls=True), "first": lambda c: F.first(c, ignorenulls=True)}
+_OVER = {"before": lambda c: F.last(c, ignorenulls=True), "sum": F.sum, "max": F.max, "min": F.min, "last": lambda c: F.last(c, ignorenulls=True), "first": lambda c: F.first(c, ignorenulls=True)}
 _WHOLE = {
+    "before": lambda c, at: F.max_by(c, F.when(c.isNotNull(), at)),
     "sum": lambda c, at: F.sum(c), "max": lambda c, at: F.max(c), "min": lambda c, at: F.min(c),
     "last": lambda c, at: F.max_by(c, F.when(c.isNotNull(), at)), "first": lambda c, at: F.min_by(c, F.when(c.isNotNull(), at)),
 }
-_JOINED = {"sum": lambda own, carry: F.when(own.isNull() & carry.isNull(), own).otherwise(F.coalesce(own, F.lit(0)) + F.coalesce(carry, F.lit(0))), "max": F.greatest, "min": F.least, "last": F.coalesce, "first": lambda own, carry: F.coalesce(carry, own)}
+_JOINED = {"sum": lambda own, carry: F.when(own.isNull() & carry.isNull(), own).otherwise(F.coalesce(own, F.lit(0)) + F.coalesce(carry, F.lit(0))), "max": F.greatest, "min": F.least, "last": F.coalesce, "before": F.coalesce, "first": lambda own, carry: F.coalesce(carry, own)}
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -25,24 +26,24 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def running(df: DataFrame, group: list[str], order: list[str | Column], steps: dict[str, tuple[str, Column]]) -> DataFrame:
-    """Adds a column for each step (kind, value), over the rows of a group up to and with each row.
-
-    Kinds: sum, max, min, last and first (of values that are not null), and next, the value in the row after (null in a
-    group's last row).  Nulls in group are one group; rows that are equal in group and order have no set order among
-    themselves and are kept in one range.  Rows are range-partitioned by (group, order) and stored; windows run inside a
-    range; what crosses ranges is a row or two a range, however many groups there are.  An empty table gives none."""
-    names, kinds = list(steps), [k for k, _ in steps.values()]
+def laid(df: DataFrame, group: list[str], order: list[str | Column]) -> DataFrame:
+    """df range-partitioned and sorted by (group, order), stored, with each row's range (_part) and place (_at)."""
     keys = [*map(F.col, group), *[F.col(c) if isinstance(c, str) else c for c in order]]
-    given = df.columns
-    df = df.withColumns({f"_v{i}": c for i, (_, c) in enumerate(steps.values())})
     df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    rows = stored(df.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
+    return stored(df.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
+
+
+def over(rows: DataFrame, group: list[str], steps: dict[str, tuple[str, Column]]) -> DataFrame:
+    """running() over rows that laid() has put in order; _part and _at stay.  The rows of a group lie together in that order:
+    it may be the group that they were laid by, or a finer one that grows along it.  rows are read twice: store them
+    after costly steps."""
+    names, kinds, given = list(steps), [k for k, _ in steps.values()], rows.columns
+    rows = rows.withColumns({f"_v{i}": c for i, (_, c) in enumerate(steps.values())})
     at, value = F.col("_at"), [F.col(f"_v{i}") for i in range(len(steps))]
 
     here = W.partitionBy("_part", *group).orderBy("_at")
-    so_far = here.rowsBetween(W.unboundedPreceding, W.currentRow)
-    own = [F.lead(v).over(here) if k == "next" else _OVER[k](v).over(so_far) for k, v in zip(kinds, value, strict=True)]
+    so_far, earlier = here.rowsBetween(W.unboundedPreceding, W.currentRow), here.rowsBetween(W.unboundedPreceding, -1)
+    own = [F.lead(v).over(here) if k == "next" else _OVER[k](v).over(earlier if k == "before" else so_far) for k, v in zip(kinds, value, strict=True)]
 
     whole = [F.min_by(v, at) if k == "next" else _WHOLE[k](v, at) for k, v in zip(kinds, value, strict=True)]
     spans = stored(rows.groupBy("_part", *group).agg(F.min("_at").alias("_lo"), F.max("_at").alias("_hi"), *[w.alias(f"_w{i}") for i, w in enumerate(whole)]))
@@ -63,6 +64,17 @@ def running(df: DataFrame, group: list[str], order: list[str | Column], steps: d
     return out.select(*given, *result)
 
 
+def running(df: DataFrame, group: list[str], order: list[str | Column], steps: dict[str, tuple[str, Column]]) -> DataFrame:
+    """Adds a column for each step (kind, value), over the rows of a group up to and with each row.
+
+    Kinds: sum, max, min, last and first (of values that are not null); before, the last value that is not null of earlier
+    rows; and next, the value in the row after (null in a group's last row).  Nulls in group are one group; rows that
+    are equal in group and order have no set order among themselves and are kept in one range.  Rows are range-partitioned by
+    (group, order) and stored; windows run inside a range; what crosses ranges is a row or two a range, however many
+    groups there are.  An empty table gives none."""
+    return over(laid(df, group, order), group, steps).drop("_part", "_at")
+
+
 def numbered(df: DataFrame, group: list[str], order: list[str | Column], name: str = "number") -> DataFrame:
     """Adds each row's number in its group, from 1, in the given order; see running()."""
     return running(df, group, order, {name: ("sum", F.lit(1).cast("long"))})

@@ -1,16 +1,16 @@
 """Run-log analysis: visits, stage times, attempts and counters (inventory LOG).
 
-Windows are partitioned by run first and by visit afterwards.  A run is one log file; its lines are ordered by
-(ts, line_no)."""
+A run is one log file; its lines are ordered by (ts, line_no).  States that pass from line to line (the open case, the
+stage, the last attempt) are running values over ranges of lines, so one run may be most of a table and spans tasks."""
 
 from __future__ import annotations
 
 import re
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import ordered
 from .classify import CASE_NUMBER, family_of
 
 FAMILIES = ("PT", "ACT", "MEMORANDO", "TED")
@@ -52,32 +52,49 @@ def visits(df: DataFrame, run: str, ts: str, order: str, opens: Column, key: Col
     """LOG1: adds visit, case, next_ts and is_close; lines outside a visit are dropped.
 
     A line for which opens holds begins a visit of `key`; the first for which closes equals the visit's key ends it;
-    else the next opening line does, or the run's last line."""
-    in_run = W.partitionBy(run).orderBy(ts, order)
+    else the next opening line does, or the run's last line.  Lines stay in the ranges of ordered.laid() (_part, _at), in
+    which stage_seconds() and attempts() go on."""
     df = df.withColumns({"_open": F.coalesce(opens, F.lit(False)), "_close": closes, "_key": key})
-    df = df.withColumns({"visit": F.sum(F.col("_open").cast("long")).over(in_run), "next_ts": F.lead(ts).over(in_run)}).where("visit > 0")
-    in_visit = W.partitionBy(run, "visit")
-    df = df.withColumn("case", F.max(F.when(F.col("_open"), F.col("_key"))).over(in_visit))
-    df = df.withColumn("_ends", F.col("_close").eqNullSafe(F.col("case")) & ~F.col("_open"))
-    df = df.withColumn("_end", F.min(F.when(F.col("_ends"), F.struct(ts, order))).over(in_visit))
-    df = df.where(F.col("_end").isNull() | (F.struct(ts, order) <= F.col("_end")))
-    return df.withColumn("is_close", F.col("_ends")).drop("_open", "_close", "_key", "_ends", "_end")
+    rows = ordered.laid(df, [run], [ts, order])
+    opened = F.when(F.col("_open"), F.struct(F.col("_key").alias("case")))
+    rows = ordered.over(rows, [run], {"visit": ("sum", F.col("_open").cast("long")), "next_ts": ("next", F.col(ts)), "_opened": ("last", opened)}).where("visit > 0")
+    rows = rows.withColumn("case", F.col("_opened.case"))
+    rows = ordered.stored(rows.withColumn("is_close", F.col("_close").eqNullSafe(F.col("case")) & ~F.col("_open")).drop("_open", "_close", "_key", "_opened"))
+    rows = ordered.over(rows, [run, "visit"], {"_closed": ("before", F.when(F.col("is_close"), True))})
+    return rows.where("_closed IS NULL").drop("_closed")
+
+
+def _laid(df: DataFrame, run: str, ts: str, order: str) -> DataFrame:
+    return ordered.stored(df) if "_part" in df.columns else ordered.laid(df, [run, "visit"], [ts, order])
 
 
 def stage_seconds(df: DataFrame, run: str, ts: str, order: str, marker: Column, initial: str) -> DataFrame:
     """LOG2: adds stage and seconds: the time to the next line is charged to the stage in force after this line; 0 on
     the closing line and the run's last."""
-    so_far = W.partitionBy(run, "visit").orderBy(ts, order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = ordered.over(_laid(df, run, ts, order), [run, "visit"], {"_stage": ("last", marker)})
+    return rows.withColumns({"stage": F.coalesce("_stage", F.lit(initial)), "seconds": _charged(ts)}).drop("_stage")
+
+
+def _charged(ts: str) -> Column:
     gap = F.greatest((F.unix_micros(F.col("next_ts").cast("timestamp")) - F.unix_micros(F.col(ts).cast("timestamp"))) / 1e6, F.lit(0.0))
-    return df.withColumns({"stage": F.coalesce(F.last(marker, ignorenulls=True).over(so_far), F.lit(initial)), "seconds": F.when(F.col("is_close") | F.col("next_ts").isNull(), 0.0).otherwise(gap)})
+    return F.when(F.col("is_close") | F.col("next_ts").isNull(), 0.0).otherwise(gap)
 
 
 def attempts(df: DataFrame, run: str, ts: str, order: str, markers: Column) -> DataFrame:
     """LOG3: rows (run, visit, doc) for each attempt that counts.  markers: array of states in the line's order, a
     family for an attempt and '' for a reset; an attempt counts when the state before isn't its family."""
-    rows = df.select(run, "visit", ts, order, F.posexplode(F.array_compact(markers)).alias("_sub", "doc"))
-    state = F.lag("doc").over(W.partitionBy(run, "visit").orderBy(ts, order, "_sub"))
-    return rows.withColumn("_before", state).where((F.col("doc") != "") & ~F.col("doc").eqNullSafe(F.col("_before"))).select(run, "visit", "doc")
+    rows = ordered.over(_laid(df.withColumn("_states", F.array_compact(markers)), run, ts, order), [run, "visit"], {"_before": ("before", _last_state())})
+    return _counted(rows, run)
+
+
+def _last_state() -> Column:
+    return F.get("_states", F.size("_states") - 1)
+
+
+def _counted(rows: DataFrame, run: str) -> DataFrame:
+    """Attempts of lines with their _states and the state _before each line: a look at the neighbour in the line's own array."""
+    tried = F.transform("_states", lambda x, i: F.when((x != "") & ~x.eqNullSafe(F.when(i == 0, F.col("_before")).otherwise(F.get("_states", i - 1))), x))
+    return rows.select(run, "visit", F.explode(F.array_compact(tried)).alias("doc"))
 
 
 def summarize(lines: DataFrame, run: str = "run", ts: str = "ts", order: str = "line_no", top: int = 5) -> DataFrame:
@@ -88,12 +105,12 @@ def summarize(lines: DataFrame, run: str = "run", ts: str = "ts", order: str = "
     df = df.withColumns({"none_doc": mine("none"), "fail_doc": mine("fail"), "fall_doc": mine("fall")})
     search = lambda c: F.concat(F.lit("busca_"), F.lower(c))
     marker = F.coalesce(F.when(F.col("fall_line").isNotNull() | F.col("fall_doc").isNotNull(), F.lit("fallback_arvore")), *[search(F.col(c)) for c in ("fail_doc", "none_doc", "search", "filter_open", "click")])
-    df = stage_seconds(df, run, ts, order, marker, "abertura_processo")
-    so_far = W.partitionBy(run, "visit").orderBy(ts, order).rowsBetween(W.unboundedPreceding, W.currentRow)
     doc = F.coalesce(*[F.col(c) for c in ("fall_line", "fall_doc", "fail_doc", "none_doc", "search", "filter_open", "click")])
-    df = df.withColumn("reload_of", F.when(F.col("reload"), F.coalesce(F.col("reload_doc"), F.last(doc, ignorenulls=True).over(so_far))))
     reset = F.when(F.col("none_doc").isNotNull() | F.col("fail_doc").isNotNull() | F.col("fall_doc").isNotNull() | F.col("reload"), F.lit(""))
-    tried = attempts(df, run, ts, order, F.array(F.col("click"), F.col("filter_open"), F.col("search"), reset)).groupBy(run, "visit").agg(*[F.count_if(F.col("doc") == d).alias(f"{d.lower()}_attempts") for d in FAMILIES])
+    df = _laid(df.withColumn("_states", F.array_compact(F.array(F.col("click"), F.col("filter_open"), F.col("search"), reset))), run, ts, order)
+    df = ordered.stored(ordered.over(df, [run, "visit"], {"_stage": ("last", marker), "_doc": ("last", doc), "_before": ("before", _last_state())}))
+    df = df.withColumns({"stage": F.coalesce("_stage", F.lit("abertura_processo")), "seconds": _charged(ts), "reload_of": F.when(F.col("reload"), F.coalesce(F.col("reload_doc"), F.col("_doc")))})
+    tried = _counted(df, run).groupBy(run, "visit").agg(*[F.count_if(F.col("doc") == d).alias(f"{d.lower()}_attempts") for d in FAMILIES])
     per = df.groupBy(run, "visit").agg(
         F.first("case").alias("process_number"), F.min(ts).alias("started_at"), F.max(ts).alias("_last"), F.max(F.when(F.col("is_close"), F.col(ts))).alias("_closed"), F.max("next_ts").alias("_next"),
         *[F.round(F.sum(F.when(F.col("stage") == s, F.col("seconds")).otherwise(0.0)), 3).alias(f"{s}_seconds") for s in STAGES],

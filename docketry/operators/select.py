@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_spaces, empty_to_null, fold
+from . import ordered
 
 
 def best_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -35,13 +36,15 @@ def choose_canonical(df: DataFrame, keys: list[str], eligible: Column, order: li
     """SEL4: adds normalization_status, publication_status and discard_reason.
 
     The best eligible row of a key is published; other eligible rows lost the tie-break; the rest keep their
-    discard_reason, or get their class."""
-    w = W.partitionBy(*keys).orderBy(F.col("_ok").desc(), *order)
-    df = df.withColumn("_ok", F.coalesce(eligible, F.lit(False))).withColumn("_rn", F.row_number().over(w))
-    won = F.col("_ok") & (F.col("_rn") == 1)
-    reason = F.when(won, "").when(F.col("_ok"), "act_final_nao_canonico").otherwise(F.coalesce(empty_to_null(F.col("discard_reason")), F.col("doc_class")))
-    status = F.when(won, "publicado_canonico").when(F.col("_ok"), "descartado_por_desempate").otherwise("descartado_nao_canonico")
-    return df.withColumns({"normalization_status": status, "publication_status": F.when(won, "published_gold").otherwise("retained_silver"), "discard_reason": reason}).drop("_ok", "_rn")
+    discard_reason, or get their class.  Winners are found with a limit a key before the shuffle and marked on the stored
+    rows by their place, so a key (the empty one, say) may hold most rows."""
+    rows = ordered.stored(df.withColumns({"_ok": F.coalesce(eligible, F.lit(False)), "_id": F.monotonically_increasing_id()}))
+    best = best_per_key(rows.where("_ok"), keys, order).select(F.col("_id").alias("_best"))
+    won, ok = F.col("_best").isNotNull(), F.col("_ok")
+    reason = F.when(won, "").when(ok, "act_final_nao_canonico").otherwise(F.coalesce(empty_to_null(F.col("discard_reason")), F.col("doc_class")))
+    status = F.when(won, "publicado_canonico").when(ok, "descartado_por_desempate").otherwise("descartado_nao_canonico")
+    rows = rows.join(best, F.col("_id") == F.col("_best"), "left")
+    return rows.withColumns({"normalization_status": status, "publication_status": F.when(won, "published_gold").otherwise("retained_silver"), "discard_reason": reason}).drop("_ok", "_id", "_best")
 
 
 def funnel(candidates: DataFrame, top: int = 5) -> DataFrame:
@@ -49,20 +52,22 @@ def funnel(candidates: DataFrame, top: int = 5) -> DataFrame:
     state and outcome.
 
     Per alias the first `top` hits count; then tree candidates by score and label.  Skipped labels aren't opened; the
-    first canonical one wins and nothing after it is opened."""
+    first canonical one wins and nothing after it is opened.  Hits are limited an alias before the shuffle, numbers are
+    running values over ranges, and a case's outcome is aggregated and joined back: no task holds a case."""
+    rows = ordered.stored(candidates.withColumn("_id", F.monotonically_increasing_id()))
     tree = F.col("source") == "tree"
-    alias = W.partitionBy("processo", "type", "source", "alias_ord").orderBy("position")
-    df = candidates.withColumn("_k", F.row_number().over(alias)).withColumn("_listed", tree | (F.col("_k") <= top))
-    order = [tree.asc(), F.when(~tree, F.col("alias_ord")).asc(), F.when(~tree, F.col("position")).asc(), F.when(tree, F.col("score")).desc_nulls_last(), F.col("label").asc()]
-    case = W.partitionBy("processo", "type")
-    df = df.withColumn("seq", F.row_number().over(case.orderBy(F.col("_listed").desc(), *order)))
+    hits = W.partitionBy("processo", "type", "source", "alias_ord").orderBy("position", "_id")
+    listed = rows.where(~tree).withColumn("_k", F.row_number().over(hits)).where(F.col("_k") <= top).select(F.col("_id").alias("_hit"))
+    df = rows.join(listed, F.col("_id") == F.col("_hit"), "left").withColumn("_listed", tree | F.col("_hit").isNotNull())
+    order = [F.col("_listed").desc(), tree.asc(), F.when(~tree, F.col("alias_ord")).asc(), F.when(~tree, F.col("position")).asc(), F.when(tree, F.col("score")).desc_nulls_last(), F.col("label").asc(), F.col("_id").asc()]
+    df = ordered.stored(ordered.numbered(df, ["processo", "type"], order, "seq"))
     opens = F.col("_listed") & ~F.col("skip")
-    df = df.withColumn("_win", F.min(F.when(opens & F.col("is_canonical"), F.col("seq"))).over(case))
+    case = df.groupBy(F.col("processo").alias("_p"), F.col("type").alias("_t")).agg(F.min(F.when(opens & F.col("is_canonical"), F.col("seq"))).alias("_win"), F.max(F.when(opens & ~tree, 1).otherwise(0)).alias("_opened"))
+    df = df.join(case, F.col("processo").eqNullSafe(F.col("_p")) & F.col("type").eqNullSafe(F.col("_t")))
     state = F.when(~F.col("_listed"), "beyond_top").when(F.col("seq") > F.col("_win"), "not_opened").when(F.col("skip"), "skipped").when(F.col("seq") == F.col("_win"), "chosen").otherwise("rejected")
-    opened = F.max(F.when(opens & ~tree, 1).otherwise(0)).over(case) == 1
     tried = F.col("type").isin("pt", "act", "ted")
-    outcome = F.when(F.col("_win").isNotNull(), "found").otherwise(F.concat(F.when(opened, "no_canonical_candidate_after_filter").otherwise("not_found_after_filter"), F.when(tried, "_and_tree").otherwise("")))
-    return df.withColumns({"state": state, "outcome": outcome}).drop("_k", "_listed", "_win")
+    outcome = F.when(F.col("_win").isNotNull(), "found").otherwise(F.concat(F.when(F.col("_opened") == 1, "no_canonical_candidate_after_filter").otherwise("not_found_after_filter"), F.when(tried, "_and_tree").otherwise("")))
+    return df.withColumns({"state": state, "outcome": outcome}).drop("_id", "_hit", "_listed", "_p", "_t", "_win", "_opened")
 
 
 def best_per_text(df: DataFrame, text: str = "label", score: str = "score") -> DataFrame:

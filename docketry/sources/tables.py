@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import clean_spaces, empty_to_null, fold, repair_native, repair_payload, repair_text, safe_name
+from ..functions.text import clean_spaces, empty_to_null, fold, repair_payload, safe_name
 
 #: A captured document: text, tables, address, title and how it was read.
 SNAPSHOT = "captured_at string, document_type string, requested_type string, processo string, documento string, snapshot struct<text:string,tables:array<struct<rows:array<array<string>>>>,url:string,title:string,extraction_mode:string>, collection struct<found:boolean,found_in:string,search_term:string,results_count:int,chosen_documento:string,selection_reason:string,selection_detail:string,extraction_error:string>, prazos struct<status:string,inicio_data:string,inicio_raw:string,termino_data:string,termino_raw:string>"
@@ -50,10 +50,16 @@ def read_csv(spark: SparkSession, path: str, columns: list[str], collapse: bool
 
 
 def read_snapshots(spark: SparkSession, path: str, schema: str = SNAPSHOT, corrupt: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
-    """SRC3: one JSON object a file, with json_path, and the files that hold none.  See landing() for the repair."""
-    df = spark.read.text(path, wholetext=True).withColumn("json_path", F.col("_metadata.file_path"))
-    df = df.select("json_path", _parsed(F.col("value"), schema, corrupt).alias("r")).select("json_path", F.coalesce(f"r.{corrupt}", F.when(F.col("r").isNull(), F.lit(""))).alias(corrupt), "r")
-    good = df.where(F.col(corrupt).isNull()).select("r.*", "json_path").drop(corrupt)
+    """SRC3: one JSON object a file, with json_path, and the files that hold none.  `payload` is the whole object as it came
+    (VARIANT), with the keys that the schema doesn't name.  See landing() for the repair."""
+    return snapshots_of(spark.read.text(path, wholetext=True).withColumn("json_path", F.col("_metadata.file_path")), schema, corrupt)
+
+
+def snapshots_of(texts: DataFrame, schema: str = SNAPSHOT, corrupt: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
+    """read_snapshots over rows (json_path, value) that are there already."""
+    df = texts.select("json_path", "value", _parsed(F.col("value"), schema, corrupt).alias("r"))
+    df = df.select("json_path", "value", F.coalesce(f"r.{corrupt}", F.when(F.col("r").isNull(), F.lit(""))).alias(corrupt), "r")
+    good = df.where(F.col(corrupt).isNull()).select("r.*", F.try_parse_json("value").alias("payload"), "json_path").drop(corrupt)
     return good, df.where(F.col(corrupt).isNotNull()).select("json_path", corrupt)
 
 
@@ -87,14 +93,9 @@ def discover(spark: SparkSession, root: str, prefix: str) -> str:
 
 
 def landing(snapshots: DataFrame) -> DataFrame:
-    """SRC7: snapshots as they are landed: every text of the payload repaired (TXT3; the main text and title in two
-    rounds and both code pages, texts in tables in one round), and the name they are kept under."""
-    one = {c: repair_payload(F.col(c), snapshots.schema[c].dataType, repair_native) for c in snapshots.columns if c != "snapshot"}
-    if "snapshot" in snapshots.columns:
-        kind = snapshots.schema["snapshot"].dataType
-        parts = [(repair_text(F.col(f"snapshot.{f.name}")) if isinstance(f.dataType, T.StringType) else repair_payload(F.col(f"snapshot.{f.name}"), f.dataType, repair_native)).alias(f.name) for f in kind.fields]
-        one["snapshot"] = F.when(F.col("snapshot").isNotNull(), F.struct(*parts))
-    out = snapshots.withColumns(one)
+    """SRC7: snapshots as they are landed: every text of the payload repaired at any depth (TXT3, two rounds and both code
+    pages), and the name they are kept under."""
+    out = snapshots.withColumns({c: repair_payload(F.col(c), snapshots.schema[c].dataType) for c in snapshots.columns})
     named = [F.col(c) for c in ("document_type", "processo", "documento") if c in out.columns]
     return out.withColumn("name", safe_name(F.concat_ws("_", *named))) if named else out
 
@@ -104,6 +105,29 @@ def write_layer(df: DataFrame, path: str, run_id: str, by: list[str] = ()) -> No
     df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", *by).parquet(path)
 
 
+def version_folder(root: str) -> tuple[str, str]:
+    """A new folder under root for the tables of one attempt to publish a run, and its name."""
+    version = uuid.uuid4().hex
+    return f"{root}/versions/{version}", version
+
+
+def commit_run(spark: SparkSession, root: str, run_id: str, version: str, names: list[str]) -> None:
+    """SNK4: the manifest's entry of a run, one file written at once: from here on readers go to this version."""
+    entry = spark.createDataFrame([(run_id, version, names)], "run_id string, version string, tables array<string>")
+    entry.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+
+
+def read_published(spark: SparkSession, root: str, name: str, run_id: str | None = None) -> DataFrame:
+    """A table (`silver/act`, `gold/act`, `marts/overview`) of a published run: the given one, or the latest; of a run that was
+    published again, the last version.  All tables of one run come from one version."""
+    entries = spark.read.parquet(f"{root}/manifest")
+    entries = entries if run_id is None else entries.where(F.col("run_id") == run_id)
+    last = entries.agg(F.max(F.struct("run_id", "published_at", "version", "tables")).alias("e")).first()["e"]
+    if last is None or name not in last["tables"]:
+        raise ValueError(f"no published run {run_id or ''} with {name}")
+    return spark.read.parquet(f"{root}/versions/{last['version']}/{name}")
+
+
 def read_layer(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     """One run of a layer: the given one, or the latest."""
     df = spark.read.parquet(path)
@@ -162,11 +186,25 @@ def freshness(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", F.lit(True).alias("exists"), F.col("modificationTime").alias("mtime"), F.col("length").alias("size"))
 
 
+def payload_value(payload: Column, *paths: str) -> Column:
+    """The text at the first of the paths (`$.snapshot.title`, `$[0].objeto`) that a VARIANT payload has; objects and lists
+    as JSON."""
+    return F.coalesce(*[F.coalesce(F.try_variant_get(payload, p, "string"), F.to_json(F.try_variant_get(payload, p, "variant"))) for p in paths])
+
+
+def payload_schema(df: DataFrame, payload: str = "payload") -> str:
+    """The keys and types of all payloads of a table together, as one type text; empty for a table without any."""
+    return df.agg(F.schema_of_variant_agg(payload).alias("s")).first()["s"] or ""
+
+
 API_ITEM = "numero_processo string, numeroProcesso string, objeto string, valor_global string, valorGlobal string, situacao string, uf string, itens string"
 
 
 def api_payload(df: DataFrame, body: str = "body") -> DataFrame:
-    """SRC10: adds `payload`, the first item of a JSON list (or the object), under either spelling of its keys."""
+    """SRC10: adds `payload`, the first item of a JSON list (or the object), under either spelling of its keys, and `item`,
+    that item whole (VARIANT), for keys that the payload doesn't name."""
+    parsed = F.try_parse_json(body)
+    df = df.withColumn("item", F.coalesce(F.try_variant_get(parsed, "$[0]", "variant"), parsed))
     item = F.coalesce(F.get(F.from_json(body, f"array<struct<{API_ITEM.replace(' string', ':string')}>>"), F.lit(0)), F.from_json(body, API_ITEM))
     return df.withColumn("_i", item).withColumn("payload", F.struct(F.coalesce("_i.numero_processo", "_i.numeroProcesso").alias("numero_processo"), F.col("_i.objeto").alias("objeto"), F.coalesce("_i.valor_global", "_i.valorGlobal").alias("valor_global"), F.col("_i.situacao").alias("situacao"), F.col("_i.uf").alias("uf"), F.col("_i.itens").alias("itens"))).drop("_i")
 

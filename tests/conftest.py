@@ -18,3 +18,8 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="session")
+def data():
+    return "/root/testdata/sf0.001"

@@ -1,6 +1,7 @@
 """Text, date and rule functions on small invented values."""
 
 import datetime as dt
+import unicodedata
 
 from pyspark.sql import functions as F
 
@@ -18,19 +19,32 @@ def test_spaces_and_fold(spark):
     assert one(spark, X.clean_spaces(F.col("t")), t="  a  b\n\tc ") == "a b c"
     assert one(spark, X.fold(F.col("t")), t="  AÇÃO nº 1°  ") == "acao no 1o"
     assert one(spark, X.fold(F.col("t"), ""), t="1°") == "1"
-    assert one(spark, X.fold_full(F.col("t")), t="Ǆ ÉCOLE ﬁm") == "dz ecole fim"
+    assert one(spark, X.fold(F.col("t")), t="Őrség ŠKODA 1ª ＡＢＣ n\u0303 Ǻ ệ") == "orseg skoda 1a abc n a e"
     assert one(spark, X.fold_upper(F.col("t")), t="Órgão") == "ORGAO"
 
 
+def test_fold_equals_decomposition(spark, data):
+    """Over all characters of the documents, and of every folded block, as unicodedata has it."""
+    def plain(x):
+        return "".join(y for y in unicodedata.normalize("NFKD", x.lower()) if not unicodedata.combining(y)).lower()
+
+    text = {x for r in spark.read.parquet(f"{data}/documents.parquet").select("text").collect() for x in r["text"] or ""}
+    every = sorted(x for x in text | set(map(chr, X.FOLDED)) if not x.isspace() and x not in "º°" and len(x.lower()) == 1 and len(plain(x)) <= 1 and unicodedata.category(x) != "Cn")
+    got = spark.createDataFrame([(x,) for x in every], "x string").select("x", X.fold(F.concat(F.lit("a"), "x", F.lit("z"))).alias("f")).collect()
+    assert {r["x"]: r["f"] for r in got} == {x: f"a{plain(x)}z" for x in every}
+
+
 def test_repair(spark):
     broken = "Cooperação técnica".encode().decode("latin1")
     twice = broken.encode().decode("latin1")
     for t in (broken, twice):
         assert one(spark, X.repair_text(F.col("t")), t=t) == "Cooperação técnica"
     assert one(spark, X.repair_text(F.col("t")), t="Ã sozinho") == "Ã sozinho"
-    assert one(spark, X.repair_native(F.col("t")), t=broken) == "Cooperação técnica"
-    df = spark.createDataFrame([(("Ã©", ["Ã£o", None]),)], "p struct<a:string,b:array<string>>")
-    assert df.select(X.repair_payload(F.col("p"), df.schema["p"].dataType, X.repair_native).alias("p")).first()["p"].asDict() == {"a": "é", "b": ["ão", None]}
+    for t in ("2020 – “fim” €", "relação"):
+        assert one(spark, X.repair_text(F.col("t")), t=t.encode().decode("cp1252", "ignore") if "–" not in t else "2020 – fim".encode().decode("cp1252")) == ("2020 – fim" if "–" in t else t)
+    df = spark.createDataFrame([(("Ã©", ["Ã£o", None, "relaÃ\u0083Â§Ã\u0083Â£o", "â€“"], {"k": "Ã©"}), 1), (None, 2)], "p struct<a:string,b:array<string>,c:map<string,string>>, n int")
+    out = df.select(X.repair_payload(F.col("p"), df.schema["p"].dataType).alias("p")).collect()
+    assert out[0]["p"].asDict() == {"a": "é", "b": ["ão", None, "relação", "–"], "c": {"k": "é"}} and out[1]["p"] is None
 
 
 def test_prepare(spark):
@@ -108,16 +122,33 @@ def test_validity(spark):
 
 
 def test_plan_period(spark):
-    def p(text, start=None, end=None):
-        r = one(spark, D.plan_period(F.lit(text), F.lit(start).cast("string"), F.lit(end).cast("string")))
-        return r["start"], r["end"], r["source"]
-
-    assert p("periodo de execucao de 1 de janeiro de 2020 a 31 de dezembro de 2021") == (dt.date(2020, 1, 1), dt.date(2021, 12, 31), "direct_label")
-    assert p("INICIO(MES/ANO): 03/2020 TERMINO(MES/ANO): 02/2022") == (dt.date(2020, 3, 1), dt.date(2022, 2, 28), "direct_label")
-    assert p("prazo de 60 (sessenta) meses, a partir da data de sua assinatura. Assinado eletronicamente por A, em 10/05/2021") == (dt.date(2021, 5, 10), dt.date(2026, 5, 10), "derived_from_signature")
-    assert p("sem datas", "inserir previsao", "x")[2] == "unresolved_noise"
-    assert p("a partir da assinatura")[2] == "unresolved_relative"
-    assert p("metas e atividades")[2] == "missing_period"
+    """Each case (text, labels, dates of the labels that were parsed before) with its start, end and source."""
+    far = "prazo de 3 anos " + "x " * 70 + "apos a assinatura. Assinado por A em 01/01/2020"
+    day = dt.date
+    cases = [
+        (("periodo de execucao de 1 de janeiro de 2020 a 31 de dezembro de 2021",), (day(2020, 1, 1), day(2021, 12, 31), "direct_label")),
+        (("INICIO(MES/ANO): 03/2020 TERMINO(MES/ANO): 02/2022",), (day(2020, 3, 1), day(2022, 2, 28), "direct_label")),
+        (("prazo de 60 (sessenta) meses, a partir da data de sua assinatura. Assinado eletronicamente por A, em 10/05/2021",), (day(2021, 5, 10), day(2026, 5, 10), "derived_from_signature")),
+        (("sem datas", "inserir previsao", "x"), (None, None, "unresolved_noise")),
+        (("a partir da assinatura",), (None, None, "unresolved_relative")),
+        (("metas e atividades",), (None, None, "missing_period")),
+        # pairs of dates without a period's label are no period; labels whose dates were parsed before count without their text
+        (("Visitas feitas de 01/01/2010 a 31/12/2010", "01/03/2021", "28/02/2023"), (day(2021, 3, 1), day(2023, 2, 28), "direct_label")),
+        (("O prazo de prestacao de contas venceu em 05/05/2015 e 06/06/2016",), (None, None, "missing_period")),
+        (("x", None, None, "2020-01-01", "2021-01-01"), (day(2020, 1, 1), day(2021, 1, 1), "direct_label")),
+        (("Brasilia, 1 de fevereiro de 2020", "na data da assinatura", "12 meses"), (day(2020, 2, 1), day(2021, 2, 1), "derived_from_signature")),
+        (("inicio imediatamente apos a assinatura e fim 6 meses apos a assinatura", None, None, "2020-01-31"), (day(2020, 1, 31), day(2020, 7, 31), "derived_from_signature")),
+        (("periodo de execucao: 10/2022 ate 01/2020 e 5 meses", "na data da assinatura"), (None, None, "unresolved_relative")),
+        (("previsao de inicio e termino: jan/2022 - dez/2023",), (day(2022, 1, 1), day(2023, 12, 31), "direct_label")),
+        ((far,), (None, None, "unresolved_relative")),
+        (("Assinado em 99/99/2020, assinado por B em l2/O5/2O2l. prazo de um ano a partir da assinatura",), (day(2021, 5, 12), day(2022, 5, 12), "derived_from_signature")),
+    ]
+    df = spark.createDataFrame([(i, *c, *[None] * (5 - len(c))) for i, (c, _) in enumerate(cases)], "i int, text string, a string, b string, c string, d string")
+    df = D.staged(df, D.plan_period_parts(*map(F.col, ("text", "a", "b", "c", "d"))), "p", D.plan_period_ladder)
+    got = {r["i"]: (r["p"]["start"], r["p"]["end"], r["p"]["source"]) for r in df.collect()}
+    assert [got[i] for i in range(len(cases))] == [w for _, w in cases]
+    r = one(spark, D.plan_period(F.lit("INICIO: 03/2020 TERMINO: 02/2022"), F.lit(None).cast("string"), F.lit(None).cast("string")))
+    assert (r["start_text"], r["end_text"]) == ("03/2020", "02/2022")
 
 
 def test_rules(spark):

@@ -16,10 +16,10 @@ def test_equals_windows(spark, group):
     rows = [(None if i % 50 == 3 else 0 if i % 2 else rng.randrange(40), i, rng.choice([None, 1, 2, 5]), rng.choice([None, None, "a", "b"]), "x") for i in range(3000)]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "g int, k int, v long, s string, number string").repartition(5)
-    steps = {"total": ("sum", F.col("v")), "top": ("max", F.col("v")), "low": ("min", F.col("v")), "state": ("last", F.col("s")), "start": ("first", F.col("s")), "after": ("next", F.col("v"))}
+    steps = {"total": ("sum", F.col("v")), "top": ("max", F.col("v")), "low": ("min", F.col("v")), "state": ("last", F.col("s")), "start": ("first", F.col("s")), "after": ("next", F.col("v")), "earlier": ("before", F.col("s"))}
     w = (W.partitionBy(*group) if group else W.partitionBy(F.lit(1))).orderBy("k")
     run = w.rowsBetween(W.unboundedPreceding, W.currentRow)
-    want = df.select("*", F.sum("v").over(run).alias("total"), F.max("v").over(run).alias("top"), F.min("v").over(run).alias("low"), F.last("s", ignorenulls=True).over(run).alias("state"), F.first("s", ignorenulls=True).over(run).alias("start"), F.lead("v").over(w).alias("after"))
+    want = df.select("*", F.sum("v").over(run).alias("total"), F.max("v").over(run).alias("top"), F.min("v").over(run).alias("low"), F.last("s", ignorenulls=True).over(run).alias("state"), F.first("s", ignorenulls=True).over(run).alias("start"), F.lead("v").over(w).alias("after"), F.last("s", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1)).alias("earlier"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         got = O.running(df, group, ["k"], steps).collect()
