@@ -1,6 +1,7 @@
 """Near-duplicates by MinHash with an LSH forest: in each of several orders the signatures are sorted, and a text's
 candidates are the neighbours with which it shares the longest prefix; the depth that these share adapts to how dense
-the region is.  Links are confirmed on full shingle sets, and components are joined as Spark jobs."""
+the region is.  Regions that stay dense at every depth are joined on their texts' rare shingles.  Links are confirmed on
+full shingle sets, and components are joined as Spark jobs."""
 
 from __future__ import annotations
 
@@ -21,16 +22,19 @@ from .components import components
 #: the shortest prefix of some tree with chance 1 - (1 - 0.8**4)**20 > 0.99997, one of 0.85 with 1 - 4e-7.
 TREES, PREFIX = 20, 4
 HASHES = TREES * PREFIX
-#: Further orders for texts of regions with more than DENSE texts, where candidates share more than the shortest prefix.
-MORE_TREES = 20
-#: Neighbours before a text in an order that are its candidates; regions of up to FEW texts are proposed in full at once.
+#: Neighbours before a text in an order that are its candidates; regions of up to FEW texts are proposed in full at once,
+#: texts of undecided regions of more than DENSE are joined by their rare shingles.
 DENSE, FEW = 64, 8
+#: Counters of shingles in dense regions: two a shingle within these bounds (16 MB at most).
+LEAST_COUNTERS, MOST_COUNTERS = 1 << 12, 1 << 22
+#: Texts that hold one rare shingle and meet in a task; more are dealt over several.
+TOGETHER = 20_000
 #: Rows of a part of an order, and the most of it.
 PART, LARGEST_PART = 4096, 200_000
 #: Ids up to this number are broadcast (8 bytes each).
 BROADCAST_IDS = 1_000_000
-#: Bits of the map of rows whose shingle sets are needed (8 MB): it is the same size for any number of rows.
-MAP_BITS = 1 << 26
+#: Rows whose shingle sets are needed are marked in a map of 16 bits a row, up to this number (32 MB); more are joined.
+MOST_MARKED = 1 << 24
 
 _rng = np.random.default_rng(11)
 _MULTIPLY = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -44,7 +48,7 @@ def _order(tree: int) -> np.ndarray:
     return np.concatenate([own, rng.permutation(np.setdiff1d(np.arange(HASHES), own))]).astype(np.int64)
 
 
-_ORDERS = [_order(t) for t in range(TREES + MORE_TREES)]
+_ORDERS = [_order(t) for t in range(TREES)]
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
@@ -78,20 +82,16 @@ def _matrix(column: pa.Array, kind=np.uint16) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, HASHES) if len(column) else np.zeros((0, HASHES), kind)
 
 
-def _prefixes(trees: range):
+def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The shortest prefix of each tree, hashed with the tree's number: the region g of each class (c, sig)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sig, out = _matrix(batch.column(1)), []
-            for t in trees:
-                key = np.full(len(sig), t + 1, np.uint64)
-                for k in _ORDERS[t][:PREFIX]:
-                    key = mix(key + sig[:, k].astype(np.uint64))
-                out.append(key.view(np.int64))
-            yield pa.record_batch([pa.concat_arrays([batch.column(0)] * len(trees)).cast(pa.int64()), pa.array(np.concatenate(out)), pa.array(np.repeat(np.array(trees, np.int32), len(sig)))], ["c", "g", "tree"])
-
-    return run
+    for batch in batches:
+        sig, out = _matrix(batch.column(1)), []
+        for t in range(TREES):
+            key = np.full(len(sig), t + 1, np.uint64)
+            for k in _ORDERS[t][:PREFIX]:
+                key = mix(key + sig[:, k].astype(np.uint64))
+            out.append(key.view(np.int64))
+        yield pa.record_batch([pa.concat_arrays([batch.column(0)] * TREES).cast(pa.int64()), pa.array(np.concatenate(out)), pa.array(np.repeat(np.arange(TREES, dtype=np.int32), len(sig)))], ["c", "g", "tree"])
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,37 +248,156 @@ def _confirm(percent: int):
     return run
 
 
-def _place(k: Column) -> Column:
-    return F.pmod(k, F.lit(MAP_BITS))
-
-
 def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
     """(digest, items): the shingle sets of the rows of docs (text, k) whose k is needed (k), each class once.
 
-    The needed rows are marked in a bit map of a fixed size that is broadcast; rows that share a mark by chance are read as well,
-    which costs their sets and changes nothing.  No text is shuffled."""
-    at = needed.select(_place(F.col("k")).alias("at"))
-    words = at.groupBy(F.floor(F.col("at") / 64).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS INT))")).alias("bits")).toPandas()  # MAP_BITS / 64 rows at most
-    marks = np.zeros(MAP_BITS // 64, np.int64)
-    marks[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    sent = docs.sparkSession.sparkContext.broadcast(marks)
+    Up to MOST_MARKED needed rows are marked in a bit map that is broadcast, 16 bits a row; the few rows that share a mark
+    by chance are read as well, which costs their sets and changes nothing, and no text is shuffled.  More needed rows
+    are joined with the texts."""
+    n = needed.count()
+    if n > MOST_MARKED:
+        rows, wanted = docs.select("text", "k").join(needed.select("k").distinct(), "k", "left_semi").select("text", F.lit(0).cast("long").alias("at")), None
+    else:
+        bits = 1 << max(16, (16 * n - 1).bit_length() if n else 0)
+        place = lambda k: F.pmod(k, F.lit(bits))
+        at = needed.select(place(F.col("k")).alias("at"))
+        words = at.groupBy(F.floor(F.col("at") / 64).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS INT))")).alias("bits")).toPandas()  # bits / 64 rows at most
+        marks = np.zeros(bits // 64, np.int64)
+        marks[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+        rows, wanted = docs.select("text", place(F.col("k")).alias("at")), docs.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            place = whole.column(1).to_numpy()
-            marked = (sent.value[place // 64] >> (place % 64)) & 1
-            for batch in pieces(whole.filter(pa.array(marked == 1))):
+            if wanted is not None:
+                at = whole.column(1).to_numpy()
+                whole = whole.filter(pa.array((wanted.value[at // 64] >> (at % 64)) & 1 == 1))
+            for batch in pieces(whole):
                 w = Words(batch.column(0))
                 sets = [shingles(w.hashes[w.rows[i] : w.rows[i + 1]]) for i in range(len(w.rows) - 1)]
                 sets = [s for s in sets if len(s)]
                 yield pa.record_batch([pa.array([_class_of(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["digest", "items"])
 
-    sets = stored(docs.select("text", _place(F.col("k")).alias("at")).mapInArrow(run, "digest binary, items binary"))
+    sets = stored(rows.mapInArrow(run, "digest binary, items binary"))
     if sets.groupBy("digest").count().where("count > 1").limit(1).count():  # rows repeat, or marks meet
         sets = stored(sets.groupBy("digest").agg(F.first("items").alias("items")))
     return sets
 
 
+def _size_class(n: int) -> int:
+    return int(np.log(n) / np.log(1.25) + 1e-9)
+
+
+def _counters(texts: DataFrame) -> np.ndarray:
+    """How often shingles occur in texts (items), by hash: never less than the truth.  Any counts give right results, as long as all
+    texts are ordered by the same ones; good ones put a region's own shingles behind each text's."""
+    n = texts.agg(F.sum(F.octet_length("items"))).first()[0] // 8
+    size = min(max(LEAST_COUNTERS, 1 << (2 * n - 1).bit_length()), MOST_COUNTERS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            for items in batch.column(0):
+                np.add.at(total, np.frombuffer(items.as_buffer(), np.uint64) % np.uint64(size), 1)
+        for k in range(0, size, 1 << 16):
+            at = k + np.flatnonzero(total[k : k + (1 << 16)])
+            yield pa.record_batch([pa.array(at), pa.array(total[at])], ["at", "n"])
+
+    rows = texts.select("items").mapInArrow(run, "at long, n long").groupBy("at").agg(F.least(F.sum("n"), F.lit(2**31)).alias("n"))
+    out = np.zeros(size, np.uint32)
+    for batch in rows.toArrow().to_batches():  # one row a counter
+        out[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+    return out
+
+
+def _rare(percent: int, sent):
+    """Of each text (c, label, items) the shingles that a link can begin with, rarest first, as rows (token, band, probe, c,
+    label, n, most).
+
+    A text with n shingles and its place's `rest` (itself and all commoner ones) can only link, if this is the first
+    shingle that both hold, with texts of up to most = rest * (100 + percent) / percent - n shingles.  It waits for longer
+    partners in its own band of sizes, and asks the bands of shorter ones.  Shingles of one text alone meet nothing."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = sent.value
+        for batch in batches:
+            out: list[tuple] = []
+            for c, label, items in zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True):
+                s = np.frombuffer(items, np.uint64)
+                n = len(s)
+                often = counts[s % np.uint64(len(counts))]
+                order = np.lexsort((s, often))
+                most = (n - np.arange(n)) * (100 + percent) // percent - n
+                least = -(-percent * n // 100)
+                use = np.flatnonzero((most >= least) & (often[order] > 1))
+                own = _size_class(n)
+                for token, u in zip(s[order[use]].view(np.int64).tolist(), most[use].tolist(), strict=True):
+                    if u >= n:
+                        out.append((token, own, False, c, label, n, u))
+                    out += [(token, k, True, c, label, n, u) for k in range(_size_class(least), _size_class(min(u, n)) + 1)]
+            if out:
+                yield pa.record_batch([pa.array(x) for x in zip(*out, strict=True)], ["token", "band", "probe", "c", "label", "n", "most"])
+
+    return run
+
+
+def _meet(percent: int):
+    """Pairs (a, b) of texts of different labels that may link by a shingle, from rows in order of (token, band, part)."""
+
+    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        get = lambda k: rows.column(k).to_numpy(zero_copy_only=False)
+        probe, c, label, n, most = (get(k) for k in ("probe", "c", "label", "n", "most"))
+        wait = np.flatnonzero(~probe)
+        wait = wait[np.argsort(n[wait], kind="stable")]
+        ask = np.flatnonzero(probe)
+        if not len(wait) or len(np.unique(label)) < 2:
+            return
+        low = np.searchsorted(n[wait], -(-percent * n[ask] // 100))
+        high = np.searchsorted(n[wait], np.minimum(most[ask], n[ask]), side="right")
+        a, b = [], []
+        for i, x, y in zip(ask.tolist(), low.tolist(), high.tolist(), strict=True):
+            if x < y:
+                j = wait[x:y]
+                j = j[(most[j] >= n[i]) & (label[j] != label[i])]
+                a.append(np.full(len(j), c[i]))
+                b.append(c[j])
+            if len(a) >= 256 or i == ask[-1]:
+                x, y = (np.concatenate([np.zeros(0, np.int64), *z]) for z in (a, b))
+                yield pa.record_batch([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+                a, b = [], []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = (pa.concat_tables([kept, rows]) if kept is not None else rows).combine_chunks()
+            keys = [rows.column(k).to_numpy() for k in ("token", "band", "part")]
+            cut = np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], axis=0)) + 1
+            for x, y in zip([0, *cut[:-1].tolist()], cut.tolist(), strict=False):
+                if y - x > 1:
+                    yield from pairs(rows.slice(x, y - x))
+            kept = rows.slice(int(cut[-1]) if len(cut) else 0)
+        if kept is not None and kept.num_rows > 1:
+            yield from pairs(kept.combine_chunks())
+
+    return run
+
+
+def _rare_pairs(texts: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of texts (c, label, items) of different labels that may be links: an exact join on rare shingles.
+
+    Two sets that link share, in any common order, a shingle before which neither has too many others; with the rarest
+    first, what a region's texts all share comes last and is no such shingle unless it alone makes a link.  Texts that
+    hold a very common one of these meet in parts, each of which sees all that ask."""
+    sent = texts.sparkSession.sparkContext.broadcast(_counters(texts))
+    rows = stored(texts.select("c", "label", "items").mapInArrow(_rare(percent, sent), "token long, band long, probe boolean, c long, label long, n long, most long"))
+    hot = rows.where("NOT probe").groupBy(F.col("token").alias("t"), F.col("band").alias("b")).count().where(F.col("count") > TOGETHER)
+    hot = hot.select("t", "b", F.ceil(F.col("count") / TOGETHER).alias("parts"))
+    dealt = rows.join(hot, (F.col("token") == F.col("t")) & (F.col("band") == F.col("b")), "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    every = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
+    dealt = dealt.select("token", "band", F.explode(F.when(F.col("probe"), every).otherwise(F.array(F.pmod(F.xxhash64("c"), F.col("parts"))))).alias("part"), "probe", "c", "label", "n", "most")
+    return dealt.repartition("token", "band", "part").sortWithinPartitions("token", "band", "part").mapInArrow(_meet(percent), "a long, b long").distinct()
+
+
 def _with_keys(docs: DataFrame, keys: DataFrame, how: str, on: str = "doc_id") -> DataFrame:
     """Semi or anti join by a key; the keys are broadcast if they are known to be few."""
     return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys, on, how)
@@ -295,9 +414,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     First turn: in each order, regions of FEW texts propose all likely pairs, a text of a larger one its likeliest pair
     among the DENSE neighbours before it; full sets confirm or refuse them, components join.  Second turn: in regions
-    that still lie in several components, every likely pair of neighbours across them is confirmed or refused on full
-    sets; texts of regions of more than DENSE texts, whose candidates share longer prefixes, do so in MORE_TREES further
-    orders.  A region costs its size times DENSE, whatever it holds."""
+    of up to DENSE texts that still lie in several components, every likely pair across them is confirmed or refused on
+    full sets; texts of larger ones, which share prefixes at any depth that leaves few, are joined exactly on their rare
+    shingles.  A link is lost only if its texts share no prefix in any order (chance 3e-5 at similarity 0.8, 4e-7 at
+    0.85) or their estimate from 80 hashes is 4 deviations too low (3e-5; not in regions of more than DENSE)."""
     found = _found(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), percent)
     component = F.coalesce("component_id", "doc_id")
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
@@ -325,7 +445,7 @@ def _grouped(docs: DataFrame, percent: int, takes_part: Column, first: Column) -
 
 def _labels(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     least = percent / 100 - 4 * (percent / 100 * (1 - percent / 100) / HASHES) ** 0.5
-    trees = classes.select("c", "sig").mapInArrow(_prefixes(range(TREES)), "c long, g long, tree int")
+    trees = classes.select("c", "sig").mapInArrow(_prefixes, "c long, g long, tree int")
     groups = trees.groupBy("g").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.bit_xor(F.xxhash64("c")).alias("x"), F.bit_xor(F.xxhash64("c", F.lit(1))).alias("y")).where("n > 1")
     # equal regions of several trees count once where all their pairs are proposed
     groups = groups.groupBy("n", "low", "x", "y", F.when(F.col("n") > FEW, F.col("g")).alias("_g")).agg(F.min("g").alias("own"))
@@ -342,10 +462,14 @@ def _labels(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     pairs = _in_order(ordered, percent, least, False).distinct()
     needed = members.select("c").distinct().join(of.select("k_c", "k"), F.col("c") == F.col("k_c")).select("k")
     sets = _sets(docs, needed)
-    one, two = of.select(F.col("k_c").alias("c1"), F.col("digest").alias("d1")), of.select(F.col("k_c").alias("c2"), F.col("digest").alias("d2"))
-    x, y = sets.select(F.col("digest").alias("dx"), F.col("items").alias("x")), sets.select(F.col("digest").alias("dy"), F.col("items").alias("y"))
-    links = pairs.join(one, F.col("a") == F.col("c1")).join(two, F.col("b") == F.col("c2")).join(x, F.col("d1") == F.col("dx")).join(y, F.col("d2") == F.col("dy"))
-    links = stored(links.select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long, linked boolean").where("linked").select("a", "b"))
+    of_digest = of.select("k_c", "digest").join(sets.withColumnRenamed("digest", "d"), F.col("digest") == F.col("d")).select("k_c", "items")
+    one, two = (of_digest.select(F.col("k_c").alias(c), F.col("items").alias(x)) for c, x in (("c1", "x"), ("c2", "y")))
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(one, F.col("a") == F.col("c1")).join(two, F.col("b") == F.col("c2"))
+        return stored(both.select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long, linked boolean").where("linked").select("a", "b"))
+
+    links = confirmed(pairs)
     labels = stored(components(links))
 
     rows = members.where(F.col("n") > FEW).join(labels, F.col("c") == F.col("node"), "left").select("g", "tree", "n", "c", F.coalesce("label", "c").alias("label"))
@@ -354,16 +478,14 @@ def _labels(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     rows = stored(rows.join(undecided, F.col("g") == F.col("og"), "left_semi"))
     if not rows.limit(1).count():
         return labels
-    dense = stored(rows.where(F.col("n") > DENSE).select("c", "label").distinct())
-    rows = rows.select("c", "g", "tree", "label")
+    found = links
+    middle = rows.where(F.col("n") <= DENSE).select("c", "g", "tree", "label").join(of.select("k_c", "sig"), F.col("c") == F.col("k_c")).select("sig", "tree", "c", "g", "label")
+    middle = middle.join(of_digest, F.col("c") == F.col("k_c")).select("sig", "tree", "c", "g", "label", "items")
+    found = found.union(stored(_in_order(stored(strings(middle, "label", "items")), percent, least, True)))
+    dense = stored(rows.where(F.col("n") > DENSE).select("c", "label").distinct().join(of_digest, F.col("c") == F.col("k_c")).select("c", "label", "items"))
     if dense.limit(1).count():
-        more = dense.join(of.select("k_c", "sig"), F.col("c") == F.col("k_c")).select("c", "sig").mapInArrow(_prefixes(range(TREES, TREES + MORE_TREES)), "c long, g long, tree int")
-        rows = rows.union(more.join(dense.select(F.col("c").alias("dc"), "label"), F.col("c") == F.col("dc")).select("c", "g", "tree", "label"))
-    rows = rows.join(of.select("k_c", "sig", F.col("digest").alias("d")), F.col("c") == F.col("k_c")).join(sets, F.col("d") == F.col("digest")).select("sig", "tree", "c", "g", "label", "items")
-    more = stored(_in_order(stored(strings(rows, "label", "items")), percent, least, True))
-    if not more.limit(1).count():
-        return labels
-    return stored(components(links.union(more)))
+        found = found.union(confirmed(_rare_pairs(dense, percent)))
+    return stored(components(found))
 
 
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -385,15 +507,6 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _with_keys(docs, gone, "left_anti", "_row").select(*COLUMNS)
 
 
-def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As one_of_each, by id and text: where an id has several texts, only those that are duplicates go; rows repeated with
-    one id all stay if that id is the smallest of its group, and rows of null ids stay."""
-    docs = docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id())
-    feats, of_class = _grouped(docs.select("doc_id", "text", "_row"), 80, F.col("doc_id").isNotNull(), F.min("doc_id"))
-    gone = stored(feats.join(of_class, (F.col("digest") == F.col("d")) & (F.col("doc_id") != F.col("first"))).select("_row"))
-    return _with_keys(docs, gone, "left_anti", "_row").select(*COLUMNS)
-
-
 OP6_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from docketry.llm import components as K
@@ -75,14 +76,14 @@ def test_edges(spark, documents):
     got = sorted((str(r["doc_id"]), r["component_id"], r["kept"], r["n_shingles"]) for r in N.near_duplicates(documents(rows)).collect())
     assert got == [("3", 3, True, 29996), ("7", 3, False, 29996), ("9", 9, True, 1), ("9", 9, True, 1), ("None", None, True, 1), ("None", None, True, 29996)]
     assert N.near_duplicates(documents(rows).limit(0)).count() == 0
-    kept = N.pipeline_stage(spark, documents(rows), "").collect()
-    assert sorted(str(r["doc_id"]) for r in kept) == ["3", "9", "9", "None", "None"] and kept[0].asDict().keys() == {"doc_id", "text", "lang", "source", "n_chars"}
+    kept = N.one_of_each(spark, documents(rows), "").collect()
+    assert sorted(str(r["doc_id"]) for r in kept) == ["3", "9", "None"] and kept[0].asDict().keys() == {"doc_id", "text", "lang", "source", "n_chars"}
 
 
 def test_stage_keeps_a_unique_text_of_a_shared_id(spark, documents):
     """An id with a duplicate and a unique text loses the duplicate only; so does an id with an empty text."""
     rows = [(3, "same words here and there"), (9, "same words here and there"), (9, "quite another text of its own"), (8, "same words here and there"), (7, "same words here and there"), (7, None)]
-    kept = N.pipeline_stage(spark, documents(rows), "").collect()
+    kept = N.one_of_each(spark, documents(rows), "").collect()
     assert sorted((r["doc_id"], str(r["text"])) for r in kept) == [(3, "same words here and there"), (7, "None"), (9, "quite another text of its own")]
 
 
@@ -128,6 +129,45 @@ def test_region_without_links(spark, documents):
     assert got == {1000: 77}
 
 
+def templated(rng, n, template, own, pairs, more=1):
+    """n texts that share a template of some shingles, with `own` shingles each; texts 2k and 2k + 1, for k < pairs, share `more` of these."""
+    shared = [f"t{rng.randrange(10**9)}" for _ in range(template + 4)]
+    rows = []
+    for i in range(n):
+        mate = i // 2 if i < 2 * pairs else None
+        tail = [f"p{mate}x{k}" for k in range(more)] if mate is not None else [f"o{i}y{k}" for k in range(more)]
+        rows.append((i, " ".join(shared + tail + [f"w{i}z{k}" for k in range(own - more)])))
+    return rows
+
+
+@pytest.mark.parametrize(("percent", "template", "own", "more"), [(85, 400, 36, 1), (80, 100, 13, 2)])
+def test_links_just_above_a_template(spark, documents, percent, template, own, more):
+    """All texts of a dense region are nearly linked by what they share; the pairs that are linked are all found."""
+    rows = templated(random.Random(12), 500, template, own, 60, more)
+    a, b, c = (shingle_set(rows[i][1]) for i in (0, 1, 2))
+    assert 100 * len(a & b) >= percent * len(a | b) and 100 * len(a & c) < percent * len(a | c)
+    got = {r["doc_id"]: r["component_id"] for r in N.near_duplicates(documents(rows), percent).collect()}
+    assert got == {i: i - i % 2 if i < 120 else i for i, _ in rows}
+
+
+@pytest.mark.parametrize("together", [20_000, 7])
+def test_rare_pairs_are_complete(spark, monkeypatch, together):
+    """The exact join proposes every link between labels: random sets over few shingles, sizes apart, hot shingles dealt out."""
+    monkeypatch.setattr(N, "TOGETHER", together)
+    rng = random.Random(13)
+    pool = [rng.randrange(1 << 62) for _ in range(60)]
+    sets = []
+    for i in range(150):
+        base = rng.sample(pool, rng.randint(3, 40)) if i % 3 or not sets else list(rng.choice(sets))
+        sets.append(sorted(set(base) ^ set(rng.sample(pool, rng.randint(0, 2)))))
+    sets = [x for x in sets if x]
+    texts = spark.createDataFrame([(i, i % 50, bytearray(np.array(x, np.uint64).tobytes())) for i, x in enumerate(sets)], "c long, label long, items binary")
+    for percent in (80, 85):
+        got = {(r["a"], r["b"]) for r in N._rare_pairs(texts, percent).collect()}
+        want = {(i, j) for j in range(len(sets)) for i in range(j) if i % 50 != j % 50 and 100 * len(set(sets[i]) & set(sets[j])) >= percent * len(set(sets[i]) | set(sets[j]))}
+        assert want <= got and want
+
+
 def test_one_of_each(spark, documents):
     """One row of a group stays, whatever its id: repeated, shared and null ids, texts without words, other columns."""
     text = " ".join(str(i) for i in range(300))

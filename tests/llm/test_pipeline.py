@@ -24,7 +24,7 @@ def stages(spark, data, tmp_path_factory):
 
 
 def test_order_and_columns(stages):
-    assert [f for _, f in corpus_pipeline.STAGES] == [m.pipeline_stage for m in (quality, toxicity, neardup, decontaminate, mixing)]
+    assert [f for _, f in corpus_pipeline.STAGES] == [quality.pipeline_stage, toxicity.pipeline_stage, neardup.one_of_each, decontaminate.pipeline_stage, mixing.pipeline_stage]
     assert all(d.columns == COLUMNS for d in stages[1:5])
 
 
