@@ -11,7 +11,7 @@ from docketry.llm.common import shared_dir, table
 STAGES = [
     ("quality classifier", quality.pipeline_stage),
     ("toxicity", toxicity.pipeline_stage),
-    ("minhash near-dedup", neardup.pipeline_stage),
+    ("minhash near-dedup", neardup.one_of_each),
     ("benchmark decontamination", decontaminate.pipeline_stage),
     ("mixing", mixing.pipeline_stage),
 ]
