@@ -5,15 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
-from html.parser import HTMLParser
+from html.entities import name2codepoint
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import clean_spaces, empty_to_null, fold, repair_payload, safe_name
+from ..functions.text import clean_spaces, empty_to_null, fold, let, repair_payload, safe_name
 
 #: A captured document: text, tables, address, title and how it was read.
 SNAPSHOT = "captured_at string, document_type string, requested_type string, processo string, documento string, snapshot struct<text:string,tables:array<struct<rows:array<array<string>>>>,url:string,title:string,extraction_mode:string>, collection struct<found:boolean,found_in:string,search_term:string,results_count:int,chosen_documento:string,selection_reason:string,selection_detail:string,extraction_error:string>, prazos struct<status:string,inicio_data:string,inicio_raw:string,termino_data:string,termino_raw:string>"
@@ -144,10 +142,10 @@ def write_csv(df: DataFrame, path: str, columns: list[str], bom: bool = False) -
 def append_raw_fields(df: DataFrame, path: str, run_id: str | None = None) -> None:
     """SNK2: raw fields behind those of earlier documents, with value_is_empty and value_has_date_like where the rows do
     not bring them, and the run if it is given."""
-    from ..operators.extract import dated
+    from ..operators.extract import dated_value
 
     df = df if "value_is_empty" in df.columns else df.withColumn("value_is_empty", F.coalesce(F.trim("value"), F.lit("")) == "")
-    df = df if "value_has_date_like" in df.columns else df.withColumn("value_has_date_like", F.coalesce(dated(fold(F.col("value"))), F.lit(False)))
+    df = df if "value_has_date_like" in df.columns else df.withColumn("value_has_date_like", F.coalesce(dated_value(fold(F.col("value"))), F.lit(False)))
     (df if run_id is None else df.withColumn("run_id", F.lit(run_id))).write.mode("append").parquet(path)
 
 
@@ -216,60 +214,55 @@ def api_snapshot(payload: Column) -> Column:
     return F.struct(text.alias("text"), F.lit("api").alias("extraction_mode"))
 
 
-class _Page(HTMLParser):
-    """Title, visible text and table cells of a page."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.title, self.text, self.tables, self.hidden, self.in_title, self.cell, self.links = [], [], [], 0, False, None, 0
-
-    def handle_starttag(self, tag, attrs):
-        if tag in ("script", "style"):
-            self.hidden += 1
-        elif tag == "title":
-            self.in_title = True
-        elif tag == "table":
-            self.tables.append({"rows": []})
-        elif tag == "tr" and self.tables:
-            self.tables[-1]["rows"].append([])
-        elif tag in ("td", "th") and self.tables and self.tables[-1]["rows"]:
-            self.cell = []
-        elif tag == "a":
-            self.links += 1
-        if tag in ("p", "br", "div", "li", "tr", "h1", "h2", "h3"):
-            self.text.append("\n")
-
-    def handle_endtag(self, tag):
-        if tag in ("script", "style"):
-            self.hidden = max(0, self.hidden - 1)
-        elif tag == "title":
-            self.in_title = False
-        elif tag in ("td", "th") and self.cell is not None:
-            self.tables[-1]["rows"][-1].append(" ".join("".join(self.cell).split()))
-            self.cell = None
-
-    def handle_data(self, data):
-        if self.in_title:
-            self.title.append(data)
-        elif not self.hidden:
-            self.text.append(data)
-            if self.cell is not None:
-                self.cell.append(data)
+#: Elements whose content is no text, and those that begin a line.
+HIDDEN, LINES = ("script", "style"), ("p", "br", "div", "li", "tr", "h1", "h2", "h3")
+#: An element's tag: quoted values may hold `>`.  Pieces of a page: comments and declarations, hidden elements whole, the title,
+#: tags, and runs of text.
+_TAG = r"""</?[A-Za-z](?:"[^"]*"|'[^']*'|[^>"']++)*+>"""
+_EVENTS = rf"(?is)<!--.*?-->|<[!?][^>]*>|<({'|'.join(HIDDEN)})\b[^>]*>.*?(?:</\1\s*>|$)|<title\b[^>]*>.*?(?:</title\s*>|$)|{_TAG}|[^<]++|<"
+_NAMED = ", ".join(f"'{name}', {code}" for name, code in sorted(name2codepoint.items()))
+
+
+def unescaped(c: Column) -> Column:
+    """Character references by name (HTML 4) and by number, as their characters; what is no reference stays."""
+    def one(x: Column) -> Column:
+        number = F.coalesce(F.conv(F.nullif(F.regexp_extract(x, r"^&#[xX]([0-9a-fA-F]{1,6});?$", 1), F.lit("")), 16, 10), F.nullif(F.regexp_extract(x, r"^&#([0-9]{1,7});?$", 1), F.lit(""))).cast("int")
+        code = F.coalesce(number, F.try_element_at(F.expr(f"map({_NAMED})"), F.regexp_extract(x, "^&([A-Za-z0-9]+);?$", 1)))
+        return F.coalesce(let(code, lambda n: F.when(n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF), F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))), x)
+
+    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(F.regexp_extract_all(c, F.lit("&#?[A-Za-z0-9]+;?|[^&]++|&"), F.lit(0)), lambda x: F.when(F.startswith(x, F.lit("&")), one(x)).otherwise(x)), "")).otherwise(c)
+
+
+def _event_text(x: Column) -> Column:
+    """What an event adds to the visible text: itself, a line end, or nothing."""
+    tag = F.lower(F.regexp_extract(x, "^<([A-Za-z][A-Za-z0-9]*)", 1))
+    return F.when(~F.startswith(x, F.lit("<")) | (x == "<"), x).when(tag.isin(*LINES), "\n").otherwise("")
+
+
+def _texts(events: Column) -> Column:
+    return unescaped(F.array_join(F.transform(events, _event_text), ""))
+
+
+def _tables(html: Column) -> Column:
+    """Tables as their rows of cells: a table's region reaches to the next table's tag, a row's to the next row's; a cell counts
+    when it is closed, with the text between its tags."""
+    after = lambda x, tag: F.slice(F.split(x, rf"(?i)<{tag}(?=[\s>/])"), 2, 1_000_000)
+    cell = lambda x: F.when(x.rlike("(?i)</t[dh]"), clean_spaces(_texts(F.regexp_extract_all(F.concat(F.lit("<i"), F.regexp_replace(x, r"(?is)</t[dh][\s>].*", "")), F.lit(_EVENTS), F.lit(0)))))
+    row = lambda x: F.array_compact(F.transform(after(x, "t[dh]"), cell))
+    return F.transform(after(html, "table"), lambda x: F.struct(F.transform(after(x, "tr"), row).alias("rows")))
 
 
 def html_snapshots(df: DataFrame, html: str = "html", keep: list[str] = ()) -> DataFrame:
-    """SRC12: title, text, tables and number of links of each page, as Arrow batches; null pages are empty."""
-    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep) + (", " if keep else "") + "title string, text string, tables array<struct<rows:array<array<string>>>>, links int"
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for text in batch[html]:
-                p = _Page()
-                p.feed(text or "")
-                p.close()
-                lines = (" ".join(x.split()) for x in "".join(p.text).split("\n"))
-                rows.append((" ".join("".join(p.title).split()), "\n".join(x for x in lines if x), p.tables, p.links))
-            yield batch[list(keep)].assign(title=[r[0] for r in rows], text=[r[1] for r in rows], tables=[r[2] for r in rows], links=[r[3] for r in rows])
-
-    return df.select(*keep, html).mapInPandas(run, schema)
+    """SRC12: title, text, tables and number of links of each page; null pages are empty.
+
+    A page is cut into events by one expression (tags, text, hidden elements, comments); the text is what they add in turn, in
+    lines without blanks at their ends.  Built-in functions only; keep are columns that stay."""
+    df = df.select(*keep, F.coalesce(html, F.lit("")).alias("_html"))
+    df = df.withColumn("_events", F.regexp_extract_all("_html", F.lit(_EVENTS), F.lit(0)))
+    title = F.get(F.filter("_events", lambda x: x.rlike(r"(?i)^<title\b")), F.lit(0))
+    title = F.coalesce(clean_spaces(unescaped(F.regexp_replace(F.regexp_replace(title, r"(?i)^<title[^>]*>", ""), r"(?i)</title\s*>$", ""))), F.lit(""))
+    shown = F.filter("_events", lambda x: ~x.rlike(r"(?i)^<title\b"))
+    lines = F.filter(F.transform(F.split(_texts(shown), "\n"), clean_spaces), lambda x: x != "")
+    visible = F.regexp_replace("_html", rf"(?is)<!--.*?-->|<({'|'.join(HIDDEN)})\b[^>]*>.*?(?:</\1\s*>|$)", "")
+    links = F.size(F.filter("_events", lambda x: x.rlike(r"(?i)^<a[\s>/]"))).cast("int")
+    return df.select(*keep, title.alias("title"), F.array_join(lines, "\n").alias("text"), _tables(visible).alias("tables"), links.alias("links"))

@@ -7,7 +7,7 @@ from test_plans import plan
 from docketry import catalog_records as R
 
 #: Queries whose operators run Python in Arrow batches.
-PYTHON = {"landed_snapshots"}
+PYTHON: set[str] = set()
 
 
 @pytest.mark.parametrize("name", list(R.QUERIES))
