@@ -735,6 +735,68 @@ def snapshot_files(spark, d):
     return out.select(F.col("processo").cast("long").alias("o_orderkey"), F.col("documento").alias("priority"), "snapshot.title", S.payload_value(F.col("payload"), "$.new_key").alias("unknown"))
 
 
+@query("""WITH p AS (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY (o_orderstatus = 'F') DESC, o_orderkey % 3 DESC, length(o_orderpriority) DESC, o_orderkey) = 1),
+    m AS (SELECT o_custkey, min(o_orderkey) AS k FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1), h AS (SELECT o_custkey, min(o_orderkey) AS k FROM orders WHERE o_orderpriority = '2-HIGH' GROUP BY 1)
+    SELECT c_custkey::VARCHAR AS processo, coalesce(o_orderstatus = 'F', false) AS pt_gold, CASE WHEN o_orderstatus = 'F' THEN 'gold' WHEN o_orderkey IS NOT NULL THEN 'silver_only' ELSE 'not_found' END AS pt_quality,
+      coalesce(o_orderdate::DATE || '..' || (o_orderdate::DATE + to_months(12))::DATE, '') AS pt_vigencia, m.k IS NOT NULL AS memorando_gold, coalesce('/m/' || m.k, '') AS memorando_json_path, h.k IS NOT NULL AS ted_gold,
+      CASE WHEN h.k IS NULL THEN 'not_found' ELSE 'gold' END AS ted_quality, coalesce('obj ' || h.k, '') AS ted_objeto, CASE WHEN o_orderstatus = 'F' OR m.k IS NOT NULL OR h.k IS NOT NULL THEN 'medium' ELSE 'low' END AS quality_status
+    FROM customer LEFT JOIN p ON p.o_custkey = c_custkey LEFT JOIN m ON m.o_custkey = c_custkey LEFT JOIN h ON h.o_custkey = c_custkey""")
+def overview_families(spark, d):
+    """JOI1, JOI4, PRJ4, CLS18: the mart of cases whose plans, memoranda and decentralised terms are there, and no agreement."""
+    from .plans import publish
+
+    previews = t(spark, d, "customer").select(F.col("c_custkey").alias("row_idx"), F.col("c_custkey").cast("string").alias("processo"), F.col("c_name").alias("parceiro"), lit("").alias("vigencia"), lit("").alias("numero_act"), lit("").alias("objeto"))
+    o = t(spark, d, "orders").select("o_orderkey", "o_orderpriority", F.to_date("o_orderdate").alias("day"), F.col("o_orderkey").alias("row_idx"), F.col("o_custkey").cast("string").alias("processo"), F.when(F.col("o_orderstatus") == "F", "published_gold").otherwise("retained_silver").alias("publication_status"))
+    plans = o.select("processo", "row_idx", "publication_status", F.concat(lit("/x/"), "o_orderkey").alias("json_path"), F.col("day").alias("vigencia_inicio"), F.add_months("day", 12).alias("vigencia_fim"), (F.col("o_orderkey") % 3).alias("captured_focus_fields"), F.col("o_orderpriority").alias("objeto"))
+    memos = o.where("o_orderpriority = '1-URGENT'").select("processo", "row_idx", F.concat(lit("/m/"), "o_orderkey").alias("json_path"))
+    terms = o.where("o_orderpriority = '2-HIGH'").select("processo", "row_idx", F.concat(lit("C:\\t\\"), "o_orderkey", lit(".json")).alias("json_path"))
+    payload = o.select(F.concat(lit("/z/"), "o_orderkey", lit(".json")).alias("json_path"), F.concat(lit("obj "), "o_orderkey").alias("objeto"), lit("1").alias("valor_global"), lit("ativa").alias("situacao"), lit("AM").alias("uf"), "row_idx")
+    acts = _attempts(spark, d).limit(0).withColumns({"numero_acordo": F.col("json_path"), "data_inicio_vigencia": F.current_date(), "data_fim_vigencia": F.current_date(), "orgao_convenente": lit(""), "validation_warning": lit("")})
+    status = o.limit(0).select("row_idx", "processo", "publication_status", lit("").alias("doc_class"), lit("").alias("classification_reason"))
+    searched = o.limit(0).select("row_idx", "processo", lit("").alias("selection_reason"))
+    out = publish.overview(previews, plans, acts, memos, terms, status, searched, payload)
+    return out.select("processo", "pt_gold", "pt_quality", "pt_vigencia", "memorando_gold", "memorando_json_path", "ted_gold", "ted_quality", "ted_objeto", "quality_status")
+
+
+_MESSAGES = {
+    0: "Abrindo processo {}", 1: "Processo {}: fechando aba e voltando", 2: "clicando Pesquisar no Processo para Plano de Trabalho.", 3: "filtro ja estava aberto para Memorando.", 4: "iniciando busca do documento 'Acordo de Cooperacao Tecnica'",
+    5: "Processo {}: TED termo 'a' sem resultado no filtro", 6: "Processo {}: PT termo 'b' falhou no filtro", 7: "Processo {}: nenhum candidato canonico de ACT consolidado no filtro; tentando fallback pela arvore", 8: "Fallback arvore TED: nada", 9: "restaurando contexto base do processo MEMORANDO", 10: "Processo {}: outra coisa",
+}
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 11 IN (0, 1, 5, 6, 7) THEN lpad(o_custkey::VARCHAR, 5, '0') || '.000001/2021-01' END AS case_number, CASE o_orderkey % 11 WHEN 2 THEN 'PT' WHEN 3 THEN 'MEMORANDO' WHEN 4 THEN 'ACT' WHEN 5 THEN 'TED' WHEN 6 THEN 'PT' WHEN 7 THEN 'ACT' WHEN 8 THEN 'TED' WHEN 9 THEN 'MEMORANDO' END AS doc,
+    CASE o_orderkey % 11 WHEN 5 THEN 'none' WHEN 6 THEN 'fail' WHEN 7 THEN 'fall' WHEN 9 THEN 'reload' END AS event FROM orders""")
+def log_messages(spark, d):
+    """LOG6: what each of the ten messages says, and one that says nothing."""
+    case = F.format_string("%05d.000001/2021-01", F.col("o_custkey"))
+    o = t(spark, d, "orders").select("o_orderkey", F.replace(_of(_MESSAGES, F.col("o_orderkey") % 11), lit("{}"), case).alias("message"))
+    o = runlog.features(o)
+    number = F.coalesce(*[F.nullif(c, lit("")) for c in ("open_case", "close_case", "none_case", "fail_case", "fall_case")])
+    doc = F.coalesce("click", "filter_open", "search", "none_doc", "fail_doc", "fall_doc", "fall_line", F.when(F.col("reload"), F.col("reload_doc")))
+    event = F.when(F.col("none_doc").isNotNull(), "none").when(F.col("fail_doc").isNotNull(), "fail").when(F.col("fall_doc").isNotNull(), "fall").when(F.col("reload"), "reload")
+    return o.select("o_orderkey", number.alias("case_number"), doc.alias("doc"), event.alias("event"))
+
+
+@query("SELECT c_custkey::VARCHAR AS processo, c_name || ' SA' AS parceiro, '' AS objeto FROM customer")
+def preview_export(spark, d):
+    """SNK3: previews written with cleaned cells and read again; an empty table writes nothing."""
+    path = S.shared_folder(spark)
+    c = t(spark, d, "customer").select(F.concat(lit(" "), F.col("c_custkey").cast("string")).alias("processo"), F.concat("c_name", lit("\n  SA ")).alias("parceiro"), lit(None).cast("string").alias("objeto"))
+    columns = ["processo", "parceiro", "objeto"]
+    if not S.write_previews(c, path, columns) or S.write_previews(c.limit(0), f"{path}-none", columns):
+        raise ValueError("an empty table was written, or a filled one was not")
+    return S.read_csv(spark, path, columns).drop("row_idx")
+
+
+@query("SELECT event_type AS span, count(*) AS n, round(sum(value), 2)::DOUBLE AS total FROM events GROUP BY 1")
+def span_export(spark, d):
+    """SNK5: totals written as JSON lines and read again."""
+    path = S.shared_folder(spark)
+    e = t(spark, d, "events").groupBy(F.col("event_type").alias("span")).agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).cast("double").alias("total"))
+    S.write_spans(e, path)
+    return S.read_ndjson(spark, path, "span string, n long, total double")
+
+
 @query("SELECT event_id, event_type AS kind FROM events WHERE event_id % 4 <> 0")
 def ndjson_round_trip(spark, d):
     """SRC4: objects a line, some cut short and some blank, which are skipped."""
