@@ -58,10 +58,10 @@ def prepared_texts(spark, d):
     return o.select("o_orderkey", X.prepare_text(F.col("x")).alias("prepared"), X.prepare_plan_text(F.col("y")).alias("plan"))
 
 
-@query(f"""SELECT doc_id, upper(replace({_FOLD('text')}, 'ß', 'ss')) AS folded, length(regexp_replace(text, '[^A-Za-zÀ-ÿ]', '', 'g')) >= 8 AS content, false AS placeholder FROM documents""")
+@query(f"""SELECT doc_id, upper(replace({_FOLD('text')}, 'ß', 'ss')) AS folded, length(regexp_replace(text, '[^A-Za-zÀ-ÿ]', '', 'g')) >= 8 AS content, doc_id % 5 = 0 AS placeholder FROM documents""")
 def content_flags(spark, d):
-    """TXT7, TXT9, TXT15 of whole texts."""
-    return t(spark, d, "documents").select("doc_id", X.fold_upper(F.col("text")).alias("folded"), X.has_content(F.col("text")).alias("content"), X.is_placeholder(F.col("text")).alias("placeholder"))
+    """TXT7, TXT9, TXT15 of whole texts; each fifth is shown as the viewer's placeholder."""
+    return t(spark, d, "documents").select("doc_id", X.fold_upper(F.col("text")).alias("folded"), X.has_content(F.col("text")).alias("content"), X.is_placeholder(F.when(F.col("doc_id") % 5 == 0, F.concat(lit("Clique aqui para visualizar o conteúdo deste documento "), F.substring("text", 1, 20))).otherwise(F.col("text"))).alias("placeholder"))
 
 
 @query("""SELECT o_orderkey, 'corpo ' || o_orderkey || '.' AS body, 'de ' || strftime(o_orderdate, '%d/%m/%Y') || ' em diante' AS period FROM orders""")
@@ -508,17 +508,18 @@ def dashboard_totals(spark, d):
     return tried.union(levels).union(value)
 
 
-@query("SELECT count(*) AS selected, sum(v)::DOUBLE AS total, round(avg(v)::DOUBLE, 4) AS mean FROM (SELECT user_id, sum(CAST(value AS DECIMAL(18, 2))) AS v FROM events WHERE event_type = 'view' GROUP BY 1 HAVING v > 0)")
+@query("SELECT count(*) AS selected, sum(v)::DOUBLE AS total, round(avg(v)::DOUBLE, 4) AS mean FROM (SELECT user_id, sum(CAST(value AS DECIMAL(18, 2))) AS v FROM events GROUP BY 1 HAVING v > 0)")
 def selected_runtime(spark, d):
     """AGG5: time of the selected cases."""
-    spans = t(spark, d, "events").where("event_type = 'view'").groupBy("user_id").agg(F.sum(cents("value")).alias("total_seconds")).where("total_seconds > 0")
+    spans = t(spark, d, "events").groupBy("user_id").agg(F.sum(cents("value")).alias("total_seconds")).where("total_seconds > 0")
     return dash.runtime(spans, 0.0).select("selected", F.col("total").cast("double").alias("total"), F.round(F.col("mean").cast("double"), 4).alias("mean"))
 
 
-@query("""SELECT o_orderkey, 'x' || o_custkey AS atribuicoes, o_orderkey % 2 = 0 AS has_goals, true AS has_actions, false AS has_deadline, o_orderdate::DATE AS day, o_orderkey % 3 = 0 AS has_path FROM orders""")
+@query("""SELECT o_orderkey, 'x' || o_custkey AS atribuicoes, o_orderkey % 2 = 0 AS has_goals, true AS has_actions, false AS has_deadline, o_orderdate::DATE AS day, o_orderkey % 3 = 0 AS has_path FROM orders WHERE o_orderstatus <> 'F'""")
 def plan_flags(spark, d):
-    """PRJ2, PRJ3, FLT6: duties of either spelling, flags of goals, actions and deadlines, typed dates; no row has a deadline."""
-    o = t(spark, d, "orders").select("o_orderkey", lit("").alias("atribuições_raw"), F.concat(lit("x"), "o_custkey").alias("atribuicoes_raw"), F.when(F.col("o_orderkey") % 2 == 0, "m").otherwise(" ").alias("metas"), lit("a").alias("acoes"), lit("").alias("vigencia_fim"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.when(F.col("o_orderkey") % 3 == 0, "p").otherwise("").alias("json_path"))
+    """PRJ2, PRJ3, FLT6: duties of either spelling, flags of goals, actions and deadlines, typed dates; rows
+    with a deadline (closed orders) are left out."""
+    o = t(spark, d, "orders").select("o_orderkey", lit("").alias("atribuições_raw"), F.concat(lit("x"), "o_custkey").alias("atribuicoes_raw"), F.when(F.col("o_orderkey") % 2 == 0, "m").otherwise(" ").alias("metas"), lit("a").alias("acoes"), F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise("").alias("vigencia_fim"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.when(F.col("o_orderkey") % 3 == 0, "p").otherwise("").alias("json_path"))
     df = dash.without_deadline(dash.typed(dash.plan_columns(o), dates=["day"], present={"has_path": "json_path"}))
     return df.select("o_orderkey", "atribuicoes", "has_goals", "has_actions", "has_deadline", "day", "has_path")
 

@@ -19,8 +19,10 @@ FIT_ROWS, MOST_LISTS = 16_384, 1024
 #: Sampled queries that set how many lists are probed and how many rows are reranked, and the share of their exact
 #: neighbours that the lists, and the rows in front by codes, must hold.
 TRIED, NEEDED = 512, 0.97
-#: Least number of rows that a query reranks exactly, over all lists together, and their largest share of all rows.
-RERANK, RERANK_SHARE = 40, 0.02
+#: Least number of rows that a query reranks exactly, over all lists together.
+RERANK = 40
+#: Units whose answers to a query are merged at a time.
+FAN = 16
 #: Bytes of a code; least rows of a unit, queries of a block; rows of a unit by the root of all rows.
 CODE, BLOCK, ROOT = 16, 4096, 40
 
@@ -149,7 +151,7 @@ def _probe(index: Index, least: int):
 
 def _search(index: Index, rerank: int):
     """The best rows of a unit for each of its queries, by distance tables of codes."""
-    kind = pa.schema([("q", pa.int64()), ("query_id", pa.int64()), ("found", pa.list_(pa.struct([("far", pa.float32()), ("vec_id", pa.int64()), ("row", pa.int64())])))])
+    kind = pa.schema([("q", pa.int64()), ("query_id", pa.int64()), ("unit", pa.int64()), ("found", pa.list_(pa.struct([("far", pa.float32()), ("vec_id", pa.int64()), ("row", pa.int64())])))])
 
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
         if not rows.num_rows or not queries.num_rows:
@@ -179,7 +181,7 @@ def _search(index: Index, rerank: int):
         ends = np.concatenate([[0], np.cumsum([len(x) for x, _, _ in out])])
         ids, row, far = (np.concatenate(c) for c in zip(*out, strict=True))
         found = pa.StructArray.from_arrays([pa.array(far, pa.float32()), pa.array(ids), pa.array(row)], fields=list(kind.field("found").type.value_type))
-        return pa.table([pa.array(q), pa.array(qids), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)], schema=kind)
+        return pa.table([pa.array(q), pa.array(qids), queries.column("unit").combine_chunks(), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)], schema=kind)
 
     return run
 
@@ -199,7 +201,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
     Centroids, codebooks and the number of probed lists are fitted on a bounded sample in hash order; every row is
     indexed.  A query compares codes in its probed lists, keeps the best rows of all lists together, and fetches only
     these vectors for exact cosines: as many as the sample needed, more by the root of rows a sampled row, since the
-    neighbours stand out more among more rows; RERANK at least, RERANK_SHARE of the rows at most.  Vectors that are null, empty, zero, of another length than the sample's first,
+    neighbours stand out more among more rows; RERANK at least.  Answers of units are merged FAN at a time, each merge
+    keeping as many as are reranked, so no row grows with the number of units.  Vectors that are null, empty, zero, of another length than the sample's first,
     or hold null or non-finite components take no part; an empty table gives no rows.  A vec_id is taken as the row's key:
     rows that share the query's are its own, other repeated rows count each, equal rows are one query.  Rows stand in
     units of BLOCK, queries in blocks of as many, so a hot list is no hot task.  Other columns are not read."""
@@ -212,7 +215,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
     valid = valid.where(F.size("embedding") == dim)
     n, sample = valid.count(), np.array([x for x in sample if len(x) == dim], np.float64)
     index = fit(sample, int(np.clip(round(n**0.5), 1, MOST_LISTS)), k)
-    rerank = max(RERANK, min(round(index.depth * max(1.0, n / len(sample)) ** 0.5), int(RERANK_SHARE * n)))
+    rerank = max(RERANK, round(index.depth * max(1.0, n / len(sample)) ** 0.5))
     coded = valid.mapInArrow(_encode(index), f"vec_id long, list int, codes binary, embedding {vector}")
     coded = stored(coded.withColumn("row", F.monotonically_increasing_id()))
     for one in coded.groupBy("list").count().collect():  # one row a list, MOST_LISTS at most
@@ -227,9 +230,12 @@ def nearest(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
     left = coded.join(units, F.col("list") == F.col("l")).select((F.col("unit") + F.pmod(F.xxhash64("row"), F.col("several"))).alias("unit"), "row", "vec_id", "list", "codes")
     left = left.join(per, F.col("unit") == F.col("u")).select("unit", F.explode(F.sequence(zero, F.col("q_blocks") - 1)).alias("j"), "row", "vec_id", "list", "codes")
     right = probes.join(per, F.col("unit") == F.col("u")).select("unit", F.pmod(F.col("q"), F.col("q_blocks")).alias("j"), "query_id", "q", "lists", "vector")
-    found = left.groupBy("unit", "j").cogroup(right.groupBy("unit", "j")).applyInArrow(_search(index, rerank), "q long, query_id long, found array<struct<far:float,vec_id:long,row:long>>")
-    # a query's list has as many items as there are units times rerank
-    found = found.groupBy("q", "query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("found"))), 1, rerank).alias("found")).select("q", "query_id", F.inline("found")).select("q", "query_id", "row", "vec_id")
+    found = left.groupBy("unit", "j").cogroup(right.groupBy("unit", "j")).applyInArrow(_search(index, rerank), "q long, query_id long, unit long, found array<struct<far:float,vec_id:long,row:long>>")
+    several = int((first + several).max())
+    while several > 1:  # a list has FAN * rerank items at most
+        several = -(-several // FAN)
+        found = found.groupBy("q", "query_id", F.floor(F.col("unit") / FAN).alias("unit")).agg(F.slice(F.array_sort(F.flatten(F.collect_list("found"))), 1, rerank).alias("found"))
+    found = found.select("q", "query_id", F.inline("found")).select("q", "query_id", "row", "vec_id")
     found = found.join(coded.select("row", "embedding"), "row").join(asked.select(F.col("q").alias("own"), F.col("embedding").alias("vector")), F.col("q") == F.col("own"))
     scored = found.select("q", "query_id", "vec_id", "vector", "embedding").mapInArrow(_cosines, "q long, query_id long, vec_id long, score double")
     order = W.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")

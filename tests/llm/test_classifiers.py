@@ -1,4 +1,8 @@
+import math
+import zlib
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,6 +34,49 @@ def test_toxicity_accuracy(spark):
     measured(spark, T.op5_toxicity, "toxic", 0.8, 0.9)
 
 
+def test_quality_query_against_loops(spark, data):
+    """Every document of the smallest table: cosines with each voter one by one, the nearest by similarity, then by place."""
+    docs, labels = (spark.read.parquet(f"{data}/{n}.parquet") for n in ("documents", "labels"))
+    model = Q.train(docs, labels)
+    got = {r["doc_id"]: r for r in Q.op3_quality_classifier(spark, data).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        v = (Q.counts(pa.array([r["text"]]))[0].astype(float) * model.idf) @ model.axes
+        v = v / max(float(np.sqrt((v * v).sum())), 1e-12)
+        near = [float((v * x).sum()) for x in model.voters.astype(float)]
+        top = sorted(range(len(near)), key=lambda i: -near[i])[: Q.NEIGHBOURS]  # noqa: B023
+        weight = [max(near[i], 0.0) ** Q.POWER for i in top]
+        want = sum(w * model.labels[i] for w, i in zip(weight, top, strict=True)) / sum(weight)
+        assert abs(got[r["doc_id"]]["score"] - want) < 0.02, r["doc_id"]
+        assert got[r["doc_id"]]["predicted"] == int(got[r["doc_id"]]["score"] >= 0.3)
+        assert got[r["doc_id"]]["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+
+
+def test_toxicity_query_against_loops(spark, data):
+    """Every document: a sentence's chance from its distinct features one by one, and the chance that no sentence is toxic."""
+    docs, labels = (spark.read.parquet(f"{data}/{n}.parquet") for n in ("documents", "labels"))
+    model = T.train(docs, labels)
+    weight = dict(zip(model.ids.tolist(), model.weights.tolist(), strict=True))
+    got = {r["doc_id"]: r for r in T.op5_toxicity(spark, data).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert len(got) == len(rows) and weight
+    for r in rows:
+        s = T.sentences(pa.array([r["text"]], pa.string()))
+        held: dict[int, set] = {k: set() for k in range(len(s.row))}
+        for sentence, feature in zip(s.of_word.tolist(), s.buckets.tolist(), strict=True):
+            held[sentence].add(feature)
+        clean, worst = 1.0, 0.0
+        for features in held.values():
+            p = 1 / (1 + math.exp(-(model.bias + sum(weight.get(f, 0.0) for f in features))))
+            clean, worst = clean * (1 - p), max(worst, p)
+        row = got[r["doc_id"]]
+        assert abs(row["score"] - (1 - clean)) < 1e-6 and row["predicted"] == int(row["score"] >= 0.5)
+        assert (row["n_offending"] > 0) == (row["score"] >= 0.5) and all(x in r["text"] for x in row["offending_sentences"])
+        if row["n_offending"]:
+            assert abs(max(x["score"] for x in row["offending"]) - worst) < 1e-6
+
+
 def test_sample(spark, labels):
     got = labelled_sample(labels, "toxic", 500)
     assert got.count() == 500 and got.where(held_out(F.col("doc_id"))).count() == 0

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,6 +143,26 @@ def test_recall(spark, data):
     assert list(got.columns) == ["query_id", "rank", "vec_id", "score"] and (got.groupby("query_id").size() == 5).all()
 
 
+@pytest.mark.parametrize("fan", [16, 2])
+def test_recall_of_clustered_vectors(spark, monkeypatch, fan):
+    """50,000 vectors in clusters of very unequal sizes, answers of units merged in one level and in several."""
+    monkeypatch.setattr(A, "FAN", fan)
+    rng = np.random.default_rng(21)
+    centres = rng.normal(size=(60, 24)) * 3
+    own = np.minimum(rng.geometric(0.06, 50_000), 60) - 1
+    x = (centres[own] + rng.normal(size=(50_000, 24))).astype(np.float32)
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(50_000), "embedding": list(x)})).repartition(8)
+    found = A.nearest(df, F.col("vec_id") % 500 == 0).toPandas()
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    hit = 0
+    for q, g in found.groupby("query_id"):
+        s = u @ u[q]
+        s[q] = -2
+        hit += len(set(np.argpartition(-s, 5)[:5]) & set(g.vec_id))
+        assert np.allclose(g.sort_values("rank").score, s[g.sort_values("rank").vec_id])
+    assert hit >= 0.9 * 5 * 100 and len(found) == 500
+
+
 def test_ann_edges(spark, monkeypatch):
     v = lambda *x: [float(i) for i in x]
     rows = [(0, v(1, 0, 0)), (50, v(0, 2, 0)), (1, v(1, 1, 0)), (2, v(2, 2, 0)), (3, v(1, 1, 0)), (4, None), (5, v(0, 0, 0)), (6, [1.0, None, 0.0]), (7, [float("nan"), 1.0, 0.0]), (8, [float("inf"), 1.0, 0.0]), (9, []), (None, v(1, 0, 0)), (100, v(0, 0, 0))]
