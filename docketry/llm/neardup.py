@@ -462,7 +462,7 @@ def _labels(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     pairs = _in_order(ordered, percent, least, False).distinct()
     needed = members.select("c").distinct().join(of.select("k_c", "k"), F.col("c") == F.col("k_c")).select("k")
     sets = _sets(docs, needed)
-    of_digest = of.select("k_c", "digest").join(sets.withColumnRenamed("digest", "d"), F.col("digest") == F.col("d")).select("k_c", "items")
+    of_digest = stored(of.select("k_c", "digest").join(sets.withColumnRenamed("digest", "d"), F.col("digest") == F.col("d")).select("k_c", "items"))
     one, two = (of_digest.select(F.col("k_c").alias(c), F.col("items").alias(x)) for c, x in (("c1", "x"), ("c2", "y")))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
