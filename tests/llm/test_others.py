@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,7 +151,7 @@ def test_recall_of_clustered_vectors(spark, monkeypatch, fan):
     centres = rng.normal(size=(60, 24)) * 3
     own = np.minimum(rng.geometric(0.06, 50_000), 60) - 1
     x = (centres[own] + rng.normal(size=(50_000, 24))).astype(np.float32)
-    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(50_000), "embedding": list(x)})).repartition(8)
+    df = spark.createDataFrame(pa.table({"vec_id": pa.array(np.arange(50_000)), "embedding": pa.array(list(x))})).repartition(8)
     found = A.nearest(df, F.col("vec_id") % 500 == 0).toPandas()
     u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
     hit = 0
