@@ -27,4 +27,5 @@ ORACLES = {
     "op10_mixing": mixing.OP10_SQL,
     "op11_fill_in_middle": fim.OP11_SQL,
     "op12_conversation_trie": trie.OP12_SQL,
+    "op13_repeated_passages": repeats.OP13_SQL,
 }

@@ -365,3 +365,18 @@ def repeats_digest(docs: DataFrame, length: int = LENGTH, keep: str = "none", bl
 
 def op13_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats_digest(table(spark, sf_dir, "documents"))
+
+
+#: Windows are cut from pieces of 799 bytes (as hex), which hold 400 of them; a run ends where no window starts for 400 bytes.
+OP13_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+e AS (SELECT doc_id, base, substr(h, 2 * base + 1, 1598) AS h FROM (SELECT doc_id, h, unnest(range(0, greatest(0, len(h) // 2 - 399), 400)) AS base FROM d)),
+w AS (SELECT doc_id, base + j AS i, md5_number(substr(h, 2 * j + 1, 800)) AS k FROM (SELECT *, unnest(range(0, least(400, len(h) // 2 - 399))) AS j FROM e)),
+c AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1),
+g AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 400 AS gap FROM w SEMI JOIN c USING (k)),
+n AS (SELECT doc_id, i, count_if(coalesce(gap, true)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g),
+s AS (SELECT doc_id, min(i) AS a, max(i) + 400 AS b FROM n GROUP BY doc_id, run),
+p AS (SELECT s.doc_id, a, b, substr(h, 2 * coalesce(lag(b) OVER (PARTITION BY s.doc_id ORDER BY a), 0) + 1, 2 * (a - coalesce(lag(b) OVER (PARTITION BY s.doc_id ORDER BY a), 0))) AS piece FROM s JOIN d USING (doc_id)),
+q AS (SELECT doc_id, sum(b - a)::BIGINT AS gone, count(*) AS spans, max(b) AS last, string_agg(piece, '' ORDER BY a) AS head FROM p GROUP BY doc_id)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN q USING (doc_id)
+"""
