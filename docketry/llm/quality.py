@@ -114,7 +114,8 @@ def train(docs: DataFrame, labels: DataFrame, voters: int = VOTERS) -> Model:
     """At most `voters` labelled documents outside the held-out fold.  Without any, every document scores 1.
 
     Rows that repeat an id and a text vote once; an id with several texts brings each, within the bound.  Null texts vote
-    as texts without terms; labels without a document, and null ids, are no voters."""
+    as texts without terms; labels without a document, and null ids, are no voters.  Other columns of either table are
+    not read, whatever their names."""
     got = labelled_texts(docs, labelled_sample(labels, "quality", voters), voters).mapInArrow(_terms, "doc_id long, label int, terms binary").toPandas()
     got = got.sort_values(["doc_id", "terms"])
     y, terms = got["label"].to_numpy(float), np.zeros((len(got), TERMS), np.float32)

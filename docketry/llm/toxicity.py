@@ -103,7 +103,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, least: int
     Rows that repeat an id and a text count once; an id with several texts brings each, within the bound.  Null texts hold
     no sentence.  Spark counts the words of the sample by label.  Only words in `least` documents or more, found in toxic ones more
     often than chance explains (z_least standard deviations), get a weight: the others could only be learnt by heart.
-    The driver gets these words and where they stand."""
+    The driver gets these words and where they stand.  Other columns of either table are not read, whatever their names."""
     none = Model(-40.0, np.zeros(0, np.int64), np.zeros(0))
     sample = stored(labelled_texts(docs, labelled_sample(labels, "toxic", rows), rows))
     seen = stored(sample.select("text", "label").mapInArrow(_words, "word long, label int").groupBy("word").agg(F.count("*").alias("n"), F.sum("label").alias("toxic")).where(F.col("n") >= F.when(F.col("word") < 0, 0).otherwise(least)))
