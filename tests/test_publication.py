@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docketry.functions.rules import Rule
 from docketry.operators import classify as C
-from docketry.operators import dash, extract, families, runlog, select
+from docketry.operators import dash, extract, families, ordered, runlog, select
 from docketry.plans import publish, refresh
 from docketry.sources import tables as S
 
@@ -77,14 +77,14 @@ def test_work_plans(spark):
 
 
 def test_overview(spark, tmp_path):
-    plan = publish.work_plans(plans(spark), previews(spark))
-    act = publish.agreements(bronze(spark, [(CASE, "act", "Acordo", FINAL, "", "/p/a.json"), (OTHER, "act", "Extrato", "x", "", "/p/c.json")]))
+    plan = ordered.stored(publish.work_plans(plans(spark), previews(spark)))
+    act = ordered.stored(publish.agreements(bronze(spark, [(CASE, "act", "Acordo", FINAL, "", "/p/a.json"), (OTHER, "act", "Extrato", "x", "", "/p/c.json")])))
     status = spark.createDataFrame([(0, OTHER, "retained_silver", "extrato", "cabecalho_extrato"), (1, OTHER, "retained_silver", "extrato", "cabecalho_extrato"), (2, CASE, "published_gold", "act_final", "x")], "row_idx long, processo string, publication_status string, doc_class string, classification_reason string")
     empty = spark.createDataFrame([], "processo string, json_path string, row_idx long")
     terms = spark.createDataFrame([(OTHER, "C:\\x\\t.json", 0)], "processo string, json_path string, row_idx long")
     payload = spark.createDataFrame([("/elsewhere/t.json", "obj", "10", "ativa", "AM", 0)], "json_path string, objeto string, valor_global string, situacao string, uf string, row_idx long")
     searched = spark.createDataFrame([(CASE, "not_found", 0)], "processo string, selection_reason string, row_idx long")
-    over = publish.overview(previews(spark), plan, act, empty, terms, status, searched, payload)
+    over = ordered.stored(publish.overview(previews(spark), plan, act, empty, terms, status, searched, payload))
     rows = {r["processo"]: r for r in over.collect()}
     assert len(rows) == 2
     a, b = rows[CASE], rows[OTHER]
