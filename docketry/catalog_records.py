@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .catalog import _FOLD, cents, t
+from .catalog import _FOLD, case_number, cents, t
 from .functions import dates as D
 from .functions import text as X
 from .operators import classify as C
@@ -76,7 +76,7 @@ def footers_and_periods(spark, d):
 @query("""SELECT o_orderkey, lpad(o_custkey::VARCHAR, 5, '0') || '000001202101' AS digits, 2021 AS year, '12/' || o_orderkey AS number, 'r' || o_orderkey AS cell, o_custkey::VARCHAR AS seq FROM orders""")
 def case_cells(spark, d):
     """TXT17-TXT20: digits and year of a case number, a bare agreement number, the sequence and the annotation of a row."""
-    o = t(spark, d, "orders").select("o_orderkey", F.format_string("%05d.000001/2021-01", "o_custkey").alias("case"), F.col("o_custkey").cast("string").alias("n"), F.col("o_orderkey").cast("string").alias("k"))
+    o = t(spark, d, "orders").select("o_orderkey", case_number(F.col("o_custkey")).alias("case"), F.col("o_custkey").cast("string").alias("n"), F.col("o_orderkey").cast("string").alias("k"))
     cells = F.array(F.col("case"), F.col("n"), F.col("k"), F.concat(lit("Parceiro: r"), "k"))
     parts = X.process_parts(F.col("case"))
     return o.select("o_orderkey", parts["digits"].alias("digits"), parts["year"].alias("year"), X.agreement_number(F.concat(lit(" Nº 12/"), "k", lit(". "))).alias("number"), F.replace(X.annotation_cell(cells), lit("Parceiro: "), lit("")).alias("cell"), X.sequence_cell(cells, F.col("case")).alias("seq"))
@@ -566,7 +566,7 @@ _LOG = """WITH e AS (SELECT user_id AS run, event_id AS line_no, ts, event_type
 def log_visits(spark, d):
     """LOG1-LOG6: events written as a run's messages and summed up by visit."""
     e = t(spark, d, "events")
-    case = F.format_string("%05d.000001/2021-01", F.col("user_id").cast("int"))
+    case = case_number(F.col("user_id"))
     message = (
         F.when(F.col("event_type") == "signup", F.concat(lit("Abrindo processo "), case)).when(F.col("event_type") == "click", lit("clicando Pesquisar no Processo para Plano de Trabalho."))
         .when(F.col("event_type") == "view", lit("iniciando busca do documento 'Acordo de Cooperação'")).when(F.col("event_type") == "error", F.concat(lit("Processo "), case, lit(": TED termo 'x' falhou no filtro"))).otherwise("outra linha")
@@ -769,7 +769,7 @@ _MESSAGES = {
     CASE o_orderkey % 11 WHEN 5 THEN 'none' WHEN 6 THEN 'fail' WHEN 7 THEN 'fall' WHEN 9 THEN 'reload' END AS event FROM orders""")
 def log_messages(spark, d):
     """LOG6: what each of the ten messages says, and one that says nothing."""
-    case = F.format_string("%05d.000001/2021-01", F.col("o_custkey"))
+    case = case_number(F.col("o_custkey"))
     o = t(spark, d, "orders").select("o_orderkey", F.replace(_of(_MESSAGES, F.col("o_orderkey") % 11), lit("{}"), case).alias("message"))
     o = runlog.features(o)
     number = F.coalesce(*[F.nullif(c, lit("")) for c in ("open_case", "close_case", "none_case", "fail_case", "fall_case")])
