@@ -243,6 +243,7 @@ def profile_of(df: DataFrame, profiles: DataFrame, text: str = "descricao") -> D
 
     A few profiles become one CASE without a join; tables of any size are joined with holds()."""
     on = profiles.where("enabled AND pattern IS NOT NULL").select("ordinal", "key", fold(F.col("pattern")).alias("pattern"))
+    on = on.groupBy("pattern").agg(F.min(F.struct("ordinal", "key")).alias("b")).select("b.ordinal", "b.key", "pattern")  # the others never win
     rows = on.orderBy("ordinal", "key").limit(MOST_PROFILES + 1).collect()
     if len(rows) <= MOST_PROFILES:
         out = F.lit(None).cast("string")
