@@ -273,9 +273,9 @@ def holds(texts: DataFrame, text: str, patterns: DataFrame, pattern: str) -> Dat
     cut = lambda c, n: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - n + 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(n)))
     rows = patterns.withColumn("_pieces", F.array_distinct(cut(F.col(pattern), PIECE)))
     counts = rows.select(F.explode("_pieces").alias("_piece")).groupBy("_piece").count()
-    rows = rows.withColumn("_row", F.monotonically_increasing_id())
-    best = rows.select("_row", F.explode("_pieces").alias("_piece")).join(counts, "_piece").groupBy("_row").agg(F.min(F.struct("count", "_piece")).alias("_b"))
-    keyed = rows.join(best.select(F.col("_row").alias("_r"), F.col("_b._piece").alias("_piece")), F.col("_row") == F.col("_r")).drop("_pieces", "_row", "_r")
+    # told apart by the pattern, which fixes its piece: a row's number would change where rows are computed again
+    best = rows.select(F.col(pattern).alias("_r"), F.explode("_pieces").alias("_piece")).join(counts, "_piece").groupBy("_r").agg(F.min(F.struct("count", "_piece")).alias("_b"))
+    keyed = rows.join(best.select("_r", F.col("_b._piece").alias("_piece")), F.col(pattern) == F.col("_r")).drop("_pieces", "_r")
     sizes = [r["n"] for r in keyed.select(F.length("_piece").alias("n")).distinct().collect()]  # PIECE + 1 at most
     own = F.concat(*[cut(F.col(text), n) for n in sizes if n > 0], F.array(F.lit("")))
     given = texts.withColumn("_own", F.explode(F.array_distinct(own)))
