@@ -53,9 +53,9 @@ def visits(df: DataFrame, run: str, ts: str, order: str, opens: Column, key: Col
 
     A line for which opens holds begins a visit of `key`; the first for which closes equals the visit's key ends it;
     else the next opening line does, or the run's last line.  Lines stay in the ranges of ordered.laid() (_part, _at), in
-    which stage_seconds() and attempts() go on."""
+    which stage_seconds() and attempts() go on; df may lie in such ranges of (run; ts, order) already."""
     df = df.withColumns({"_open": F.coalesce(opens, F.lit(False)), "_close": closes, "_key": key})
-    rows = ordered.laid(df, [run], [ts, order])
+    rows = df if "_part" in df.columns else ordered.laid(df, [run], [ts, order])
     opened = F.when(F.col("_open"), F.struct(F.col("_key").alias("case")))
     rows = ordered.over(rows, [run], {"visit": ("sum", F.col("_open").cast("long")), "next_ts": ("next", F.col(ts)), "_opened": ("last", opened)}).where("visit > 0")
     rows = rows.withColumn("case", F.col("_opened.case"))
@@ -100,7 +100,9 @@ def _counted(rows: DataFrame, run: str) -> DataFrame:
 def summarize(lines: DataFrame, run: str = "run", ts: str = "ts", order: str = "line_no", top: int = 5) -> DataFrame:
     """LOG1-LOG5: one row a visit of (run, ts, line_no, message): times by stage, attempts and counters by family, the
     dominant stage and whether the visit is among the slowest."""
-    df = visits(features(lines.where(F.col(ts).isNotNull() & F.col("message").isNotNull())), run, ts, order, F.col("open_case").isNotNull(), F.col("open_case"), F.col("close_case"))
+    # laid first: ranges are found by a sample, which would read every message's features once more
+    laid = ordered.laid(lines.where(F.col(ts).isNotNull() & F.col("message").isNotNull()), [run], [ts, order])
+    df = visits(ordered.stored(features(laid).drop("message")), run, ts, order, F.col("open_case").isNotNull(), F.col("open_case"), F.col("close_case"))
     mine = lambda kind: F.when(F.col(f"{kind}_case") == F.col("case"), F.col(f"{kind}_doc"))
     df = df.withColumns({"none_doc": mine("none"), "fail_doc": mine("fail"), "fall_doc": mine("fall")})
     search = lambda c: F.concat(F.lit("busca_"), F.lower(c))
