@@ -281,12 +281,21 @@ def annotation(c: Column) -> Column:
 
     The first filled value of a label wins; numbers lose their sign.  The object goes on over lines until the next
     metadata label, whatever its case; a later object block replaces an earlier one.  One walk over a row's lines."""
-    lines = F.filter(F.transform(F.split(F.regexp_replace(c, r"(?i)<br\s*/?>", "\n"), r"\r\n?|\n"), clean_spaces), lambda x: x != "")
+    # blanks are cleaned in the block, not line by line; empty lines are none, so "\\r\\n" may be two ends
+    block = F.regexp_replace(F.regexp_replace(c, r"(?i)<br\s*/?>|\r", "\n"), r"(?U)(?! \S)[\s&&[^\n]]+", " ")
+    lines = F.filter(F.transform(F.split(block, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
+    # fold_upper() of a line's part, whose blanks are clean: of single-byte letters only the case and the ends are left to do
+    upper = lambda x: F.when(F.length(x) == F.octet_length(x), F.trim(F.upper(x))).otherwise(fold_upper(x))
+
+    # inside lambdas nothing is shared, so what several fields of a line need is bound
     def parsed(x: Column) -> Column:
-        at = F.locate(":", x)
-        label = F.when(at > 1, fold_upper(F.substring(x, F.lit(1), at - 1))).otherwise("")
-        return F.struct(x.alias("line"), label.alias("label"), F.when(at > 0, F.trim(F.substr(x, at + 1))).otherwise("").alias("value"), (at.between(3, 81) & metadata_label(label)).alias("ends"))
+        def labelled(at: Column) -> Column:
+            label = F.when(at > 1, let(F.substring(x, F.lit(1), at - 1), upper)).otherwise("")
+            value = F.when(at > 0, F.trim(F.substr(x, at + 1))).otherwise("")
+            return let(label, lambda y: F.struct(x.alias("line"), y.alias("label"), value.alias("value"), (at.between(3, 81) & metadata_label(y)).alias("ends")))
+
+        return let(F.locate(":", x), labelled)
 
     text = F.lit(None).cast("string")
     start = F.struct(F.lit(False).alias("inside"), F.array().cast("array<string>").alias("lines"), *[text.alias(k) for k in ("parceiro", "vigencia", "numero_act")])
@@ -310,8 +319,7 @@ def preview_record(cells: Column, process: Column) -> Column:
     """EXT20: struct of the sequence, and the annotation's fields, of a list row."""
     from ..functions.text import annotation_cell, sequence_cell
 
-    a = annotation(annotation_cell(cells))
-    return F.struct(sequence_cell(cells, process).alias("seq"), *[a[k].alias(k) for k in ANNOTATIONS])
+    return let(annotation(annotation_cell(cells)), lambda a: F.struct(sequence_cell(cells, process).alias("seq"), *[a[k].alias(k) for k in ANNOTATIONS]))
 
 
 #: Words that make a label a date label, and the key that some give, first found first.
