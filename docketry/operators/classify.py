@@ -67,22 +67,42 @@ READ, EDGE = 3 * OPENING // 2, 100
 CASE_NUMBER = r"[0-9]{5}\.[0-9]{6}/[0-9]{4}-[0-9]{2}"
 
 
+def _joined(part: Column) -> Column:
+    return F.concat_ws(" ", F.nullif("_title", F.lit("")), F.nullif(part, F.lit("")), F.nullif("_chosen", F.lit("")))
+
+
 def blobs(df: DataFrame, text: str = "text", title: str = "title", label: str = "chosen") -> DataFrame:
     """Folded texts that the rules read, once each as columns: rejection, header, opening and full, which hold the title and
     the label as well, and body_opening, which does not."""
     text = F.coalesce(text, F.lit(""))
     long = F.length(text) > READ
-    df = df.withColumns({"_head": prepare_text(F.substring(text, 1, READ)), "_title": fold(prepare_text(F.coalesce(title, F.lit("")))), "_chosen": fold(prepare_text(F.coalesce(label, F.lit(""))))})
+    told = lambda c: F.when(F.coalesce(c, F.lit("")) == "", "").otherwise(fold(prepare_text(F.col(c))))
+    df = df.withColumns({"_head": prepare_text(F.substring(text, 1, READ)), "_title": told(title), "_chosen": told(label)})
     # a long text's beginning is the body's if it reaches beyond the opening and no footer begins there
     sure = long & (F.length("_head") >= OPENING + EDGE) & ~contains_any(F.lower(F.substring("_head", 1, OPENING + EDGE)), TAIL_MARKERS)
     body = trim_noise(F.when(long, prepare_text(text)).otherwise(F.col("_head")))
-    df = df.withColumns({"_body": body, "body_opening": fold(window(F.when(sure, F.col("_head")).otherwise(body), OPENING))}).drop("_head")
-    joined = lambda part: F.concat_ws(" ", F.nullif("_title", F.lit("")), F.nullif(part, F.lit("")), F.nullif("_chosen", F.lit("")))
+    df = df.withColumn("_body", body)
+    df = df.withColumn("body_opening", fold(window(F.when(sure, F.col("_head")).otherwise(F.col("_body")), OPENING))).drop("_head")
+    joined = _joined
     first = lambda n: F.when(F.length("_body") <= n, F.col("body_opening")).otherwise(fold(window(F.col("_body"), n)))
     df = df.withColumns({"rejection": joined(first(LEAD)), "header": joined(first(HEADER)), "opening": joined(F.col("body_opening")), "folded": F.when(F.length("_body") <= OPENING, F.col("body_opening")).otherwise(fold(F.col("_body")))})
     return df.withColumn("full", F.concat_ws(" ", "header", "folded"))
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """Rows of blobs() to be stored: without what others give, and null where a column repeats another, as short texts' do."""
+    same = {"_body": "text", "folded": "body_opening", "header": _joined(F.col("body_opening")), "rejection": F.col("header")}
+    return df.withColumns({c: F.nullif(F.col(c), F.col(x) if isinstance(x, str) else x) for c, x in same.items()}).drop("opening", "full")
+
+
+def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
+    """What packed() has left out or made null, put back; in the order of columns."""
+    df = df.withColumns({"opening": _joined(F.col("body_opening")), "_body": F.coalesce("_body", "text"), "folded": F.coalesce("folded", "body_opening")})
+    df = df.withColumn("header", F.coalesce("header", "opening"))
+    df = df.withColumns({"rejection": F.coalesce("rejection", "header"), "full": F.concat_ws(" ", "header", "folded")})
+    return df.select(*columns)
+
+
 def mail_hits(full: Column) -> Column:
     """Mail headers found; `de:` and the like count only as words of their own."""
     out = F.lit(0)
@@ -100,7 +120,7 @@ def classify(df: DataFrame) -> DataFrame:
         F.when(F.col("opening") == "", answer("email_outro", "snapshot_vazio"))
         .when(contains_any(F.col("opening"), SEARCH_PAGE), answer("stub", "pagina_de_pesquisa"))
         .when(contains_any(F.col("opening"), VIEWER_STUB), answer("stub", "stub_visualizacao"))
-        .when((mail_hits(F.col("full")) >= 3) | contains_any(F.col("rejection"), ("e-mail", "email")), answer("email_outro", "email_ou_mensagem"))
+        .when((F.contains("full", F.lit(":")) & (mail_hits(F.col("full")) >= 3)) | contains_any(F.col("rejection"), ("e-mail", "email")), answer("email_outro", "email_ou_mensagem"))
         .when(contains_any(F.col("rejection"), [m for r in HEADER_RULES for m in r.any_of]), first_match(F.col("rejection"), HEADER_RULES))
         .when(F.contains("header", F.lit(AGREEMENT)) & act, answer("act_final", "cabecalho_act_tecnica_contratual"))
         .when(F.contains("header", F.lit(AGREEMENT_GENERIC)) & act, answer("act_final", "cabecalho_act_generico_contratual"))

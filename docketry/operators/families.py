@@ -68,7 +68,9 @@ class Registry:
             df = df.withColumn("_own", F.when(mine, own))
             df = df.withColumns({"doc_class": F.coalesce("_own.label", "doc_class"), "classification_reason": F.coalesce("_own.reason", "classification_reason"), "resolved_document_type": F.coalesce("_own.label", "resolved_document_type")}).drop("_own")
         asked = fold(F.coalesce("requested_type", F.lit("")))
-        return df.withColumn("family", F.when(asked.isin(*self.specs), asked))
+        # a key that folding leaves as it is needs no folding where it is named as it is
+        plain = [k for k in self.specs if k.isascii() and k == " ".join(k.lower().split())]
+        return df.withColumn("family", F.when(F.col("requested_type").isin(*plain), F.col("requested_type")).when(asked.isin(*self.specs), asked))
 
     def accepted(self) -> Column:
         """The row is a document of its family."""
@@ -83,6 +85,7 @@ class Registry:
         Bronze is read, folded and classified once and stored; every family reads its own rows of that, makes its record and
         finalizes it.  Rows of no registered family are in none.  Families without rows give an empty table."""
         rows = self.classified(bronze)
-        rows = stored(rows.withColumn("accepted", self.accepted()).where("family IS NOT NULL"))
+        rows = rows.withColumn("accepted", self.accepted()).where("family IS NOT NULL")
+        rows = C.unpacked(stored(C.packed(rows)), rows.columns)
         keys = list(self.specs) if only is None else [k for k in self.specs if k in set(only)]
         return {k: self.specs[k].finalize(self.specs[k].extract(rows.where(F.col("family") == k))) for k in keys}
