@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import Rule, Weight, first_match, marker_score, term_score
-from ..functions.text import HEADER, LEAD, OPENING, PROCESS, TAIL_MARKERS, clean_spaces, contains_any, fold, fold_upper, has_content, prepare_text, trim_noise, window
+from ..functions.text import HEADER, LEAD, OPENING, PROCESS, TAIL_MARKERS, clean_spaces, contains_any, fold, fold_upper, has_content, let, prepare_text, trim_noise, window
 
 #: Classes with the type they resolve to, the snapshot prefix and the priority.
 CLASSES = {
@@ -64,6 +64,8 @@ ACCEPTED = {"act": ("act_final",), "memorando": ("memorando",), "ted": ("ted",)}
 PLAN_HEAD = 1600
 #: Characters of a long text that are prepared for its opening, and those beyond an opening that no cut of the text changes.
 READ, EDGE = 3 * OPENING // 2, 100
+#: A footer's marker in any case, tried only at its first letter: on long texts this costs less than their lower case.
+TAIL_FOUND = rf"[{''.join(sorted({m[0] + m[0].upper() for m in TAIL_MARKERS}))}](?:{'|'.join(rf'(?<=[{m[0] + m[0].upper()}])(?i:{m[1:]})' for m in TAIL_MARKERS)})"
 CASE_NUMBER = r"[0-9]{5}\.[0-9]{6}/[0-9]{4}-[0-9]{2}"
 
 
@@ -79,7 +81,7 @@ def blobs(df: DataFrame, text: str = "text", title: str = "title", label: str =
     told = lambda c: F.when(F.coalesce(c, F.lit("")) == "", "").otherwise(fold(prepare_text(F.col(c))))
     df = df.withColumns({"_head": prepare_text(F.substring(text, 1, READ)), "_title": told(title), "_chosen": told(label)})
     # a long text's beginning is the body's if it reaches beyond the opening and no footer begins there
-    sure = long & (F.length("_head") >= OPENING + EDGE) & ~contains_any(F.lower(F.substring("_head", 1, OPENING + EDGE)), TAIL_MARKERS)
+    sure = long & (F.length("_head") >= OPENING + EDGE) & ~F.substring("_head", 1, OPENING + EDGE).rlike(TAIL_FOUND)
     body = trim_noise(F.when(long, prepare_text(text)).otherwise(F.col("_head")))
     df = df.withColumn("_body", body)
     df = df.withColumn("body_opening", fold(window(F.when(sure, F.col("_head")).otherwise(F.col("_body")), OPENING))).drop("_head")
@@ -231,7 +233,7 @@ def canonical_score(df: DataFrame) -> Column:
         + F.when(F.col("validation_status") != "valid_for_requested_type", -500).otherwise(0) + F.when(F.col("has_internal"), 0).otherwise(-400)
         + F.when(F.col("process_alignment") == "material_mismatch", -400).when(F.col("process_alignment") == "external_reference", -25).otherwise(0)
         + marker_score(label, [Weight(("anexo",), -20), Weight(PENALTIES, -80, each=True)])
-        + marker_score(F.concat_ws(" ", opening, label), [Weight(STRONG_PENALTIES, -180, each=True)])
+        + let(F.concat_ws(" ", opening, label), lambda x: marker_score(x, [Weight(STRONG_PENALTIES, -180, each=True)]))
         + F.least(F.floor(F.length("text") / 5000), F.lit(10)).cast("int")
     )
     return F.when(F.col("doc_class") == "act_final", score).otherwise(-1000)
@@ -239,7 +241,8 @@ def canonical_score(df: DataFrame) -> Column:
 
 def closing_report(folded: Column) -> Column:
     """CLS11: a final report, or a report at the end of the partnership that isn't periodic."""
-    return contains_any(folded, FINAL_REPORT) | (contains_any(folded, REPORT) & contains_any(folded, CLOSURE) & ~contains_any(folded, PERIODIC))
+    # every report's marker begins alike
+    return F.contains(folded, F.lit("relatorio")) & (contains_any(folded, FINAL_REPORT) | (contains_any(folded, REPORT) & contains_any(folded, CLOSURE) & ~contains_any(folded, PERIODIC)))
 
 
 def plan_status(partner: Column, subject: Column, start: Column, end: Column, goals: Column, actions: Column) -> Column:
